@@ -111,8 +111,185 @@ FROM obt GROUP BY 1, 2, 3""",
 }
 
 
+PREVIEWS = {
+    "preview_top_airports": f"""
+SELECT airport_name, city, country, total_bookings, total_revenue FROM ({MARTS['gold_top_airports']}) m
+ORDER BY total_bookings DESC, airport_id ASC NULLS FIRST, airport_name ASC NULLS FIRST, city ASC NULLS FIRST,
+         country ASC NULLS FIRST LIMIT 5""",
+    "preview_monthly_trends": f"""
+SELECT year_month, total_bookings, total_revenue FROM ({MARTS['gold_monthly_booking_trends']}) m
+ORDER BY year_month ASC NULLS FIRST LIMIT 5""",
+    "preview_airport_revenue": f"""
+SELECT airport_name, city, total_bookings, total_revenue FROM ({MARTS['gold_airport_revenue_summary']}) m
+ORDER BY total_revenue DESC, airport_id ASC NULLS FIRST, airport_name ASC NULLS FIRST, city ASC NULLS FIRST,
+         country ASC NULLS FIRST LIMIT 5""",
+    "preview_top_passengers": f"""
+SELECT passenger_name, nationality, total_bookings, total_spend FROM ({MARTS['gold_passenger_booking_summary']}) m
+ORDER BY total_spend DESC, passenger_id ASC NULLS FIRST, passenger_name ASC NULLS FIRST, gender ASC NULLS FIRST,
+         nationality ASC NULLS FIRST LIMIT 5""",
+}
+
+# AG8 with spoiled dates: a trailing time (booking_id % 13 = 0) or month 13
+# (booking_id % 17 = 0); both become one null date group.
+BAD_DATES = """
+, spoiled AS (
+  SELECT *, CASE WHEN booking_id % 13 = 0 THEN concat(booking_date, ' 10:00:00')
+                 WHEN booking_id % 17 = 0 THEN concat(substr(booking_date, 1, 5), '13', substr(booking_date, 8, 3))
+                 ELSE booking_date END AS bad_date
+  FROM obt
+), parsed AS (
+  SELECT *, CAST(try_strptime(bad_date, '%Y-%m-%d') AS DATE) AS d FROM spoiled
+)
+SELECT d AS travel_date, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week_num,
+       strftime(d, '%A') AS day_of_week_name, CAST(COUNT(booking_id) AS BIGINT) AS total_bookings,
+       CAST(COUNT(DISTINCT passenger_id) AS BIGINT) AS unique_passengers,
+       CAST(SUM(cents) AS DOUBLE) / 100.0 AS total_revenue
+FROM parsed GROUP BY 1, 2, 3"""
+
+# Dashboard views: the two airport marts with their cents kept for exact sums.
+VIEWS = f"""
+, rev AS (
+  SELECT airport_name, city, country, {cnt('booking_id')} AS total_bookings,
+         SUM(cents) AS rev_cents, (2 * SUM(cents) + COUNT(cents)) // (2 * COUNT(cents)) AS avg_cents
+  FROM obt GROUP BY {AIRPORT}
+), revv AS (
+  SELECT airport_name, city, country, total_bookings, CAST(rev_cents AS DOUBLE) / 100.0 AS total_revenue,
+         CAST(avg_cents AS DOUBLE) / 100.0 AS avg_revenue_per_booking, rev_cents, avg_cents
+  FROM rev
+), perf AS (
+  SELECT airport_name, city, country, {dst('flight_id')} AS total_flights, {dst('passenger_id')} AS unique_passengers,
+         {cnt('booking_id')} AS total_bookings, SUM(cents) AS rev_cents, {money_avg()} AS avg_booking_value,
+         {money_max()} AS max_booking_value, {money_min()} AS min_booking_value
+  FROM obt GROUP BY {AIRPORT}
+), perfv AS (
+  SELECT airport_name, city, country, total_flights, unique_passengers, total_bookings,
+         CAST(rev_cents AS DOUBLE) / 100.0 AS total_revenue, avg_booking_value, max_booking_value,
+         min_booking_value,
+         CAST(unique_passengers AS DOUBLE) / NULLIF(CAST(total_flights AS DOUBLE), 0) AS pax_per_flight,
+         (CAST(rev_cents AS DOUBLE) / 100.0) / NULLIF(CAST(unique_passengers AS DOUBLE), 0) AS revenue_per_pax,
+         rev_cents
+  FROM perf
+), rev_def AS (
+  SELECT airport_name FROM (SELECT DISTINCT airport_name FROM revv WHERE airport_name IS NOT NULL)
+  ORDER BY airport_name LIMIT 5
+), perf_def AS (
+  SELECT airport_name FROM (SELECT DISTINCT airport_name FROM perfv WHERE airport_name IS NOT NULL)
+  ORDER BY airport_name LIMIT 5
+), rev_sel AS (
+  SELECT * FROM revv WHERE airport_name IN (SELECT airport_name FROM rev_def)
+), perf_sel AS (
+  SELECT * FROM perfv WHERE airport_name IN (SELECT airport_name FROM perf_def)
+), rev_all AS (
+  SELECT * FROM revv WHERE airport_name IS NOT NULL
+), perf_all AS (
+  SELECT * FROM perfv WHERE airport_name IS NOT NULL
+), slots AS (
+  SELECT airport_name, CAST((row_number() OVER (ORDER BY airport_name) - 1) % 10 AS INTEGER) AS slot
+  FROM (SELECT airport_name FROM revv WHERE airport_name IS NOT NULL
+        UNION SELECT airport_name FROM perfv WHERE airport_name IS NOT NULL)
+)
+"""
+
+REV_COLS = "airport_name, city, country, total_bookings, total_revenue, avg_revenue_per_booking"
+PERF_COLS = (
+    "airport_name, city, country, total_flights, unique_passengers, total_bookings, total_revenue, "
+    "avg_booking_value, max_booking_value, min_booking_value, pax_per_flight, revenue_per_pax"
+)
+TIE = "airport_name ASC NULLS FIRST, city ASC NULLS FIRST, country ASC NULLS FIRST"
+
+
+def share(col: str, frame: str) -> str:
+    pct = f"CAST({col} AS DOUBLE) / COALESCE(NULLIF((SELECT MAX(CAST({col} AS DOUBLE)) FROM {frame}), 0), 1.0) * 100.0"
+    return f"CASE WHEN {pct} > 100.0 THEN 100.0 ELSE {pct} END"
+
+
+def bar(frame: str, col: str) -> str:
+    return f"""
+SELECT CAST(row_number() OVER (ORDER BY CAST(f.{col} AS DOUBLE) ASC NULLS LAST, f.airport_name ASC NULLS FIRST,
+                                    f.city ASC NULLS FIRST, f.country ASC NULLS FIRST) AS INTEGER) AS position,
+       f.airport_name, CAST(f.{col} AS DOUBLE) AS value,
+       (SELECT MAX(CAST({col} AS DOUBLE)) FROM {frame}) * 1.2 AS axis_max, COALESCE(s.slot, 0) AS slot
+FROM {frame} f LEFT JOIN slots s ON f.airport_name = s.airport_name"""
+
+
+def label(frame: str) -> str:
+    return (
+        f"CASE WHEN (SELECT COUNT(*) FROM {frame}) <= 10 "
+        f"THEN NULLIF(regexp_extract(f.airport_name, '^\\s*(\\S+)', 1), '') END"
+    )
+
+
+DASHBOARD = {
+    "view_airport_revenue": f"SELECT {REV_COLS} FROM revv",
+    "view_airport_performance": f"SELECT {PERF_COLS} FROM perfv",
+    "airport_options": "SELECT DISTINCT airport_name FROM revv WHERE airport_name IS NOT NULL",
+    "default_airports": "SELECT CAST(row_number() OVER (ORDER BY airport_name) AS INTEGER) AS position, airport_name FROM rev_def",
+    "selected_airport_revenue": f"SELECT {REV_COLS} FROM rev_sel",
+    "selected_airport_performance": f"SELECT {PERF_COLS} FROM perf_sel",
+    "selected_none": f"SELECT {REV_COLS} FROM revv WHERE false",
+    "airport_slots": "SELECT airport_name, slot FROM slots",
+    "revenue_kpis": """
+SELECT CAST(COUNT(*) AS BIGINT) AS airports,
+       (SELECT CAST(COUNT(DISTINCT airport_name) AS BIGINT) FROM revv) AS airports_total,
+       CAST(SUM(total_bookings) AS BIGINT) AS total_bookings,
+       CAST(SUM(rev_cents) AS DOUBLE) / 100.0 AS total_revenue,
+       (CAST(SUM(avg_cents) AS DOUBLE) / 100.0) / CAST(COUNT(avg_cents) AS DOUBLE) AS avg_revenue_per_booking
+FROM rev_sel""",
+    "performance_kpis": """
+SELECT CAST(COUNT(*) AS BIGINT) AS airports,
+       (SELECT CAST(COUNT(DISTINCT airport_name) AS BIGINT) FROM perfv) AS airports_total,
+       CAST(SUM(total_flights) AS BIGINT) AS total_flights,
+       CAST(SUM(unique_passengers) AS BIGINT) AS unique_passengers,
+       (CAST(SUM(rev_cents) AS DOUBLE) / 100.0) / NULLIF(CAST(SUM(unique_passengers) AS DOUBLE), 0) AS revenue_per_passenger,
+       (CAST(SUM(rev_cents) AS DOUBLE) / 100.0) / NULLIF(CAST(SUM(total_bookings) AS DOUBLE), 0) AS avg_booking_value
+FROM perf_sel""",
+    "revenue_table": f"""
+SELECT CAST(row_number() OVER (ORDER BY total_revenue DESC NULLS LAST, {TIE}) AS INTEGER) AS rank,
+       airport_name, city, country,
+       total_bookings, {share('total_bookings', 'rev_all')} AS bookings_share,
+       total_revenue, {share('total_revenue', 'rev_all')} AS revenue_share,
+       avg_revenue_per_booking, {share('avg_revenue_per_booking', 'rev_all')} AS avg_share
+FROM rev_all""",
+    "performance_table": f"""
+SELECT CAST(row_number() OVER (ORDER BY total_revenue DESC NULLS LAST, {TIE}) AS INTEGER) AS rank,
+       airport_name, city,
+       total_flights, {share('total_flights', 'perf_all')} AS flights_share,
+       unique_passengers, {share('unique_passengers', 'perf_all')} AS passengers_share,
+       pax_per_flight, {share('pax_per_flight', 'perf_all')} AS pax_per_flight_share,
+       avg_booking_value, {share('avg_booking_value', 'perf_all')} AS avg_share,
+       max_booking_value,
+       revenue_per_pax, {share('revenue_per_pax', 'perf_all')} AS revenue_per_pax_share
+FROM perf_all""",
+    "chart_bookings": bar("rev_all", "total_bookings"),
+    "chart_revenue": bar("rev_all", "total_revenue"),
+    "chart_avg_revenue": bar("rev_all", "avg_revenue_per_booking"),
+    "chart_revenue_per_pax": bar("perf_all", "revenue_per_pax"),
+    "chart_pax_per_flight": bar("perf_all", "pax_per_flight"),
+    "chart_booking_range": f"""
+SELECT position, airport_name, stat, value FROM (
+  SELECT CAST(row_number() OVER (ORDER BY avg_booking_value ASC NULLS LAST, {TIE}) AS INTEGER) AS position,
+         airport_name, min_booking_value, avg_booking_value, max_booking_value
+  FROM perf_all) p,
+  LATERAL (VALUES ('min', min_booking_value), ('avg', avg_booking_value), ('max', max_booking_value)) AS v(stat, value)""",
+    "chart_revenue_scatter": f"""
+SELECT f.airport_name, COALESCE(s.slot, 0) AS slot, f.total_bookings, f.total_revenue, f.avg_revenue_per_booking,
+       GREATEST(14.0, f.avg_revenue_per_booking / 60.0) AS size, {label('rev_sel')} AS label
+FROM rev_sel f LEFT JOIN slots s ON f.airport_name = s.airport_name""",
+    "chart_performance_scatter": f"""
+SELECT f.airport_name, COALESCE(s.slot, 0) AS slot, f.total_flights, f.total_revenue, f.unique_passengers,
+       f.revenue_per_pax, GREATEST(12.0, CAST(f.unique_passengers AS DOUBLE) * 1.8) AS size,
+       {label('perf_all')} AS label
+FROM perf_all f LEFT JOIN slots s ON f.airport_name = s.airport_name""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for name, body in MARTS.items():
         out[name] = BASE + body
+    for name, body in PREVIEWS.items():
+        out[name] = BASE + body
+    out["bad_dates_as_null"] = BASE + BAD_DATES
+    for name, body in DASHBOARD.items():
+        out[name] = BASE + VIEWS + body
     return out

@@ -39,3 +39,119 @@ def _mart(name: str) -> Query:
 
 QUERIES: dict[str, Query] = {}
 QUERIES.update({m.name: _mart(m.name) for m in marts.MARTS})
+
+
+# ── previews, bad dates ────────────────────────────────────────────────────
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tarmac.operators import series, topk, views  # noqa: E402
+
+
+def _preview(spec: topk.Preview) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cfg = config(spark)
+        return topk.preview(marts.build_mart(obt(spark, sf_dir, cfg), spec.mart, cfg), spec)
+
+    run.__name__ = spec.name
+    return run
+
+
+QUERIES.update({p.name: _preview(p) for p in topk.PREVIEWS})
+
+
+def spoil_dates(bookings: DataFrame) -> DataFrame:
+    """Some booking dates made unparsable: a trailing time, a month 13."""
+    d = F.col("booking_date")
+    spoiled = (
+        F.when(F.col("booking_id") % 13 == 0, F.concat(d, F.lit(" 10:00:00")))
+        .when(F.col("booking_id") % 17 == 0, F.concat(F.substring(d, 1, 5), F.lit("13"), F.substring(d, 8, 3)))
+        .otherwise(d)
+    )
+    return bookings.withColumn("booking_date", spoiled)
+
+
+def bad_dates_as_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = config(spark, on_bad_date="null")
+    src = fixtures.sources(spark, sf_dir)
+    wide = build_obt(spoil_dates(src["bookings"]), src["passengers"], src["airports"], cfg)
+    return marts.build_mart(wide, "gold_peak_travel_days", cfg)
+
+
+QUERIES["bad_dates_as_null"] = bad_dates_as_null
+
+
+# ── dashboard views ────────────────────────────────────────────────────────
+
+
+def airport_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Revenue and performance views finalized from one airport-grain state."""
+    cfg = config(spark)
+    states = marts.grain_states(obt(spark, sf_dir, cfg), "airport", cfg)
+    rev = marts.finalize(states, marts.MART_BY_NAME["gold_airport_revenue_summary"])
+    perf = marts.finalize(states, marts.MART_BY_NAME["gold_airport_performance"])
+    return views.revenue_view(rev), views.performance_view(perf)
+
+
+def _rev(spark, sf_dir):
+    return airport_views(spark, sf_dir)[0]
+
+
+def _perf(spark, sf_dir):
+    return airport_views(spark, sf_dir)[1]
+
+
+def _selected_rev(spark, sf_dir):
+    rev = _rev(spark, sf_dir)
+    return views.filter_airports(rev, views.default_selection(rev))
+
+
+def _selected_perf(spark, sf_dir):
+    perf = _perf(spark, sf_dir)
+    return views.filter_airports(perf, views.default_selection(perf))
+
+
+def _slots(spark, sf_dir):
+    rev, perf = airport_views(spark, sf_dir)
+    return series.category_slots(rev, perf)
+
+
+def _all_rev(spark, sf_dir):
+    return views.filter_airports(_rev(spark, sf_dir), None)
+
+
+def _all_perf(spark, sf_dir):
+    return views.filter_airports(_perf(spark, sf_dir), None)
+
+
+def _bar(source, column):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return series.bar_series(source(spark, sf_dir), column, _slots(spark, sf_dir))
+
+    return run
+
+
+QUERIES.update(
+    {
+        "view_airport_revenue": _rev,
+        "view_airport_performance": _perf,
+        "airport_options": lambda s, d: views.airport_options(_rev(s, d)),
+        "default_airports": lambda s, d: views.default_selection(_rev(s, d)),
+        "selected_airport_revenue": _selected_rev,
+        "selected_airport_performance": _selected_perf,
+        "selected_none": lambda s, d: views.filter_airports(_rev(s, d), []),
+        "airport_slots": _slots,
+        "revenue_kpis": lambda s, d: views.revenue_kpis(_rev(s, d), views.default_selection(_rev(s, d))),
+        "performance_kpis": lambda s, d: views.performance_kpis(_perf(s, d), views.default_selection(_perf(s, d))),
+        "revenue_table": lambda s, d: series.revenue_table(_all_rev(s, d)),
+        "performance_table": lambda s, d: series.performance_table(_all_perf(s, d)),
+        "chart_bookings": _bar(_all_rev, "total_bookings"),
+        "chart_revenue": _bar(_all_rev, "total_revenue"),
+        "chart_avg_revenue": _bar(_all_rev, "avg_revenue_per_booking"),
+        "chart_revenue_per_pax": _bar(_all_perf, "revenue_per_pax"),
+        "chart_pax_per_flight": _bar(_all_perf, "pax_per_flight"),
+        "chart_booking_range": lambda s, d: series.booking_range(_all_perf(s, d)),
+        "chart_revenue_scatter": lambda s, d: series.revenue_scatter(_selected_rev(s, d), _slots(s, d)),
+        "chart_performance_scatter": lambda s, d: series.performance_scatter(_all_perf(s, d), _slots(s, d)),
+    }
+)
