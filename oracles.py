@@ -283,6 +283,37 @@ FROM perf_all f LEFT JOIN slots s ON f.airport_name = s.airport_name""",
 }
 
 
+LAYERS = {
+    "bronze_bookings": "SELECT * FROM bookings",
+    "bronze_passengers": "SELECT * FROM passengers",
+    "bronze_airports": "SELECT * FROM airports",
+    "bronze_normalized_names": "SELECT * FROM airports",
+    "bronze_null_tokens": "SELECT * FROM bookings",
+    "bronze_row_counts": """
+SELECT 'airports' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM airports
+UNION ALL SELECT 'bookings', CAST(COUNT(*) AS BIGINT) FROM bookings
+UNION ALL SELECT 'passengers', CAST(COUNT(*) AS BIGINT) FROM passengers""",
+    "silver_bookings_obt": """
+SELECT airport_id, passenger_id, booking_id, flight_id, amount, booking_date, name, gender, nationality,
+       airport_name, city, country FROM obt""",
+    "silver_row_counts": "SELECT 'bookings_obt' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM obt",
+}
+
+# Table comments are fixed values; the same text as the Spark side.
+from tarmac.operators.marts import COMMENTS  # noqa: E402
+
+
+def build_summary_sql() -> str:
+    parts = []
+    for name, body in MARTS.items():
+        comment = COMMENTS[name].replace("'", "''")
+        parts.append(
+            f"SELECT '{name}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count, '{comment}' AS comment "
+            f"FROM ({body}) m"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for name, body in MARTS.items():
@@ -292,4 +323,7 @@ def oracle_sql() -> dict[str, str]:
     out["bad_dates_as_null"] = BASE + BAD_DATES
     for name, body in DASHBOARD.items():
         out[name] = BASE + VIEWS + body
+    for name, body in LAYERS.items():
+        out[name] = BASE + body
+    out["gold_build_summary"] = BASE + build_summary_sql()
     return out

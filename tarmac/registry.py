@@ -155,3 +155,88 @@ QUERIES.update(
         "chart_performance_scatter": lambda s, d: series.performance_scatter(_all_perf(s, d), _slots(s, d)),
     }
 )
+
+
+# ── bronze / silver / gold builds (these write tables, then read them) ────
+
+import re  # noqa: E402
+
+from tarmac.plans import build_bronze, build_gold, build_silver  # noqa: E402
+from tarmac.schemas import SCHEMAS  # noqa: E402
+from tarmac.sources import csv as csv_source  # noqa: E402
+from tarmac.sources.tables import row_counts  # noqa: E402
+
+
+def build_config(spark: SparkSession, sf_dir: str, **kw) -> PipelineConfig:
+    """A warehouse root per data directory under the shared checkpoint folder."""
+    tag = re.sub(r"[^A-Za-z0-9]+", "_", sf_dir.strip("/")) or "data"
+    return default_config(spark, f"build/{tag}", **kw)
+
+
+def export_sources(spark: SparkSession, sf_dir: str, cfg: PipelineConfig, names=None) -> dict[str, str]:
+    src = fixtures.sources(spark, sf_dir)
+    paths = {}
+    for name in names or src:
+        path = f"{cfg.root}/csv/{name}.csv"
+        csv_source.write_csv(fixtures.untidy(src[name], name), path)
+        paths[name] = path
+    return paths
+
+
+def _bronze_source(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cfg = build_config(spark, sf_dir)
+        path = export_sources(spark, sf_dir, cfg, [name])[name]
+        return csv_source.read_source(spark, fixtures_spec(name, path), cfg)
+
+    return run
+
+
+def fixtures_spec(name: str, path: str):
+    from tarmac.schemas import SourceSpec
+
+    return SourceSpec(name, path, SCHEMAS[name])
+
+
+def bronze_normalized_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    airports = fixtures.airports(spark, sf_dir)
+    untidy = airports.toDF(*[fixtures.CSV_HEADERS["airports"][c] for c in airports.columns])
+    return csv_source.normalize_columns(untidy)
+
+
+def bronze_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = csv_source.normalize_columns(fixtures.untidy(fixtures.bookings(spark, sf_dir), "bookings"))
+    return csv_source.cast_by_name(csv_source.null_tokens(text), SCHEMAS["bookings"], "bookings")
+
+
+def bronze_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = build_config(spark, sf_dir)
+    return build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
+
+
+def silver_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = build_config(spark, sf_dir)
+    build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
+    return build_silver(spark, cfg)
+
+
+def gold_build_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = build_config(spark, sf_dir)
+    build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
+    build_silver(spark, cfg)
+    return build_gold(spark, cfg)
+
+
+QUERIES.update(
+    {
+        "bronze_bookings": _bronze_source("bookings"),
+        "bronze_passengers": _bronze_source("passengers"),
+        "bronze_airports": _bronze_source("airports"),
+        "bronze_normalized_names": bronze_normalized_names,
+        "bronze_null_tokens": bronze_null_tokens,
+        "bronze_row_counts": bronze_row_counts,
+        "silver_bookings_obt": obt,
+        "silver_row_counts": silver_row_counts,
+        "gold_build_summary": gold_build_summary,
+    }
+)

@@ -70,3 +70,44 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "passengers": passengers(spark, sf_dir),
         "airports": airports(spark, sf_dir),
     }
+
+
+# Untidy headers and a mix of missing-value tokens for the CSV round trip;
+# passengers are written with their columns in another order than the schema.
+CSV_HEADERS = {
+    "bookings": {
+        "booking_id": " Booking ID ",
+        "passenger_id": "Passenger Id",
+        "flight_id": "FLIGHT_ID",
+        "airport_id": "airport id",
+        "amount": "Amount",
+        "booking_date": "Booking Date ",
+    },
+    "passengers": {"name": "Name", "gender": " Gender", "nationality": "NATIONALITY", "passenger_id": "Passenger ID"},
+    "airports": {"airport_id": "Airport ID", "airport_name": "Airport Name", "city": "City", "country": "Country"},
+}
+CSV_TOKENS = {"booking_id": "NA", "passenger_id": "null", "airport_id": "n/a", "nationality": "None"}
+
+
+def untidy(df: DataFrame, name: str) -> DataFrame:
+    """Text columns with untidy headers; nulls written as missing-value tokens."""
+    headers = CSV_HEADERS[name]
+    cols = []
+    for c, header in headers.items():
+        text = F.col(c).cast("string")
+        if c in CSV_TOKENS:
+            text = F.coalesce(text, F.lit(CSV_TOKENS[c]))
+        cols.append(text.alias(header))
+    return df.select(*cols)
+
+
+def export_csv(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    """Write the three sources as CSV files under ``root``; return their paths."""
+    from tarmac.sources.csv import write_csv
+
+    paths = {}
+    for name, df in sources(spark, sf_dir).items():
+        path = f"{root.rstrip('/')}/{name}.csv"
+        write_csv(untidy(df, name), path)
+        paths[name] = path
+    return paths
