@@ -1,7 +1,9 @@
-"""The dashboard's data, read from the gold tables: one function per tab.
+"""The dashboard's data, read from the gold tables.
 
-Each returns named DataFrames (KPIs, chart series, detail table) for a
-selection of airport names; nothing is collected here.
+Like the original dashboard, both views are loaded once at start-up (here:
+cached on the executors, one row per airport) together with the colour-slot
+table; each tab then answers a selection of airport names with named
+DataFrames (KPIs, chart series, detail table).  Nothing is collected here.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from tarmac.config import PipelineConfig
 from tarmac.operators import series, views
 from tarmac.sources.tables import load_table
 
+DEFAULT = "default"
+
 
 def revenue_data(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     return views.revenue_view(load_table(spark, cfg, "gold", "gold_airport_revenue_summary"))
@@ -21,39 +25,43 @@ def performance_data(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     return views.performance_view(load_table(spark, cfg, "gold", "gold_airport_performance"))
 
 
-def slots(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    return series.category_slots(revenue_data(spark, cfg), performance_data(spark, cfg))
-
-
-def revenue_tab(spark: SparkSession, cfg: PipelineConfig, selection: views.Selection = None) -> dict[str, DataFrame]:
-    view = revenue_data(spark, cfg)
-    if selection is None:
-        selection = views.default_selection(view)
-    sel = views.filter_airports(view, selection)
-    colours = slots(spark, cfg)
-    return {
-        "kpis": views.revenue_kpis(view, selection),
-        "bookings": series.bar_series(sel, "total_bookings", colours),
-        "revenue": series.bar_series(sel, "total_revenue", colours),
-        "avg_revenue": series.bar_series(sel, "avg_revenue_per_booking", colours),
-        "scatter": series.revenue_scatter(sel, colours),
-        "table": series.revenue_table(sel),
-    }
-
-
-def performance_tab(
-    spark: SparkSession, cfg: PipelineConfig, selection: views.Selection = None
-) -> dict[str, DataFrame]:
-    view = performance_data(spark, cfg)
-    if selection is None:
-        selection = views.default_selection(view)
-    sel = views.filter_airports(view, selection)
-    colours = slots(spark, cfg)
-    return {
-        "kpis": views.performance_kpis(view, selection),
-        "revenue_per_pax": series.bar_series(sel, "revenue_per_pax", colours),
-        "pax_per_flight": series.bar_series(sel, "pax_per_flight", colours),
-        "booking_range": series.booking_range(sel),
-        "scatter": series.performance_scatter(sel, colours),
-        "table": series.performance_table(sel),
-    }
+class Dashboard:
+    """Start-up state of the two tabs; call :meth:`close` to release it."""
+
+    def __init__(self, spark: SparkSession, cfg: PipelineConfig) -> None:
+        self.revenue = revenue_data(spark, cfg).cache()
+        self.performance = performance_data(spark, cfg).cache()
+        self.slots = series.category_slots(self.revenue, self.performance).cache()
+
+    def _select(self, view: DataFrame, selection) -> tuple[DataFrame, views.Selection]:
+        """``"default"`` = first five names (initial state), ``None`` = all
+        names ("select all"), ``[]`` = cleared, or a list / DataFrame of names."""
+        if isinstance(selection, str) and selection == DEFAULT:
+            selection = views.default_selection(view)
+        return views.filter_airports(view, selection).cache(), selection
+
+    def revenue_tab(self, selection=DEFAULT) -> dict[str, DataFrame]:
+        sel, chosen = self._select(self.revenue, selection)
+        return {
+            "kpis": views.revenue_kpis(self.revenue, chosen),
+            "bookings": series.bar_series(sel, "total_bookings", self.slots),
+            "revenue": series.bar_series(sel, "total_revenue", self.slots),
+            "avg_revenue": series.bar_series(sel, "avg_revenue_per_booking", self.slots),
+            "scatter": series.revenue_scatter(sel, self.slots),
+            "table": series.revenue_table(sel),
+        }
+
+    def performance_tab(self, selection=DEFAULT) -> dict[str, DataFrame]:
+        sel, chosen = self._select(self.performance, selection)
+        return {
+            "kpis": views.performance_kpis(self.performance, chosen),
+            "revenue_per_pax": series.bar_series(sel, "revenue_per_pax", self.slots),
+            "pax_per_flight": series.bar_series(sel, "pax_per_flight", self.slots),
+            "booking_range": series.booking_range(sel),
+            "scatter": series.performance_scatter(sel, self.slots),
+            "table": series.performance_table(sel),
+        }
+
+    def close(self) -> None:
+        for df in (self.revenue, self.performance, self.slots):
+            df.unpersist()

@@ -173,12 +173,20 @@ def build_config(spark: SparkSession, sf_dir: str, **kw) -> PipelineConfig:
     return default_config(spark, f"build/{tag}", **kw)
 
 
+# Column used to spread each exported source over several CSV files.
+EXPORT_SPREAD = {"bookings": "flight_id", "passengers": "passenger_id", "airports": "airport_id"}
+
+
 def export_sources(spark: SparkSession, sf_dir: str, cfg: PipelineConfig, names=None) -> dict[str, str]:
+    """Test-data setup: the sources as CSV files, several files per source (as
+    real landed data would be), so that ingestion runs one task per file."""
     src = fixtures.sources(spark, sf_dir)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     paths = {}
     for name in names or src:
         path = f"{cfg.root}/csv/{name}.csv"
-        csv_source.write_csv(fixtures.untidy(src[name], name), path)
+        spread = src[name].repartition(files, EXPORT_SPREAD[name])
+        csv_source.write_csv(fixtures.untidy(spread, name), path)
         paths[name] = path
     return paths
 

@@ -59,8 +59,32 @@ def write_table(
     return full
 
 
+def _same_path(a: str, b: str) -> bool:
+    strip = lambda p: p.removeprefix("file:").rstrip("/").replace("///", "/")
+    return strip(a) == strip(b)
+
+
+def table_location(spark: SparkSession, table: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0].data_type if rows else None
+
+
 def load_table(spark: SparkSession, cfg: PipelineConfig, layer: str, name: str) -> DataFrame:
-    return spark.table(cfg.qualify(layer, name))
+    """Read a layer table by name.
+
+    The path under ``cfg.root`` is the source of truth: a table written by
+    another process (its catalog entry gone with that session), or registered
+    under the same name for another root, is (re)registered from its path."""
+    full = cfg.qualify(layer, name)
+    path = cfg.location(layer, name)
+    if spark.catalog.tableExists(full):
+        location = table_location(spark, full)
+        if location is not None and _same_path(location, path):
+            return spark.table(full)
+        spark.sql(f"DROP TABLE {full}")  # external table: the files stay
+    ensure_layer(spark, cfg, layer)
+    spark.catalog.createTable(full, path=path, source=cfg.format)
+    return spark.table(full)
 
 
 def list_layer(spark: SparkSession, cfg: PipelineConfig, layer: str) -> list[str]:
