@@ -55,10 +55,16 @@ def hot_keys(fact: DataFrame, key: str, cfg: PipelineConfig) -> DataFrame:
     )
 
 
-def salted_left_join(fact: DataFrame, dim: DataFrame, key: str, cfg: PipelineConfig) -> DataFrame:
-    """Left equi-join on ``key`` that survives a key holding a third of the rows."""
+def salted_left_join(
+    fact: DataFrame, dim: DataFrame, key: str, cfg: PipelineConfig, hot: DataFrame | None = None
+) -> DataFrame:
+    """Left equi-join on ``key`` that survives a key holding a third of the rows.
+
+    ``hot`` (from :func:`hot_keys`) may be computed on a cheaper frame than
+    ``fact`` — e.g. the raw bookings instead of an already joined frame: which
+    keys are salted only spreads load, the join result is exact either way."""
     buckets = cfg.salt_buckets
-    hot = F.broadcast(hot_keys(fact, key, cfg))
+    hot = F.broadcast(hot if hot is not None else hot_keys(fact, key, cfg))
     # Spread by row content and input partition: deterministic on task retry,
     # and exact copies of one row still land in different buckets when they
     # come from different input splits.
@@ -86,13 +92,15 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, key: str, cfg: PipelineCon
     return salted_fact.join(salted_dim, [key, _SALT], "left").drop(_SALT)
 
 
-def left_join_dimension(fact: DataFrame, dim: DataFrame, key: str, cfg: PipelineConfig) -> DataFrame:
+def left_join_dimension(
+    fact: DataFrame, dim: DataFrame, key: str, cfg: PipelineConfig, hot: DataFrame | None = None
+) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)`` with the plan chosen by dimension size."""
     check_no_clash(fact, dim, key)
     if row_count_at_most(dim, cfg.broadcast_max_rows):
         joined = fact.join(F.broadcast(dim), key, "left")
     else:
-        joined = salted_left_join(fact, dim, key, cfg)
+        joined = salted_left_join(fact, dim, key, cfg, hot)
     rest = [c for c in fact.columns if c != key] + [c for c in dim.columns if c != key]
     return joined.select(key, *rest)
 
@@ -113,5 +121,7 @@ def build_obt(
     check_no_clash(bookings, passengers, pax_key)
     check_no_clash(bookings.drop(pax_key), airports, apt_key)
     check_no_clash(passengers.drop(pax_key), airports.drop(apt_key), apt_key)
-    with_pax = left_join_dimension(bookings, passengers, pax_key, cfg)
-    return left_join_dimension(with_pax, airports, apt_key, cfg)
+    # Hot keys of both joins come from the booking key columns alone (one
+    # column each), never from the already joined frame.
+    with_pax = left_join_dimension(bookings, passengers, pax_key, cfg, hot_keys(bookings, pax_key, cfg))
+    return left_join_dimension(with_pax, airports, apt_key, cfg, hot_keys(bookings, apt_key, cfg))
