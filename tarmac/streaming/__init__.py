@@ -1 +1,6 @@
-"""placeholder"""
+"""Streaming: intentionally empty.
+
+The rebuilt pipeline is batch only: every layer is a full overwrite of its
+tables, and nothing in it reads a stream, keeps state between runs or handles
+late data.  No streaming operator is provided, so none is invented here.
+"""
