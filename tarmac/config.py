@@ -30,9 +30,11 @@ class PipelineConfig:
     # multiLine CSV parsing makes a file unsplittable; turn off for large files
     # that have no line breaks inside quoted fields.
     multi_line: bool = True
-    # A dimension is broadcast only when a bounded probe proves it has at most
-    # this many rows; otherwise it is joined by a skew-aware shuffle join.
-    broadcast_max_rows: int = 2_000_000
+    # A dimension is broadcast only when an aggregate over it proves at most
+    # this many rows and bytes of values; otherwise it is joined by a
+    # skew-aware shuffle join.
+    broadcast_max_rows: int = 1_000_000
+    broadcast_max_bytes: int = 64 * 1024 * 1024
     # Skew handling for shuffle joins: keys with at least ``hot_key_rows`` fact
     # rows (the top ``max_hot_keys`` of them) and null keys are spread over
     # ``salt_buckets`` sub-keys; the rest of the keys join exactly as usual.

@@ -2,9 +2,9 @@
 
 Left joins never drop a booking.  Each dimension is joined by one of two plans:
 
-* **broadcast hash join** when a row count proves the dimension small
-  (``cfg.broadcast_max_rows``): the fact side is not shuffled at all, so hot
-  keys cost nothing extra;
+* **broadcast hash join** when one aggregate proves the dimension small
+  (``cfg.broadcast_max_rows`` rows and ``cfg.broadcast_max_bytes`` bytes of
+  values): the fact side is not shuffled at all, so hot keys cost nothing;
 * **salted shuffle join** otherwise: null keys (which can never match) and the
   hottest keys (at least ``cfg.hot_key_rows`` fact rows, at most
   ``cfg.max_hot_keys`` of them) are spread over ``cfg.salt_buckets`` sub-keys;
@@ -15,9 +15,22 @@ Left joins never drop a booking.  Each dimension is joined by one of two plans:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    ByteType,
+    DataType,
+    DateType,
+    DecimalType,
+    FloatType,
+    IntegerType,
+    ShortType,
+    StringType,
+)
 
 from tarmac.config import PipelineConfig
 
@@ -36,9 +49,35 @@ def check_no_clash(left: DataFrame, right: DataFrame, key: str) -> None:
         raise ValueError(f"join on {key!r}: column(s) present on both sides: {names}")
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Distributed row count (one partial count per task) compared to a bound."""
-    return df.count() <= max_rows
+def _fixed_width(dtype: DataType) -> int:
+    if isinstance(dtype, (ByteType, BooleanType)):
+        return 1
+    if isinstance(dtype, ShortType):
+        return 2
+    if isinstance(dtype, (IntegerType, FloatType, DateType)):
+        return 4
+    if isinstance(dtype, DecimalType):
+        return 8 if dtype.precision <= 18 else 16
+    return 8
+
+
+def _payload_bytes(df: DataFrame) -> Column:
+    """Bytes of one row's values: exact for strings/binary, type width otherwise."""
+    sizes = []
+    for field in df.schema.fields:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(c), F.lit(0)).cast("long"))
+        else:
+            sizes.append(F.lit(_fixed_width(field.dataType)).cast("long"))
+    return reduce(lambda a, b: a + b, sizes, F.lit(0).cast("long"))
+
+
+def fits_broadcast(dim: DataFrame, cfg: PipelineConfig) -> bool:
+    """Prove a dimension small enough to broadcast: one distributed aggregate
+    (a partial count and byte sum per task) of its row count and payload bytes."""
+    row = dim.agg(F.count(F.lit(1)).alias("rows"), F.sum(_payload_bytes(dim)).alias("bytes")).collect()[0]
+    return row["rows"] <= cfg.broadcast_max_rows and (row["bytes"] or 0) <= cfg.broadcast_max_bytes
 
 
 def hot_keys(fact: DataFrame, key: str, cfg: PipelineConfig) -> DataFrame:
@@ -97,7 +136,7 @@ def left_join_dimension(
 ) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)`` with the plan chosen by dimension size."""
     check_no_clash(fact, dim, key)
-    if row_count_at_most(dim, cfg.broadcast_max_rows):
+    if fits_broadcast(dim, cfg):
         joined = fact.join(F.broadcast(dim), key, "left")
     else:
         joined = salted_left_join(fact, dim, key, cfg, hot)

@@ -54,9 +54,20 @@ def test_salted_join_equals_broadcast_join_under_skew(spark, cfg):
     pax = [(7, "Hot", "F", "NL"), (7, "Hot copy", "F", "NL")] + [(i, f"P{i}", "M", "DE") for i in range(2, 600, 3)]
     b, p, _ = frames(spark, rows, pax, [])
     broadcast = left_join_dimension(b, p, "passenger_id", cfg)
-    salted_cfg = cfg.with_(broadcast_max_rows=0, hot_key_rows=50, salt_buckets=8)
+    salted_cfg = cfg.with_(broadcast_max_bytes=0, hot_key_rows=50, salt_buckets=8)
     salted = left_join_dimension(b, p, "passenger_id", salted_cfg)
     assert "__salt" in salted._jdf.queryExecution().optimizedPlan().toString()
     key = lambda r: tuple("" if v is None else str(v) for v in r)
     assert sorted(map(key, salted.collect())) == sorted(map(key, broadcast.collect()))
     assert salted.count() == 800  # 200 hot bookings match two passenger rows
+
+
+def test_broadcast_needs_row_and_byte_bound(spark, cfg):
+    from tarmac.operators.join import fits_broadcast
+
+    p = spark.createDataFrame([(1, "x" * 100, "F", "NL"), (2, None, "M", "DE")], PASSENGERS)
+    assert fits_broadcast(p, cfg)
+    assert not fits_broadcast(p, cfg.with_(broadcast_max_rows=1))
+    # 2 ids (8 B each) + 100 + 1 + 1 + 2 + 2 bytes of text = 122 bytes
+    assert fits_broadcast(p, cfg.with_(broadcast_max_bytes=122))
+    assert not fits_broadcast(p, cfg.with_(broadcast_max_bytes=121))
