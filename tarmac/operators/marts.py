@@ -5,8 +5,9 @@ one aggregation: the *states* (counts, exact decimal sums, extremes, distinct
 counts) are computed once per grain and every mart of that grain is a
 projection of them.  Coarser marts whose keys are columns of a finer grain
 (gender, nationality ⊂ passenger) re-aggregate the finer states instead of
-re-reading the wide table.  So a full build reads the wide table four times
-(airport, passenger, month, day) instead of eight.
+re-reading the wide table, and the month and day marts share one scan through
+GROUPING SETS.  So a full build reads the wide table three times (airport,
+passenger, calendar) instead of eight.
 
 Partial (map-side) aggregation makes every grain safe for hot groups: a key
 holding a third of the rows is combined inside each task before the shuffle.
@@ -16,7 +17,7 @@ Distinct counts stay exact (``countDistinct``).
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,10 +62,12 @@ class MartSpec:
 
 @dataclass(frozen=True)
 class Grain:
+    """Grouping columns of one aggregation.  Marts of a grain may group by
+    different subsets of them (grouping sets, one scan for all)."""
+
     name: str
     keys: tuple[str, ...]
     needs_dates: bool = False
-    marts: tuple[str, ...] = field(default=())
 
 
 def bookings(name: str = "total_bookings") -> Measure:
@@ -116,7 +119,7 @@ MARTS: tuple[MartSpec, ...] = (
     ),
     MartSpec(
         "gold_monthly_booking_trends",
-        "month",
+        "calendar",
         (("year_month", "year_month"),),
         (bookings(), passengers(), revenue(), average("avg_revenue_per_booking")),
         (("year_month", False),),
@@ -175,7 +178,7 @@ MARTS: tuple[MartSpec, ...] = (
     ),
     MartSpec(
         "gold_peak_travel_days",
-        "day",
+        "calendar",
         (("travel_date", "travel_date"), ("day_of_week_num", "day_of_week_num"), ("day_of_week_name", "day_of_week_name")),
         (bookings(), passengers(), revenue()),
         (("total_bookings", True),),
@@ -188,9 +191,12 @@ MART_BY_NAME = {m.name: m for m in MARTS}
 GRAINS = {
     "airport": Grain("airport", ("airport_id", "airport_name", "city", "country")),
     "passenger": Grain("passenger", ("passenger_id", "name", "gender", "nationality")),
-    "month": Grain("month", ("year_month",), needs_dates=True),
-    "day": Grain("day", ("travel_date", "day_of_week_num", "day_of_week_name"), needs_dates=True),
+    # month and day marts: grouping sets over the parsed date, one scan
+    "calendar": Grain(
+        "calendar", ("year_month", "travel_date", "day_of_week_num", "day_of_week_name"), needs_dates=True
+    ),
 }
+SET_ID = "__set"
 
 
 # ── aggregation states ─────────────────────────────────────────────────────
@@ -262,18 +268,41 @@ def with_booking_dates(df: DataFrame, on_bad_date: str) -> DataFrame:
     )
 
 
+def _key_set(spec: MartSpec) -> tuple[str, ...]:
+    """Grain columns the mart's states are grouped by (all of them for a rollup)."""
+    return GRAINS[spec.grain].keys if spec.rollup else tuple(g for _, g in spec.keys)
+
+
+def _set_id(grain: Grain, key_set: tuple[str, ...]) -> int:
+    """Spark's ``grouping_id()`` of a grouping set: one bit per grain column
+    (first column = highest bit), set when the column is not grouped."""
+    value = 0
+    for column in grain.keys:
+        value = (value << 1) | (column not in key_set)
+    return value
+
+
 def grain_states(obt: DataFrame, grain: str, cfg: PipelineConfig, marts: Sequence[MartSpec] | None = None) -> DataFrame:
     """One aggregation of the wide table at ``grain`` holding the states of all
-    marts built from it (or of ``marts`` only)."""
+    marts built from it (or of ``marts`` only).
+
+    When those marts group by different column sets of the grain, the
+    aggregation uses GROUPING SETS (one scan, rows tagged with ``__set``)."""
     g = GRAINS[grain]
     marts = [m for m in (marts if marts is not None else MARTS) if m.grain == grain]
     states = _unique(s for m in marts for s in states_for(m.measures, m.rollup))
+    aggs = [_state_agg(s) for s in states]
     src = with_booking_dates(obt, cfg.on_bad_date) if g.needs_dates else obt
-    return src.groupBy(*g.keys).agg(*[_state_agg(s) for s in states])
+    sets = _unique(_key_set(m) for m in marts)
+    if len(sets) == 1:
+        return src.groupBy(*sets[0]).agg(*aggs)
+    return src.groupingSets([list(k) for k in sets], *g.keys).agg(F.grouping_id().alias(SET_ID), *aggs)
 
 
 def finalize(states: DataFrame, spec: MartSpec) -> DataFrame:
     """Project a mart out of the states of its grain (rolling up if needed)."""
+    if SET_ID in states.columns:
+        states = states.where(F.col(SET_ID) == F.lit(_set_id(GRAINS[spec.grain], _key_set(spec))))
     if spec.rollup:
         need = _unique(s for m in spec.measures for s in _state_names(m))
         states = states.groupBy(*[g for _, g in spec.keys]).agg(*[_rollup_agg(s) for s in need])
