@@ -32,13 +32,16 @@ class Dashboard:
         self.revenue = revenue_data(spark, cfg).cache()
         self.performance = performance_data(spark, cfg).cache()
         self.slots = series.category_slots(self.revenue, self.performance).cache()
+        self._selections: list[DataFrame] = []
 
     def _select(self, view: DataFrame, selection) -> tuple[DataFrame, views.Selection]:
         """``"default"`` = first five names (initial state), ``None`` = all
         names ("select all"), ``[]`` = cleared, or a list / DataFrame of names."""
         if isinstance(selection, str) and selection == DEFAULT:
             selection = views.default_selection(view)
-        return views.filter_airports(view, selection).cache(), selection
+        selected = views.filter_airports(view, selection).cache()
+        self._selections.append(selected)
+        return selected, selection
 
     def revenue_tab(self, selection=DEFAULT) -> dict[str, DataFrame]:
         sel, chosen = self._select(self.revenue, selection)
@@ -63,5 +66,6 @@ class Dashboard:
         }
 
     def close(self) -> None:
-        for df in (self.revenue, self.performance, self.slots):
+        for df in (*self._selections, self.revenue, self.performance, self.slots):
             df.unpersist()
+        self._selections.clear()
