@@ -1,65 +1,69 @@
 """Registered queries: name → callable(spark, sf_dir) → DataFrame.
 
 Every query starts from the driver's parquet tables through the fixture
-mapping (tarmac.sources.fixtures) and runs over them whole.
+mapping (tarmac.sources.fixtures) and runs over them whole.  Queries of the
+layer jobs (bronze/silver/gold builds) write their tables under a root in the
+shared checkpoint folder and return what the job reports.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac.config import PipelineConfig, default_config
-from tarmac.operators import marts
+from tarmac.operators import marts, series, topk, views
 from tarmac.operators.join import build_obt
+from tarmac.plans import build_bronze, build_gold, build_silver
+from tarmac.schemas import SCHEMAS, SourceSpec
+from tarmac.sources import csv as csv_source
 from tarmac.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 
 
 def config(spark: SparkSession, **kw) -> PipelineConfig:
     return default_config(spark, "queries", **kw)
 
 
+def build_config(spark: SparkSession, sf_dir: str, **kw) -> PipelineConfig:
+    """A warehouse root per data directory under the shared checkpoint folder."""
+    tag = re.sub(r"[^A-Za-z0-9]+", "_", sf_dir.strip("/")) or "data"
+    return default_config(spark, f"build/{tag}", **kw)
+
+
+def export_sources(spark: SparkSession, sf_dir: str, cfg: PipelineConfig, names=None) -> dict[str, str]:
+    return fixtures.export_csv(spark, sf_dir, f"{cfg.root}/csv", names)
+
+
 def obt(spark: SparkSession, sf_dir: str, cfg: PipelineConfig | None = None) -> DataFrame:
     cfg = cfg or config(spark)
     src = fixtures.sources(spark, sf_dir)
     return build_obt(src["bookings"], src["passengers"], src["airports"], cfg)
 
 
+# ── gold marts and previews ────────────────────────────────────────────────
+
+
 def _mart(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         cfg = config(spark)
         return marts.build_mart(obt(spark, sf_dir, cfg), name, cfg)
 
-    run.__name__ = name
     return run
 
 
-QUERIES: dict[str, Query] = {}
-QUERIES.update({m.name: _mart(m.name) for m in marts.MARTS})
-
-
-# ── previews, bad dates ────────────────────────────────────────────────────
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from tarmac.operators import series, topk, views  # noqa: E402
-
-
 def _preview(spec: topk.Preview) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        cfg = config(spark)
-        return topk.preview(marts.build_mart(obt(spark, sf_dir, cfg), spec.mart, cfg), spec)
+        return topk.preview(_mart(spec.mart)(spark, sf_dir), spec)
 
-    run.__name__ = spec.name
     return run
 
 
-QUERIES.update({p.name: _preview(p) for p in topk.PREVIEWS})
-
-
 def spoil_dates(bookings: DataFrame) -> DataFrame:
     """Some booking dates made unparsable: a trailing time, a month 13."""
     d = F.col("booking_date")
@@ -78,6 +82,8 @@ def bad_dates_as_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.build_mart(wide, "gold_peak_travel_days", cfg)
 
 
+QUERIES.update({m.name: _mart(m.name) for m in marts.MARTS})
+QUERIES.update({p.name: _preview(p) for p in topk.PREVIEWS})
 QUERIES["bad_dates_as_null"] = bad_dates_as_null
 
 
@@ -93,44 +99,55 @@ def airport_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return views.revenue_view(rev), views.performance_view(perf)
 
 
-def _rev(spark, sf_dir):
+def _rev(spark: SparkSession, sf_dir: str) -> DataFrame:
     return airport_views(spark, sf_dir)[0]
 
 
-def _perf(spark, sf_dir):
+def _perf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return airport_views(spark, sf_dir)[1]
 
 
-def _selected_rev(spark, sf_dir):
-    rev = _rev(spark, sf_dir)
-    return views.filter_airports(rev, views.default_selection(rev))
+def _default(view_of: Query) -> Query:
+    """The view filtered by its default selection (first five names)."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        view = view_of(spark, sf_dir)
+        return views.filter_airports(view, views.default_selection(view))
 
+    return run
 
-def _selected_perf(spark, sf_dir):
-    perf = _perf(spark, sf_dir)
-    return views.filter_airports(perf, views.default_selection(perf))
 
+def _everything(view_of: Query) -> Query:
+    """The view after "select all" (every non-null name)."""
 
-def _slots(spark, sf_dir):
-    rev, perf = airport_views(spark, sf_dir)
-    return series.category_slots(rev, perf)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return views.filter_airports(view_of(spark, sf_dir), None)
 
+    return run
 
-def _all_rev(spark, sf_dir):
-    return views.filter_airports(_rev(spark, sf_dir), None)
 
+def _slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.category_slots(*airport_views(spark, sf_dir))
+
+
+def _bar(selected: Query, column: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return series.bar_series(selected(spark, sf_dir), column, _slots(spark, sf_dir))
 
-def _all_perf(spark, sf_dir):
-    return views.filter_airports(_perf(spark, sf_dir), None)
+    return run
 
 
-def _bar(source, column):
+def _kpis(kpis, view_of: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return series.bar_series(source(spark, sf_dir), column, _slots(spark, sf_dir))
+        view = view_of(spark, sf_dir)
+        return kpis(view, views.default_selection(view))
 
     return run
 
 
+_selected_rev, _selected_perf = _default(_rev), _default(_perf)
+_all_rev, _all_perf = _everything(_rev), _everything(_perf)
+
 QUERIES.update(
     {
         "view_airport_revenue": _rev,
@@ -141,8 +158,8 @@ QUERIES.update(
         "selected_airport_performance": _selected_perf,
         "selected_none": lambda s, d: views.filter_airports(_rev(s, d), []),
         "airport_slots": _slots,
-        "revenue_kpis": lambda s, d: views.revenue_kpis(_rev(s, d), views.default_selection(_rev(s, d))),
-        "performance_kpis": lambda s, d: views.performance_kpis(_perf(s, d), views.default_selection(_perf(s, d))),
+        "revenue_kpis": _kpis(views.revenue_kpis, _rev),
+        "performance_kpis": _kpis(views.performance_kpis, _perf),
         "revenue_table": lambda s, d: series.revenue_table(_all_rev(s, d)),
         "performance_table": lambda s, d: series.performance_table(_all_perf(s, d)),
         "chart_bookings": _bar(_all_rev, "total_bookings"),
@@ -157,55 +174,20 @@ QUERIES.update(
 )
 
 
-# ── bronze / silver / gold builds (these write tables, then read them) ────
-
-import re  # noqa: E402
-
-from tarmac.plans import build_bronze, build_gold, build_silver  # noqa: E402
-from tarmac.schemas import SCHEMAS  # noqa: E402
-from tarmac.sources import csv as csv_source  # noqa: E402
-from tarmac.sources.tables import row_counts  # noqa: E402
-
-
-def build_config(spark: SparkSession, sf_dir: str, **kw) -> PipelineConfig:
-    """A warehouse root per data directory under the shared checkpoint folder."""
-    tag = re.sub(r"[^A-Za-z0-9]+", "_", sf_dir.strip("/")) or "data"
-    return default_config(spark, f"build/{tag}", **kw)
-
-
-# Column used to spread each exported source over several CSV files.
-EXPORT_SPREAD = {"bookings": "flight_id", "passengers": "passenger_id", "airports": "airport_id"}
-
-
-def export_sources(spark: SparkSession, sf_dir: str, cfg: PipelineConfig, names=None) -> dict[str, str]:
-    """Test-data setup: the sources as CSV files, several files per source (as
-    real landed data would be), so that ingestion runs one task per file."""
-    src = fixtures.sources(spark, sf_dir)
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    paths = {}
-    for name in names or src:
-        path = f"{cfg.root}/csv/{name}.csv"
-        spread = src[name].repartition(files, EXPORT_SPREAD[name])
-        csv_source.write_csv(fixtures.untidy(spread, name), path)
-        paths[name] = path
-    return paths
+# ── layer jobs: bronze / silver / gold builds ──────────────────────────────
 
 
 def _bronze_source(name: str) -> Query:
+    """One source through the CSV round trip: export, then typed ingestion."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         cfg = build_config(spark, sf_dir)
         path = export_sources(spark, sf_dir, cfg, [name])[name]
-        return csv_source.read_source(spark, fixtures_spec(name, path), cfg)
+        return csv_source.read_source(spark, SourceSpec(name, path, SCHEMAS[name]), cfg)
 
     return run
 
 
-def fixtures_spec(name: str, path: str):
-    from tarmac.schemas import SourceSpec
-
-    return SourceSpec(name, path, SCHEMAS[name])
-
-
 def bronze_normalized_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     airports = fixtures.airports(spark, sf_dir)
     untidy = airports.toDF(*[fixtures.CSV_HEADERS["airports"][c] for c in airports.columns])

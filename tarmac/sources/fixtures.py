@@ -101,13 +101,22 @@ def untidy(df: DataFrame, name: str) -> DataFrame:
     return df.select(*cols)
 
 
-def export_csv(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
-    """Write the three sources as CSV files under ``root``; return their paths."""
+# Column used to spread each exported source over several CSV files.
+EXPORT_SPREAD = {"bookings": "flight_id", "passengers": "passenger_id", "airports": "airport_id"}
+
+
+def export_csv(spark: SparkSession, sf_dir: str, root: str, names=None) -> dict[str, str]:
+    """Test-data setup: write the sources as CSV under ``root`` (untidy headers,
+    missing-value tokens), several files per source as landed data would be,
+    so that ingestion runs one task per file.  Returns ``{name: path}``."""
     from tarmac.sources.csv import write_csv
 
+    src = sources(spark, sf_dir)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     paths = {}
-    for name, df in sources(spark, sf_dir).items():
+    for name in names or src:
         path = f"{root.rstrip('/')}/{name}.csv"
-        write_csv(untidy(df, name), path)
+        spread = src[name].repartition(files, EXPORT_SPREAD[name])
+        write_csv(untidy(spread, name), path)
         paths[name] = path
     return paths
