@@ -71,3 +71,31 @@ def test_broadcast_needs_row_and_byte_bound(spark, cfg):
     # 2 ids (8 B each) + 100 + 1 + 1 + 2 + 2 bytes of text = 122 bytes
     assert fits_broadcast(p, cfg.with_(broadcast_max_bytes=122))
     assert not fits_broadcast(p, cfg.with_(broadcast_max_bytes=121))
+
+
+def test_salting_spreads_a_third_of_the_rows(spark, cfg):
+    """One passenger holds a third of the bookings and another third has no
+    key: without salting those land in two reduce tasks; salted, no reduce
+    partition of the join holds more than a tenth of the rows."""
+    n = 3000
+    rows = [B(i, 7 if i % 3 == 0 else (None if i % 3 == 1 else i), 100) for i in range(n)]
+    pax = [(7, "Hot", "F", "NL")] + [(i, f"P{i}", "M", "DE") for i in range(2, n, 3)]
+    b, p, _ = frames(spark, rows, pax, [])
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")
+    saved = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        salted_cfg = cfg.with_(broadcast_max_bytes=0, hot_key_rows=100, salt_buckets=16)
+        for config, limit in ((salted_cfg, n // 10), (salted_cfg.with_(hot_key_rows=10**9, salt_buckets=1), None)):
+            joined = left_join_dimension(b.repartition(8), p, "passenger_id", config)
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == n
+            if limit is not None:
+                assert max(sizes) <= limit, sizes
+            else:  # unsalted: the hot key and the null keys each sit in one task
+                assert max(sizes) >= n // 3
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
