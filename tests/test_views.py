@@ -88,9 +88,13 @@ def test_with_position_matches_row_number(spark):
     data = [(rnd.randint(0, 20), rnd.choice("abc"), i) for i in range(500)]
     df = spark.createDataFrame(data, "v int, s string, i int")
     order = [F.col("v").desc(), F.col("s").asc(), F.col("i").asc()]
-    got = {r.i: r.position for r in with_position(df, order, partitions=7).collect()}
     want = {r.i: r.p for r in df.select("i", F.row_number().over(Window.orderBy(*order)).alias("p")).collect()}
-    assert got == want
+    distributed = with_position(df, order, partitions=7, single_task_max_rows=0)
+    assert "RepartitionByExpression" in distributed._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.i: r.position for r in distributed.collect()} == want
+    small = with_position(df, order, start=0)
+    assert "RepartitionByExpression" not in small._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.i: r.position + 1 for r in small.collect()} == want
 
 
 def test_booking_range_is_long_format(spark):
