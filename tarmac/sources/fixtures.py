@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import TimestampNTZType
+
 from tarmac.functions.money import MONEY
 
 
@@ -18,6 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def utc_date(df: DataFrame, column: str):
+    """Calendar date of a parquet timestamp written without a zone.
+
+    Read as ``timestamp_ntz`` (Spark's default inference) a plain cast is
+    exact; read as a zoned timestamp (inference off) the value is an instant
+    in UTC, so its UTC day is taken from the epoch seconds — neither depends on
+    the session time zone."""
+    c = F.col(column)
+    if isinstance(df.schema[column].dataType, TimestampNTZType):
+        return c.cast("date")
+    return F.date_from_unix_date(F.floor(F.unix_seconds(c) / F.lit(86400)).cast("int"))
+
+
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
@@ -33,7 +48,7 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").cast("long").alias("flight_id"),
         F.when(F.col("l_partkey") % 101 == 0, F.lit(None)).otherwise(F.col("l_suppkey")).cast("long").alias("airport_id"),
         F.col("l_extendedprice").cast(MONEY).alias("amount"),
-        F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd").alias("booking_date"),
+        F.date_format(utc_date(j, "o_orderdate"), "yyyy-MM-dd").alias("booking_date"),
     )
 
 
