@@ -38,6 +38,10 @@ class PipelineConfig:
     # Skew handling for shuffle joins: keys with at least ``hot_key_rows`` fact
     # rows (the top ``max_hot_keys`` of them) and null keys are spread over
     # ``salt_buckets`` sub-keys; the rest of the keys join exactly as usual.
+    # Detection is one exact aggregation of the key column (a shuffle of
+    # (key, count) pairs); with ``skew_salting=False`` large dimensions are
+    # joined by a plain shuffle join and only AQE's skew splitting applies.
+    skew_salting: bool = True
     salt_buckets: int = 64
     hot_key_rows: int = 1_000_000
     max_hot_keys: int = 10_000

@@ -138,8 +138,10 @@ def left_join_dimension(
     check_no_clash(fact, dim, key)
     if fits_broadcast(dim, cfg):
         joined = fact.join(F.broadcast(dim), key, "left")
-    else:
+    elif cfg.skew_salting:
         joined = salted_left_join(fact, dim, key, cfg, hot)
+    else:
+        joined = fact.join(dim, key, "left")
     rest = [c for c in fact.columns if c != key] + [c for c in dim.columns if c != key]
     return joined.select(key, *rest)
 

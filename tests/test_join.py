@@ -60,6 +60,9 @@ def test_salted_join_equals_broadcast_join_under_skew(spark, cfg):
     key = lambda r: tuple("" if v is None else str(v) for v in r)
     assert sorted(map(key, salted.collect())) == sorted(map(key, broadcast.collect()))
     assert salted.count() == 800  # 200 hot bookings match two passenger rows
+    plain = left_join_dimension(b, p, "passenger_id", salted_cfg.with_(skew_salting=False))
+    assert "__salt" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(key, plain.collect())) == sorted(map(key, broadcast.collect()))
 
 
 def test_broadcast_needs_row_and_byte_bound(spark, cfg):
