@@ -27,9 +27,9 @@ class PipelineConfig:
     on_bad_date: str = "fail"
     # ORDER BY before a write only orders files; a range-partitioned sort at scale.
     sort_output: bool = True
-    # Gold grains (airport, passenger, calendar) are independent jobs; this
-    # many are submitted at once from driver threads.
-    parallel_grains: int = 3
+    # Independent jobs of one layer (bronze sources; gold grains airport,
+    # passenger, calendar) are submitted from this many driver threads.
+    parallel_jobs: int = 3
     # multiLine CSV parsing makes a file unsplittable; turn off for large files
     # that have no line breaks inside quoted fields.
     multi_line: bool = True

@@ -3,18 +3,27 @@ the layer (write check and listing in one job)."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tarmac.config import PipelineConfig
 from tarmac.schemas import SCHEMAS, SourceSpec
 from tarmac.sources.csv import read_source
-from tarmac.sources.tables import layer_counts, write_table
+from tarmac.sources.tables import ensure_layer, layer_counts, write_table
+
+
+def ingest(spark: SparkSession, cfg: PipelineConfig, name: str, path: str) -> str:
+    spec = SourceSpec(name, path, SCHEMAS.get(name, StructType([])))
+    return write_table(read_source(spark, spec, cfg), cfg, "bronze", name)
 
 
 def build_bronze(spark: SparkSession, cfg: PipelineConfig, sources: dict[str, str]) -> DataFrame:
-    """``sources`` maps table name → CSV path (any Hadoop-readable path)."""
-    for name, path in sources.items():
-        spec = SourceSpec(name, path, SCHEMAS.get(name, StructType([])))
-        write_table(read_source(spark, spec, cfg), cfg, "bronze", name)
+    """``sources`` maps table name → CSV path (any Hadoop-readable path).
+
+    Sources are independent jobs, submitted from ``cfg.parallel_jobs`` threads."""
+    ensure_layer(spark, cfg, "bronze")
+    with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_jobs)) as pool:
+        list(pool.map(lambda item: ingest(spark, cfg, *item), sources.items()))
     return layer_counts(spark, cfg, "bronze")

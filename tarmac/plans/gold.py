@@ -46,11 +46,11 @@ def build_marts(obt: DataFrame, cfg: PipelineConfig) -> dict[str, str]:
     """Write every mart; return ``{mart: qualified table name}`` in mart order.
 
     The grains share nothing, so their jobs are submitted from
-    ``cfg.parallel_grains`` driver threads; Spark runs them side by side on
+    ``cfg.parallel_jobs`` driver threads; Spark runs them side by side on
     the executors (one grain's small stages fill the gaps of another's)."""
     ensure_layer(obt.sparkSession, cfg, "gold")
     written: dict[str, str] = {}
-    with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_grains)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_jobs)) as pool:
         for part in pool.map(lambda g: build_grain(obt, g, cfg), list(marts.GRAINS)):
             written.update(part)
     return {m.name: written[m.name] for m in marts.MARTS}
