@@ -2,6 +2,7 @@
 
   python -m tarmac.plans.cli all --source bookings=s3a://…/bookings/ \\
       --source passengers=… --source airports=… [--root …]
+  python -m tarmac.plans.cli dashboard [--select NAME …] [--all] [--root …]
 
 ``--root`` defaults to a folder under the cluster's ``spark.checkpoint.dir``.
 Only small results reach the driver: row counts, the build summary and the
@@ -15,6 +16,7 @@ import logging
 
 from tarmac.config import PipelineConfig, default_config
 from tarmac.plans import build_bronze, build_gold, build_silver
+from tarmac.plans.dashboard import DEFAULT, Dashboard
 from tarmac.plans.gold import previews
 from tarmac.session import build_session
 
@@ -23,7 +25,7 @@ log = logging.getLogger("tarmac")
 
 def parse_args(argv=None) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="tarmac")
-    ap.add_argument("layer", choices=["bronze", "silver", "gold", "all"])
+    ap.add_argument("layer", choices=["bronze", "silver", "gold", "all", "dashboard"])
     ap.add_argument("--source", action="append", default=[], metavar="NAME=PATH", help="CSV source (bronze)")
     ap.add_argument("--root", help="warehouse root on shared storage")
     ap.add_argument("--catalog")
@@ -32,6 +34,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--no-sort", action="store_true", help="skip ORDER BY before the gold writes")
     ap.add_argument("--single-line-csv", action="store_true", help="splittable CSV (no line breaks in quotes)")
     ap.add_argument("--master")
+    ap.add_argument("--select", action="append", metavar="AIRPORT", help="dashboard: airport name to show")
+    ap.add_argument("--all", action="store_true", help="dashboard: every airport")
     return ap.parse_args(argv)
 
 
@@ -62,9 +66,24 @@ def main(argv=None) -> int:
         for name, df in previews(spark, cfg).items():
             log.info("sample: %s", name)
             df.show(truncate=False)
+    if args.layer == "dashboard":
+        show_dashboard(spark, cfg, None if args.all else (args.select or DEFAULT))
     spark.stop()
     return 0
 
 
+def show_dashboard(spark, cfg: PipelineConfig, selection) -> None:
+    """Print the data of both tabs (KPIs, series, tables) for a selection."""
+    board = Dashboard(spark, cfg)
+    try:
+        for tab, frames in (("revenue", board.revenue_tab(selection)), ("performance", board.performance_tab(selection))):
+            for name, df in frames.items():
+                log.info("%s / %s", tab, name)
+                order = [c for c in ("position", "rank") if c in df.columns]
+                (df.orderBy(*order) if order else df).show(50, truncate=False)
+    finally:
+        board.close()
+
+
 if __name__ == "__main__":
     raise SystemExit(main())
