@@ -1,6 +1,6 @@
 """The wide table: bookings left-joined to passengers and airports.
 
-Left joins never drop a booking.  Each dimension is joined by one of two plans:
+Left joins never drop a booking.  Each dimension is joined by one of these plans:
 
 * **broadcast hash join** when one aggregate proves the dimension small
   (``cfg.broadcast_max_rows`` rows and ``cfg.broadcast_max_bytes`` bytes of
@@ -9,7 +9,8 @@ Left joins never drop a booking.  Each dimension is joined by one of two plans:
   hottest keys (at least ``cfg.hot_key_rows`` fact rows, at most
   ``cfg.max_hot_keys`` of them) are spread over ``cfg.salt_buckets`` sub-keys;
   dimension rows of hot keys are copied once per sub-key.  Every other key
-  joins as a plain equi-join, and AQE skew splitting still applies on top.
+  joins as a plain equi-join, and AQE skew splitting still applies on top
+  (``cfg.skew_salting=False`` leaves only the plain shuffle join and AQE).
 """
 
 from __future__ import annotations
@@ -38,6 +39,11 @@ _HOT = "__hot_key"
 _SALT = "__salt"
 
 
+def _col(name: str) -> Column:
+    """Column by exact name (names from CSV headers may contain dots)."""
+    return F.col(f"`{name}`")
+
+
 def check_no_clash(left: DataFrame, right: DataFrame, key: str) -> None:
     """Fail early when a non-key column exists on both sides of a join."""
     lower_left = {c.lower(): c for c in left.columns}
@@ -65,7 +71,7 @@ def _payload_bytes(df: DataFrame) -> Column:
     """Bytes of one row's values: exact for strings/binary, type width otherwise."""
     sizes = []
     for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
+        c = _col(field.name)
         if isinstance(field.dataType, (StringType, BinaryType)):
             sizes.append(F.coalesce(F.octet_length(c), F.lit(0)).cast("long"))
         else:
@@ -107,7 +113,7 @@ def salted_left_join(
     # Spread by row content and input partition: deterministic on task retry,
     # and exact copies of one row still land in different buckets when they
     # come from different input splits.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fact.columns]), F.lit(buckets))
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[_col(c) for c in fact.columns]), F.lit(buckets))
     salted_fact = (
         fact.join(hot, key, "left")
         .withColumn(
@@ -143,7 +149,7 @@ def left_join_dimension(
     else:
         joined = fact.join(dim, key, "left")
     rest = [c for c in fact.columns if c != key] + [c for c in dim.columns if c != key]
-    return joined.select(key, *rest)
+    return joined.select(_col(key), *[_col(c) for c in rest])
 
 
 def build_obt(

@@ -102,3 +102,11 @@ def test_salting_spreads_a_third_of_the_rows(spark, cfg):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def test_extra_columns_with_dots_survive_the_join(spark, cfg):
+    b, p, a = frames(spark, [B(1, 10, 100)], [(10, "Ann", "F", "NL")], [(100, "X", "Y", "Z")])
+    b = b.withColumn("fare.class", F.lit("Y"))
+    for c in (cfg, cfg.with_(broadcast_max_bytes=0, hot_key_rows=1)):
+        row = build_obt(b, p, a, c).collect()[0]
+        assert row["fare.class"] == "Y" and row["name"] == "Ann" and row["airport_name"] == "X"
