@@ -44,13 +44,15 @@ CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 
 def normalize_name(name: str) -> str:
-    """Header → column name: strip, lower-case, each space → ``_``."""
-    return name.strip().lower().replace(" ", "_")
+    """Header → column name: strip, lower-case, each space → ``_``.
+
+    A UTF-8 byte-order mark in front of the first header is dropped too."""
+    return name.lstrip("\ufeff").strip().lower().replace(" ", "_")
 
 
 def check_header(header: list[str | None]) -> None:
     """Reject empty or duplicate headers, before and after normalisation."""
-    empty = [i for i, h in enumerate(header) if h is None or not h.strip()]
+    empty = [i for i, h in enumerate(header) if h is None or not normalize_name(h)]
     if empty:
         raise ValueError(f"empty column header at position(s) {empty}")
     seen: dict[str, str] = {}

@@ -97,3 +97,8 @@ def test_extra_columns_kept_as_text(spark, cfg, scratch):
     df = read(spark, cfg, p, TEXT)
     assert df.columns == ["a", "extra_col"]
     assert df.schema["extra_col"].dataType == StringType()
+
+
+def test_byte_order_mark_is_not_part_of_the_name(spark, scratch):
+    p = write_text(f"{scratch}/bom.csv", "\ufeffBooking ID,x\n1,2\n")
+    assert csv_source.read_raw(spark, p).columns == ["booking_id", "x"]
