@@ -69,3 +69,12 @@ def test_rerun_in_a_new_process(spark, cfg):
     assert outs[0] == outs[1] and outs[0]
     # a third reader in this process sees the silver table by its path
     assert load_table(spark, cfg, "silver", "bookings_obt").count() == 6000
+
+
+def test_three_part_names_with_a_catalog(spark, cfg):
+    named = cfg.with_(catalog="spark_catalog")
+    full = write_table(spark.range(4), named, "bronze", "t_catalog", "three-part")
+    assert full == "spark_catalog.bronze.t_catalog"
+    assert "t_catalog" in list_layer(spark, named, "bronze")
+    assert load_table(spark, named, "bronze", "t_catalog").count() == 4
+    assert table_comment(spark, full) == "three-part"
