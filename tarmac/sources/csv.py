@@ -133,6 +133,9 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
         spark.read.options(**CSV_OPTIONS)
         .option("header", True)
         .option("inferSchema", False)
+        # every file's header is checked against the first one: a file with
+        # its columns in another order fails instead of being misaligned
+        .option("enforceSchema", False)
         .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .csv(path)

@@ -102,3 +102,18 @@ def test_extra_columns_kept_as_text(spark, cfg, scratch):
 def test_byte_order_mark_is_not_part_of_the_name(spark, scratch):
     p = write_text(f"{scratch}/bom.csv", "\ufeffBooking ID,x\n1,2\n")
     assert csv_source.read_raw(spark, p).columns == ["booking_id", "x"]
+
+
+def test_files_with_different_column_order_fail(spark, cfg, scratch):
+    write_text(f"{scratch}/multi/part-1.csv", "a,b\n1,2\n")
+    write_text(f"{scratch}/multi/part-2.csv", "b,a\n3,4\n")
+    schema = StructType([StructField("a", StringType()), StructField("b", StringType())])
+    with pytest.raises(Exception, match="(?i)header"):
+        read(spark, cfg, f"{scratch}/multi", schema).collect()
+
+
+def test_files_with_the_same_header_are_read_together(spark, cfg, scratch):
+    write_text(f"{scratch}/same/part-1.csv", "A,B\n1,2\n")
+    write_text(f"{scratch}/same/part-2.csv", "A,B\n3,4\n")
+    schema = StructType([StructField("a", StringType()), StructField("b", StringType())])
+    assert sorted((r.a, r.b) for r in read(spark, cfg, f"{scratch}/same", schema).collect()) == [("1", "2"), ("3", "4")]

@@ -56,3 +56,27 @@ def test_cli_runs_all_layers(spark, tmp_path_factory):
     res = subprocess.run(args, cwd=ROOT, capture_output=True, text=True, timeout=900)
     assert res.returncode == 0, res.stderr[-3000:]
     assert "gold_peak_travel_days" in res.stdout and "bookings_obt" in res.stdout
+
+
+def test_empty_sources_build_empty_layers(spark, tmp_path_factory):
+    from conftest import write_text
+    from tarmac.config import default_config
+    from tarmac.operators import marts
+    from tarmac.sources.tables import load_table
+
+    cfg = default_config(spark, f"tests/empty/{tmp_path_factory.mktemp('e').name}")
+    headers = {
+        "bookings": "booking_id,passenger_id,flight_id,airport_id,amount,booking_date",
+        "passengers": "passenger_id,name,gender,nationality",
+        "airports": "airport_id,airport_name,city,country",
+    }
+    paths = {n: write_text(f"{cfg.root}/in/{n}.csv", h + "\n") for n, h in headers.items()}
+    assert {r.row_count for r in build_bronze(spark, cfg, paths).collect()} == {0}
+    assert build_silver(spark, cfg).collect()[0].row_count == 0
+    assert {r.row_count for r in build_gold(spark, cfg).collect()} == {0}
+    board = Dashboard(spark, cfg)
+    try:
+        assert all(df.count() == (1 if name == "kpis" else 0) for name, df in board.revenue_tab(None).items())
+    finally:
+        board.close()
+    assert load_table(spark, cfg, "gold", marts.MARTS[0].name).columns == marts.MARTS[0].columns
