@@ -8,6 +8,7 @@ This cuts the lineage and reads the wide table four times instead of eight.
 
 from __future__ import annotations
 
+import logging
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ from tarmac.operators.topk import PREVIEWS, preview
 from tarmac.plans.silver import OBT_TABLE
 from tarmac.sources.tables import ensure_layer, load_table, row_counts, table_comment, write_table
 
+log = logging.getLogger("tarmac.gold")
+
 
 def stage(df: DataFrame, cfg: PipelineConfig, name: str) -> DataFrame:
     """Write an intermediate result to shared storage and read it back."""
@@ -38,7 +41,12 @@ def build_grain(obt: DataFrame, grain: str, cfg: PipelineConfig) -> dict[str, st
         df = marts.finalize(states, spec)
         if cfg.sort_output:
             df = marts.sort_for_write(df, spec)
-        written[spec.name] = write_table(df, cfg, "gold", spec.name, spec.comment)
+        try:
+            written[spec.name] = write_table(df, cfg, "gold", spec.name, spec.comment)
+        except Exception:
+            log.exception("[FAIL] %s", cfg.qualify("gold", spec.name))
+            raise
+        log.info("[OK] %s", written[spec.name])
     return written
 
 
