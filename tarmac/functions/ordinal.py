@@ -1,10 +1,10 @@
 """Global row positions without funnelling the frame through one task.
 
 ``row_number() OVER (ORDER BY ...)`` with no partition moves every row into a
-single task.  Here the frame is range-partitioned on the order, rows are
-numbered inside each partition (``monotonically_increasing_id`` is consecutive
-within a partition after a local sort), and each partition adds the row count
-of the partitions before it.  Only the per-partition counts (one row per
+single task.  Here the frame is range-partitioned on the order, sorted inside
+each partition and checkpointed, rows are numbered inside each partition
+(``monotonically_increasing_id`` is consecutive within a partition), and each
+partition adds the row count of the partitions before it.  Only the per-partition counts (one row per
 partition) are gathered in one place and broadcast back.
 
 A frame that a distributed count proves small (``single_task_max_rows``) is
@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.session import checkpoint_dir
+
 _PART, _ID, _OFFSET, _N = "__pos_part", "__pos_id", "__pos_offset", "__pos_n"
 SINGLE_TASK_MAX_ROWS = 100_000
 
@@ -42,9 +44,14 @@ def with_position(
         return df.withColumn(name, number.cast("int"))
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Materialised once (reliable checkpoint in the shared checkpoint folder):
+    # the numbering and the per-partition counts then read the very same
+    # partitions, instead of two range exchanges that each sample their bounds.
+    checkpoint_dir(df.sparkSession)
     ranged = (
         df.repartitionByRange(partitions, *order)
         .sortWithinPartitions(*order)
+        .checkpoint(eager=True)
         .withColumn(_PART, F.spark_partition_id())
         .withColumn(_ID, F.monotonically_increasing_id())
     )

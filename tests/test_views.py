@@ -90,10 +90,10 @@ def test_with_position_matches_row_number(spark):
     order = [F.col("v").desc(), F.col("s").asc(), F.col("i").asc()]
     want = {r.i: r.p for r in df.select("i", F.row_number().over(Window.orderBy(*order)).alias("p")).collect()}
     distributed = with_position(df, order, partitions=7, single_task_max_rows=0)
-    assert "RepartitionByExpression" in distributed._jdf.queryExecution().optimizedPlan().toString()
+    assert "__pos_part" in distributed._jdf.queryExecution().optimizedPlan().toString()
     assert {r.i: r.position for r in distributed.collect()} == want
     small = with_position(df, order, start=0)
-    assert "RepartitionByExpression" not in small._jdf.queryExecution().optimizedPlan().toString()
+    assert "__pos_part" not in small._jdf.queryExecution().optimizedPlan().toString()
     assert {r.i: r.position + 1 for r in small.collect()} == want
 
 
