@@ -30,9 +30,12 @@ class PipelineConfig:
     # Independent jobs of one layer (bronze sources; gold grains airport,
     # passenger, calendar) are submitted from this many driver threads.
     parallel_jobs: int = 3
-    # multiLine CSV parsing makes a file unsplittable; turn off for large files
-    # that have no line breaks inside quoted fields.
-    multi_line: bool = True
+    # multiLine CSV parsing (line breaks inside quoted fields) makes a file
+    # unsplittable.  None = automatic: multiLine while every file of a source
+    # is at most ``multi_line_max_file_bytes`` (one bounded task per file),
+    # splittable parsing otherwise (a broken quoted record then fails the read).
+    multi_line: bool | None = None
+    multi_line_max_file_bytes: int = 512 * 1024 * 1024
     # A dimension is broadcast only when an aggregate over it proves at most
     # this many rows and bytes of values; otherwise it is joined by a
     # skew-aware shuffle join.

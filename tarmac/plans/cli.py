@@ -32,7 +32,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--on-bad-date", choices=["fail", "null"], default="fail")
     ap.add_argument("--no-sort", action="store_true", help="skip ORDER BY before the gold writes")
-    ap.add_argument("--single-line-csv", action="store_true", help="splittable CSV (no line breaks in quotes)")
+    csv_mode = ap.add_mutually_exclusive_group()
+    csv_mode.add_argument("--single-line-csv", action="store_true", help="splittable CSV (no line breaks in quotes)")
+    csv_mode.add_argument("--multi-line-csv", action="store_true", help="line breaks in quotes, one task per file")
     ap.add_argument("--master")
     ap.add_argument("--select", action="append", metavar="AIRPORT", help="dashboard: airport name to show")
     ap.add_argument("--all", action="store_true", help="dashboard: every airport")
@@ -48,7 +50,7 @@ def main(argv=None) -> int:
         format=args.format,
         on_bad_date=args.on_bad_date,
         sort_output=not args.no_sort,
-        multi_line=not args.single_line_csv,
+        multi_line=False if args.single_line_csv else (True if args.multi_line_csv else None),
     )
     cfg = PipelineConfig(root=args.root, **options) if args.root else default_config(spark, **options)
     sources = dict(s.split("=", 1) for s in args.source)

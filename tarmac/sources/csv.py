@@ -143,9 +143,22 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     return raw.toDF(*[normalize_name(h) for h in header])
 
 
+def largest_file_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the largest file under ``path`` (file listing only: the
+    ``binaryFile`` source does not read contents that are not selected)."""
+    row = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("n")).first()
+    return int(row["n"] or 0)
+
+
+def use_multi_line(spark: SparkSession, path: str, cfg: PipelineConfig) -> bool:
+    if cfg.multi_line is not None:
+        return cfg.multi_line
+    return largest_file_bytes(spark, path) <= cfg.multi_line_max_file_bytes
+
+
 def read_source(spark: SparkSession, spec: SourceSpec, cfg: PipelineConfig) -> DataFrame:
     """CSV files of one source → typed DataFrame (bronze contents)."""
-    raw = read_raw(spark, spec.path, cfg.multi_line)
+    raw = read_raw(spark, spec.path, use_multi_line(spark, spec.path, cfg))
     return cast_by_name(null_tokens(raw), spec.schema, spec.name)
 
 

@@ -117,3 +117,14 @@ def test_files_with_the_same_header_are_read_together(spark, cfg, scratch):
     write_text(f"{scratch}/same/part-2.csv", "A,B\n3,4\n")
     schema = StructType([StructField("a", StringType()), StructField("b", StringType())])
     assert sorted((r.a, r.b) for r in read(spark, cfg, f"{scratch}/same", schema).collect()) == [("1", "2"), ("3", "4")]
+
+
+def test_multi_line_mode_follows_file_size(spark, cfg, scratch):
+    p = write_text(f"{scratch}/ml.csv", 'a,b\n"x\ny",1\n')
+    schema = StructType([StructField("a", StringType()), StructField("b", StringType())])
+    assert csv_source.use_multi_line(spark, p, cfg)
+    assert [(r.a, r.b) for r in read(spark, cfg, p, schema).collect()] == [("x\ny", "1")]
+    split = cfg.with_(multi_line_max_file_bytes=4)
+    assert not csv_source.use_multi_line(spark, p, split)
+    with pytest.raises(Exception):
+        read(spark, split, p, schema).collect()
