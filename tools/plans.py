@@ -71,6 +71,7 @@ def main() -> None:
         ("Gold: sorted write of gold_passenger_booking_summary", marts.sort_for_write(marts.build_mart(silver, "gold_passenger_booking_summary", cfg), marts.MART_BY_NAME["gold_passenger_booking_summary"])),
         ("Preview: top 5 airports by bookings", topk.preview(load_table(spark, cfg, "gold", "gold_top_airports"), topk.PREVIEW_BY_NAME["preview_top_airports"])),
         ("Dashboard: revenue KPIs for the default selection", views.revenue_kpis(rev, views.default_selection(rev))),
+        ("Dashboard: an explicit airport list (isin pushed into the gold scan)", views.filter_airports(rev, ["A", "B"])),
         ("Dashboard: bar series (frame proven small → one ordered window; scalar axis max)", series.bar_series(views.filter_airports(rev, None), "total_revenue", series.category_slots(rev))),
         (
             "Positions above the single-task bound: range partitions (checkpointed) + per-partition offsets",
