@@ -306,20 +306,21 @@ def finalize(states: DataFrame, spec: MartSpec) -> DataFrame:
     if spec.rollup:
         need = _unique(s for m in spec.measures for s in _state_names(m))
         states = states.groupBy(*[g for _, g in spec.keys]).agg(*[_rollup_agg(s) for s in need])
-    cols: list[Column] = [F.col(g).alias(out) for out, g in spec.keys]
-    for m in spec.measures:
-        c = m.column
-        cols.append(
-            {
-                "count": lambda: F.col(f"__cnt__{c}"),
-                "count_distinct": lambda: F.col(f"__dst__{c}"),
-                "sum": lambda: money_to_double(F.col(f"__sum__{c}")),
-                "avg": lambda: half_up_avg(f"__sum__{c}", f"__num__{c}"),
-                "max": lambda: money_to_double(F.col(f"__max__{c}")),
-                "min": lambda: money_to_double(F.col(f"__min__{c}")),
-            }[m.kind]().alias(m.name)
-        )
-    return states.select(*cols)
+    keys = [F.col(g).alias(out) for out, g in spec.keys]
+    return states.select(*keys, *[_final(m).alias(m.name) for m in spec.measures])
+
+
+def _final(m: Measure) -> Column:
+    """A measure's mart column from its states: counts as they are, money
+    rounded to cents and returned as the nearest double."""
+    c = m.column
+    if m.kind == "count":
+        return F.col(f"__cnt__{c}")
+    if m.kind == "count_distinct":
+        return F.col(f"__dst__{c}")
+    if m.kind == "avg":
+        return half_up_avg(f"__sum__{c}", f"__num__{c}")
+    return money_to_double(F.col(f"__{m.kind}__{c}"))
 
 
 def build_mart(obt: DataFrame, name: str, cfg: PipelineConfig) -> DataFrame:
