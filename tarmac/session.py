@@ -20,26 +20,39 @@ RECOMMENDED_CONF = {
 }
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
 def _conf_checkpoint_dir(spark: SparkSession) -> str | None:
     value = spark.conf.get(CHECKPOINT_KEY, None)
     if value:
         return value
-    value = spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
+    sc = _context(spark)
+    value = sc.getConf().get(CHECKPOINT_KEY, None) if sc is not None else None
     return value or None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    The cluster names it; only when it is unset (local tests) is a scratch
-    folder created and registered, so that ``checkpoint()`` works too.
+    The cluster names it.  Only a local-mode session (tests) without it gets
+    a scratch folder, registered so that ``checkpoint()`` works too; anywhere
+    else a missing setting is an error, never a machine-local folder.
     """
     value = _conf_checkpoint_dir(spark)
     if value is None:
+        if not str(spark.conf.get("spark.master", "")).startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_KEY} is not set: name a folder on shared storage")
         value = tempfile.mkdtemp(prefix="tarmac-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, value)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(value)
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(value)
     return value
 
 
@@ -56,6 +69,8 @@ def build_session(app: str = "tarmac", master: str | None = None, **conf: str) -
     for key, value in {**RECOMMENDED_CONF, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark
