@@ -314,6 +314,11 @@ def build_summary_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def comments_sql() -> str:
+    rows = ", ".join(f"('{name}', '{text.replace(chr(39), chr(39) * 2)}')" for name, text in COMMENTS.items())
+    return f"SELECT * FROM (VALUES {rows}) AS t(table_name, comment)"
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for name, body in MARTS.items():
@@ -326,4 +331,7 @@ def oracle_sql() -> dict[str, str]:
     for name, body in LAYERS.items():
         out[name] = BASE + body
     out["gold_build_summary"] = BASE + build_summary_sql()
+    # listings and comments are metadata: the expected rows are fixed
+    out["layer_tables"] = "SELECT * FROM (VALUES ('airports'), ('bookings'), ('passengers')) AS t(table_name)"
+    out["gold_table_comments"] = comments_sql()
     return out

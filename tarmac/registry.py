@@ -21,6 +21,7 @@ from tarmac.plans import build_bronze, build_gold, build_silver
 from tarmac.schemas import SCHEMAS, SourceSpec
 from tarmac.sources import csv as csv_source
 from tarmac.sources import fixtures
+from tarmac.sources.tables import layer_listing, table_comments
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -217,6 +218,22 @@ def gold_build_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_gold(spark, cfg)
 
 
+def layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze build, then ``SHOW TABLES IN bronze``."""
+    cfg = build_config(spark, sf_dir)
+    build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
+    return layer_listing(spark, cfg, "bronze")
+
+
+def gold_table_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full build, then each mart's comment read back from the catalog."""
+    cfg = build_config(spark, sf_dir)
+    build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
+    build_silver(spark, cfg)
+    build_gold(spark, cfg)
+    return table_comments(spark, {m.name: cfg.qualify("gold", m.name) for m in marts.MARTS})
+
+
 QUERIES.update(
     {
         "bronze_bookings": _bronze_source("bookings"),
@@ -228,5 +245,7 @@ QUERIES.update(
         "silver_bookings_obt": obt,
         "silver_row_counts": silver_row_counts,
         "gold_build_summary": gold_build_summary,
+        "layer_tables": layer_tables,
+        "gold_table_comments": gold_table_comments,
     }
 )

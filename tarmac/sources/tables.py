@@ -109,3 +109,20 @@ def row_counts(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
 def layer_counts(spark: SparkSession, cfg: PipelineConfig, layer: str) -> DataFrame:
     """Row count of every table listed in a layer (write check / verification)."""
     return row_counts(spark, {t: cfg.qualify(layer, t) for t in list_layer(spark, cfg, layer)})
+
+
+def layer_listing(spark: SparkSession, cfg: PipelineConfig, layer: str) -> DataFrame:
+    """``SHOW TABLES IN <layer>`` as a DataFrame of ``table_name``."""
+    shown = spark.sql(f"SHOW TABLES IN {cfg.qualify_db(layer)}")
+    return shown.where(~F.col("isTemporary")).select(F.col("tableName").alias("table_name"))
+
+
+def table_comments(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """``(table_name, comment)`` read back with ``DESCRIBE TABLE EXTENDED``."""
+    parts = [
+        spark.sql(f"DESCRIBE TABLE EXTENDED {full}")
+        .where(F.col("col_name") == "Comment")
+        .select(F.lit(short).alias("table_name"), F.col("data_type").alias("comment"))
+        for short, full in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
