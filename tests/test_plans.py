@@ -56,6 +56,10 @@ def test_cli_runs_all_layers(spark, tmp_path_factory):
     res = subprocess.run(args, cwd=ROOT, capture_output=True, text=True, timeout=900)
     assert res.returncode == 0, res.stderr[-3000:]
     assert "gold_peak_travel_days" in res.stdout and "bookings_obt" in res.stdout
+    board = [sys.executable, "-m", "tarmac.plans.cli", "dashboard", "--master", "local[2]", "--root", cfg.root]
+    res = subprocess.run(board, cwd=ROOT, capture_output=True, text=True, timeout=900)
+    assert res.returncode == 0, res.stderr[-3000:]
+    assert "revenue_share" in res.stdout and "pax_per_flight_share" in res.stdout
 
 
 def test_empty_sources_build_empty_layers(spark, tmp_path_factory):
