@@ -41,22 +41,23 @@ class PipelineConfig:
     # skew-aware shuffle join.
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 64 * 1024 * 1024
-    # Skew handling for shuffle joins: keys with at least ``hot_key_rows`` fact
-    # rows (the top ``max_hot_keys`` of them) and null keys are spread over
-    # ``salt_buckets`` sub-keys; the rest of the keys join exactly as usual.
+    # Skew handling for shuffle joins: keys (null included) with at least
+    # ``hot_key_rows`` fact rows (the top ``max_hot_keys`` of them) are spread
+    # over ceil(rows / ``salt_rows``) sub-keys each, so a key holding a third
+    # of 100 TB is cut into task-sized pieces; other keys join as usual.
     # Detection is one exact aggregation of the key column (a shuffle of
     # (key, count) pairs); with ``skew_salting=False`` large dimensions are
     # joined by a plain shuffle join and only AQE's skew splitting applies.
     skew_salting: bool = True
-    salt_buckets: int = 64
-    hot_key_rows: int = 1_000_000
+    salt_rows: int = 2_000_000
+    hot_key_rows: int = 2_000_000
     max_hot_keys: int = 10_000
 
     def __post_init__(self) -> None:
         if self.on_bad_date not in BAD_DATE_MODES:
             raise ValueError(f"on_bad_date must be one of {BAD_DATE_MODES}, got {self.on_bad_date!r}")
-        if self.salt_buckets < 1:
-            raise ValueError("salt_buckets must be >= 1")
+        if self.salt_rows < 1 or self.hot_key_rows < 1:
+            raise ValueError("salt_rows and hot_key_rows must be >= 1")
 
     def layer(self, layer: str) -> str:
         """Schema (database) name of a layer: ``bronze``/``silver``/``gold``."""

@@ -5,10 +5,10 @@ Left joins never drop a booking.  Each dimension is joined by one of these plans
 * **broadcast hash join** when one aggregate proves the dimension small
   (``cfg.broadcast_max_rows`` rows and ``cfg.broadcast_max_bytes`` bytes of
   values): the fact side is not shuffled at all, so hot keys cost nothing;
-* **salted shuffle join** otherwise: null keys (which can never match) and the
-  hottest keys (at least ``cfg.hot_key_rows`` fact rows, at most
-  ``cfg.max_hot_keys`` of them) are spread over ``cfg.salt_buckets`` sub-keys;
-  dimension rows of hot keys are copied once per sub-key.  Every other key
+* **salted shuffle join** otherwise: the hottest keys, null included (at
+  least ``cfg.hot_key_rows`` fact rows, at most ``cfg.max_hot_keys`` of them),
+  are spread over ``ceil(rows / cfg.salt_rows)`` sub-keys each; dimension
+  rows of hot keys are copied once per sub-key.  Every other key
   joins as a plain equi-join, and AQE skew splitting still applies on top
   (``cfg.skew_salting=False`` leaves only the plain shuffle join and AQE).
 """
@@ -36,6 +36,7 @@ from pyspark.sql.types import (
 from tarmac.config import PipelineConfig
 
 _HOT = "__hot_key"
+_BUCKETS = "__buckets"
 _SALT = "__salt"
 
 
@@ -87,16 +88,18 @@ def fits_broadcast(dim: DataFrame, cfg: PipelineConfig) -> bool:
 
 
 def hot_keys(fact: DataFrame, key: str, cfg: PipelineConfig) -> DataFrame:
-    """Keys holding at least ``cfg.hot_key_rows`` fact rows, the top
-    ``cfg.max_hot_keys`` of them: a frame with a proven size bound.
+    """``(key, __buckets)`` for the keys — null included — holding at least
+    ``cfg.hot_key_rows`` fact rows (the top ``cfg.max_hot_keys`` of them, a
+    frame with a proven size bound), each with the number of sub-keys that
+    leaves about ``cfg.salt_rows`` rows per sub-key.
 
     Keys beyond the cap are still joined exactly (plain shuffle join)."""
-    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
     return (
         counts.where(F.col("__rows") >= cfg.hot_key_rows)
-        .orderBy(F.desc("__rows"), F.col(key))
+        .orderBy(F.desc("__rows"), F.col(key).asc_nulls_first())
         .limit(cfg.max_hot_keys)
-        .select(key, F.lit(True).alias(_HOT))
+        .select(key, F.ceil(F.col("__rows") / F.lit(cfg.salt_rows)).cast("int").alias(_BUCKETS))
     )
 
 
@@ -105,34 +108,28 @@ def salted_left_join(
 ) -> DataFrame:
     """Left equi-join on ``key`` that survives a key holding a third of the rows.
 
-    ``hot`` (from :func:`hot_keys`) may be computed on a cheaper frame than
-    ``fact`` — e.g. the raw bookings instead of an already joined frame: which
-    keys are salted only spreads load, the join result is exact either way."""
-    buckets = cfg.salt_buckets
+    A hot key with ``r`` rows is split into ``ceil(r / cfg.salt_rows)``
+    sub-keys, so the spread grows with the data.  ``hot`` (from
+    :func:`hot_keys`) may be computed on a cheaper frame than ``fact`` — e.g.
+    the raw bookings instead of an already joined frame: which keys are salted
+    only spreads load, the join result is exact either way."""
     hot = F.broadcast(hot if hot is not None else hot_keys(fact, key, cfg))
+    hot_key = hot.select(_col(key).alias(_HOT), _BUCKETS)
     # Spread by row content and input partition: deterministic on task retry,
-    # and exact copies of one row still land in different buckets when they
+    # and exact copies of one row still land in different sub-keys when they
     # come from different input splits.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[_col(c) for c in fact.columns]), F.lit(buckets))
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[_col(c) for c in fact.columns]), F.col(_BUCKETS))
     salted_fact = (
-        fact.join(hot, key, "left")
-        .withColumn(
-            _SALT,
-            F.when(F.col(key).isNull() | F.col(_HOT).isNotNull(), spread).otherwise(F.lit(0)).cast("int"),
-        )
-        .drop(_HOT)
+        # null-safe: a hot null key (never matching) is spread like any other
+        fact.join(hot_key, fact[f"`{key}`"].eqNullSafe(hot_key[_HOT]), "left")
+        .withColumn(_SALT, F.when(F.col(_BUCKETS).isNotNull(), spread).otherwise(F.lit(0)).cast("int"))
+        .drop(_HOT, _BUCKETS)
     )
+    copies = F.when(F.col(_BUCKETS).isNotNull(), F.sequence(F.lit(0), F.col(_BUCKETS) - 1))
     salted_dim = (
         dim.join(hot, key, "left")
-        .withColumn(
-            _SALT,
-            F.explode(
-                F.when(F.col(_HOT).isNotNull(), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        .drop(_HOT)
+        .withColumn(_SALT, F.explode(copies.otherwise(F.array(F.lit(0)))))
+        .drop(_BUCKETS)
     )
     return salted_fact.join(salted_dim, [key, _SALT], "left").drop(_SALT)
 

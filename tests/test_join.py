@@ -54,7 +54,7 @@ def test_salted_join_equals_broadcast_join_under_skew(spark, cfg):
     pax = [(7, "Hot", "F", "NL"), (7, "Hot copy", "F", "NL")] + [(i, f"P{i}", "M", "DE") for i in range(2, 600, 3)]
     b, p, _ = frames(spark, rows, pax, [])
     broadcast = left_join_dimension(b, p, "passenger_id", cfg)
-    salted_cfg = cfg.with_(broadcast_max_bytes=0, hot_key_rows=50, salt_buckets=8)
+    salted_cfg = cfg.with_(broadcast_max_bytes=0, hot_key_rows=50, salt_rows=25)
     salted = left_join_dimension(b, p, "passenger_id", salted_cfg)
     assert "__salt" in salted._jdf.queryExecution().optimizedPlan().toString()
     key = lambda r: tuple("" if v is None else str(v) for v in r)
@@ -78,8 +78,8 @@ def test_broadcast_needs_row_and_byte_bound(spark, cfg):
 
 def test_salting_spreads_a_third_of_the_rows(spark, cfg):
     """One passenger holds a third of the bookings and another third has no
-    key: without salting those land in two reduce tasks; salted, no reduce
-    partition of the join holds more than a tenth of the rows."""
+    key: without salting those land in two reduce tasks; salted in proportion
+    to their size, no reduce partition holds more than a tenth of the rows."""
     n = 3000
     rows = [B(i, 7 if i % 3 == 0 else (None if i % 3 == 1 else i), 100) for i in range(n)]
     pax = [(7, "Hot", "F", "NL")] + [(i, f"P{i}", "M", "DE") for i in range(2, n, 3)]
@@ -90,8 +90,9 @@ def test_salting_spreads_a_third_of_the_rows(spark, cfg):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.shuffle.partitions", "32")
     try:
-        salted_cfg = cfg.with_(broadcast_max_bytes=0, hot_key_rows=100, salt_buckets=16)
-        for config, limit in ((salted_cfg, n // 10), (salted_cfg.with_(hot_key_rows=10**9, salt_buckets=1), None)):
+        # 1,000 rows per hot key / 64 rows per sub-key = 16 sub-keys each
+        salted_cfg = cfg.with_(broadcast_max_bytes=0, hot_key_rows=100, salt_rows=64)
+        for config, limit in ((salted_cfg, n // 10), (salted_cfg.with_(hot_key_rows=10**9), None)):
             joined = left_join_dimension(b.repartition(8), p, "passenger_id", config)
             sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
             assert sum(sizes) == n
@@ -110,3 +111,12 @@ def test_extra_columns_with_dots_survive_the_join(spark, cfg):
     for c in (cfg, cfg.with_(broadcast_max_bytes=0, hot_key_rows=1)):
         row = build_obt(b, p, a, c).collect()[0]
         assert row["fare.class"] == "Y" and row["name"] == "Ann" and row["airport_name"] == "X"
+
+
+def test_sub_keys_grow_with_the_key(spark, cfg):
+    from tarmac.operators.join import hot_keys
+
+    rows = [B(i, 7 if i < 500 else (None if i < 800 else i), 100) for i in range(1000)]
+    b, _, _ = frames(spark, rows, [], [])
+    got = {r["passenger_id"]: r["__buckets"] for r in hot_keys(b, "passenger_id", cfg.with_(hot_key_rows=100, salt_rows=50)).collect()}
+    assert got == {7: 10, None: 6}
