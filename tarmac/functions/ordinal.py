@@ -32,13 +32,15 @@ def with_position(
     start: int = 1,
     partitions: int | None = None,
     single_task_max_rows: int = SINGLE_TASK_MAX_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Append ``name``: the row's place (from ``start``) in ``order``.
 
     ``order`` should be a total order (add tie-breaking columns); rows that tie
     on every order column are interchangeable, so the result is still unique.
+    ``rows`` is the frame's row count when the caller has already counted it.
     """
-    if single_task_max_rows > 0 and df.count() <= single_task_max_rows:
+    if single_task_max_rows > 0 and (rows if rows is not None else df.count()) <= single_task_max_rows:
         # proven small: one ordered window in one task
         number = F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1)
         return df.withColumn(name, number.cast("int"))

@@ -34,35 +34,38 @@ class Dashboard:
         self.slots = series.category_slots(self.revenue, self.performance).cache()
         self._selections: list[DataFrame] = []
 
-    def _select(self, view: DataFrame, selection) -> tuple[DataFrame, views.Selection]:
+    def _select(self, view: DataFrame, selection) -> tuple[DataFrame, views.Selection, int]:
         """``"default"`` = first five names (initial state), ``None`` = all
-        names ("select all"), ``[]`` = cleared, or a list / DataFrame of names."""
+        names ("select all"), ``[]`` = cleared, or a list / DataFrame of names.
+
+        The selection is cached and counted once (the count fills the cache);
+        the series reuse that count instead of counting again."""
         if isinstance(selection, str) and selection == DEFAULT:
             selection = views.default_selection(view)
         selected = views.filter_airports(view, selection).cache()
         self._selections.append(selected)
-        return selected, selection
+        return selected, selection, selected.count()
 
     def revenue_tab(self, selection=DEFAULT) -> dict[str, DataFrame]:
-        sel, chosen = self._select(self.revenue, selection)
+        sel, chosen, n = self._select(self.revenue, selection)
         return {
             "kpis": views.revenue_kpis(self.revenue, chosen),
-            "bookings": series.bar_series(sel, "total_bookings", self.slots),
-            "revenue": series.bar_series(sel, "total_revenue", self.slots),
-            "avg_revenue": series.bar_series(sel, "avg_revenue_per_booking", self.slots),
+            "bookings": series.bar_series(sel, "total_bookings", self.slots, n),
+            "revenue": series.bar_series(sel, "total_revenue", self.slots, n),
+            "avg_revenue": series.bar_series(sel, "avg_revenue_per_booking", self.slots, n),
             "scatter": series.revenue_scatter(sel, self.slots),
-            "table": series.revenue_table(sel),
+            "table": series.revenue_table(sel, n),
         }
 
     def performance_tab(self, selection=DEFAULT) -> dict[str, DataFrame]:
-        sel, chosen = self._select(self.performance, selection)
+        sel, chosen, n = self._select(self.performance, selection)
         return {
             "kpis": views.performance_kpis(self.performance, chosen),
-            "revenue_per_pax": series.bar_series(sel, "revenue_per_pax", self.slots),
-            "pax_per_flight": series.bar_series(sel, "pax_per_flight", self.slots),
-            "booking_range": series.booking_range(sel),
+            "revenue_per_pax": series.bar_series(sel, "revenue_per_pax", self.slots, n),
+            "pax_per_flight": series.bar_series(sel, "pax_per_flight", self.slots, n),
+            "booking_range": series.booking_range(sel, n),
             "scatter": series.performance_scatter(sel, self.slots),
-            "table": series.performance_table(sel),
+            "table": series.performance_table(sel, n),
         }
 
     def close(self) -> None:
