@@ -31,10 +31,16 @@ def config(spark: SparkSession, **kw) -> PipelineConfig:
     return default_config(spark, "queries", **kw)
 
 
-def build_config(spark: SparkSession, sf_dir: str, **kw) -> PipelineConfig:
-    """A warehouse root per data directory under the shared checkpoint folder."""
+def build_config(spark: SparkSession, sf_dir: str, query: str | None = None, **kw) -> PipelineConfig:
+    """A warehouse root per data directory under the shared checkpoint folder.
+
+    A registered query that writes gets its own root and its own layer schema
+    names, so queries never share tables even when run side by side."""
     tag = re.sub(r"[^A-Za-z0-9]+", "_", sf_dir.strip("/")) or "data"
-    return default_config(spark, f"build/{tag}", **kw)
+    if query is None:
+        return default_config(spark, f"build/{tag}", **kw)
+    layers = {layer: f"{layer}_{query}" for layer in ("bronze", "silver", "gold")}
+    return default_config(spark, f"build/{tag}/{query}", **layers, **kw)
 
 
 def export_sources(spark: SparkSession, sf_dir: str, cfg: PipelineConfig, names=None) -> dict[str, str]:
@@ -182,7 +188,7 @@ def _bronze_source(name: str) -> Query:
     """One source through the CSV round trip: export, then typed ingestion."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        cfg = build_config(spark, sf_dir)
+        cfg = build_config(spark, sf_dir, f"bronze_{name}")
         path = export_sources(spark, sf_dir, cfg, [name])[name]
         return csv_source.read_source(spark, SourceSpec(name, path, SCHEMAS[name]), cfg)
 
@@ -201,18 +207,18 @@ def bronze_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = build_config(spark, sf_dir)
+    cfg = build_config(spark, sf_dir, "bronze_row_counts")
     return build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
 
 
 def silver_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = build_config(spark, sf_dir)
+    cfg = build_config(spark, sf_dir, "silver_row_counts")
     build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
     return build_silver(spark, cfg)
 
 
 def gold_build_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = build_config(spark, sf_dir)
+    cfg = build_config(spark, sf_dir, "gold_build_summary")
     build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
     build_silver(spark, cfg)
     return build_gold(spark, cfg)
@@ -220,14 +226,14 @@ def gold_build_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze build, then ``SHOW TABLES IN bronze``."""
-    cfg = build_config(spark, sf_dir)
+    cfg = build_config(spark, sf_dir, "layer_tables")
     build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
     return layer_listing(spark, cfg, "bronze")
 
 
 def gold_table_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full build, then each mart's comment read back from the catalog."""
-    cfg = build_config(spark, sf_dir)
+    cfg = build_config(spark, sf_dir, "gold_table_comments")
     build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
     build_silver(spark, cfg)
     build_gold(spark, cfg)
