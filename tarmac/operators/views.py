@@ -37,19 +37,24 @@ CENTS = "decimal(38,2)"
 Selection = None | Sequence[str] | DataFrame
 
 
-def revenue_view(revenue_summary: DataFrame) -> DataFrame:
-    """Revenue tab data: six columns of ``gold_airport_revenue_summary``."""
-    return revenue_summary.select(*REVENUE_COLUMNS).orderBy(F.col("airport_name").asc_nulls_last())
+def _by_name(df: DataFrame, ordered: bool) -> DataFrame:
+    return df.orderBy(F.col("airport_name").asc_nulls_last()) if ordered else df
 
 
-def performance_view(performance: DataFrame) -> DataFrame:
+def revenue_view(revenue_summary: DataFrame, ordered: bool = True) -> DataFrame:
+    """Revenue tab data: six columns of ``gold_airport_revenue_summary``,
+    ordered by name unless ``ordered=False`` (callers that sort themselves)."""
+    return _by_name(revenue_summary.select(*REVENUE_COLUMNS), ordered)
+
+
+def performance_view(performance: DataFrame, ordered: bool = True) -> DataFrame:
     """Performance tab data plus the two ratios (null when the divisor is 0)."""
-    return (
+    view = (
         performance.select(*PERFORMANCE_COLUMNS)
         .withColumn("pax_per_flight", safe_ratio(F.col("unique_passengers"), F.col("total_flights")))
         .withColumn("revenue_per_pax", safe_ratio(F.col("total_revenue"), F.col("unique_passengers")))
-        .orderBy(F.col("airport_name").asc_nulls_last())
     )
+    return _by_name(view, ordered)
 
 
 def airport_options(view: DataFrame) -> DataFrame:

@@ -17,20 +17,21 @@ from tarmac.sources.tables import load_table
 DEFAULT = "default"
 
 
-def revenue_data(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    return views.revenue_view(load_table(spark, cfg, "gold", "gold_airport_revenue_summary"))
+def revenue_data(spark: SparkSession, cfg: PipelineConfig, ordered: bool = True) -> DataFrame:
+    return views.revenue_view(load_table(spark, cfg, "gold", "gold_airport_revenue_summary"), ordered)
 
 
-def performance_data(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    return views.performance_view(load_table(spark, cfg, "gold", "gold_airport_performance"))
+def performance_data(spark: SparkSession, cfg: PipelineConfig, ordered: bool = True) -> DataFrame:
+    return views.performance_view(load_table(spark, cfg, "gold", "gold_airport_performance"), ordered)
 
 
 class Dashboard:
     """Start-up state of the two tabs; call :meth:`close` to release it."""
 
     def __init__(self, spark: SparkSession, cfg: PipelineConfig) -> None:
-        self.revenue = revenue_data(spark, cfg).cache()
-        self.performance = performance_data(spark, cfg).cache()
+        # every output orders itself, so the cached views skip the name sort
+        self.revenue = revenue_data(spark, cfg, ordered=False).cache()
+        self.performance = performance_data(spark, cfg, ordered=False).cache()
         self.slots = series.category_slots(self.revenue, self.performance).cache()
         self._selections: list[DataFrame] = []
 
