@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -106,3 +108,17 @@ def test_booking_range_is_long_format(spark):
         (1, "B", "min", 2.0), (1, "B", "avg", 3.0), (1, "B", "max", 4.0),
         (2, "A", "min", 1.0), (2, "A", "avg", 5.0), (2, "A", "max", 9.0),
     }
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 3)), st.sampled_from("ab")), min_size=0, max_size=60),
+    st.integers(1, 5),
+)
+def test_positions_equal_row_number(spark, values, partitions):
+    df = spark.createDataFrame([(v, s, i) for i, (v, s) in enumerate(values)], "v int, s string, i int")
+    order = [F.col("v").asc_nulls_last(), F.col("s").desc(), F.col("i").asc()]
+    want = {r.i: r.p for r in df.select("i", F.row_number().over(Window.orderBy(*order)).alias("p")).collect()}
+    for limit in (0, 1000):  # distributed numbering, then one window
+        got = with_position(df, order, partitions=partitions, single_task_max_rows=limit)
+        assert {r.i: r.position for r in got.collect()} == want
