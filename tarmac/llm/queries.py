@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import records, sharding
+from . import curve_packing, jaccard_join, langid, lz_dedup, records, sharding, wumanber
 from .shipping import ship_package
 from .storage import materialize, run_folder
 
@@ -54,3 +54,53 @@ def op4_token_records(spark, sf_dir):
     records.write_token_records(table(spark, sf_dir, "documents"), files, end_id=0)
     index = records.write_index(spark, files, run_folder(spark, "token-index"))
     return records.with_global_start(index).select("doc_id", "start", "n_tokens", "ids_crc32", "offset", "bytes")
+
+
+@query
+def op6_wu_manber(spark, sf_dir):
+    """Words of every document that lie in an occurrence of a benchmark string, and the items that occur."""
+    found = wumanber.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s.end - s.start)
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+@query
+def op7_hilbert_packing(spark, sf_dir):
+    """Pieces of every document in sequences of 2048 ids, laid out along the Hilbert curve."""
+    pieces = curve_packing.pack_documents(table(spark, sf_dir, "documents"), end_id=1)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query
+def op10_centroid_language(spark, sf_dir):
+    """Predicted language of every document, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(F.col("doc_id").isNotNull() & ~langid.held_out()))
+    return langid.identify(docs, model).select(
+        F.col("row.doc_id").alias("doc_id"), langid.held_out("row.doc_id").alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+@query
+def op2_lempel_ziv_dedup(spark, sf_dir):
+    """Words of every document that stay once runs of 50 words known from earlier documents are gone."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lz_dedup.dedup_substrings(docs).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query
+def op9_jaccard_join(spark, sf_dir):
+    """Near-duplicate group of every document: 4-word shingles, similarity of 0.85 or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.near_duplicates(docs, shingle=4, percent=85)

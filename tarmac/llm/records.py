@@ -175,7 +175,7 @@ def read_records(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFra
     content meet in one task, which slices the frames out by offset.
     """
 
-    def cut(key, rows: pa.Table, content: pa.Table) -> pa.Table:
+    def cut(key, rows, content):
         ids, docs = [], []
         data = content.column("content")[0].as_py() if content.num_rows else b""
         for offset, size in zip(rows.column("offset").to_pylist(), rows.column("bytes").to_pylist()):

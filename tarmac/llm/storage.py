@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,3 +30,9 @@ def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now: it does so once the driver has collected its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
