@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curve_packing, jaccard_join, langid, lz_dedup, records, sharding, wumanber
+from . import curve_packing, jaccard_join, langid, lz_dedup, rabitq, records, sharding, wumanber
 from .shipping import ship_package
 from .storage import materialize, run_folder
 
@@ -104,3 +104,10 @@ def op9_jaccard_join(spark, sf_dir):
     """Near-duplicate group of every document: 4-word shingles, similarity of 0.85 or more."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.near_duplicates(docs, shingle=4, percent=85)
+
+
+@query
+def op8_rotated_codes(spark, sf_dir):
+    """Near-duplicate vectors of equal label: links at cosine 0.98 or more, and their components."""
+    found = rabitq.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
