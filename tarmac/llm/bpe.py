@@ -79,8 +79,22 @@ class Encoder:
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.pieces = _PieceIds(self.lib.model, "H" if self.dtype.itemsize == 2 else "I", max_pieces)
 
+    def covers(self, text: str) -> bool:
+        """Whether the cut into pieces holds for the text."""
+        return not (_BEYOND.search(text) or any(s in text for s in self.special))
+
+    def cut(self, text: str) -> list[str]:
+        return _PIECES.findall(text)
+
+    def count(self, text: str) -> int:
+        return len(self.encode(text)) // self.dtype.itemsize
+
+    def counts(self, pieces: list[str]) -> list[int]:
+        width = self.dtype.itemsize
+        return [len(self.pieces[p]) // width for p in pieces]
+
     def encode(self, text: str) -> bytes:
-        if _BEYOND.search(text) or any(s in text for s in self.special):
+        if not self.covers(text):
             return np.array(self.lib.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
         return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text)))
 
@@ -92,3 +106,25 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """One encoder per worker process and vocabulary file."""
     return Encoder(path)
+
+
+class Decoder:
+    """Ids back to text: the bytes that each id stands for, joined."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        lib = Tokenizer.from_file(path)
+        letters = {chr(c): b for b, c in _byte_letters().items()}
+        special = {i for i, t in lib.get_added_tokens_decoder().items()}
+        self.bytes = {
+            i: t.encode("utf-8") if i in special else bytes(letters[c] for c in t) for t, i in lib.get_vocab().items()
+        }
+
+    def decode(self, ids) -> str:
+        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8")
+
+
+@lru_cache(maxsize=4)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)

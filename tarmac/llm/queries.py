@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curve_packing, jaccard_join, langid, lz_dedup, rabitq, records, sharding, wumanber
+from . import chat_tree, curve_packing, jaccard_join, langid, lz_dedup, rabitq, records, sharding, token_tree, wumanber
 from .shipping import ship_package
 from .storage import materialize, run_folder
 
@@ -111,3 +111,40 @@ def op8_rotated_codes(spark, sf_dir):
     """Near-duplicate vectors of equal label: links at cosine 0.98 or more, and their components."""
     found = rabitq.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+EXTRA_TURNS = "<|im_end|><|im_start|>assistant ok"
+
+
+@query
+def op1_prefix_tree(spark, sf_dir):
+    """Digests of every conversation, and of one that spells the template's control strings, read back from the tree."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(EXTRA_TURNS).alias("text"),
+    )
+    folder = run_folder(spark, "chat-tree")
+    chat_tree.build_tree(turns.unionByName(extra), folder)
+    return chat_tree.read_conversations(chat_tree.read_tree(spark, folder))
+
+
+PERSONAL = r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|\d{5,}"
+
+
+@query
+def op5_edit_counts(spark, sf_dir):
+    """Token counts of every document before and after its e-mail addresses and long numbers are replaced."""
+    trees = token_tree.build_trees(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    edited = token_tree.apply_edits(trees, token_tree.redactions(F.col("text"), PERSONAL, "[removed]"))
+    return edited.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_edits",
+        "tokens_before",
+        "tokens_after",
+        "n_pieces",
+        "n_encoded",
+        F.sha2("text", 256).alias("edited_sha256"),
+    )
