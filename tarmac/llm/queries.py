@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat_tree, curve_packing, jaccard_join, langid, lz_dedup, rabitq, records, sharding, token_tree, wumanber
+from .oracles import ORACLE_SQL  # noqa: F401
 from .shipping import ship_package
 from .storage import materialize, run_folder
 
 SHARDS = 16
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+
 
 
 def query(f):
