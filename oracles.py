@@ -13,29 +13,30 @@ BASE = """
 WITH bookings AS (
   SELECT CAST(CASE WHEN (l_orderkey + l_linenumber) % 89 = 0 THEN NULL
                    ELSE l_orderkey * 10 + l_linenumber END AS BIGINT) AS booking_id,
-         CAST(CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE o_custkey END AS BIGINT) AS passenger_id,
+         CAST(CASE WHEN l_partkey % 97 = 0 THEN NULL WHEN o_custkey % 10 = 7 THEN o_custkey + 1000000000
+                   ELSE o_custkey END AS BIGINT) AS passenger_id,
          CAST(l_partkey AS BIGINT) AS flight_id,
-         CAST(CASE WHEN l_partkey % 101 = 0 THEN NULL ELSE l_suppkey END AS BIGINT) AS airport_id,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
+         CAST(CASE WHEN l_partkey % 101 = 0 THEN NULL WHEN l_suppkey % 10 = 3 THEN l_suppkey + 1000000000
+                   ELSE l_suppkey END AS BIGINT) AS airport_id,
+         CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DECIMAL(18,6)) AS amount,
+         CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) * 10000 AS BIGINT) AS net_units,
          substr(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), 1, 10) AS booking_date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
 passengers AS (
   SELECT CAST(c_custkey AS BIGINT) AS passenger_id, c_name AS name, c_mktsegment AS gender, n_name AS nationality
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey % 10 <> 7
 ),
 airports AS (
   SELECT CAST(s_suppkey AS BIGINT) AS airport_id, concat(n_name, ' ', s_name) AS airport_name,
          n_name AS city, r_name AS country
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
                 LEFT JOIN region ON n_regionkey = r_regionkey
-  WHERE s_suppkey % 10 <> 3
 ),
 obt AS (
   SELECT b.airport_id, b.passenger_id, b.booking_id, b.flight_id, b.amount, b.booking_date,
          p.name, p.gender, p.nationality, a.airport_name, a.city, a.country,
-         CAST(b.amount * 100 AS BIGINT) AS cents
+         CAST(b.amount * 100 AS BIGINT) AS cents, b.net_units
   FROM bookings b
   LEFT JOIN passengers p ON b.passenger_id = p.passenger_id
   LEFT JOIN airports a ON b.airport_id = a.airport_id
@@ -226,7 +227,11 @@ DASHBOARD = {
     "default_airports": "SELECT CAST(row_number() OVER (ORDER BY airport_name) AS INTEGER) AS position, airport_name FROM rev_def",
     "selected_airport_revenue": f"SELECT {REV_COLS} FROM rev_sel",
     "selected_airport_performance": f"SELECT {PERF_COLS} FROM perf_sel",
-    "selected_none": f"SELECT {REV_COLS} FROM revv WHERE false",
+    "kpis_empty_selection": """
+SELECT CAST(0 AS BIGINT) AS airports, CAST(COUNT(DISTINCT airport_name) AS BIGINT) AS airports_total,
+       CAST(NULL AS BIGINT) AS total_bookings, CAST(NULL AS DOUBLE) AS total_revenue,
+       CAST(NULL AS DOUBLE) AS avg_revenue_per_booking
+FROM revv""",
     "airport_slots": "SELECT airport_name, slot FROM slots",
     "revenue_kpis": """
 SELECT CAST(COUNT(*) AS BIGINT) AS airports,
@@ -284,23 +289,47 @@ FROM perf_all f LEFT JOIN slots s ON f.airport_name = s.airport_name""",
 
 
 LAYERS = {
-    "bronze_bookings": "SELECT * FROM bookings",
+    "bronze_bookings": "SELECT * EXCLUDE (net_units) FROM bookings",
     "bronze_passengers": "SELECT * FROM passengers",
     "bronze_airports": "SELECT * FROM airports",
     "bronze_normalized_names": "SELECT * FROM airports",
-    "bronze_null_tokens": "SELECT * FROM bookings",
+    "bronze_null_tokens": "SELECT * EXCLUDE (net_units) FROM bookings",
+    "bronze_inferred_types": "SELECT * EXCLUDE (net_units) REPLACE (CAST(amount AS DOUBLE) AS amount) FROM bookings",
+    "bronze_line_breaks": """
+SELECT passenger_id, concat(name, chr(10), 'of "', nationality, '", ', gender) AS name, gender, nationality
+FROM passengers""",
+    "gold_airport_revenue_string_ids": f"""
+SELECT 'A' || airport_id AS airport_id, airport_name, city, country, {cnt('booking_id')} AS total_bookings,
+       {money_sum()} AS total_revenue, {money_avg()} AS avg_revenue_per_booking
+FROM obt GROUP BY airport_id, airport_name, city, country""",
+    "gold_subcent_revenue": f"""
+SELECT {AIRPORT}, {cnt('booking_id')} AS total_bookings,
+       CAST((2 * SUM(net_units) + 100) // 200 AS DOUBLE) / 100.0 AS total_revenue,
+       CAST((2 * SUM(net_units) + 100 * COUNT(net_units)) // (200 * COUNT(net_units)) AS DOUBLE) / 100.0
+         AS avg_revenue_per_booking
+FROM obt GROUP BY {AIRPORT}""",
     "bronze_row_counts": """
-SELECT 'airports' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM airports
-UNION ALL SELECT 'bookings', CAST(COUNT(*) AS BIGINT) FROM bookings
-UNION ALL SELECT 'passengers', CAST(COUNT(*) AS BIGINT) FROM passengers""",
+SELECT 'airports' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows_written, CAST(COUNT(*) AS BIGINT) AS row_count FROM airports
+UNION ALL SELECT 'bookings', CAST(COUNT(*) AS BIGINT), CAST(COUNT(*) AS BIGINT) FROM bookings
+UNION ALL SELECT 'passengers', CAST(COUNT(*) AS BIGINT), CAST(COUNT(*) AS BIGINT) FROM passengers""",
     "silver_bookings_obt": """
 SELECT airport_id, passenger_id, booking_id, flight_id, amount, booking_date, name, gender, nationality,
        airport_name, city, country FROM obt""",
-    "silver_row_counts": "SELECT 'bookings_obt' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM obt",
+    "silver_row_counts": """
+SELECT 'bookings_obt' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows_written, CAST(COUNT(*) AS BIGINT) AS row_count FROM obt""",
 }
 
-# Table comments are fixed values; the same text as the Spark side.
-from tarmac.operators.marts import COMMENTS  # noqa: E402
+# The comment of each gold table, written out.
+COMMENTS = {
+    "gold_airport_revenue_summary": "Total bookings and revenue by airport. Identifies highest-revenue airports for business planning.",
+    "gold_top_airports": "Airports ranked by booking frequency. Highlights most popular travel destinations.",
+    "gold_monthly_booking_trends": "Month-over-month booking volume and revenue. Used for growth tracking and seasonality analysis.",
+    "gold_airport_performance": "Comprehensive airport metrics: flights, passengers, bookings, and revenue range. Supports operational planning.",
+    "gold_passenger_booking_summary": "Passenger-level lifetime booking behaviour: spend, frequency, airports visited. Supports CRM and loyalty programs.",
+    "gold_gender_booking_summary": "Booking and revenue distribution by passenger gender. Supports demographic analysis and targeted marketing.",
+    "gold_nationality_revenue": "Revenue and booking volume by passenger nationality. Identifies key traveller markets for route planning.",
+    "gold_peak_travel_days": "Daily booking volumes and revenue to identify peak travel days. Supports capacity planning and dynamic pricing.",
+}
 
 
 def build_summary_sql() -> str:
@@ -308,17 +337,13 @@ def build_summary_sql() -> str:
     for name, body in MARTS.items():
         comment = COMMENTS[name].replace("'", "''")
         parts.append(
-            f"SELECT '{name}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count, '{comment}' AS comment "
+            f"SELECT '{name}' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows_written, "
+            f"CAST(COUNT(*) AS BIGINT) AS row_count, '{comment}' AS comment "
             f"FROM ({body}) m"
         )
     return "\nUNION ALL\n".join(parts)
 
 
-def comments_sql() -> str:
-    rows = ", ".join(f"('{name}', '{text.replace(chr(39), chr(39) * 2)}')" for name, text in COMMENTS.items())
-    return f"SELECT * FROM (VALUES {rows}) AS t(table_name, comment)"
-
-
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for name, body in MARTS.items():
@@ -331,7 +356,8 @@ def oracle_sql() -> dict[str, str]:
     for name, body in LAYERS.items():
         out[name] = BASE + body
     out["gold_build_summary"] = BASE + build_summary_sql()
-    # listings and comments are metadata: the expected rows are fixed
-    out["layer_tables"] = "SELECT * FROM (VALUES ('airports'), ('bookings'), ('passengers')) AS t(table_name)"
-    out["gold_table_comments"] = comments_sql()
+    # the same data through the written gold tables
+    for tab in ("revenue", "performance"):
+        out[f"dashboard_{tab}_kpis"] = out[f"{tab}_kpis"]
+        out[f"dashboard_{tab}_table"] = out[f"{tab}_table"]
     return out

@@ -30,19 +30,13 @@ class PipelineConfig:
     # Independent jobs of one layer (bronze sources; gold grains airport,
     # passenger, calendar) are submitted from this many driver threads.
     parallel_jobs: int = 3
-    # multiLine CSV parsing (line breaks inside quoted fields) makes a file
-    # unsplittable.  None = automatic: multiLine while every file of a source
-    # is at most ``multi_line_max_file_bytes`` (one bounded task per file),
-    # splittable parsing otherwise (a broken quoted record then fails the read).
-    multi_line: bool | None = None
-    multi_line_max_file_bytes: int = 512 * 1024 * 1024
     # A dimension is broadcast only when an aggregate over it proves at most
     # this many rows and bytes of values; otherwise it is joined by a
     # skew-aware shuffle join.
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 64 * 1024 * 1024
     # Skew handling for shuffle joins: keys (null included) with at least
-    # ``hot_key_rows`` fact rows (the top ``max_hot_keys`` of them) are spread
+    # ``hot_key_rows`` fact rows (so at most rows / hot_key_rows keys) are spread
     # over ceil(rows / ``salt_rows``) sub-keys each, so a key holding a third
     # of 100 TB is cut into task-sized pieces; other keys join as usual.
     # Detection is one exact aggregation of the key column (a shuffle of
@@ -51,7 +45,6 @@ class PipelineConfig:
     skew_salting: bool = True
     salt_rows: int = 2_000_000
     hot_key_rows: int = 2_000_000
-    max_hot_keys: int = 10_000
 
     def __post_init__(self) -> None:
         if self.on_bad_date not in BAD_DATE_MODES:

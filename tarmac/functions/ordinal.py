@@ -6,10 +6,6 @@ each partition and checkpointed, rows are numbered inside each partition
 (``monotonically_increasing_id`` is consecutive within a partition), and each
 partition adds the row count of the partitions before it.  Only the per-partition counts (one row per
 partition) are gathered in one place and broadcast back.
-
-A frame that a distributed count proves small (``single_task_max_rows``) is
-numbered by one ordered window instead: for a few thousand rows (one row per
-airport) that is one job instead of four, and the bound is checked, not assumed.
 """
 
 from __future__ import annotations
@@ -22,7 +18,6 @@ from pyspark.sql import functions as F
 from tarmac.session import checkpoint_dir
 
 _PART, _ID, _OFFSET, _N = "__pos_part", "__pos_id", "__pos_offset", "__pos_n"
-SINGLE_TASK_MAX_ROWS = 100_000
 
 
 def with_position(
@@ -31,24 +26,18 @@ def with_position(
     name: str = "position",
     start: int = 1,
     partitions: int | None = None,
-    single_task_max_rows: int = SINGLE_TASK_MAX_ROWS,
-    rows: int | None = None,
 ) -> DataFrame:
     """Append ``name``: the row's place (from ``start``) in ``order``.
 
     ``order`` should be a total order (add tie-breaking columns); rows that tie
     on every order column are interchangeable, so the result is still unique.
-    ``rows`` is the frame's row count when the caller has already counted it.
     """
-    if single_task_max_rows > 0 and (rows if rows is not None else df.count()) <= single_task_max_rows:
-        # proven small: one ordered window in one task
-        number = F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1)
-        return df.withColumn(name, number.cast("int"))
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Materialised once (reliable checkpoint in the shared checkpoint folder):
     # the numbering and the per-partition counts then read the very same
-    # partitions, instead of two range exchanges that each sample their bounds.
+    # partitions, instead of two range exchanges that each sample their bounds;
+    # the frame's lineage is read once for the checkpoint and once to sample.
     checkpoint_dir(df.sparkSession)
     ranged = (
         df.repartitionByRange(partitions, *order)

@@ -5,9 +5,9 @@ Left joins never drop a booking.  Each dimension is joined by one of these plans
 * **broadcast hash join** when one aggregate proves the dimension small
   (``cfg.broadcast_max_rows`` rows and ``cfg.broadcast_max_bytes`` bytes of
   values): the fact side is not shuffled at all, so hot keys cost nothing;
-* **salted shuffle join** otherwise: the hottest keys, null included (at
-  least ``cfg.hot_key_rows`` fact rows, at most ``cfg.max_hot_keys`` of them),
-  are spread over ``ceil(rows / cfg.salt_rows)`` sub-keys each; dimension
+* **salted shuffle join** otherwise: the hot keys, null included (at least
+  ``cfg.hot_key_rows`` fact rows), are all spread over
+  ``ceil(rows / cfg.salt_rows)`` sub-keys each; dimension
   rows of hot keys are copied once per sub-key.  Every other key
   joins as a plain equi-join, and AQE skew splitting still applies on top
   (``cfg.skew_salting=False`` leaves only the plain shuffle join and AQE).
@@ -34,6 +34,7 @@ from pyspark.sql.types import (
 )
 
 from tarmac.config import PipelineConfig
+from tarmac.session import checkpoint_dir
 
 _HOT = "__hot_key"
 _BUCKETS = "__buckets"
@@ -89,16 +90,11 @@ def fits_broadcast(dim: DataFrame, cfg: PipelineConfig) -> bool:
 
 def hot_keys(fact: DataFrame, key: str, cfg: PipelineConfig) -> DataFrame:
     """``(key, __buckets)`` for the keys — null included — holding at least
-    ``cfg.hot_key_rows`` fact rows (the top ``cfg.max_hot_keys`` of them, a
-    frame with a proven size bound), each with the number of sub-keys that
-    leaves about ``cfg.salt_rows`` rows per sub-key.
-
-    Keys beyond the cap are still joined exactly (plain shuffle join)."""
+    ``cfg.hot_key_rows`` fact rows, each with the number of sub-keys that leaves
+    about ``cfg.salt_rows`` rows per sub-key."""
     counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
     return (
         counts.where(F.col("__rows") >= cfg.hot_key_rows)
-        .orderBy(F.desc("__rows"), F.col(key).asc_nulls_first())
-        .limit(cfg.max_hot_keys)
         .select(key, F.ceil(F.col("__rows") / F.lit(cfg.salt_rows)).cast("int").alias(_BUCKETS))
     )
 
@@ -113,7 +109,11 @@ def salted_left_join(
     :func:`hot_keys`) may be computed on a cheaper frame than ``fact`` — e.g.
     the raw bookings instead of an already joined frame: which keys are salted
     only spreads load, the join result is exact either way."""
-    hot = F.broadcast(hot if hot is not None else hot_keys(fact, key, cfg))
+    # Counted once; broadcast only behind the same size proof as a dimension.
+    checkpoint_dir(fact.sparkSession)
+    hot = (hot if hot is not None else hot_keys(fact, key, cfg)).checkpoint()
+    if fits_broadcast(hot, cfg):
+        hot = F.broadcast(hot)
     hot_key = hot.select(_col(key).alias(_HOT), _BUCKETS)
     # Spread by row content and input partition: deterministic on task retry,
     # and exact copies of one row still land in different sub-keys when they

@@ -3,9 +3,8 @@
 The dashboard drew figures and HTML from sorted pandas frames.  The data
 behind each figure is produced here as a DataFrame: positions (sort order),
 values, axis bounds, stable category slots, shares of the maximum, labels.
-Positions come from :func:`tarmac.functions.ordinal.with_position` (one ordered
-window only for a frame proven small by a count, distributed numbering
-otherwise); maxima and counts are scalar subqueries.
+Positions come from :func:`tarmac.functions.ordinal.with_position` (numbered
+over all tasks); maxima and counts are scalar subqueries.
 """
 
 from __future__ import annotations
@@ -48,24 +47,22 @@ def _with_slot(df: DataFrame, slots: DataFrame) -> DataFrame:
     return df.join(slots, "airport_name", "left").withColumn("slot", F.coalesce(F.col("slot"), F.lit(0)))
 
 
-def bar_series(selected: DataFrame, value: str, slots: DataFrame, rows: int | None = None) -> DataFrame:
+def bar_series(selected: DataFrame, value: str, slots: DataFrame) -> DataFrame:
     """Horizontal bar data: rows sorted ascending by ``value`` (nulls last),
-    ``axis_max`` = 1.2 × the largest value, ``slot`` for the colour.
-    ``rows``: the selection's row count, if already known."""
+    ``axis_max`` = 1.2 × the largest value, ``slot`` for the colour."""
     axis_max = selected.agg(F.max(F.col(value).cast("double")) * F.lit(AXIS_HEADROOM)).scalar()
     base = selected.select(*TIE, F.col(value).cast("double").alias("value"))
-    ordered = with_position(base, [F.col("value").asc_nulls_last(), *_tie_cols()], rows=rows)
+    ordered = with_position(base, [F.col("value").asc_nulls_last(), *_tie_cols()])
     return _with_slot(ordered, slots).select(
         "position", "airport_name", "value", axis_max.alias("axis_max"), "slot"
     )
 
 
-def booking_range(selected: DataFrame, rows: int | None = None) -> DataFrame:
+def booking_range(selected: DataFrame) -> DataFrame:
     """Grouped min / avg / max bars per airport, airports sorted by the average."""
     ordered = with_position(
         selected.select(*TIE, "min_booking_value", "avg_booking_value", "max_booking_value"),
         [F.col("avg_booking_value").asc_nulls_last(), *_tie_cols()],
-        rows=rows,
     )
     long = ordered.unpivot(
         ["position", "airport_name"],
@@ -119,15 +116,15 @@ def _shares(selected: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
     return {c: capped_share(F.col(c), maxima.select(c).scalar()) for c in columns}
 
 
-def _ranked(selected: DataFrame, rows: int | None) -> DataFrame:
+def _ranked(selected: DataFrame) -> DataFrame:
     """Rank 1 = highest revenue (nulls last), ties by name, city, country."""
-    return with_position(selected, [F.col("total_revenue").desc_nulls_last(), *_tie_cols()], name="rank", rows=rows)
+    return with_position(selected, [F.col("total_revenue").desc_nulls_last(), *_tie_cols()], name="rank")
 
 
-def revenue_table(selected: DataFrame, rows: int | None = None) -> DataFrame:
+def revenue_table(selected: DataFrame) -> DataFrame:
     """Revenue detail rows with each measure's share of the column maximum."""
     share = _shares(selected, ["total_bookings", "total_revenue", "avg_revenue_per_booking"])
-    return _ranked(selected, rows).select(
+    return _ranked(selected).select(
         "rank",
         "airport_name",
         "city",
@@ -141,11 +138,11 @@ def revenue_table(selected: DataFrame, rows: int | None = None) -> DataFrame:
     )
 
 
-def performance_table(selected: DataFrame, rows: int | None = None) -> DataFrame:
+def performance_table(selected: DataFrame) -> DataFrame:
     """Performance detail rows; the maximum booking value has no share bar."""
     cols = ["total_flights", "unique_passengers", "pax_per_flight", "avg_booking_value", "revenue_per_pax"]
     share = _shares(selected, cols)
-    return _ranked(selected, rows).select(
+    return _ranked(selected).select(
         "rank",
         "airport_name",
         "city",

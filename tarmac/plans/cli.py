@@ -5,8 +5,8 @@
   python -m tarmac.plans.cli dashboard [--select NAME …] [--all] [--root …]
 
 ``--root`` defaults to a folder under the cluster's ``spark.checkpoint.dir``.
-Only small results reach the driver: row counts, the build summary and the
-four five-row previews, printed with ``show``.
+Small results reach the driver, printed whole: row counts, the build summary,
+the four five-row previews and the dashboard's frames (one row per airport).
 """
 
 from __future__ import annotations
@@ -14,10 +14,13 @@ from __future__ import annotations
 import argparse
 import logging
 
+from pyspark.sql.types import StructType
+
 from tarmac.config import PipelineConfig, default_config
 from tarmac.plans import build_bronze, build_gold, build_silver
 from tarmac.plans.dashboard import DEFAULT, Dashboard
 from tarmac.plans.gold import previews
+from tarmac.schemas import SCHEMAS, SourceSpec
 from tarmac.session import build_session
 
 log = logging.getLogger("tarmac")
@@ -32,9 +35,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--on-bad-date", choices=["fail", "null"], default="fail")
     ap.add_argument("--no-sort", action="store_true", help="skip ORDER BY before the gold writes")
-    csv_mode = ap.add_mutually_exclusive_group()
-    csv_mode.add_argument("--single-line-csv", action="store_true", help="splittable CSV (no line breaks in quotes)")
-    csv_mode.add_argument("--multi-line-csv", action="store_true", help="line breaks in quotes, one task per file")
+    ap.add_argument("--split", action="append", default=[], metavar="NAME", help="split this source's files (no line breaks in quotes)")
+    ap.add_argument("--schema", action="append", default=[], metavar="NAME=DDL", help="types of this source's columns")
+    ap.add_argument("--infer", action="append", default=[], metavar="NAME", help="infer this source's types from its values")
     ap.add_argument("--master")
     ap.add_argument("--select", action="append", metavar="AIRPORT", help="dashboard: airport name to show")
     ap.add_argument("--all", action="store_true", help="dashboard: every airport")
@@ -43,17 +46,16 @@ def parse_args(argv=None) -> argparse.Namespace:
 
 def main(argv=None) -> int:
     args = parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    logging.basicConfig(level=logging.INFO, format="{levelname:<7} {name}: {message}", style="{")
     spark = build_session("tarmac", master=args.master)
     options = dict(
         catalog=args.catalog,
         format=args.format,
         on_bad_date=args.on_bad_date,
         sort_output=not args.no_sort,
-        multi_line=False if args.single_line_csv else (True if args.multi_line_csv else None),
     )
     cfg = PipelineConfig(root=args.root, **options) if args.root else default_config(spark, **options)
-    sources = dict(s.split("=", 1) for s in args.source)
+    sources = source_specs(args)
     if args.layer in ("bronze", "all"):
         if not sources:
             raise SystemExit("bronze needs --source NAME=PATH for bookings, passengers and airports")
@@ -74,6 +76,21 @@ def main(argv=None) -> int:
     return 0
 
 
+def source_specs(args: argparse.Namespace) -> dict[str, SourceSpec]:
+    """The named sources with their paths, types and parse modes."""
+    paths = dict(s.split("=", 1) for s in args.source)
+    given = {name: StructType.fromDDL(ddl) for name, ddl in (s.split("=", 1) for s in args.schema)}
+    unknown = {*given, *args.split, *args.infer} - set(paths)
+    if unknown:
+        raise SystemExit(f"no --source for {sorted(unknown)}")
+    return {
+        name: SourceSpec(
+            name, path, None if name in args.infer else given.get(name, SCHEMAS.get(name)), name not in args.split
+        )
+        for name, path in paths.items()
+    }
+
+
 def show_dashboard(spark, cfg: PipelineConfig, selection) -> None:
     """Print the data of both tabs (KPIs, series, tables) for a selection."""
     board = Dashboard(spark, cfg)
@@ -82,7 +99,9 @@ def show_dashboard(spark, cfg: PipelineConfig, selection) -> None:
             for name, df in frames.items():
                 log.info("%s / %s", tab, name)
                 order = [c for c in ("position", "rank") if c in df.columns]
-                (df.orderBy(*order) if order else df).show(50, truncate=False)
+                whole = (df.orderBy(*order) if order else df).cache()
+                whole.show(max(1, whole.count()), truncate=False)
+                whole.unpersist()
     finally:
         board.close()
 

@@ -33,43 +33,43 @@ class Dashboard:
         self.revenue = revenue_data(spark, cfg, ordered=False).cache()
         self.performance = performance_data(spark, cfg, ordered=False).cache()
         self.slots = series.category_slots(self.revenue, self.performance).cache()
-        self._selections: list[DataFrame] = []
+        self._selections: dict[str, DataFrame] = {}
 
-    def _select(self, view: DataFrame, selection) -> tuple[DataFrame, views.Selection, int]:
+    def _select(self, tab: str, view: DataFrame, selection) -> tuple[DataFrame, views.Selection]:
         """``"default"`` = first five names (initial state), ``None`` = all
         names ("select all"), ``[]`` = cleared, or a list / DataFrame of names.
 
-        The selection is cached and counted once (the count fills the cache);
-        the series reuse that count instead of counting again."""
+        The tab's selection is cached; the one before it is released."""
         if isinstance(selection, str) and selection == DEFAULT:
             selection = views.default_selection(view)
-        selected = views.filter_airports(view, selection).cache()
-        self._selections.append(selected)
-        return selected, selection, selected.count()
+        if tab in self._selections:
+            self._selections[tab].unpersist()
+        self._selections[tab] = views.filter_airports(view, selection).cache()
+        return self._selections[tab], selection
 
     def revenue_tab(self, selection=DEFAULT) -> dict[str, DataFrame]:
-        sel, chosen, n = self._select(self.revenue, selection)
+        sel, chosen = self._select("revenue", self.revenue, selection)
         return {
             "kpis": views.revenue_kpis(self.revenue, chosen),
-            "bookings": series.bar_series(sel, "total_bookings", self.slots, n),
-            "revenue": series.bar_series(sel, "total_revenue", self.slots, n),
-            "avg_revenue": series.bar_series(sel, "avg_revenue_per_booking", self.slots, n),
+            "bookings": series.bar_series(sel, "total_bookings", self.slots),
+            "revenue": series.bar_series(sel, "total_revenue", self.slots),
+            "avg_revenue": series.bar_series(sel, "avg_revenue_per_booking", self.slots),
             "scatter": series.revenue_scatter(sel, self.slots),
-            "table": series.revenue_table(sel, n),
+            "table": series.revenue_table(sel),
         }
 
     def performance_tab(self, selection=DEFAULT) -> dict[str, DataFrame]:
-        sel, chosen, n = self._select(self.performance, selection)
+        sel, chosen = self._select("performance", self.performance, selection)
         return {
             "kpis": views.performance_kpis(self.performance, chosen),
-            "revenue_per_pax": series.bar_series(sel, "revenue_per_pax", self.slots, n),
-            "pax_per_flight": series.bar_series(sel, "pax_per_flight", self.slots, n),
-            "booking_range": series.booking_range(sel, n),
+            "revenue_per_pax": series.bar_series(sel, "revenue_per_pax", self.slots),
+            "pax_per_flight": series.bar_series(sel, "pax_per_flight", self.slots),
+            "booking_range": series.booking_range(sel),
             "scatter": series.performance_scatter(sel, self.slots),
-            "table": series.performance_table(sel, n),
+            "table": series.performance_table(sel),
         }
 
     def close(self) -> None:
-        for df in (*self._selections, self.revenue, self.performance, self.slots):
+        for df in (*self._selections.values(), self.revenue, self.performance, self.slots):
             df.unpersist()
         self._selections.clear()

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.config import PipelineConfig
 from tarmac.operators.join import build_obt
-from tarmac.sources.tables import load_table, row_counts, write_table
+from tarmac.sources.tables import load_table, row_counts, verify, write_table
 
 OBT_TABLE = "bookings_obt"
 
 
 def build_silver(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     bookings, passengers, airports = (load_table(spark, cfg, "bronze", n) for n in ("bookings", "passengers", "airports"))
-    full = write_table(build_obt(bookings, passengers, airports, cfg), cfg, "silver", OBT_TABLE)
-    return row_counts(spark, {OBT_TABLE: full})
+    written = write_table(build_obt(bookings, passengers, airports, cfg), cfg, "silver", OBT_TABLE)
+    return verify(row_counts(spark, {OBT_TABLE: written.name}), {OBT_TABLE: written})

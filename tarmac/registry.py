@@ -9,19 +9,22 @@ shared checkpoint folder and return what the job reports.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tarmac.config import PipelineConfig, default_config
 from tarmac.operators import marts, series, topk, views
 from tarmac.operators.join import build_obt
 from tarmac.plans import build_bronze, build_gold, build_silver
+from tarmac.plans.dashboard import DEFAULT, Dashboard
+from tarmac.plans.gold import stage
 from tarmac.schemas import SCHEMAS, SourceSpec
 from tarmac.sources import csv as csv_source
 from tarmac.sources import fixtures
-from tarmac.sources.tables import layer_listing, table_comments
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,85 +101,68 @@ QUERIES["bad_dates_as_null"] = bad_dates_as_null
 
 
 def airport_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Revenue and performance views finalized from one airport-grain state."""
+    """Revenue and performance views finalized from one airport-grain state.
+
+    The states (one row per airport) are staged on the shared root, so whatever
+    a query derives from the views (selection, slots, maxima, positions) reads
+    the bookings once."""
     cfg = config(spark)
     states = marts.grain_states(obt(spark, sf_dir, cfg), "airport", cfg)
+    states = stage(states, cfg.staging(f"airport_states-{uuid.uuid4().hex}"))
     rev = marts.finalize(states, marts.MART_BY_NAME["gold_airport_revenue_summary"])
     perf = marts.finalize(states, marts.MART_BY_NAME["gold_airport_performance"])
     return views.revenue_view(rev), views.performance_view(perf)
 
 
-def _rev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return airport_views(spark, sf_dir)[0]
-
-
-def _perf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return airport_views(spark, sf_dir)[1]
+def _on_views(f: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """A query over the revenue and the performance view."""
+    return lambda spark, sf_dir: f(*airport_views(spark, sf_dir))
 
 
-def _default(view_of: Query) -> Query:
+def _default(view: DataFrame) -> DataFrame:
     """The view filtered by its default selection (first five names)."""
+    return views.filter_airports(view, views.default_selection(view))
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        view = view_of(spark, sf_dir)
-        return views.filter_airports(view, views.default_selection(view))
 
-    return run
-
-
-def _everything(view_of: Query) -> Query:
+def _everything(view: DataFrame) -> DataFrame:
     """The view after "select all" (every non-null name)."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return views.filter_airports(view_of(spark, sf_dir), None)
-
-    return run
-
-
-def _slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series.category_slots(*airport_views(spark, sf_dir))
-
-
-def _bar(selected: Query, column: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return series.bar_series(selected(spark, sf_dir), column, _slots(spark, sf_dir))
-
-    return run
+    return views.filter_airports(view, None)
 
 
-def _kpis(kpis, view_of: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        view = view_of(spark, sf_dir)
-        return kpis(view, views.default_selection(view))
+def _bar(of: str, column: str) -> Query:
+    def series_of(rev: DataFrame, perf: DataFrame) -> DataFrame:
+        selected = _everything(rev if of == "revenue" else perf)
+        return series.bar_series(selected, column, series.category_slots(rev, perf))
 
-    return run
+    return _on_views(series_of)
 
 
-_selected_rev, _selected_perf = _default(_rev), _default(_perf)
-_all_rev, _all_perf = _everything(_rev), _everything(_perf)
-
 QUERIES.update(
     {
-        "view_airport_revenue": _rev,
-        "view_airport_performance": _perf,
-        "airport_options": lambda s, d: views.airport_options(_rev(s, d)),
-        "default_airports": lambda s, d: views.default_selection(_rev(s, d)),
-        "selected_airport_revenue": _selected_rev,
-        "selected_airport_performance": _selected_perf,
-        "selected_none": lambda s, d: views.filter_airports(_rev(s, d), []),
-        "airport_slots": _slots,
-        "revenue_kpis": _kpis(views.revenue_kpis, _rev),
-        "performance_kpis": _kpis(views.performance_kpis, _perf),
-        "revenue_table": lambda s, d: series.revenue_table(_all_rev(s, d)),
-        "performance_table": lambda s, d: series.performance_table(_all_perf(s, d)),
-        "chart_bookings": _bar(_all_rev, "total_bookings"),
-        "chart_revenue": _bar(_all_rev, "total_revenue"),
-        "chart_avg_revenue": _bar(_all_rev, "avg_revenue_per_booking"),
-        "chart_revenue_per_pax": _bar(_all_perf, "revenue_per_pax"),
-        "chart_pax_per_flight": _bar(_all_perf, "pax_per_flight"),
-        "chart_booking_range": lambda s, d: series.booking_range(_all_perf(s, d)),
-        "chart_revenue_scatter": lambda s, d: series.revenue_scatter(_selected_rev(s, d), _slots(s, d)),
-        "chart_performance_scatter": lambda s, d: series.performance_scatter(_all_perf(s, d), _slots(s, d)),
+        "view_airport_revenue": _on_views(lambda rev, perf: rev),
+        "view_airport_performance": _on_views(lambda rev, perf: perf),
+        "airport_options": _on_views(lambda rev, perf: views.airport_options(rev)),
+        "default_airports": _on_views(lambda rev, perf: views.default_selection(rev)),
+        "selected_airport_revenue": _on_views(lambda rev, perf: _default(rev)),
+        "selected_airport_performance": _on_views(lambda rev, perf: _default(perf)),
+        "kpis_empty_selection": _on_views(lambda rev, perf: views.revenue_kpis(rev, [])),
+        "airport_slots": _on_views(series.category_slots),
+        "revenue_kpis": _on_views(lambda rev, perf: views.revenue_kpis(rev, views.default_selection(rev))),
+        "performance_kpis": _on_views(lambda rev, perf: views.performance_kpis(perf, views.default_selection(perf))),
+        "revenue_table": _on_views(lambda rev, perf: series.revenue_table(_everything(rev))),
+        "performance_table": _on_views(lambda rev, perf: series.performance_table(_everything(perf))),
+        "chart_bookings": _bar("revenue", "total_bookings"),
+        "chart_revenue": _bar("revenue", "total_revenue"),
+        "chart_avg_revenue": _bar("revenue", "avg_revenue_per_booking"),
+        "chart_revenue_per_pax": _bar("performance", "revenue_per_pax"),
+        "chart_pax_per_flight": _bar("performance", "pax_per_flight"),
+        "chart_booking_range": _on_views(lambda rev, perf: series.booking_range(_everything(perf))),
+        "chart_revenue_scatter": _on_views(
+            lambda rev, perf: series.revenue_scatter(_default(rev), series.category_slots(rev, perf))
+        ),
+        "chart_performance_scatter": _on_views(
+            lambda rev, perf: series.performance_scatter(_everything(perf), series.category_slots(rev, perf))
+        ),
     }
 )
 
@@ -190,7 +176,7 @@ def _bronze_source(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         cfg = build_config(spark, sf_dir, f"bronze_{name}")
         path = export_sources(spark, sf_dir, cfg, [name])[name]
-        return csv_source.read_source(spark, SourceSpec(name, path, SCHEMAS[name]), cfg)
+        return csv_source.read_source(spark, SourceSpec(name, path, SCHEMAS[name]))
 
     return run
 
@@ -224,20 +210,60 @@ def gold_build_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_gold(spark, cfg)
 
 
-def layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze build, then ``SHOW TABLES IN bronze``."""
-    cfg = build_config(spark, sf_dir, "layer_tables")
-    build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
-    return layer_listing(spark, cfg, "bronze")
+def bronze_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with a line break, commas and quotes through the CSV round trip."""
+    cfg = build_config(spark, sf_dir, "bronze_line_breaks")
+    people = fixtures.passengers(spark, sf_dir)
+    name = F.concat("name", F.lit('\nof "'), "nationality", F.lit('", '), "gender")
+    path = f"{cfg.root}/csv/people.csv"
+    csv_source.write_csv(fixtures.untidy(people.withColumn("name", name), "passengers"), path)
+    return csv_source.read_source(spark, SourceSpec("passengers", path, SCHEMAS["passengers"])).select(people.columns)
 
 
-def gold_table_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full build, then each mart's comment read back from the catalog."""
-    cfg = build_config(spark, sf_dir, "gold_table_comments")
-    build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
-    build_silver(spark, cfg)
-    build_gold(spark, cfg)
-    return table_comments(spark, {m.name: cfg.qualify("gold", m.name) for m in marts.MARTS})
+def bronze_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bookings without a schema: ids become bigint, amounts double, dates text."""
+    cfg = build_config(spark, sf_dir, "bronze_inferred_types")
+    path = export_sources(spark, sf_dir, cfg, ["bookings"])["bookings"]
+    return csv_source.read_source(spark, SourceSpec("bookings", path, None))
+
+
+def gold_airport_revenue_string_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text ids, by a schema of the caller, through the CSV, the wide table and a mart."""
+    cfg = build_config(spark, sf_dir, "string_ids")
+    prefix = {"booking_id": "B", "passenger_id": "P", "airport_id": "A"}
+    wide = {}
+    for name, df in fixtures.sources(spark, sf_dir).items():
+        text = df.select(*[F.concat(F.lit(prefix[c]), c).alias(c) if c in prefix else F.col(c) for c in df.columns])
+        path = f"{cfg.root}/csv/{name}.csv"
+        csv_source.write_csv(fixtures.untidy(text, name), path)
+        schema = StructType([StructField(f.name, StringType()) if f.name in prefix else f for f in SCHEMAS[name]])
+        wide[name] = csv_source.read_source(spark, SourceSpec(name, path, schema))
+    return marts.build_mart(build_obt(*wide.values(), cfg), "gold_airport_revenue_summary", cfg)
+
+
+def gold_subcent_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of four decimals, through the CSV: rounded once, in the mart."""
+    cfg = build_config(spark, sf_dir, "subcent")
+    path = f"{cfg.root}/csv/bookings.csv"
+    csv_source.write_csv(fixtures.untidy(fixtures.bookings(spark, sf_dir, fixtures.discounted), "bookings"), path)
+    bookings = csv_source.read_source(spark, SourceSpec("bookings", path, SCHEMAS["bookings"]))
+    wide = build_obt(bookings, fixtures.passengers(spark, sf_dir), fixtures.airports(spark, sf_dir), cfg)
+    return marts.build_mart(wide, "gold_airport_revenue_summary", cfg)
+
+
+def _dashboard(tab: str, frame: str) -> Query:
+    """A frame of the dashboard, read from gold tables that the three layer jobs have written."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cfg = build_config(spark, sf_dir, f"dashboard_{tab}_{frame}")
+        build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
+        build_silver(spark, cfg)
+        build_gold(spark, cfg)
+        board = Dashboard(spark, cfg)
+        show = board.revenue_tab if tab == "revenue" else board.performance_tab
+        return show(DEFAULT if frame == "kpis" else None)[frame]
+
+    return run
 
 
 QUERIES.update(
@@ -251,7 +277,10 @@ QUERIES.update(
         "silver_bookings_obt": obt,
         "silver_row_counts": silver_row_counts,
         "gold_build_summary": gold_build_summary,
-        "layer_tables": layer_tables,
-        "gold_table_comments": gold_table_comments,
+        "bronze_line_breaks": bronze_line_breaks,
+        "bronze_inferred_types": bronze_inferred_types,
+        "gold_airport_revenue_string_ids": gold_airport_revenue_string_ids,
+        "gold_subcent_revenue": gold_subcent_revenue,
+        **{f"dashboard_{tab}_{frame}": _dashboard(tab, frame) for tab in ("revenue", "performance") for frame in ("kpis", "table")},
     }
 )

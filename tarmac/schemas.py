@@ -1,7 +1,8 @@
 """Typed schemas of the three sources and the wide table.
 
 Columns are matched by name (never by position).  A source file may carry more
-columns than listed here; they are kept as strings.
+columns than listed here; they are kept as strings.  A caller may give another
+schema (ids as text, say) or have the types inferred from the values.
 """
 
 from __future__ import annotations
@@ -45,11 +46,16 @@ AIRPORTS = StructType(
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """One raw dataset: table name, where its CSV files live, its typed schema."""
+    """One raw dataset: table name, where its CSV files live, its typed schema.
+
+    ``schema=None`` infers every column's type.  ``multi_line`` says whether a
+    quoted field may hold line breaks: such a file is parsed by one task.
+    Without it files are split, and a record that breaks across lines raises."""
 
     name: str
     path: str
-    schema: StructType
+    schema: StructType | None
+    multi_line: bool = True
 
 
 SCHEMAS = {"bookings": BOOKINGS, "passengers": PASSENGERS, "airports": AIRPORTS}

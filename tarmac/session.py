@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,7 +47,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     value = _conf_checkpoint_dir(spark)
     if value is None:
-        if not str(spark.conf.get("spark.master", "")).startswith("local"):
+        if not re.match(r"local(\[|$)", str(spark.conf.get("spark.master", ""))):
             raise RuntimeError(f"{CHECKPOINT_KEY} is not set: name a folder on shared storage")
         value = tempfile.mkdtemp(prefix="tarmac-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, value)

@@ -4,17 +4,26 @@ Executors parse the files; the driver only reads the header row.  Order of
 work: every column read as text by header name → names normalised → missing-
 value tokens turned into null → each known column cast by *name* to its type
 (unknown extra columns stay text).  Casts are checked: a value that does not
-fit its type raises instead of silently becoming null, whatever the session's
-ANSI setting.
+fit its type (a fraction or too large a number for an integer, too many digits
+for a decimal) raises instead of silently changing or becoming null, whatever
+the session's ANSI setting.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, IntegralType, StringType, StructType
+from pyspark.sql.types import (
+    DataType,
+    DecimalType,
+    DoubleType,
+    IntegralType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
-from tarmac.config import PipelineConfig
 from tarmac.schemas import SourceSpec
 
 # The strings pandas.read_csv treats as missing by default.
@@ -87,15 +96,20 @@ def _checked_cast(name: str, dtype: DataType) -> Column:
     if isinstance(dtype, StringType):
         return s
     if isinstance(dtype, IntegralType):
-        # ids may be written "1.0"; anything with a fraction or no number raises
-        num = s.try_cast("decimal(38,6)")
-        bad = s.isNotNull() & (num.isNull() | (num != F.floor(num)))
-        value = num.cast(dtype)
-        kind = "an integer"
+        # ids may be written "1.0"; a fraction, however small, or no number raises
+        value = F.when(s.rlike(r"^\s*[+-]?\d+(\.0*)?\s*$"), F.regexp_replace(s, r"\.0*\s*$", "")).try_cast(dtype)
+        kind = f"an integer that fits {dtype.simpleString()}"
+    elif isinstance(dtype, DecimalType):
+        rounded = s.try_cast(dtype)
+        digits = F.length(F.regexp_extract(s, r"\.(\d*?)0*\s*$", 1))
+        # exponents have no fixed place for the point: they must survive a round trip at full scale
+        whole = F.when(s.rlike("[eE]"), rounded == s.try_cast("decimal(38,18)")).otherwise(digits <= dtype.scale)
+        value = F.when(whole, rounded)
+        kind = f"a decimal with at most {dtype.scale} digits after the point that fits {dtype.simpleString()}"
     else:
         value = s.try_cast(dtype)
-        bad = s.isNotNull() & value.isNull()
-        kind = "a decimal" if isinstance(dtype, DecimalType) else dtype.simpleString()
+        kind = dtype.simpleString()
+    bad = s.isNotNull() & value.isNull()
     message = F.concat(F.lit(f"column {name}: not {kind}: "), s)
     return F.when(bad, F.raise_error(message)).otherwise(value)
 
@@ -143,23 +157,40 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     return raw.toDF(*[normalize_name(h) for h in header])
 
 
-def largest_file_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the largest file under ``path`` (file listing only: the
-    ``binaryFile`` source does not read contents that are not selected)."""
-    row = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("n")).first()
-    return int(row["n"] or 0)
-
-
-def use_multi_line(spark: SparkSession, path: str, cfg: PipelineConfig) -> bool:
-    if cfg.multi_line is not None:
-        return cfg.multi_line
-    return largest_file_bytes(spark, path) <= cfg.multi_line_max_file_bytes
-
-
-def read_source(spark: SparkSession, spec: SourceSpec, cfg: PipelineConfig) -> DataFrame:
+def check_quotes(spark: SparkSession, path: str) -> None:
+    """Raise if a line has an odd number of quotes: its record goes on in the next line, and a split parse would tear it."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    torn = spark.read.text(path).where(quotes % 2 == 1).take(1)
+    if torn:
+        raise ValueError(f"{path}: a quoted field breaks across lines; read it with multi_line: {torn[0].value!r}")
+
+
+def infer_schema(df: DataFrame) -> StructType:
+    """Type of each text column from all its values: bigint, double or string (one aggregate; all-null is string)."""
+    kinds = ("bigint", "double")
+    fits = []
+    for c in df.columns:
+        s = F.col(f"`{c}`")
+        fits.append(F.count(s).alias(f"{c}:n"))
+        whole = s.rlike(r"^\s*[+-]?\d+\s*$")
+        for kind in kinds:
+            value = F.when(whole, s).try_cast("bigint") if kind == "bigint" else s.try_cast("double")
+            fits.append(F.count(value).alias(f"{c}:{kind}"))
+    seen = df.agg(*fits).first()
+    fields = []
+    for c in df.columns:
+        n = seen[f"{c}:n"]
+        kind = next((k for k in kinds if n and seen[f"{c}:{k}"] == n), "string")
+        fields.append(StructField(c, {"bigint": LongType(), "double": DoubleType()}.get(kind, StringType())))
+    return StructType(fields)
+
+
+def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """CSV files of one source → typed DataFrame (bronze contents)."""
-    raw = read_raw(spark, spec.path, use_multi_line(spark, spec.path, cfg))
-    return cast_by_name(null_tokens(raw), spec.schema, spec.name)
+    if not spec.multi_line:
+        check_quotes(spark, spec.path)
+    text = null_tokens(read_raw(spark, spec.path, spec.multi_line))
+    return cast_by_name(text, infer_schema(text) if spec.schema is None else spec.schema, spec.name)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

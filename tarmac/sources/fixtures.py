@@ -1,9 +1,8 @@
 """Bookings, passengers and airports derived from the driver's TPC-H-like tables.
 
-The mapping (FIXTURES.md §2) leaves some keys null and some dimension rows out
-on purpose, so that null groups and unmatched bookings are exercised.  It reads
-whole tables; the modulo predicates only choose which rows get a null key or
-lose their dimension row.
+The mapping (FIXTURES.md §2) makes some booking keys null and shifts others out
+of the dimensions' range on purpose, so that null groups and unmatched bookings
+are exercised.  It reads whole tables and keeps every row of each.
 """
 
 from __future__ import annotations
@@ -16,6 +15,19 @@ from pyspark.sql.types import TimestampNTZType
 from tarmac.functions.money import MONEY
 
 
+# Added to a booking key to make it match no dimension row.
+NO_SUCH_KEY = 1_000_000_000
+
+
+def _key(name: str, null_when, dangling_when):
+    return (
+        F.when(null_when, F.lit(None))
+        .when(dangling_when, F.col(name) + F.lit(NO_SUCH_KEY))
+        .otherwise(F.col(name))
+        .cast("long")
+    )
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -33,9 +45,18 @@ def utc_date(df: DataFrame, column: str):
     return F.date_from_unix_date(F.floor(F.unix_seconds(c) / F.lit(86400)).cast("int"))
 
 
-def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def price(li: DataFrame):
+    return F.col("l_extendedprice").cast("decimal(12,2)")
+
+
+def discounted(li: DataFrame):
+    """Price after discount: four decimals."""
+    return price(li) * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+
+
+def bookings(spark: SparkSession, sf_dir: str, amount=price) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount"
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
@@ -44,16 +65,16 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("l_orderkey") * 10 + F.col("l_linenumber"))
         .cast("long")
         .alias("booking_id"),
-        F.when(F.col("l_partkey") % 97 == 0, F.lit(None)).otherwise(F.col("o_custkey")).cast("long").alias("passenger_id"),
+        _key("o_custkey", F.col("l_partkey") % 97 == 0, F.col("o_custkey") % 10 == 7).alias("passenger_id"),
         F.col("l_partkey").cast("long").alias("flight_id"),
-        F.when(F.col("l_partkey") % 101 == 0, F.lit(None)).otherwise(F.col("l_suppkey")).cast("long").alias("airport_id"),
-        F.col("l_extendedprice").cast(MONEY).alias("amount"),
+        _key("l_suppkey", F.col("l_partkey") % 101 == 0, F.col("l_suppkey") % 10 == 3).alias("airport_id"),
+        amount(li).cast(MONEY).alias("amount"),
         F.date_format(utc_date(j, "o_orderdate"), "yyyy-MM-dd").alias("booking_date"),
     )
 
 
 def passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 10 != 7)
+    c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
         F.col("c_custkey").cast("long").alias("passenger_id"),
@@ -64,7 +85,7 @@ def passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 10 != 3)
+    s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return (

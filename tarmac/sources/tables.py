@@ -8,8 +8,9 @@ location, and nothing lands in a machine-local warehouse folder.
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.config import PipelineConfig
@@ -17,6 +18,13 @@ from tarmac.config import PipelineConfig
 LAYERS = ("bronze", "silver", "gold")
 
 
+class Written(NamedTuple):
+    """A written table: its qualified name and the rows that went into it."""
+
+    name: str
+    rows: int
+
+
 def sql_string(text: str) -> str:
     """Quote ``text`` as a Spark SQL string literal."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -42,21 +50,36 @@ def write_table(
     layer: str,
     name: str,
     comment: str | None = None,
-) -> str:
+) -> Written:
     """Full overwrite of ``layer.name``; the schema may change between runs.
 
     Overwriting a table drops its comment, so the comment is set after every
-    write.  Returns the qualified table name."""
+    write.  The rows are counted on their way out and again in the written
+    table; a difference raises.  Returns the qualified table name and that count."""
     spark = df.sparkSession
     ensure_layer(spark, cfg, layer)
     full = cfg.qualify(layer, name)
+    seen = Observation(f"{layer}.{name}")
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = df.write.format(cfg.format).mode("overwrite").option("path", cfg.location(layer, name))
     if cfg.format == "delta":
         writer = writer.option("overwriteSchema", "true")
     writer.saveAsTable(full)
     if comment is not None:
         set_comment(spark, full, comment)
-    return full
+    return Written(full, seen.get["rows"])
+
+
+def verify(counts: DataFrame, written: dict[str, "Written"]) -> DataFrame:
+    """``(table_name, rows_written, row_count)``; a table whose count differs from what was written raises.
+
+    ``counts`` has one row per table, so this check collects a listing, not data."""
+    found = {r.table_name: r.row_count for r in counts.collect()}
+    wrong = {t: (w.rows, found.get(t)) for t, w in written.items() if found.get(t) != w.rows}
+    if wrong:
+        raise RuntimeError(f"rows written and rows read back differ: {wrong}")
+    rows = F.create_map(*[x for t, w in written.items() for x in (F.lit(t), F.lit(w.rows).cast("bigint"))])
+    return counts.select("table_name", rows[F.col("table_name")].alias("rows_written"), "row_count")
 
 
 def _same_path(a: str, b: str) -> bool:
@@ -70,18 +93,19 @@ def table_location(spark: SparkSession, table: str) -> str | None:
 
 
 def load_table(spark: SparkSession, cfg: PipelineConfig, layer: str, name: str) -> DataFrame:
-    """Read a layer table by name.
+    """Read a layer table.
 
-    The path under ``cfg.root`` is the source of truth: a table written by
-    another process (its catalog entry gone with that session), or registered
-    under the same name for another root, is (re)registered from its path."""
+    The path under ``cfg.root`` is the source of truth.  A table written by
+    another process (its catalog entry gone with that session) is registered
+    from its path; if the name is taken by a table elsewhere, that one is left
+    alone and the files under the root are read by path."""
     full = cfg.qualify(layer, name)
     path = cfg.location(layer, name)
     if spark.catalog.tableExists(full):
         location = table_location(spark, full)
         if location is not None and _same_path(location, path):
             return spark.table(full)
-        spark.sql(f"DROP TABLE {full}")  # external table: the files stay
+        return spark.read.format(cfg.format).load(path)
     ensure_layer(spark, cfg, layer)
     spark.catalog.createTable(full, path=path, source=cfg.format)
     return spark.table(full)
@@ -111,18 +135,8 @@ def layer_counts(spark: SparkSession, cfg: PipelineConfig, layer: str) -> DataFr
     return row_counts(spark, {t: cfg.qualify(layer, t) for t in list_layer(spark, cfg, layer)})
 
 
-def layer_listing(spark: SparkSession, cfg: PipelineConfig, layer: str) -> DataFrame:
-    """``SHOW TABLES IN <layer>`` as a DataFrame of ``table_name``."""
-    shown = spark.sql(f"SHOW TABLES IN {cfg.qualify_db(layer)}")
-    return shown.where(~F.col("isTemporary")).select(F.col("tableName").alias("table_name"))
-
-
-def table_comments(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
-    """``(table_name, comment)`` read back with ``DESCRIBE TABLE EXTENDED``."""
-    parts = [
-        spark.sql(f"DESCRIBE TABLE EXTENDED {full}")
-        .where(F.col("col_name") == "Comment")
-        .select(F.lit(short).alias("table_name"), F.col("data_type").alias("comment"))
-        for short, full in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete staged files that no frame reads any more."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

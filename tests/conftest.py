@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tarmac.session import build_session
 
     session = build_session(
@@ -22,6 +22,7 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tmp_path_factory.mktemp("shared").as_uri(),
         },
     )
     yield session

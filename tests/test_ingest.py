@@ -15,7 +15,7 @@ TEXT = StructType([StructField("a", StringType())])
 
 
 def read(spark, cfg, path, schema):
-    return csv_source.read_source(spark, SourceSpec("t", path, schema), cfg)
+    return csv_source.read_source(spark, SourceSpec("t", path, schema))
 
 
 def test_header_normalisation(spark, cfg, scratch):
@@ -88,8 +88,8 @@ def test_integer_amount_keeps_money_type(spark, cfg, scratch):
         "booking_id,passenger_id,flight_id,airport_id,amount,booking_date\n1,1,1,1,3,2024-01-01\n2,1,1,1,4,2024-01-01\n",
     )
     df = read(spark, cfg, p, BOOKINGS)
-    assert df.schema["amount"].dataType == DecimalType(18, 2)
-    assert sorted(r.amount for r in df.collect()) == [Decimal("3.00"), Decimal("4.00")]
+    assert df.schema["amount"].dataType == DecimalType(18, 6)
+    assert sorted(r.amount for r in df.collect()) == [Decimal(3), Decimal(4)]
 
 
 def test_extra_columns_kept_as_text(spark, cfg, scratch):
@@ -119,12 +119,57 @@ def test_files_with_the_same_header_are_read_together(spark, cfg, scratch):
     assert sorted((r.a, r.b) for r in read(spark, cfg, f"{scratch}/same", schema).collect()) == [("1", "2"), ("3", "4")]
 
 
-def test_multi_line_mode_follows_file_size(spark, cfg, scratch):
-    p = write_text(f"{scratch}/ml.csv", 'a,b\n"x\ny",1\n')
-    schema = StructType([StructField("a", StringType()), StructField("b", StringType())])
-    assert csv_source.use_multi_line(spark, p, cfg)
-    assert [(r.a, r.b) for r in read(spark, cfg, p, schema).collect()] == [("x\ny", "1")]
-    split = cfg.with_(multi_line_max_file_bytes=4)
-    assert not csv_source.use_multi_line(spark, p, split)
-    with pytest.raises(Exception):
-        read(spark, split, p, schema).collect()
+@pytest.mark.parametrize("text", ['a,b\n"x\ny",1\n', 'a,b\n1,"x\n2,y"\n3,z\n', 'a\n"x\ny"\n'])
+def test_split_parse_never_tears_a_record(spark, scratch, text):
+    p = write_text(f"{scratch}/torn{len(text)}.csv", text)
+    assert csv_source.read_source(spark, SourceSpec("t", p, TEXT)).filter("a is not null").count() == text.count("\n") - 2
+    with pytest.raises(ValueError, match="breaks across lines"):
+        csv_source.read_source(spark, SourceSpec("t", p, TEXT, multi_line=False))
+
+
+def test_split_parse_reads_whole_lines(spark, scratch):
+    p = write_text(f"{scratch}/lines.csv", 'a,b\n"x, ""y""",1\nz,2\n')
+    rows = csv_source.read_source(spark, SourceSpec("t", p, TEXT, multi_line=False)).collect()
+    assert sorted((r.a, r.b) for r in rows) == [('x, "y"', "1"), ("z", "2")]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("bad", ["99999999999999999999", "1.0000001", "1e3", "B1", "-9223372036854775809"])
+def test_ids_never_change_silently(spark, scratch, ansi, bad):
+    p = write_text(f"{scratch}/id{abs(hash((ansi, bad)))}.csv", f"id\n{bad}\n")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="not an integer"):
+            csv_source.read_source(spark, SourceSpec("t", p, StructType([StructField("id", LongType())]))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_ids_at_the_ends_of_the_range(spark, scratch):
+    p = write_text(f"{scratch}/ends.csv", "id\n9223372036854775807\n-9223372036854775808\n+5\n7.\n8.00\n")
+    df = csv_source.read_source(spark, SourceSpec("t", p, StructType([StructField("id", LongType())])))
+    assert sorted(r.id for r in df.collect()) == [-(2**63), 5, 7, 8, 2**63 - 1]
+
+
+MONEY_ONLY = StructType([StructField("amount", DecimalType(18, 6))])
+
+
+def test_amounts_keep_their_digits(spark, scratch):
+    p = write_text(f"{scratch}/sub.csv", "amount\n" + "10.004\n" * 100 + "1e-3\n2.5000000000\n")
+    values = [r.amount for r in csv_source.read_source(spark, SourceSpec("t", p, MONEY_ONLY)).collect()]
+    assert sum(values) == Decimal("1000.4") + Decimal("0.001") + Decimal("2.5")
+
+
+@pytest.mark.parametrize("bad", ["0.0000001", "1e-7", "1234567890123", "x"])
+def test_amounts_that_do_not_fit_raise(spark, scratch, bad):
+    p = write_text(f"{scratch}/bad{bad}.csv", f"amount\n{bad}\n")
+    with pytest.raises(Exception, match="not a decimal"):
+        csv_source.read_source(spark, SourceSpec("t", p, MONEY_ONLY)).collect()
+
+
+def test_inferred_types(spark, scratch):
+    p = write_text(f"{scratch}/inf.csv", "i,f,t,n,big\n1,1.5,B7,NA,99999999999999999999\n-2,3,8,,1\nNA,1e3,9,,2\n")
+    df = csv_source.read_source(spark, SourceSpec("t", p, None))
+    assert dict(df.dtypes) == {"i": "bigint", "f": "double", "t": "string", "n": "string", "big": "double"}
+    assert sorted((r.i, r.f) for r in df.collect() if r.i is not None) == [(-2, 3.0), (1, 1.5)]

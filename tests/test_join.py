@@ -120,3 +120,17 @@ def test_sub_keys_grow_with_the_key(spark, cfg):
     b, _, _ = frames(spark, rows, [], [])
     got = {r["passenger_id"]: r["__buckets"] for r in hot_keys(b, "passenger_id", cfg.with_(hot_key_rows=100, salt_rows=50)).collect()}
     assert got == {7: 10, None: 6}
+
+
+def test_every_hot_key_is_split(spark, cfg):
+    """No cap: with a low threshold thousands of keys are hot, and the join stays exact whether they fit a broadcast or not."""
+    from tarmac.operators.join import hot_keys, left_join_dimension
+
+    fact = spark.range(60_000).select(F.col("id").alias("b"), (F.col("id") % 12_000).alias("k"))
+    dim = spark.range(11_000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
+    many = cfg.with_(broadcast_max_rows=0, hot_key_rows=5, salt_rows=2)
+    assert hot_keys(fact, "k", many).count() == 12_000
+    for limit in (0, 1_000_000):
+        got = left_join_dimension(fact, dim, "k", many if limit == 0 else many.with_(broadcast_max_bytes=0, broadcast_max_rows=limit))
+        row = got.agg(F.count("*").alias("n"), F.count("v").alias("m"), F.sum("v").alias("s")).first()
+        assert (row.n, row.m, row.s) == (60_000, 55_000, 5 * 3 * sum(range(11_000)))

@@ -7,17 +7,19 @@ import subprocess
 import sys
 import textwrap
 
+import pytest
+
 from conftest import ROOT, SF_SMALL
 from tarmac import registry
 from tarmac.operators import marts
 from tarmac.plans import build_bronze, build_gold, build_silver
-from tarmac.sources.tables import list_layer, load_table, table_comment, write_table
+from tarmac.sources.tables import Written, list_layer, load_table, row_counts, table_comment, verify, write_table
 
 
 def test_comment_with_quote_stored_verbatim(spark, cfg):
     df = spark.range(3)
-    full = write_table(df, cfg, "gold", "t_comment", "it's a \\ test")
-    assert table_comment(spark, full) == "it's a \\ test"
+    full, rows = write_table(df, cfg, "gold", "t_comment", "it's a \\ test")
+    assert table_comment(spark, full) == "it's a \\ test" and rows == 3
 
 
 def test_schema_change_on_overwrite(spark, cfg):
@@ -73,8 +75,42 @@ def test_rerun_in_a_new_process(spark, cfg):
 
 def test_three_part_names_with_a_catalog(spark, cfg):
     named = cfg.with_(catalog="spark_catalog")
-    full = write_table(spark.range(4), named, "bronze", "t_catalog", "three-part")
+    full, _ = write_table(spark.range(4), named, "bronze", "t_catalog", "three-part")
     assert full == "spark_catalog.bronze.t_catalog"
     assert "t_catalog" in list_layer(spark, named, "bronze")
     assert load_table(spark, named, "bronze", "t_catalog").count() == 4
     assert table_comment(spark, full) == "three-part"
+
+
+def test_reading_never_drops_a_table(spark, cfg):
+    """A managed table of the same name stays, with its files; the layer's own files are read by path."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {cfg.gold}")
+    name = f"{cfg.gold}.t_managed"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.range(7).write.saveAsTable(name)
+    try:
+        with pytest.raises(Exception):
+            load_table(spark, cfg, "gold", "t_managed")  # nothing under this root
+        assert spark.table(name).count() == 7
+        spark.range(2).write.parquet(cfg.location("gold", "t_managed"))
+        assert load_table(spark, cfg, "gold", "t_managed").count() == 2
+        assert spark.table(name).count() == 7
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_count_that_differs_raises(spark, cfg):
+    full, rows = write_table(spark.range(5), cfg, "bronze", "t_verified")
+    counts = row_counts(spark, {"t_verified": full})
+    assert [tuple(r) for r in verify(counts, {"t_verified": Written(full, rows)}).collect()] == [("t_verified", 5, 5)]
+    with pytest.raises(RuntimeError, match="differ"):
+        verify(counts, {"t_verified": Written(full, 6)})
+
+
+def test_staged_states_are_removed(spark, cfg):
+    sources = registry.export_sources(spark, SF_SMALL, cfg)
+    build_bronze(spark, cfg, sources)
+    build_silver(spark, cfg)
+    build_gold(spark, cfg)
+    staging = cfg.staging("").removeprefix("file://")
+    assert not os.path.isdir(staging) or os.listdir(staging) == []

@@ -91,12 +91,10 @@ def test_with_position_matches_row_number(spark):
     df = spark.createDataFrame(data, "v int, s string, i int")
     order = [F.col("v").desc(), F.col("s").asc(), F.col("i").asc()]
     want = {r.i: r.p for r in df.select("i", F.row_number().over(Window.orderBy(*order)).alias("p")).collect()}
-    distributed = with_position(df, order, partitions=7, single_task_max_rows=0)
-    assert "__pos_part" in distributed._jdf.queryExecution().optimizedPlan().toString()
-    assert {r.i: r.position for r in distributed.collect()} == want
-    small = with_position(df, order, start=0)
-    assert "__pos_part" not in small._jdf.queryExecution().optimizedPlan().toString()
-    assert {r.i: r.position + 1 for r in small.collect()} == want
+    numbered = with_position(df, order, partitions=7)
+    assert "__pos_part" in numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.i: r.position for r in numbered.collect()} == want
+    assert {r.i: r.position + 1 for r in with_position(df, order, start=0).collect()} == want
 
 
 def test_booking_range_is_long_format(spark):
@@ -119,6 +117,4 @@ def test_positions_equal_row_number(spark, values, partitions):
     df = spark.createDataFrame([(v, s, i) for i, (v, s) in enumerate(values)], "v int, s string, i int")
     order = [F.col("v").asc_nulls_last(), F.col("s").desc(), F.col("i").asc()]
     want = {r.i: r.p for r in df.select("i", F.row_number().over(Window.orderBy(*order)).alias("p")).collect()}
-    for limit in (0, 1000):  # distributed numbering, then one window
-        got = with_position(df, order, partitions=partitions, single_task_max_rows=limit)
-        assert {r.i: r.position for r in got.collect()} == want
+    assert {r.i: r.position for r in with_position(df, order, partitions=partitions).collect()} == want

@@ -58,7 +58,7 @@ def main() -> None:
     silver = load_table(spark, cfg, "silver", OBT_TABLE)
     rev = views.revenue_view(load_table(spark, cfg, "gold", "gold_airport_revenue_summary"))
     sections = [
-        ("Bronze: typed CSV read (bookings)", read_source(spark, SourceSpec("bookings", sources["bookings"], SCHEMAS["bookings"]), cfg)),
+        ("Bronze: typed CSV read (bookings)", read_source(spark, SourceSpec("bookings", sources["bookings"], SCHEMAS["bookings"]))),
         ("Silver: wide table, dimensions proven small → broadcast", build_obt(bronze["bookings"], bronze["passengers"], bronze["airports"], cfg)),
         (
             "Silver: wide table, dimensions too large → salted shuffle joins (forced with broadcast_max_bytes=0)",
@@ -72,10 +72,10 @@ def main() -> None:
         ("Preview: top 5 airports by bookings", topk.preview(load_table(spark, cfg, "gold", "gold_top_airports"), topk.PREVIEW_BY_NAME["preview_top_airports"])),
         ("Dashboard: revenue KPIs for the default selection", views.revenue_kpis(rev, views.default_selection(rev))),
         ("Dashboard: an explicit airport list (isin pushed into the gold scan)", views.filter_airports(rev, ["A", "B"])),
-        ("Dashboard: bar series (frame proven small → one ordered window; scalar axis max)", series.bar_series(views.filter_airports(rev, None), "total_revenue", series.category_slots(rev))),
+        ("Dashboard: bar series (scalar axis max)", series.bar_series(views.filter_airports(rev, None), "total_revenue", series.category_slots(rev))),
         (
-            "Positions above the single-task bound: range partitions (checkpointed) + per-partition offsets",
-            with_position(views.filter_airports(rev, None), [F.col("total_revenue").desc(), F.col("airport_name")], single_task_max_rows=0),
+            "Positions: range partitions (checkpointed) + per-partition offsets",
+            with_position(views.filter_airports(rev, None), [F.col("total_revenue").desc(), F.col("airport_name")]),
         ),
     ]
     out = ["# Physical plans", "", f"Generated by `tools/plans.py` on {SF} (local[4], 8 shuffle partitions, AQE on).",
