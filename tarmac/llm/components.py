@@ -4,8 +4,8 @@ MapReduce and Beyond").
 Every round is two joins and two pre-aggregated minima over all tasks; a node
 with very many neighbours is combined before the shuffle, and its rows in the
 join may be split.  Rounds grow with the logarithm of the graph's size.  Each
-round is a table on the shared folder, and nothing but two sums per round
-reaches the driver.
+round is a table on the shared folder, and nothing but two counts and one edge
+per round reaches the driver.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import remove, run_folder, write_table
+from .storage import dealt_anew, remove, run_folder, write_table
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -27,37 +27,38 @@ def connected_components(edges: DataFrame) -> DataFrame:
     proper = edges.filter((F.col("u") != F.col("v")) & F.col("u").isNotNull() & F.col("v").isNotNull())
     folder = run_folder(spark, "components")
     stars = write_table(proper.select(larger.alias("u"), smaller.alias("v")).distinct(), f"{folder}/0")
-    state, rounds = _state(stars), 0
-    while True:
+    rounds = 0
+    while not _are_stars(stars):
         rounds += 1
-        contracted = _small_star(_large_star(stars))
-        nxt = write_table(contracted, f"{folder}/{rounds}")
-        now = _state(nxt)
+        nxt = write_table(_small_star(_large_star(stars)), f"{folder}/{rounds}")
         remove(spark, f"{folder}/{rounds - 1}")
         stars = nxt
-        if now == state:
-            break
-        state = now
     roots = stars.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-    return tuple(row)
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and none that has one itself."""
+    n, nodes = edges.agg(F.count(F.lit(1)), F.countDistinct("u")).first()
+    if n != nodes:
+        return False
+    chained = edges.select("v").join(edges.select(F.col("u").alias("v")), "v", "left_semi")
+    return not chained.take(1)
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Tie every node's larger neighbours to the smallest node it sees, itself included."""
+    """Tie every node's larger neighbours to the smallest node it sees, itself included (edges run from the larger to
+    the smaller node)."""
     both = edges.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(
         edges.select(F.col("v").alias("a"), F.col("u").alias("b"))
     )
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").filter("b > a").select(F.col("b").alias("u"), F.col("m").alias("v")).distinct()
+    least = dealt_anew(least, "a")
+    return edges.join(least, edges["v"] == least["a"]).select("u", F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Tie every node and its smaller neighbours to the smallest of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    others = edges.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    others = edges.join(dealt_anew(least, "u"), "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return others.unionByName(least.select("u", F.col("m").alias("v"))).distinct()

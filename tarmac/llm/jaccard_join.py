@@ -15,13 +15,15 @@ and t = 1 - percent/100 is the join radius.
    a set may have (a set with more uses its thin classes too).  Sets that share
    an equal class are tied, and components of the ties are
    blocks; linked sets are always in one block.
-3. *Regions.*  A block of more than ``max_block`` sets is divided by pivots.
-   Sets within ``RADIUS`` of a pivot form the Voronoi region of their nearest
-   pivot; a set that the triangle inequality lets link into another region
-   is copied there; sets far from every pivot form one more region.  Sets
-   linked to the same pivot are one component already and are not compared
-   again.  Regions are divided again in the same way; what pivots no longer
-   divide is compared chunk against chunk.
+3. *Regions.*  A block of more than ``max_block`` sets (or ``MAX_BYTES``) is measured against
+   pivots of its own.  The largest component that the pivots' links make is
+   settled: its sets are not compared with each other again.  The others stay
+   open.  If they are many, the block is divided: an open set goes to the
+   Voronoi region of its nearest pivot, cut into rings as wide as the join
+   radius, and the sets that the triangle inequality lets link with it, those
+   of the same ring and the rings beside it, are copied there.  Regions that
+   are still too large are divided again by new pivots; what pivots no longer
+   divide, and few open sets, meet the rest of their block chunk by chunk.
 4. *Inside a task* the join goes on by pivots: distances to one set link it,
    and retire every set whose triangle window holds only its own component.
 
@@ -48,7 +50,8 @@ from .storage import materialize, release
 from .words import LOWER, RunHashes, mix, word_hashes
 
 SHINGLE, PERCENT = 4, 85
-MAX_BLOCK, PIVOTS, RADIUS, ROUNDS = 1024, 16, 0.5, 5
+MAX_BLOCK, PIVOTS, CHUNKS, ROUNDS = 1024, 16, 16, 5
+MAX_BYTES = 64 << 20  # of sets that one task compares; one set that is larger is a chunk of its own at most
 _CHUNK_KEYS = 1 << 20
 
 
@@ -164,6 +167,13 @@ def _runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(a)]))
 
 
+def _distinct_pairs(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((v, u))
+    u, v = u[order], v[order]
+    new = np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])] if len(u) else np.zeros(0, bool)
+    return u[new], v[new]
+
+
 def _ties_of(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     """One key row per key (with its smallest document), and a tie from each of its other documents to that one."""
     order = np.lexsort((b, a))
@@ -171,11 +181,12 @@ def _ties_of(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     starts, run = _runs(a, b)
     heads = b[starts][run] if len(a) else b
     other = b != heads
+    u, v = _distinct_pairs(heads[other], b[other])
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(np.r_[np.zeros(len(starts), bool), np.ones(other.sum(), bool)]),
-            pa.array(np.r_[a[starts], heads[other]]),
-            pa.array(np.r_[b[starts], b[other]]),
+            pa.array(np.r_[np.zeros(len(starts), bool), np.ones(len(u), bool)]),
+            pa.array(np.r_[a[starts], u]),
+            pa.array(np.r_[b[starts], v]),
         ],
         schema=_TIES,
     )
@@ -215,20 +226,14 @@ def _meet(batches):
             u.append(heads[other])
             v.append(b[other])
             key, head = a[-1], heads[-1]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(u), pa.int64()), pa.array(np.concatenate(v), pa.int64())], names=["u", "v"]
-        )
+        u, v = _distinct_pairs(np.concatenate(u), np.concatenate(v))
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
 def ties(outline: DataFrame) -> DataFrame:
-    """(u, v) between sets that share a key; each set is named by the smallest document that has it."""
-    sets = (
-        outline.filter(F.col("doc_id").isNotNull() & (F.size("keys") > 0))
-        .groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "keys")).alias("first"))
-        .select("first.doc_id", "first.keys")
-    )
-    rows = sets.mapInArrow(_combine, "tie boolean, a bigint, b bigint")
+    """(u, v) between documents that share a key, enough to connect all that do."""
+    sets = outline.filter(F.col("doc_id").isNotNull() & (F.size("keys") > 0))
+    rows = sets.select("doc_id", "keys").mapInArrow(_combine, "tie boolean, a bigint, b bigint")
     spread = F.when(F.col("tie"), F.col("b")).otherwise(F.col("a"))
     met = rows.repartition(F.col("tie"), spread).sortWithinPartitions("tie", "a", "b")
     return met.mapInArrow(_meet, "u bigint, v bigint").distinct()
@@ -259,13 +264,17 @@ class Block:
         return 1.0 - shared / np.maximum(union, 1), 100 * shared >= percent * union
 
 
-def links_in(docs: np.ndarray, sets: list[np.ndarray], settled: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Enough links to connect whatever the links among ``sets`` connect; ``settled`` sets are one component already."""
+OPEN, SETTLED, GUEST = 0, 1, 2
+
+
+def links_in(docs: np.ndarray, sets: list[np.ndarray], state: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Enough links to connect whatever the links of the ``OPEN`` sets connect.  ``SETTLED`` sets are one component
+    already, ``GUEST`` sets are open elsewhere; neither kind is compared among itself."""
     n, radius = len(sets), 1 - percent / 100 + 1e-9
     block = Block(sets)
     label = np.arange(n)
-    label[settled] = np.flatnonzero(settled)[0] if settled.any() else -1
-    waiting, out = ~settled, []
+    label[state == SETTLED] = -1
+    waiting, out = state == OPEN, []
     while waiting.any() and (label != label[0]).any():
         pivot = int(np.flatnonzero(waiting)[0])
         waiting[pivot] = False
@@ -283,7 +292,7 @@ def links_in(docs: np.ndarray, sets: list[np.ndarray], settled: np.ndarray, perc
     return out
 
 
-_SET = "block bigint, doc_id bigint, settled boolean, shingles binary"
+_SET = "block bigint, doc_id bigint, state int, shingles binary"
 
 
 def _shingles(shingle: int):
@@ -292,8 +301,8 @@ def _shingles(shingle: int):
             packed = [shingle_set(t, shingle).tobytes() for t in utf8(batch, "text")]
             n = len(packed)
             yield pa.RecordBatch.from_arrays(
-                [column(batch, "block"), column(batch, "doc_id"), pa.array([False] * n), pa.array(packed, pa.binary())],
-                names=["block", "doc_id", "settled", "shingles"],
+                [column(batch, "block"), column(batch, "doc_id"), pa.array([OPEN] * n, pa.int32()), pa.array(packed, pa.binary())],
+                names=["block", "doc_id", "state", "shingles"],
             )
 
     return run
@@ -309,17 +318,17 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _join_blocks(percent: int):
-    """Rows sorted by block, at most ``max_block`` (or two chunks) of each."""
+    """Rows sorted by block, at most ``max_block`` of each."""
 
     def run(batches):
         block, held = None, ([], [], [])
 
         def close():
-            docs, settled, packed = held
-            return _edges(links_in(np.array(docs, np.int64), _unpack(packed), np.array(settled, bool), percent))
+            docs, states, packed = held
+            return _edges(links_in(np.array(docs, np.int64), _unpack(packed), np.array(states), percent))
 
         for batch in slices(batches):
-            for now, *row in zip(*(values(batch, c) for c in ("block", "doc_id", "settled", "shingles"))):
+            for now, *row in zip(*(values(batch, c) for c in ("block", "doc_id", "state", "shingles"))):
                 if now != block and held[0]:
                     yield close()
                     held = ([], [], [])
@@ -332,95 +341,166 @@ def _join_blocks(percent: int):
     return run
 
 
-def _regions(percent: int, radius: float):
-    """Per row with its block's pivots: links to pivots, and a row for each region that the set belongs to."""
-    reach = 1 - percent / 100 + 1e-9
-
-    def run(batches):
-        for batch in slices(batches, 64):
-            rows, pairs = [], []
-            columns = (values(batch, c) for c in ("block", "doc_id", "settled", "shingles", "pivots"))
-            for block, doc_id, settled, packed, pivots in zip(*columns):
-                own = np.frombuffer(packed, np.uint64)
-                group = Block([own, *_unpack([p["shingles"] for p in pivots])])
-                distance, linked = (x[1:] for x in group.against(0, percent))
-                for p, link in zip(pivots, linked):
-                    if link and p["doc_id"] != doc_id:
-                        pairs.append((p["doc_id"], doc_id))
-                best = distance.min()
-                if best > radius:
-                    rows.append((block, -1, doc_id, settled, packed))
-                    inside = np.flatnonzero(distance <= radius + reach)
-                else:
-                    inside = np.flatnonzero(distance <= min(best + 2 * reach, radius + reach))
-                # Sets linked to the region's pivot are one component; a set settled before stays so only there.
-                rows += [(block, int(p), doc_id, bool(linked[p]), packed) for p in inside]
-            names = ["block", "region", "doc_id", "settled", "shingles", "u", "v"]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64()]
-            full = [(*r, None, None) for r in rows] + [(None, None, None, None, None, *p) for p in pairs]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*full) if full else [[]] * 7, kinds)], names=names
-            )
+_MEASURED = "block bigint, doc_id bigint, state int, shingles binary, mask int, rings array<int>, home int, linked array<bigint>"
+
+
+def _measure(percent: int):
+    """Distances of a part of a block to the block's pivots, as rings of the join radius's width."""
+    width = 1 - percent / 100
+
+    def run(rows, pivots):
+        sets, at = _unpack(rows.column("shingles").to_pylist()), _unpack(pivots.column("shingles").to_pylist())
+        names = np.asarray(pivots.column("doc_id"))
+        known = np.unique(np.concatenate(at))
+        member = np.stack([np.isin(known, p, assume_unique=True) for p in at], axis=1)
+        sizes = np.array([len(p) for p in at])
+        masks, rings, homes, linked = [], [], [], []
+        for state, own in zip(rows.column("state").to_pylist(), sets):
+            place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            shared = member[place[known[place] == own]].sum(axis=0)
+            union = len(own) + sizes - shared
+            link = 100 * shared >= percent * union
+            distance = 1.0 - shared / union
+            masks.append(int((link << np.arange(len(at))).sum()) | (1 << PIVOTS if state == SETTLED else 0))
+            rings.append(np.floor(distance / width + 1e-9).astype(np.int32))
+            homes.append(int(np.argmin(distance)))
+            linked.append(names[link])
+        kinds = [pa.int32(), pa.list_(pa.int32()), pa.int32(), pa.list_(pa.int64())]
+        extra = [pa.array(c, k) for c, k in zip((masks, rings, homes, linked), kinds)]
+        out = rows.select(["block", "doc_id", "state", "shingles"])
+        for name, c in zip(("mask", "rings", "home", "linked"), extra):
+            out = out.append_column(name, c)
+        return out
 
     return run
 
 
-def _divide(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(links to pivots, sets by region as new blocks) of blocks that are too large for a task."""
-    by_hash = Window.partitionBy("block").orderBy(F.xxhash64("doc_id"))
-    chosen = sets.filter(~F.col("settled")).select("block", "doc_id").withColumn("rank", F.row_number().over(by_hash))
-    chosen = chosen.filter(F.col("rank") <= PIVOTS).select("block", "doc_id")
-    # At most PIVOTS sets per block: a bounded list.
-    pivots = (
-        sets.join(chosen, ["block", "doc_id"])
-        .groupBy("block")
-        .agg(F.slice(F.array_sort(F.collect_list(F.struct("doc_id", "shingles"))), 1, PIVOTS).alias("pivots"))
+def _largest_star(batches):
+    """Of each block, the pivots (bits) that hang together and have the most sets; settled sets count as one pivot."""
+    for batch in slices(batches):
+        mains = []
+        for stars in values(batch, "stars"):
+            groups: list[list[int]] = []
+            for star in stars:
+                bits, n = star["mask"], star["n"]
+                rest = []
+                for g in groups:
+                    if g[0] & bits:
+                        bits, n = bits | g[0], n + g[1]
+                    else:
+                        rest.append(g)
+                groups = [*rest, [bits, n]] if bits else groups
+            mains.append(max(groups, key=lambda g: (g[1], g[0]))[0] if groups else 0)
+        yield pa.RecordBatch.from_arrays([column(batch, "block"), pa.array(mains, pa.int32())], names=["block", "main"])
+
+
+def _round(sets: DataFrame, counts: DataFrame, percent: int, part: int) -> tuple[DataFrame, DataFrame]:
+    """Measure blocks that are too large for a task against pivots of their own: (measured sets with new states,
+    links to pivots)."""
+    by_hash = Window.partitionBy("block").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = sets.filter(F.col("state") == OPEN).select("block", "doc_id").distinct()
+    chosen = chosen.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= PIVOTS).drop("rank")
+    pivots = sets.join(chosen, ["block", "doc_id"]).groupBy("block", "doc_id").agg(F.min("shingles").alias("shingles"))
+    by_count, by_size = _total() / part, (F.col("bytes_open") + F.col("bytes_other")) / MAX_BYTES
+    parts = counts.select("block", F.ceil(F.greatest(by_count, by_size)).cast("int").alias("parts"))
+    left = sets.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    right = pivots.join(parts, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    right = materialize(right, "pivots")
+    measured = materialize(
+        left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(_measure(percent), _MEASURED),
+        "measured",
     )
-    schema = "block bigint, region bigint, doc_id bigint, settled boolean, shingles binary, u bigint, v bigint"
-    out = materialize(sets.join(pivots, "block").mapInArrow(_regions(percent, RADIUS), schema), "regions")
-    renamed = F.xxhash64("block", "region")
-    return (
-        out.filter(F.col("u").isNotNull()).select("u", "v"),
-        out.filter(F.col("doc_id").isNotNull()).select(renamed.alias("block"), "doc_id", "settled", "shingles"),
+    stars = measured.groupBy("block", "mask").agg(F.count(F.lit(1)).alias("n"))
+    # At most 2**(PIVOTS + 1) masks per block.
+    stars = stars.groupBy("block").agg(F.collect_list(F.struct("mask", "n")).alias("stars"))
+    mains = stars.mapInArrow(_largest_star, "block bigint, main int")
+    now = F.when(F.col("mask").bitwiseAND(F.col("main")) != 0, SETTLED).otherwise(F.col("state"))
+    links = measured.select(F.explode("linked").alias("u"), F.col("doc_id").alias("v")).filter("u <> v")
+    return materialize(measured.join(mains, "block").withColumn("state", now).drop("linked", "mask", "main"), "states"), links
+
+
+def _cells(sets: DataFrame) -> DataFrame:
+    """Voronoi regions, by ring: an open set goes to the ring of its nearest pivot; any set that the triangle
+    inequality lets link with it (a ring beside it, of the same pivot) is copied there, as a guest if it is open
+    elsewhere.  Only cells with open sets arise."""
+    ring = F.col("rings")[F.col("home")]
+    is_open = F.col("state") == OPEN
+    cells = sets.filter(is_open).select("block", F.col("home").alias("pivot"), ring.alias("ring")).distinct()
+    reach = F.posexplode("rings").alias("pivot", "own")
+    copies = sets.select("block", "doc_id", "state", "shingles", "home", ring.alias("home_ring"), reach)
+    copies = copies.withColumn("ring", F.explode(F.array(*(F.col("own") + d for d in (-1, 0, 1)))))
+    placed = copies.join(cells, ["block", "pivot", "ring"])
+    at_home = (F.col("pivot") == F.col("home")) & (F.col("ring") == F.col("home_ring"))
+    state = F.when(is_open & ~at_home, GUEST).otherwise(F.col("state"))
+    return placed.select(F.xxhash64("block", "pivot", "ring").alias("block"), "doc_id", state.alias("state"), "shingles")
+
+
+def _chunk_pairs(sets: DataFrame, counts: DataFrame, chunk: int) -> DataFrame:
+    """Every pair of chunks of a block with open sets in one of them, as a block of its own."""
+    joined = sets.select("block", "doc_id", "state", "shingles").join(counts, "block")
+    is_open = F.col("state") == OPEN
+    n_open, n_other = (
+        F.ceil(F.greatest(F.col(f"n_{kind}") / chunk, F.col(f"bytes_{kind}") * 2 / MAX_BYTES)).cast("int")
+        for kind in ("open", "other")
     )
+    own = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.when(is_open, n_open).otherwise(n_other)).cast("int")
+    own = own + F.when(is_open, 0).otherwise(n_open)
+    others = F.sequence(F.lit(0), F.when(is_open, n_open + n_other).otherwise(n_open) - 1)
+    paired = joined.withColumn("own", own).withColumn("other", F.explode(others))
+    pair = F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other"))
+    return paired.select(pair.alias("block"), "doc_id", "state", "shingles")
 
 
-def _chunk_pairs(sets: DataFrame, sizes: DataFrame, chunk: int) -> DataFrame:
-    """Every pair of chunks of a block as a block of its own; pairs of settled chunks are left out."""
-    counted = sets.join(sizes, "block")
-    n = F.ceil(F.when(F.col("settled"), F.col("n_settled")).otherwise(F.col("n_open")) / chunk).cast("int")
-    open_chunks = F.ceil(F.col("n_open") / chunk).cast("int")
-    all_chunks = open_chunks + F.ceil(F.col("n_settled") / chunk).cast("int")
-    own = F.pmod(F.xxhash64("doc_id", F.lit(7)), n).cast("int") + F.when(F.col("settled"), open_chunks).otherwise(0)
-    others = F.when(F.col("settled"), F.sequence(F.lit(0), open_chunks - 1)).otherwise(F.sequence(F.lit(0), all_chunks - 1))
-    paired = counted.withColumn("own", own).withColumn("other", F.explode(others))
-    pair = F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other"))
-    return paired.select(pair.alias("block"), "doc_id", "settled", "shingles")
+def _total():
+    return F.col("n_open") + F.col("n_other")
+
+
+def _fits(max_block: int):
+    """Whether a block is joined in one task."""
+    return (_total() <= max_block) & (F.col("bytes_open") + F.col("bytes_other") <= MAX_BYTES)
+
+
+def _counts(sets: DataFrame) -> DataFrame:
+    is_open = F.col("state") == OPEN
+    size = F.octet_length("shingles").cast("bigint")
+    counts = sets.groupBy("block").agg(
+        F.count(F.when(is_open, 1)).alias("n_open"),
+        F.count(F.when(~is_open, 1)).alias("n_other"),
+        F.sum(F.when(is_open, size).otherwise(0)).alias("bytes_open"),
+        F.sum(F.when(is_open, 0).otherwise(size)).alias("bytes_other"),
+    )
+    return materialize(counts.filter("n_open > 0 and n_open + n_other > 1"), "sizes")
 
 
 def verified_links(sets: DataFrame, percent: int = PERCENT, max_block: int = MAX_BLOCK) -> DataFrame:
-    """(u, v): links that connect what all links within blocks (``sets``: block, doc_id, settled, shingles) connect."""
-    links, open_sets = [], sets
-    for step in range(ROUNDS + 1):
-        counts = open_sets.groupBy("block").agg(
-            F.count(F.when(~F.col("settled"), 1)).alias("n_open"), F.count(F.when(F.col("settled"), 1)).alias("n_settled")
-        )
-        counts = materialize(counts.filter("n_open > 0 and n_open + n_settled > 1"), "sizes")
-        small = counts.filter(F.col("n_open") + F.col("n_settled") <= max_block).select("block")
-        large = counts.filter(F.col("n_open") + F.col("n_settled") > max_block)
-        any_large = bool(large.take(1))
-        todo = open_sets.join(small, "block", "left_semi") if any_large else open_sets.join(counts.select("block"), "block", "left_semi")
-        if any_large and step == ROUNDS:
-            chunks = _chunk_pairs(open_sets.join(large.select("block"), "block", "left_semi"), large, max_block // 2)
-            todo = todo.unionByName(chunks)
-        ordered = todo.repartition("block").sortWithinPartitions("block")
-        links.append(materialize(ordered.mapInArrow(_join_blocks(percent), "u bigint, v bigint"), "links"))
-        if not any_large or step == ROUNDS:
+    """(u, v): links that connect what all links within blocks (``sets``: block, doc_id, state, shingles) connect."""
+    fits, chunk = _fits(max_block), max(1, max_block // 2)
+    counts = _counts(sets)
+    tasks = [sets.join(counts.filter(fits).select("block"), "block", "left_semi")]
+    links = []
+    large = counts.filter(~fits)
+    for step in range(ROUNDS):
+        if not large.take(1):
             break
-        near, open_sets = _divide(open_sets.join(large.select("block"), "block", "left_semi"), percent)
+        states, near = _round(sets.join(large.select("block"), "block", "left_semi"), large, percent, 4 * chunk)
         links.append(near)
-    out = links[0]
-    for more in links[1:]:
+        now = _counts(states)
+        # Few enough open sets meet the rest chunk by chunk; more are divided first.
+        few = now.filter(F.col("n_open") <= CHUNKS * chunk) if step + 1 < ROUNDS else now
+        tasks.append(_chunk_pairs(states, few, chunk))
+        many = now.join(few.select("block"), "block", "left_anti").select("block")
+        if not many.take(1):
+            break
+        sets = materialize(_cells(states.join(many, "block", "left_semi")), "cells")
+        counts = _counts(sets)
+        tasks.append(sets.join(counts.filter(fits).select("block"), "block", "left_semi"))
+        large = counts.filter(~fits)
+    rows = tasks[0]
+    for more in tasks[1:]:
+        rows = rows.unionByName(more)
+    ordered = rows.repartition("block").sortWithinPartitions("block")
+    out = materialize(ordered.mapInArrow(_join_blocks(percent), "u bigint, v bigint"), "links")
+    for more in links:
         out = out.unionByName(more)
     return out
 
@@ -442,16 +522,22 @@ def near_duplicates(
     )
     tied = materialize(ties(outline), "ties")
     release(spark)
+    firsts = materialize(
+        outline.filter(F.col("n_shingles") > 0).groupBy("digest").agg(F.min("doc_id").alias("first")), "firsts"
+    )
+    # One document of each set is compared: the smallest that has it.
     blocks = materialize(
-        connected_components(tied).select(F.col("node").alias("doc_id"), F.col("component").alias("block")), "blocks"
+        connected_components(tied)
+        .join(firsts.select(F.col("first").alias("node")), "node", "left_semi")
+        .select(F.col("node").alias("doc_id"), F.col("component").alias("block")),
+        "blocks",
     )
     release(spark)
     sets = materialize(
-        texts.join(blocks, "doc_id").select("block", "doc_id", "text").mapInArrow(_shingles(shingle), _SET), "sets"
+        texts.join(blocks.hint("merge"), "doc_id").select("block", "doc_id", "text").mapInArrow(_shingles(shingle), _SET), "sets"
     )
     release(spark)
     found = connected_components(verified_links(sets, percent, max_block))
-    firsts = outline.filter(F.col("n_shingles") > 0).groupBy("digest").agg(F.min("doc_id").alias("first"))
     firsts = firsts.join(found, F.col("first") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "first").alias("component")
     )

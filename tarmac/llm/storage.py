@@ -6,6 +6,7 @@ import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac.session import checkpoint_dir
 
@@ -36,3 +37,14 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now: it does so once the driver has collected its garbage."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def dealt_anew(grouped: DataFrame, key: str) -> DataFrame:
+    """A grouped frame with ``key``, one of its grouping columns, as a computed column of the same values.
+
+    Joined on it, both sides are dealt by shuffles of the join's own, and Spark
+    can split a key that very many rows share; a side that is grouped in the
+    join's own stage it cannot split."""
+    c = F.col(key)
+    kind = dict(grouped.dtypes)[key]
+    return grouped.withColumn(key, F.concat(c, F.lit(b"")) if kind == "binary" else c.bitwiseXOR(F.lit(0)))
