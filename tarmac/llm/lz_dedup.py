@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import column, slices, utf8, values
-from .storage import materialize, release
+from .storage import dealt_anew, materialize, release
 from .words import RunHashes, word_hashes
 
 WINDOW = 50
@@ -162,7 +162,7 @@ def duplicate_runs(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, Da
         ),
         "outline",
     )
-    firsts = outline.groupBy("digest").agg(F.min("doc_id").alias("same_as"))
+    firsts = dealt_anew(outline.groupBy("digest").agg(F.min("doc_id").alias("same_as")), "digest")
     equal = outline.select(*ROW, "digest").filter(F.col("n_words") >= window).join(firsts, "digest")
     whole = materialize(equal.filter("doc_id > same_as").select(*ROW).distinct(), "whole")
 
@@ -175,16 +175,16 @@ def duplicate_runs(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, Da
     common = (
         anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("anchor")
     )
-    wanted = anchors.join(common, "anchor").groupBy(*ROW).agg(F.collect_set("anchor").alias("shared"))
+    wanted = anchors.join(dealt_anew(common, "anchor"), "anchor").groupBy(*ROW).agg(F.collect_set("anchor").alias("shared"))
     wanted = materialize(wanted, "wanted")
     release(docs.sparkSession)
-    blocks = materialize(texts.join(wanted, ROW).mapInArrow(_cut(window), _BLOCKS), "blocks")
+    blocks = materialize(texts.join(wanted.hint("merge"), ROW).mapInArrow(_cut(window), _BLOCKS), "blocks")
     release(docs.sparkSession)
 
     # Step 1: whole blocks.  The index row of a block is its smallest document.
     blocks = blocks.withColumn("n", F.size("runs"))
     key = ["anchor", "block", "n"]
-    index = blocks.groupBy(*key).agg(F.min("doc_id").alias("source"))
+    index = dealt_anew(blocks.groupBy(*key).agg(F.min("doc_id").alias("source")), "block")
     found = materialize(
         blocks.join(index, key).select(
             *ROW, "anchor", "first", "n", F.when(F.col("doc_id") == F.col("source"), F.col("runs")).alias("runs")
@@ -203,7 +203,7 @@ def duplicate_runs(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, Da
         .filter("source < other")
         .drop("other")
     )
-    ends = runs.join(sources, ["anchor", "run"]).filter("doc_id > source")
+    ends = runs.join(dealt_anew(sources, "run"), ["anchor", "run"]).filter("doc_id > source")
     return whole, factors.unionByName(ends.select(*ROW, "first", F.col("first").alias("last")))
 
 
@@ -257,6 +257,6 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
     release(docs.sparkSession)
     packed = _keyed(docs, F.struct("*").alias("row"))
-    joined = packed.join(losses, ROW, "left").select("row", "text", "whole", "spans")
+    joined = packed.join(losses.hint("merge"), ROW, "left").select("row", "text", "whole", "spans")
     schema = joined.selectExpr("row", "0L as n_words", "0L as n_removed", "'' as kept").schema
     return joined.mapInArrow(_remove(window), schema)
