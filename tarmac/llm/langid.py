@@ -12,8 +12,7 @@ doc_id), a bounded sample.
 
 Rejection is by distance: training rows of like length (powers of two of
 letter bytes; longer ones count too) set how small a cosine may be, and a text
-below ``slack`` times the smallest seen is not in a learned language.  A text
-longer than any in training is not rejected for its distance.  Null text, and text without a letter, is ``und``
+below ``slack`` times the smallest seen is not in a learned language.  Null text, and text without a letter, is ``und``
 with score 0 and is rejected.  With nothing to learn from, every text is
 ``und``.  Repeated rows are predicted alike, as only the text counts.
 """
@@ -164,6 +163,9 @@ def train(
         langs += [r.lang] * len(own)
         floors = np.minimum(floors, r.floors)
     # Shorter texts lie farther off: a length's floor is the least of the next shorter, its own and all longer ones.
+    seen = np.flatnonzero(np.isfinite(floors))
+    if len(seen):
+        floors[seen[-1] :] = floors[seen[-1]]  # a longer text than any seen is no farther off
     least = np.minimum.accumulate(floors[::-1])[::-1]
     least = np.minimum(least, np.r_[np.inf, floors[:-1]])
     return Model(idf, np.concatenate(centres), langs, np.where(np.isfinite(least), slack * least, -1.0))
