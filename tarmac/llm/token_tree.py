@@ -34,6 +34,14 @@ from .bpe import Encoder, default_path, encoder
 _BACK = 2  # characters after its end on which a piece may depend
 
 
+def leaves_of(enc: Encoder, text: str) -> np.ndarray:
+    """Characters and tokens of each piece, as two rows."""
+    if enc.covers(text):
+        pieces = enc.cut(text)
+        return np.array([list(map(len, pieces)), enc.counts(pieces)], dtype=np.int64).reshape(2, -1)
+    return np.array([[len(text)], [enc.count(text)]], dtype=np.int64)
+
+
 class PieceTree:
     """Text with a segment tree of (characters, tokens) over slots; a slot holds the pieces that one region was cut into."""
 
@@ -41,9 +49,7 @@ class PieceTree:
         self.enc, self.encoded = enc, 0
         self.plain = enc.covers(text)
         if leaves is None:
-            pieces, counts = self._cut_and_count(text)
-            leaves = np.array([[len(p) for p in pieces], counts], dtype=np.int64).reshape(2, -1)
-            self.encoded = 0
+            leaves = leaves_of(enc, text)
         ends = np.cumsum(leaves[0])
         self.slots = [text[a:b] for a, b in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist())]
         self.size = 1 << max(0, (max(1, len(self.slots)) - 1).bit_length())
@@ -55,12 +61,6 @@ class PieceTree:
             self.sums[:, level // 2 : level] = row[:, 0::2] + row[:, 1::2]
             level //= 2
 
-    def _cut_and_count(self, text: str) -> tuple[list[str], list[int]]:
-        pieces = self.enc.cut(text) if self.plain else [text] if text else []
-        counts = self.enc.counts(pieces) if self.plain else [self.enc.count(p) for p in pieces]
-        self.encoded += len(pieces)
-        return pieces, counts
-
     @property
     def tokens(self) -> int:
         return int(self.sums[1, 1])
@@ -73,6 +73,18 @@ class PieceTree:
     def text(self) -> str:
         return "".join(self.slots)
 
+    def leaves(self) -> np.ndarray:
+        """The tree's leaves; slots that hold several pieces or none are cut back into pieces."""
+        if not self.plain:
+            return leaves_of(self.enc, self.text)
+        kept = self.sums[:, self.size : self.size + len(self.slots)]
+        out = []
+        for k, s in enumerate(self.slots):
+            if s:
+                pieces = self.enc.cut(s)
+                out.append(kept[:, k : k + 1] if len(pieces) == 1 else leaves_of(self.enc, s))
+        return np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+
     def find(self, at: int) -> tuple[int, int]:
         """(slot, its first character) of the slot that holds character ``at``: a descent by character sums."""
         node, first = 1, 0
@@ -177,9 +189,7 @@ def _build(path: str):
         for batch in slices(batches):
             packed = []
             for text in values(batch, "text"):
-                tree = PieceTree(enc, text or "")
-                n = len(tree.slots)
-                packed.append(tree.sums[:, tree.size : tree.size + n].astype("<u4").tobytes())
+                packed.append(leaves_of(enc, text or "").astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [column(batch, "row"), column(batch, "text"), pa.array(packed, _TREE)], names=["row", "text", "tree"]
             )
@@ -209,11 +219,7 @@ def _apply(path: str):
                 for e in edits:
                     state.edit(e["start"], e["end"], e["replacement"] or "")
                 after = state.text
-                # Slots that hold several pieces or none are cut back into leaves.
-                pieces = [p for s in state.slots if s for p in (enc.cut(s) if state.plain else [s])]
-                counts = enc.counts(pieces) if state.plain else [enc.count(p) for p in pieces]
-                kept = np.array([[len(p) for p in pieces], counts], dtype="<u4").reshape(2, -1)
-                texts.append(after), trees.append(kept.tobytes())
+                texts.append(after), trees.append(state.leaves().astype("<u4").tobytes())
                 stats.append((len(edits), before, state.tokens, leaves.shape[1], state.encoded))
             names = ["n_edits", "tokens_before", "tokens_after", "n_pieces", "n_encoded"]
             yield pa.RecordBatch.from_arrays(
