@@ -91,8 +91,9 @@ def test_shift_tables_skip_and_buckets_confirm():
     assert spans == [(1, 11)] and found == {1}
 
 
-@pytest.mark.parametrize("max_block", [1024, 3])
-def test_jaccard_join_is_exact(spark, max_block):
+@pytest.mark.parametrize("max_block, max_bytes", [(1024, jaccard_join.MAX_BYTES), (3, jaccard_join.MAX_BYTES), (1024, 4000)])
+def test_jaccard_join_is_exact(spark, monkeypatch, max_block, max_bytes):
+    monkeypatch.setattr(jaccard_join, "MAX_BYTES", max_bytes)
     rows, frame = awkward(spark)
     # A family of near copies that chains, some equal, and one shared line in unrelated texts.
     rows = [r for r in rows if r[0] != 9]
