@@ -22,8 +22,10 @@ and t = 1 - percent/100 is the join radius.
    Voronoi region of its nearest pivot, cut into rings as wide as the join
    radius, and the sets that the triangle inequality lets link with it, those
    of the same ring and the rings beside it, are copied there.  Regions that
-   are still too large are divided again by new pivots; what pivots no longer
-   divide, and few open sets, meet the rest of their block chunk by chunk.
+   are still too large are divided again by new pivots; there a component is
+   settled only if it hangs together with what was settled before, and its sets
+   still meet the copies of sets that are open in other regions.  What pivots no
+   longer divide, and few open sets, meet the rest of their block chunk by chunk.
 4. *Inside a task* the join goes on by pivots: distances to one set link it,
    and retire every set whose triangle window holds only its own component.
 
@@ -264,17 +266,21 @@ class Block:
         return 1.0 - shared / np.maximum(union, 1), 100 * shared >= percent * union
 
 
-OPEN, SETTLED, GUEST = 0, 1, 2
+OPEN, SETTLED, GUEST, HOME = 0, 1, 2, 3
 
 
 def links_in(docs: np.ndarray, sets: list[np.ndarray], state: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Enough links to connect whatever the links of the ``OPEN`` sets connect.  ``SETTLED`` sets are one component
-    already, ``GUEST`` sets are open elsewhere; neither kind is compared among itself."""
+    """Enough links to connect whatever the links of the ``OPEN`` sets, and those between ``HOME`` and ``GUEST`` sets,
+    connect.  ``SETTLED`` and ``HOME`` sets are one component already, ``GUEST`` sets have their home elsewhere.  A
+    guest may be settled there in another component, so a set settled here, in its home, still has to meet it."""
     n, radius = len(sets), 1 - percent / 100 + 1e-9
     block = Block(sets)
     label = np.arange(n)
-    label[state == SETTLED] = -1
+    home, guest = state == HOME, state == GUEST
+    label[home | (state == SETTLED)] = -1
     waiting, out = state == OPEN, []
+    if home.any() and guest.any():
+        waiting |= home if home.sum() <= guest.sum() else guest
     while waiting.any() and (label != label[0]).any():
         pivot = int(np.flatnonzero(waiting)[0])
         waiting[pivot] = False
@@ -361,7 +367,7 @@ def _measure(percent: int):
             union = len(own) + sizes - shared
             link = 100 * shared >= percent * union
             distance = 1.0 - shared / union
-            masks.append(int((link << np.arange(len(at))).sum()) | (1 << PIVOTS if state == SETTLED else 0))
+            masks.append(int((link << np.arange(len(at))).sum()) | (1 << PIVOTS if state in (SETTLED, HOME) else 0))
             rings.append(np.floor(distance / width + 1e-9).astype(np.int32))
             homes.append(int(np.argmin(distance)))
             linked.append(names[link])
@@ -375,33 +381,41 @@ def _measure(percent: int):
     return run
 
 
-def _largest_star(batches):
-    """Of each block, the pivots (bits) that hang together and have the most sets; settled sets count as one pivot."""
-    for batch in slices(batches):
-        mains = []
-        for stars in values(batch, "stars"):
-            groups: list[list[int]] = []
-            for star in stars:
-                bits, n = star["mask"], star["n"]
-                rest = []
-                for g in groups:
-                    if g[0] & bits:
-                        bits, n = bits | g[0], n + g[1]
-                    else:
-                        rest.append(g)
-                groups = [*rest, [bits, n]] if bits else groups
-            mains.append(max(groups, key=lambda g: (g[1], g[0]))[0] if groups else 0)
-        yield pa.RecordBatch.from_arrays([column(batch, "block"), pa.array(mains, pa.int32())], names=["block", "main"])
-
-
-def _round(sets: DataFrame, counts: DataFrame, percent: int, part: int) -> tuple[DataFrame, DataFrame]:
+def _largest_star(settled: int):
+    """Of each block, the pivots (bits) that hang together with the settled sets, which count as one pivot (bit
+    ``settled``); if none are settled, those that hang together and have the most sets.  So settled sets of a block
+    stay one component."""
+
+    def run(batches):
+        for batch in slices(batches):
+            mains = []
+            for stars in values(batch, "stars"):
+                groups: list[list[int]] = []
+                for star in stars:
+                    bits, n = star["mask"], star["n"]
+                    rest = []
+                    for g in groups:
+                        if g[0] & bits:
+                            bits, n = bits | g[0], n + g[1]
+                        else:
+                            rest.append(g)
+                    groups = [*rest, [bits, n]] if bits else groups
+                mains.append(max(groups, key=lambda g: (g[0] & settled, g[1], g[0]))[0] if groups else 0)
+            yield pa.RecordBatch.from_arrays([column(batch, "block"), pa.array(mains, pa.int32())], names=["block", "main"])
+
+    return run
+
+
+def _round(sets: DataFrame, counts: DataFrame, percent: int, part: int, settled: int) -> tuple[DataFrame, DataFrame]:
     """Measure blocks that are too large for a task against pivots of their own: (measured sets with new states,
-    links to pivots)."""
-    by_hash = Window.partitionBy("block").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = sets.filter(F.col("state") == OPEN).select("block", "doc_id").distinct()
-    chosen = chosen.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= PIVOTS).drop("rank")
+    links to pivots).  Open sets that settle become ``settled``."""
+    by_hash = Window.partitionBy("block").orderBy("settled", F.xxhash64("doc_id"), "doc_id")
+    chosen = sets.filter(F.col("state").isin(OPEN, HOME)).groupBy("block", "doc_id")
+    chosen = chosen.agg(F.min(F.col("state") != OPEN).alias("settled"))  # open sets first
+    chosen = chosen.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= PIVOTS)
+    chosen = chosen.select("block", "doc_id")
     pivots = sets.join(chosen, ["block", "doc_id"]).groupBy("block", "doc_id").agg(F.min("shingles").alias("shingles"))
-    by_count, by_size = _total() / part, (F.col("bytes_open") + F.col("bytes_other")) / MAX_BYTES
+    by_count, by_size = _total("n") / part, _total("bytes") / MAX_BYTES
     parts = counts.select("block", F.ceil(F.greatest(by_count, by_size)).cast("int").alias("parts"))
     left = sets.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
     right = pivots.join(parts, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -413,8 +427,9 @@ def _round(sets: DataFrame, counts: DataFrame, percent: int, part: int) -> tuple
     stars = measured.groupBy("block", "mask").agg(F.count(F.lit(1)).alias("n"))
     # At most 2**(PIVOTS + 1) masks per block.
     stars = stars.groupBy("block").agg(F.collect_list(F.struct("mask", "n")).alias("stars"))
-    mains = stars.mapInArrow(_largest_star, "block bigint, main int")
-    now = F.when(F.col("mask").bitwiseAND(F.col("main")) != 0, SETTLED).otherwise(F.col("state"))
+    mains = stars.mapInArrow(_largest_star(1 << PIVOTS), "block bigint, main int")
+    joins, state = F.col("mask").bitwiseAND(F.col("main")) != 0, F.col("state")
+    now = F.when(joins & (state == OPEN), settled).when(joins & (state == GUEST), SETTLED).otherwise(state)
     links = measured.select(F.explode("linked").alias("u"), F.col("doc_id").alias("v")).filter("u <> v")
     return materialize(measured.join(mains, "block").withColumn("state", now).drop("linked", "mask", "main"), "states"), links
 
@@ -422,54 +437,71 @@ def _round(sets: DataFrame, counts: DataFrame, percent: int, part: int) -> tuple
 def _cells(sets: DataFrame) -> DataFrame:
     """Voronoi regions, by ring: an open set goes to the ring of its nearest pivot; any set that the triangle
     inequality lets link with it (a ring beside it, of the same pivot) is copied there, as a guest if it is open
-    elsewhere.  Only cells with open sets arise."""
+    elsewhere.  So are the guests of a settled set that has its home here.  Only cells that are some set's home arise."""
     ring = F.col("rings")[F.col("home")]
-    is_open = F.col("state") == OPEN
-    cells = sets.filter(is_open).select("block", F.col("home").alias("pivot"), ring.alias("ring")).distinct()
+    is_open, is_home = F.col("state") == OPEN, F.col("state") == HOME
+    cells = sets.filter(is_open | is_home).select("block", F.col("home").alias("pivot"), ring.alias("ring")).distinct()
     reach = F.posexplode("rings").alias("pivot", "own")
     copies = sets.select("block", "doc_id", "state", "shingles", "home", ring.alias("home_ring"), reach)
     copies = copies.withColumn("ring", F.explode(F.array(*(F.col("own") + d for d in (-1, 0, 1)))))
     placed = copies.join(cells, ["block", "pivot", "ring"])
     at_home = (F.col("pivot") == F.col("home")) & (F.col("ring") == F.col("home_ring"))
-    state = F.when(is_open & ~at_home, GUEST).otherwise(F.col("state"))
+    state = F.when(is_open & ~at_home, GUEST).when(is_home & ~at_home, SETTLED).otherwise(F.col("state"))
     return placed.select(F.xxhash64("block", "pivot", "ring").alias("block"), "doc_id", state.alias("state"), "shingles")
 
 
+# In this order, open sets meet all kinds and guests meet the two kinds before them.
+_KINDS = {"open": OPEN, "home": HOME, "guest": GUEST, "settled": SETTLED}
+
+
 def _chunk_pairs(sets: DataFrame, counts: DataFrame, chunk: int) -> DataFrame:
-    """Every pair of chunks of a block with open sets in one of them, as a block of its own."""
+    """Every pair of chunks of a block with open sets in one of them, or with settled sets at home in one and guests in
+    the other, as a block of its own."""
     joined = sets.select("block", "doc_id", "state", "shingles").join(counts, "block")
-    is_open = F.col("state") == OPEN
-    n_open, n_other = (
-        F.ceil(F.greatest(F.col(f"n_{kind}") / chunk, F.col(f"bytes_{kind}") * 2 / MAX_BYTES)).cast("int")
-        for kind in ("open", "other")
-    )
-    own = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.when(is_open, n_open).otherwise(n_other)).cast("int")
-    own = own + F.when(is_open, 0).otherwise(n_open)
-    others = F.sequence(F.lit(0), F.when(is_open, n_open + n_other).otherwise(n_open) - 1)
+    starts = [F.lit(0)]
+    for kind in _KINDS:
+        size = F.greatest(F.col(f"n_{kind}") / chunk, F.col(f"bytes_{kind}") * 2 / MAX_BYTES)
+        starts.append(starts[-1] + F.ceil(size).cast("int"))
+    _, opened, homes, guests, end = starts
+
+    def span(first, last):
+        return F.when(last > first, F.sequence(first, last - 1)).otherwise(F.array().cast("array<int>"))
+
+    meets = {
+        OPEN: span(F.lit(0), end),
+        HOME: F.concat(span(F.lit(0), opened), span(homes, guests)),
+        GUEST: span(F.lit(0), homes),
+        SETTLED: span(F.lit(0), opened),
+    }
+    own, others = F.lit(None).cast("int"), F.lit(None).cast("array<int>")
+    for state, first, last in zip(_KINDS.values(), starts, starts[1:]):
+        is_kind = F.col("state") == state
+        own = F.when(is_kind, first + F.pmod(F.xxhash64("doc_id", F.lit(7)), last - first).cast("int")).otherwise(own)
+        others = F.when(is_kind, meets[state]).otherwise(others)
     paired = joined.withColumn("own", own).withColumn("other", F.explode(others))
     pair = F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other"))
     return paired.select(pair.alias("block"), "doc_id", "state", "shingles")
 
 
-def _total():
-    return F.col("n_open") + F.col("n_other")
+def _total(measure: str):
+    return sum((F.col(f"{measure}_{kind}") for kind in _KINDS), F.lit(0))
 
 
 def _fits(max_block: int):
     """Whether a block is joined in one task."""
-    return (_total() <= max_block) & (F.col("bytes_open") + F.col("bytes_other") <= MAX_BYTES)
+    return (_total("n") <= max_block) & (_total("bytes") <= MAX_BYTES)
 
 
 def _counts(sets: DataFrame) -> DataFrame:
-    is_open = F.col("state") == OPEN
     size = F.octet_length("shingles").cast("bigint")
-    counts = sets.groupBy("block").agg(
-        F.count(F.when(is_open, 1)).alias("n_open"),
-        F.count(F.when(~is_open, 1)).alias("n_other"),
-        F.sum(F.when(is_open, size).otherwise(0)).alias("bytes_open"),
-        F.sum(F.when(is_open, 0).otherwise(size)).alias("bytes_other"),
-    )
-    return materialize(counts.filter("n_open > 0 and n_open + n_other > 1"), "sizes")
+    parts = []
+    for kind, state in _KINDS.items():
+        is_kind = F.col("state") == state
+        parts.append(F.count(F.when(is_kind, 1)).alias(f"n_{kind}"))
+        parts.append(F.sum(F.when(is_kind, size).otherwise(0)).alias(f"bytes_{kind}"))
+    counts = sets.groupBy("block").agg(*parts)
+    unmet = (F.col("n_open") > 0) | (F.col("n_home") > 0) & (F.col("n_guest") > 0)
+    return materialize(counts.filter(unmet & (_total("n") > 1)), "sizes")
 
 
 def verified_links(sets: DataFrame, percent: int = PERCENT, max_block: int = MAX_BLOCK) -> DataFrame:
@@ -482,11 +514,13 @@ def verified_links(sets: DataFrame, percent: int = PERCENT, max_block: int = MAX
     for step in range(ROUNDS):
         if not large.take(1):
             break
-        states, near = _round(sets.join(large.select("block"), "block", "left_semi"), large, percent, 4 * chunk)
+        # Guests arise with the first regions.
+        states, near = _round(sets.join(large.select("block"), "block", "left_semi"), large, percent, 4 * chunk, HOME if step else SETTLED)
         links.append(near)
         now = _counts(states)
         # Few enough open sets meet the rest chunk by chunk; more are divided first.
-        few = now.filter(F.col("n_open") <= CHUNKS * chunk) if step + 1 < ROUNDS else now
+        unmet = F.greatest(F.col("n_open"), F.least("n_home", "n_guest"))
+        few = now.filter(unmet <= CHUNKS * chunk) if step + 1 < ROUNDS else now
         tasks.append(_chunk_pairs(states, few, chunk))
         many = now.join(few.select("block"), "block", "left_anti").select("block")
         if not many.take(1):

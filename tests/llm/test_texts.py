@@ -3,7 +3,7 @@
 import zlib
 
 import pytest
-from llm_data import DOCS, awkward, docs, empty, fold, jaccard_components, prose, window_law
+from llm_data import DOCS, awkward, components, docs, empty, fold, jaccard_components, prose, window_law
 
 from tarmac.llm import jaccard_join, langid, lz_dedup, queries, wumanber
 
@@ -110,6 +110,43 @@ def test_jaccard_join_is_exact(spark, monkeypatch, max_block, max_bytes):
     assert all(r.component_id is None for r in nulls) and len(nulls) == 2
 
 
+def _family(rnd, first):
+    """(doc_id, set) of near copies that chain, branch and lie beside each other at about the join radius."""
+    stems = [{rnd.getrandbits(62) for _ in range(rnd.choice((12, 20, 30)))} for _ in range(rnd.randint(1, 3))]
+    sets = [frozenset(s) for s in stems]
+    while len(sets) < 60:
+        copy = set(rnd.choice(sets))
+        for _ in range(rnd.choice((1, 1, 2, 3, 5))):
+            if rnd.random() < 0.7:
+                copy.discard(rnd.choice(sorted(copy)))
+            copy.add(rnd.getrandbits(62))
+        sets.append(frozenset(copy))
+    return [(first + i, s) for i, s in enumerate(dict.fromkeys(sets))]
+
+
+@pytest.mark.parametrize("max_block, chunks, pivots", [(4, 1, 2), (2, 1, 1), (6, 2, 3)])
+def test_blocks_divided_again_and_again_lose_no_link(spark, monkeypatch, max_block, chunks, pivots):
+    import random
+
+    import numpy as np
+
+    monkeypatch.setattr(jaccard_join, "CHUNKS", chunks)
+    monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
+    rounds, divide = [], jaccard_join._round
+    monkeypatch.setattr(jaccard_join, "_round", lambda *args: rounds.append(1) or divide(*args))
+    rnd, rows, links = random.Random(11), [], []
+    for block in range(40):
+        family = _family(rnd, 1000 * block)
+        rows += [(block, i, 0, bytearray(np.array(sorted(s), np.uint64).tobytes())) for i, s in family]
+        links += [
+            (i, j) for i, s in family for j, t in family if j < i and 100 * len(s & t) >= 85 * len(s | t)
+        ]
+    sets = spark.createDataFrame(rows, "block bigint, doc_id bigint, state int, shingles binary")
+    got = [tuple(r) for r in jaccard_join.verified_links(sets, 85, max_block).collect()]
+    ids = [r[1] for r in rows]
+    assert components(ids, got) == components(ids, links) and len(rounds) >= 3
+
+
 def test_jaccard_signatures_meet_for_every_linked_pair():
     import random
 
