@@ -10,15 +10,20 @@ Document frequencies count every labelled training row.  Centroids are fitted
 on at most ``sample`` rows per language (those with the smallest hashes of
 doc_id), a bounded sample.
 
-Rejection is by distance: training rows of like length (powers of two of
-letter bytes; longer ones count too) set how small a cosine may be, and a text
-below ``slack`` times the smallest seen is not in a learned language.  Null text, and text without a letter, is ``und``
-with score 0 and is rejected.  With nothing to learn from, every text is
+Rejection is by distance: a language's sampled rows of like length (powers of
+two of letter bytes), each held against centroids fitted without it, say how
+small its cosines are.  A text nearest to a language, but below ``slack`` times
+the low quantile ``odd`` of those, is in no learned language; so a few odd rows
+of a language, junk or mislabelled, do not set its floor, and never another's.
+Lengths with fewer than ``SUPPORT`` rows borrow those of the lengths beside
+them.  Null text, and text without a letter, is ``und`` with score 0 and is
+rejected.  With nothing to learn from, every text is
 ``und``.  Repeated rows are predicted alike, as only the text counts.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +36,7 @@ from .batches import slices, utf8, values
 GRAM_BITS = 13
 SIZE = 1 << GRAM_BITS
 CLUSTERS, SAMPLE, ROUNDS, SLACK = 3, 1000, 10, 0.5
+ODD, FOLDS, SUPPORT = 0.01, 5, 200
 UNKNOWN = "und"
 BUCKETS = 64
 
@@ -82,12 +88,31 @@ def cluster(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
     return centres
 
 
+def held_aside(x: np.ndarray, fold: np.ndarray, k: int, rounds: int) -> np.ndarray:
+    """Largest cosine of each row with centroids fitted on the rows of the other folds."""
+    out = np.zeros(len(x))
+    for f in np.unique(fold):
+        aside = fold == f
+        rest = x[~aside] if not aside.all() else x
+        out[aside] = (x[aside] @ cluster(rest, k, rounds).T).max(axis=1)
+    return out
+
+
+def floors_of(buckets: np.ndarray, cosines: np.ndarray, odd: float) -> np.ndarray:
+    """The low quantile ``odd`` of the cosines for each length; never higher for a shorter text, which lies farther off."""
+    out = np.zeros(BUCKETS)
+    for b in range(BUCKETS):
+        reach = np.sort(np.abs(buckets - b))[min(SUPPORT, len(buckets)) - 1]
+        out[b] = np.quantile(cosines[np.abs(buckets - b) <= reach], odd)
+    return np.minimum.accumulate(out[::-1])[::-1]
+
+
 @dataclass
 class Model:
     idf: np.ndarray
     centres: np.ndarray
     langs: list[str]
-    floors: np.ndarray
+    floors: np.ndarray  # of each centre's language, by length
 
     def predict(self, texts: list[bytes | None]) -> tuple[list[str], list[float], list[bool]]:
         """(language, cosine, rejected) of each text."""
@@ -100,7 +125,7 @@ class Model:
             best = np.argmax(cosines, axis=1)
             for i, row, c, near in zip(known, counts, best, cosines[np.arange(len(best)), best]):
                 out[i], score[i] = self.langs[c], float(min(1.0, max(0.0, near)))
-                rejected[i] = bool(near < self.floors[length_bucket(row)])
+                rejected[i] = bool(near < self.floors[c, length_bucket(row)])
         return out, score, rejected
 
 
@@ -118,7 +143,12 @@ def _frequencies(batches):
 
 
 def train(
-    docs: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPLE, rounds: int = ROUNDS, slack: float = SLACK
+    docs: DataFrame,
+    clusters: int = CLUSTERS,
+    sample: int = SAMPLE,
+    rounds: int = ROUNDS,
+    slack: float = SLACK,
+    odd: float = ODD,
 ) -> Model:
     """Fit on the rows of ``docs`` (doc_id, text, lang) whose text and lang are not null."""
     rows = docs.select(
@@ -142,11 +172,13 @@ def train(
     chosen = chosen.filter(F.col("rank") <= sample).select("lang", "text")
 
     def fit(key, table):
-        grams = np.stack([gram_counts(t) for t in table.column("text").cast(pa.binary()).to_pylist()])
+        texts = table.column("text").cast(pa.binary()).to_pylist()
+        grams = np.stack([gram_counts(t) for t in texts])
         x = weigh(grams, idf)
         centres = cluster(x, clusters, rounds)
-        floors = np.full(BUCKETS, np.inf)
-        np.minimum.at(floors, [length_bucket(g) for g in grams], (x @ centres.T).max(axis=1))
+        # Copies of a text are in one fold.
+        cosines = held_aside(x, np.array([zlib.crc32(t) % FOLDS for t in texts]), clusters, rounds)
+        floors = slack * floors_of(np.array([length_bucket(g) for g in grams]), cosines, odd)
         return pa.table(
             {
                 "lang": pa.array([key[0].as_py()], pa.string()),
@@ -156,19 +188,13 @@ def train(
         )
 
     fitted = chosen.groupBy("lang").applyInArrow(fit, "lang string, centres binary, floors array<double>").collect()
-    centres, langs, floors = [np.zeros((0, SIZE), np.float32)], [], np.full(BUCKETS, np.inf)
+    centres, langs, floors = [np.zeros((0, SIZE), np.float32)], [], [np.zeros((0, BUCKETS))]
     for r in sorted(fitted, key=lambda r: r.lang):
         own = np.frombuffer(r.centres, "<f4").reshape(-1, SIZE)
         centres.append(own)
         langs += [r.lang] * len(own)
-        floors = np.minimum(floors, r.floors)
-    # Shorter texts lie farther off: a length's floor is the least of the next shorter, its own and all longer ones.
-    seen = np.flatnonzero(np.isfinite(floors))
-    if len(seen):
-        floors[seen[-1] :] = floors[seen[-1]]  # a longer text than any seen is no farther off
-    least = np.minimum.accumulate(floors[::-1])[::-1]
-    least = np.minimum(least, np.r_[np.inf, floors[:-1]])
-    return Model(idf, np.concatenate(centres), langs, np.where(np.isfinite(least), slack * least, -1.0))
+        floors.append(np.tile(r.floors, (len(own), 1)))
+    return Model(idf, np.concatenate(centres), langs, np.concatenate(floors))
 
 
 _PREDICTED = ["row", "lang_pred", "score", "rejected"]

@@ -2,8 +2,10 @@
 
 import zlib
 
+import numpy as np
 import pytest
 from llm_data import DOCS, awkward, components, docs, empty, fold, jaccard_components, prose, window_law
+from pyspark.sql import functions as F
 
 from tarmac.llm import jaccard_join, langid, lz_dedup, queries, wumanber
 
@@ -199,6 +201,27 @@ def test_language_of_held_out_texts(spark):
     assert langid.drop_unknown(strange, model).columns == strange.columns
 
 
+def test_odd_training_rows_do_not_let_other_languages_in(spark):
+    given = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.train(given.filter(~langid.held_out()))
+    passage = (
+        "Questa è una frase scritta in lingua italiana che non appartiene a nessuna delle lingue imparate, e parla del "
+        "tempo, della casa e della famiglia che abita vicino al mare. Il giorno dopo siamo andati al mercato per "
+        "comprare frutta, verdura e un poco di pane fresco, poi abbiamo camminato lungo la strada fino alla chiesa. "
+    ) * 6
+    foreign = [passage[at : at + n].encode() for n in (400, 1000) for at in range(0, 200, 10)]
+    assert all(model.predict(foreign)[2])
+    tested = langid.identify(given.filter(langid.held_out() & (F.length("text") >= 20)), model).collect()
+    assert len(tested) > 1900 and not any(r.rejected for r in tested)
+
+
+def test_floors_are_set_by_many_rows():
+    buckets, cosines = np.repeat([6, 9, 12], 400), np.repeat([0.4, 0.6, 0.8], 400)
+    cosines[[0, 400, 401, 800]] = 0.01  # odd rows
+    floors = langid.floors_of(buckets, cosines, langid.ODD)
+    assert np.allclose(floors[[0, 6, 9, 12, 40]], [0.4, 0.4, 0.6, 0.8, 0.8])
+
+
 def test_language_of_the_given_documents(spark):
     sf = "/root/testdata/sf0.01"
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
