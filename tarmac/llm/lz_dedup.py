@@ -1,4 +1,6 @@
-"""Substring dedup: Relative Lempel-Ziv parsing against every earlier document.
+"""Substring dedup against every earlier document, by content-defined blocks and run hashes.
+
+This stands in for a Relative Lempel-Ziv parse: no factor is extended past one block.
 
 The law: a word goes if some run of ``window`` consecutive words that covers it
 also stands in a document with a smaller doc_id, as the input has it.
@@ -10,7 +12,7 @@ block*, the stretch of words that they cover.  A passage that two documents
 share elects the same anchors in both, so blocks meet by hash wherever they
 lie.
 
-The parse goes in two steps, both by joins on hashes:
+The search goes in two steps, both by joins on hashes:
 
 1. whole blocks: a block that an earlier document also has is a factor, and
    all its words go;
