@@ -86,6 +86,13 @@ class Encoder:
     def cut(self, text: str) -> list[str]:
         return _PIECES.findall(text)
 
+    def n_pieces(self, text: str) -> int:
+        """Pieces of any text; beyond the cut, the library's own and its special tokens."""
+        if self.covers(text):
+            return len(self.cut(text))
+        parts = re.split("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))), text) if self.special else [text]
+        return len(parts) - 1 + sum(len(self.lib.pre_tokenizer.pre_tokenize_str(p)) for p in parts)
+
     def count(self, text: str) -> int:
         return len(self.encode(text)) // self.dtype.itemsize
 

@@ -14,7 +14,7 @@ all that follows.
 A tree is kept as its leaves (``tree``: characters and tokens of each piece,
 32-bit); the sums above are rebuilt from them when it is loaded.  A text that
 the pieces' cut does not cover (see ``bpe``) is one leaf, encoded whole after
-every edit.
+every edit; all of its pieces count as encoded each time.
 
 Edits apply in order, each to the text that the earlier ones left; offsets are
 in characters, and are cut to the text's ends.  Null text is empty; null edits
@@ -107,7 +107,7 @@ class PieceTree:
     def _rebuild(self, text: str) -> None:
         encoded = self.encoded
         self.__init__(self.enc, text)
-        self.encoded = encoded + max(1, len(self.slots))
+        self.encoded = encoded + max(1, len(self.slots) if self.plain else self.enc.n_pieces(text))
 
     def _around(self, start: int, end: int, replacement: str) -> str:
         """The replacement with as much text on both sides as a special token can reach over."""

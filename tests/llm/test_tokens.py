@@ -54,6 +54,17 @@ def test_a_special_token_that_an_edit_completes():
     assert tree.tokens == len(library("say <|endoftext|> now and then"))
 
 
+def test_a_text_encoded_whole_counts_all_its_pieces():
+    enc = bpe.encoder(PATH)
+    tree = token_tree.PieceTree(enc, "one “two” three " * 50)
+    for k in (1, 2):
+        tree.edit(0, 1, "x")
+        assert tree.encoded == k * len(enc.lib.pre_tokenizer.pre_tokenize_str(tree.text)) and tree.encoded >= k * 200
+    plain, special = "one two, three", enc.special[0]
+    assert enc.n_pieces(plain) == len(enc.lib.pre_tokenizer.pre_tokenize_str(plain))
+    assert enc.n_pieces(plain + special + plain) == 2 * enc.n_pieces(plain) + 1
+
+
 def test_edits_touch_little(spark):
     from pyspark.sql import functions as F
 
