@@ -68,15 +68,17 @@ class _PieceIds(dict):
 
 
 class Encoder:
-    """``encode`` gives little-endian ids of type ``dtype``: 16 bits where the vocabulary allows it, else 32."""
+    """``encode`` gives little-endian ids of type ``dtype``: 16 bits where the vocabulary allows it, else 32.  ``plain``
+    takes special tokens' strings for ordinary text."""
 
-    def __init__(self, path: str, max_pieces: int = MAX_PIECES):
+    def __init__(self, path: str, max_pieces: int = MAX_PIECES, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
+        self.lib.encode_special_tokens = plain
         self.dtype = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
-        self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
+        self.special = [] if plain else [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.pieces = _PieceIds(self.lib.model, "H" if self.dtype.itemsize == 2 else "I", max_pieces)
 
     def covers(self, text: str) -> bool:
@@ -115,18 +117,26 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+@lru_cache(maxsize=4)
+def plain_encoder(path: str) -> Encoder:
+    return Encoder(path, plain=True)
+
+
+def token_bytes(path: str) -> dict[int, bytes]:
+    """The bytes that each id stands for."""
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(path)
+    letters = {chr(c): b for b, c in _byte_letters().items()}
+    special = {i for i, t in lib.get_added_tokens_decoder().items()}
+    return {i: t.encode("utf-8") if i in special else bytes(letters[c] for c in t) for t, i in lib.get_vocab().items()}
+
+
 class Decoder:
     """Ids back to text: the bytes that each id stands for, joined."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        lib = Tokenizer.from_file(path)
-        letters = {chr(c): b for b, c in _byte_letters().items()}
-        special = {i for i, t in lib.get_added_tokens_decoder().items()}
-        self.bytes = {
-            i: t.encode("utf-8") if i in special else bytes(letters[c] for c in t) for t, i in lib.get_vocab().items()
-        }
+        self.bytes = token_bytes(path)
 
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8")

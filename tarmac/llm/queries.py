@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_tree, curve_packing, jaccard_join, langid, lz_dedup, rabitq, records, sharding, token_tree, wumanber
+from . import chat_tree, curve_packing, jaccard_join, langid, lz_dedup, rabitq, records, sharding, token_links, token_tree, wumanber
 from .oracles import ORACLE_SQL  # noqa: F401
 from .shipping import ship_package
 from .storage import materialize, run_folder
@@ -149,3 +149,11 @@ def op5_edit_counts(spark, sf_dir):
         "n_encoded",
         F.sha2("text", 256).alias("edited_sha256"),
     )
+
+
+@query
+def op11_lockstep_links(spark, sf_dir):
+    """Tokens, groups and links of every document under two tokenizers, with the corpus-wide counts of its id pairs."""
+    aligned = token_links.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = token_links.summary(aligned)
+    return found.select(F.col("row.doc_id").alias("doc_id"), *(c for c in found.columns if c != "row"))
