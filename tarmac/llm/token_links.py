@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 
 from .batches import column, slices, values
 from .bpe import default_path, plain_encoder, token_bytes
-from .storage import materialize
+from .storage import Scratch, materialize
 
 LANE = 512
+ROWS = 128  # documents that a task aligns at a time
 MAX_BROADCAST = 1 << 19  # id pairs, about 40 bytes each in a hash table
-ARRAYS = ["a_ids", "b_ids", "a_cuts", "b_cuts"]
 
 
 def default_pieces_path() -> str:
@@ -63,8 +63,9 @@ class Pieces:
         piece = self.lib.id_to_piece(i)
         return bytes([int(piece[3:-1], 16)]) if self.lib.is_byte(i) else piece.replace("▁", " ").encode("utf-8")
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.lib.encode(texts, num_threads=1) if texts else []
+    def encode(self, texts: list[str]):
+        """The ids of one text after the other."""
+        return (self.lib.encode(t) for t in texts)
 
     def spells(self, ids: list[int], data: bytes) -> bool:
         return b"".join(map(self.bytes.__getitem__, ids)) == data
@@ -121,14 +122,43 @@ def _offsets(counts) -> np.ndarray:
     return np.r_[0, np.cumsum(np.asarray(counts, dtype=np.int64))].astype(np.int64)
 
 
-def _lists(flat: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))
+@lru_cache(maxsize=None)
+def _spelled(size: int, mark: str) -> np.ndarray:
+    """Every id below ``size`` in decimal, with a mark behind it."""
+    return np.array([f"{i}{mark}" for i in range(size)], dtype=object)
 
 
-def _align(a_path: str, b_path: str, lane: int):
+def groups_texts(a, b, link_a, link_b, ends, sizes=(1 << 16, 1 << 16)) -> list[str]:
+    """``a1,a2|b1;a3|b2,b3`` for each document: each group's A ids, then its B ids.  ``a`` and ``b`` are the ids of the
+    documents one after the other, ``link_a`` and ``link_b`` the last of each group, ``ends`` the last A id and the last B
+    id of each document, plus one."""
+    sizes = max(sizes[0], int(a.max(initial=0)) + 1), max(sizes[1], int(b.max(initial=0)) + 1)
+    words_a, words_b = _spelled(sizes[0], ",")[a], _spelled(sizes[1], ",")[b]
+    words_a[link_a], words_b[link_b] = _spelled(sizes[0], "|")[a[link_a]], _spelled(sizes[1], ";")[b[link_b]]
+    group_a = np.searchsorted(link_a, np.arange(len(a)))
+    group_b = np.searchsorted(link_b, np.arange(len(b)))
+    out = np.empty(len(a) + len(b), dtype=object)
+    out[np.arange(len(a)) + np.r_[0, link_b + 1][group_a]] = words_a
+    out[np.arange(len(b)) + (link_a + 1)[group_b]] = words_b
+    bounds = np.r_[0, np.add(*ends)].tolist()
+    return ["".join(out[i:j].tolist())[:-1] for i, j in zip(bounds, bounds[1:])]
+
+
+INTS, LONGS = pa.list_(pa.int32()), pa.list_(pa.int64())
+KINDS = {
+    "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups_sha256": pa.string(),
+    "a_ids": INTS, "b_ids": INTS, "a_cuts": INTS, "b_cuts": INTS, "links": LONGS,
+}
+DDL = {c: "bigint" if k == pa.int64() else "string" if k == pa.string() else "array<int>" if k == INTS else "array<bigint>" for c, k in KINDS.items()}
+
+
+def _align(a_path: str, b_path: str, lane: int, columns: tuple[str, ...]):
+    def lists(flat: np.ndarray, offsets: np.ndarray, name: str) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, KINDS[name].value_type))
+
     def run(batches):
         enc, sp, a_lengths = plain_encoder(a_path), pieces(b_path), _byte_lengths(a_path)
-        for batch in slices(batches):
+        for batch in slices(batches, ROWS):
             texts = values(batch, "text")
             a_ids: list = [[]] * len(texts)
             b_ids: list = [[]] * len(texts)
@@ -139,38 +169,51 @@ def _align(a_path: str, b_path: str, lane: int):
                 data = spaced.encode("utf-8")
                 a = np.frombuffer(enc.encode(spaced), enc.dtype)
                 if sp.spells(b, data) and a_lengths[a].sum() == len(data):
-                    a_ids[i], b_ids[i], sizes[i] = a, b, len(data)
+                    a_ids[i], b_ids[i], sizes[i] = a, np.array(b, dtype=np.int64), len(data)
             a, b = _flat(a_ids), _flat(b_ids)
             a_from, b_from = _offsets([len(x) for x in a_ids]), _offsets([len(x) for x in b_ids])
             link_a, link_b = lockstep(np.cumsum(a_lengths[a]), np.cumsum(sp.lengths[b]), *lanes(sizes, lane))
             cuts = np.searchsorted(link_a, a_from)
             owner = np.repeat(np.arange(len(texts)), np.diff(cuts))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    column(batch, "row"),
-                    _lists(a, a_from, pa.int32()),
-                    _lists(b, b_from, pa.int32()),
-                    _lists(link_a + 1 - a_from[owner], cuts, pa.int32()),
-                    _lists(link_b + 1 - b_from[owner], cuts, pa.int32()),
-                    _lists((b[link_b] << 32) | a[link_a], cuts, pa.int64()),
-                ],
-                names=["row", "a_ids", "b_ids", "a_cuts", "b_cuts", "links"],
-            )
+
+            def digests():
+                found = groups_texts(a, b, link_a, link_b, (a_from[1:], b_from[1:]))
+                return [hashlib.sha256(g.encode("ascii")).hexdigest() if g else "" for g in found]
+
+            make = {
+                "n_a": lambda: np.diff(a_from),
+                "n_b": lambda: np.diff(b_from),
+                "n_groups": lambda: np.diff(cuts),
+                "n_links": lambda: np.diff(cuts),
+                "groups_sha256": digests,
+                "a_ids": lambda: lists(a, a_from, "a_ids"),
+                "b_ids": lambda: lists(b, b_from, "b_ids"),
+                "a_cuts": lambda: lists(link_a + 1 - a_from[owner], cuts, "a_cuts"),
+                "b_cuts": lambda: lists(link_b + 1 - b_from[owner], cuts, "b_cuts"),
+                "links": lambda: lists((b[link_b] << 32) | a[link_a], cuts, "links"),
+            }
+            made = [make[c]() for c in columns]
+            made = [m if isinstance(m, pa.Array) else pa.array(m, KINDS[c]) for c, m in zip(columns, made)]
+            yield pa.RecordBatch.from_arrays([column(batch, "row"), *made], names=["row", *columns])
 
     return run
 
 
-def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, lane: int = LANE) -> DataFrame:
-    """A table on the shared folder with one row per document: ``key`` (unique), ``row`` (its columns but the text),
-    ``a_ids``, ``b_ids``, ``a_cuts`` and ``b_cuts`` (tokens up to the end of each group), and ``links`` (B id * 2**32 + A
-    id of each)."""
+def align(
+    docs: DataFrame,
+    columns: tuple[str, ...] = ("a_ids", "b_ids", "a_cuts", "b_cuts", "links"),
+    a_path: str | None = None,
+    b_path: str | None = None,
+    lane: int = LANE,
+) -> DataFrame:
+    """``row`` (a document's columns but the text) and what is asked for of: ``a_ids``, ``b_ids``; ``a_cuts``, ``b_cuts``
+    (tokens up to the end of each group); ``links`` (B id * 2**32 + A id of each); the numbers ``n_a``, ``n_b``,
+    ``n_groups``, ``n_links``; and ``groups_sha256`` of the groups' ids ('' without tokens)."""
     a_path, b_path = a_path or default_path(), b_path or default_pieces_path()
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     packed = docs.select(F.struct(*(others or [F.lit(0).alias("none")])).alias("row"), F.col("text").cast("string").alias("text"))
-    arrays = [f"cast(array() as array<int>) as {c}" for c in ARRAYS]
-    schema = packed.selectExpr("row", *arrays, "cast(array() as array<bigint>) as links").schema
-    found = packed.mapInArrow(_align(a_path, b_path, lane), schema)
-    return materialize(found.withColumn("key", F.monotonically_increasing_id()), "aligned")
+    schema = packed.selectExpr("row", *(f"cast(null as {DDL[c]}) as {c}" for c in columns)).schema
+    return packed.mapInArrow(_align(a_path, b_path, lane, tuple(columns)), schema)
 
 
 def link_counts(aligned: DataFrame) -> DataFrame:
@@ -196,44 +239,16 @@ def link_sums(aligned: DataFrame, counts: DataFrame, max_broadcast: int = MAX_BR
     )
 
 
-def groups_text(a: np.ndarray, b: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``: each group's A ids, then its B ids."""
-    marks_a, marks_b = np.full(len(a), ",", dtype=object), np.full(len(b), ",", dtype=object)
-    marks_a[a_cuts - 1], marks_b[b_cuts - 1] = "|", ";"
-    place_a = np.arange(len(a)) + np.r_[0, b_cuts][np.searchsorted(a_cuts, np.arange(len(a)), side="right")]
-    place_b = np.arange(len(b)) + a_cuts[np.searchsorted(b_cuts, np.arange(len(b)), side="right")]
-    out = np.empty(len(a) + len(b), dtype=object)
-    out[place_a], out[place_b] = a.astype(str).astype(object) + marks_a, b.astype(str).astype(object) + marks_b
-    return "".join(out.tolist())[:-1]
-
-
-def _arrays(batch: pa.RecordBatch, name: str) -> list[np.ndarray]:
-    lists = column(batch, name)
-    flat = np.asarray(lists.flatten())
-    ends = np.cumsum(np.asarray(lists.value_lengths(), dtype=np.int64))
-    return np.split(flat, ends[:-1]) if len(lists) else []
-
+SUMMARY = ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")
 
-def _digests(batches):
-    for batch in slices(batches):
-        parts = zip(*(_arrays(batch, c) for c in ARRAYS))
-        digests = [hashlib.sha256(groups_text(*p).encode("ascii")).hexdigest() if len(p[0]) else "" for p in parts]
-        yield pa.RecordBatch.from_arrays(
-            [column(batch, c) for c in ("key", "row", "n_a", "n_b", "n_groups", "n_links")] + [pa.array(digests, pa.string())],
-            names=["key", "row", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"],
-        )
 
-
-def summary(aligned: DataFrame) -> DataFrame:
+def summary(docs: DataFrame, lane: int = LANE, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """One row per document: ``row``, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best``, ``count_sum`` and
-    ``groups_sha256`` ('' without tokens)."""
-    sizes = {"n_a": "a_ids", "n_b": "b_ids", "n_groups": "a_cuts", "n_links": "links"}
-    wide = aligned.select("key", "row", *(F.size(c).cast("bigint").alias(n) for n, c in sizes.items()), *ARRAYS)
-    schema = wide.drop(*ARRAYS).withColumn("groups_sha256", F.lit("")).schema
-    sums = link_sums(aligned, link_counts(aligned))
+    ``groups_sha256``."""
+    scratch = Scratch(docs.sparkSession, "links")
+    found = align(docs, (*SUMMARY, "links"), lane=lane)
+    found = scratch.write(found.withColumn("key", F.monotonically_increasing_id()), "aligned")
+    sums = scratch.write(link_sums(found, link_counts(found), max_broadcast), "sums")
     zero = F.lit(0).cast("bigint")
-    return (
-        wide.mapInArrow(_digests, schema)
-        .join(sums, "key", "left")
-        .select("row", *sizes, *(F.coalesce(c, zero).alias(c) for c in ("n_best", "count_sum")), "groups_sha256")
-    )
+    sums = found.select("key", "row", *SUMMARY).join(sums, "key", "left")
+    return sums.select("row", *SUMMARY[:-1], *(F.coalesce(c, zero).alias(c) for c in ("n_best", "count_sum")), SUMMARY[-1])

@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -13,15 +14,20 @@ from tarmac.llm import bpe, queries, token_links
 A, B = bpe.default_path(), token_links.default_pieces_path()
 
 
-def tokens(text):
-    """(A ids, A ends, B ids, B ends) from the libraries."""
+@lru_cache
+def library():
     from tokenizers import Tokenizer
 
     lib = Tokenizer.from_file(A)
     lib.encode_special_tokens = True
+    return lib, bpe.token_bytes(A), token_links.pieces(B)
+
+
+def tokens(text):
+    """(A ids, A ends, B ids, B ends) from the libraries."""
+    lib, spelled, sp = library()
     if not text:
         return [], [], [], []
-    spelled, sp = bpe.token_bytes(A), token_links.pieces(B)
     a = lib.encode(" " + text, add_special_tokens=False).ids
     b = sp.lib.encode(text)
     data = (" " + text).encode()
@@ -74,14 +80,14 @@ def test_awkward_rows_against_brute_force(spark, lane):
     rows = [*rows, (None, rows[4][1]), (None, None)]
     rows += [(20, "a▁b"), (21, "tab\tand  two"), (22, "<s> <|endoftext|> <0x41>"), (23, "é“x” 😀 中文"), (24, " lead"), (25, "\x00\x01")]
     frame = frame.unionByName(docs(spark, rows[-6:]))
-    got = found(token_links.summary(token_links.align(frame, lane=lane)))
+    got = found(token_links.summary(frame, lane=lane))
     assert got == sorted(brute(rows), key=lambda r: (r[0] is None, r))
     assert {r[0]: r[1] for r in got}[20] == 0  # the model takes U+2581 for a space
 
 
 def test_counts_come_back_alike_with_and_without_broadcast(spark):
     _, frame = awkward(spark)
-    aligned = token_links.align(frame)
+    aligned = token_links.align(frame).withColumn("key", F.monotonically_increasing_id())
     counts = token_links.link_counts(aligned)
     small = token_links.link_sums(aligned, counts, max_broadcast=10**9)
     large = token_links.link_sums(aligned, counts, max_broadcast=0)
@@ -91,13 +97,25 @@ def test_counts_come_back_alike_with_and_without_broadcast(spark):
 def test_other_columns_stay_and_an_empty_table_has_no_rows(spark):
     _, frame = awkward(spark)
     clash = frame.withColumn("key", F.lit("k")).withColumn("a_ids", F.lit(1)).withColumn("links", F.lit(2))
-    out = token_links.summary(token_links.align(clash))
+    out = token_links.summary(clash)
     assert out.select("row.key", "row.a_ids", "row.links").distinct().collect() == [("k", 1, 2)]
     assert out.count() == frame.count()
-    assert token_links.summary(token_links.align(empty(spark))).count() == 0
+    assert token_links.summary(empty(spark)).count() == 0
     assert token_links.align(frame.select("text")).count() == frame.count()
 
 
+def test_ids_and_cuts_of_every_row(spark):
+    rows, frame = awkward(spark)
+    got = {}
+    for r in token_links.align(frame, ("a_ids", "b_ids", "a_cuts", "b_cuts"), lane=40).collect():
+        got.setdefault(r.row.doc_id, []).append(r)
+    for i, text in rows:
+        a, a_ends, b, b_ends = tokens(text)
+        r = next(r for r in got[i] if r.a_ids == a)
+        both = sorted(set(a_ends) & set(b_ends))
+        assert r.b_ids == b and [a_ends[c - 1] for c in r.a_cuts] == both == [b_ends[c - 1] for c in r.b_cuts]
+
+
 def test_registered_query_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
