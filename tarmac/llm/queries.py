@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_tree, curve_packing, jaccard_join, langid, lz_dedup, rabitq, records, sharding, token_links, token_tree, wumanber
+from . import chat_tree, curve_packing, jaccard_join, langid, lz_dedup, rabitq, records, sharding, suffix_dedup, token_links, token_tree, whitening, wumanber
 from .oracles import ORACLE_SQL  # noqa: F401
 from .shipping import ship_package
 from .storage import materialize, run_folder
@@ -154,6 +154,33 @@ def op5_edit_counts(spark, sf_dir):
 @query
 def op11_lockstep_links(spark, sf_dir):
     """Tokens, groups and links of every document under two tokenizers, with the corpus-wide counts of its id pairs."""
-    aligned = token_links.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    found = token_links.summary(aligned)
+    found = token_links.summary(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("row.doc_id").alias("doc_id"), *(c for c in found.columns if c != "row"))
+
+
+@query
+def op13_contour_whitening(spark, sf_dir):
+    """Every usable embedding on the 32 leading components of the embeddings' covariance, at unit variance."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select(
+        F.col("row.vec_id").alias("vec_id"),
+        "component",
+        "n",
+        F.col("deviation").cast("bigint").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+    )
+
+
+@query
+def op12_lyndon_suffix_dedup(spark, sf_dir):
+    """Bytes of every document that stay once runs of 400 bytes that start anywhere else are gone."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

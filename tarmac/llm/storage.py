@@ -48,3 +48,19 @@ def dealt_anew(grouped: DataFrame, key: str) -> DataFrame:
     c = F.col(key)
     kind = dict(grouped.dtypes)[key]
     return grouped.withColumn(key, F.concat(c, F.lit(b"")) if kind == "binary" else c.bitwiseXOR(F.lit(0)))
+
+
+class Scratch:
+    """Intermediate tables of one call, in a folder of its own on the shared folder, each removable by name."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, run_folder(spark, name)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        return write_table(df, f"{self.folder}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Remove tables that no later frame reads, and the shuffles that finished jobs have left."""
+        for name in names:
+            remove(self.spark, f"{self.folder}/{name}")
+        release(self.spark)
