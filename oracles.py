@@ -298,6 +298,17 @@ LAYERS = {
     "bronze_line_breaks": """
 SELECT passenger_id, concat(name, chr(10), 'of "', nationality, '", ', gender) AS name, gender, nationality
 FROM passengers""",
+    "bronze_line_breaks_ranges": """
+SELECT passenger_id, concat(name, chr(10), 'of "', nationality, '", ', gender) AS name, gender, nationality
+FROM passengers""",
+    "bronze_exact_types": """
+SELECT booking_id, concat(flight_id % 40 + 1, ['D', 'F', 'd', 'f'][flight_id % 4 + 1]) AS seat,
+       concat('0x1p', flight_id % 9) AS tag, lpad(CAST(flight_id AS VARCHAR), 9, '0') AS ticket,
+       CAST(amount AS DOUBLE) AS price, CAST(booking_date AS DATE) AS day, flight_id % 2 = 0 AS paid,
+       'bigint' AS booking_id_type, 'string' AS seat_type, 'string' AS tag_type, 'string' AS ticket_type,
+       concat('decimal(', length(CAST(MAX(CAST(whole AS BIGINT)) OVER () AS VARCHAR)) + 2, ',2)') AS price_type,
+       'date' AS day_type, 'boolean' AS paid_type
+FROM (SELECT *, floor(amount) AS whole FROM bookings)""",
     "gold_airport_revenue_string_ids": f"""
 SELECT 'A' || airport_id AS airport_id, airport_name, city, country, {cnt('booking_id')} AS total_bookings,
        {money_sum()} AS total_revenue, {money_avg()} AS avg_revenue_per_booking
@@ -315,6 +326,14 @@ UNION ALL SELECT 'passengers', CAST(COUNT(*) AS BIGINT), CAST(COUNT(*) AS BIGINT
     "silver_bookings_obt": """
 SELECT airport_id, passenger_id, booking_id, flight_id, amount, booking_date, name, gender, nationality,
        airport_name, city, country FROM obt""",
+    "unmatched_bookings": """
+SELECT 'passengers' AS dimension, COUNT(*) FILTER (passenger_id IS NULL) AS null_key_rows,
+       COUNT(*) FILTER (passenger_id IS NOT NULL AND passenger_id NOT IN (SELECT passenger_id FROM passengers)) AS dangling_key_rows
+FROM obt
+UNION ALL
+SELECT 'airports', COUNT(*) FILTER (airport_id IS NULL),
+       COUNT(*) FILTER (airport_id IS NOT NULL AND airport_id NOT IN (SELECT airport_id FROM airports))
+FROM obt""",
     "silver_row_counts": """
 SELECT 'bookings_obt' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows_written, CAST(COUNT(*) AS BIGINT) AS row_count FROM obt""",
 }

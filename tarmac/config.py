@@ -24,6 +24,9 @@ class PipelineConfig:
     gold: str = "gold"
     # Parquet by default; "delta" works where the Delta jars are on the classpath.
     format: str = "parquet"
+    # Versions of a table that stay after a write: the new one and, for readers
+    # that have begun on it, the one before.
+    keep_versions: int = 2
     on_bad_date: str = "fail"
     # ORDER BY before a write only orders files; a range-partitioned sort at scale.
     sort_output: bool = True

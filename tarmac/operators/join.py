@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
@@ -155,11 +155,13 @@ def build_obt(
     airports: DataFrame,
     cfg: PipelineConfig,
     keys: Sequence[str] = ("passenger_id", "airport_id"),
+    unmatched: Observation | None = None,
 ) -> DataFrame:
     """One row per booking (times duplicate dimension rows), all columns.
 
     Column order follows two USING joins: ``airport_id, passenger_id``, then
-    the other booking, passenger and airport columns.
+    the other booking, passenger and airport columns.  ``unmatched`` observes
+    (see :func:`unmatched_metrics`) while the rows are used, whatever for.
     """
     pax_key, apt_key = keys
     check_no_clash(bookings, passengers, pax_key)
@@ -167,5 +169,25 @@ def build_obt(
     check_no_clash(passengers.drop(pax_key), airports.drop(apt_key), apt_key)
     # Hot keys of both joins come from the booking key columns alone (one
     # column each), never from the already joined frame.
+    if unmatched is not None:
+        passengers, airports = passengers.withColumn(_mark(pax_key), F.lit(True)), airports.withColumn(_mark(apt_key), F.lit(True))
     with_pax = left_join_dimension(bookings, passengers, pax_key, cfg, hot_keys(bookings, pax_key, cfg))
-    return left_join_dimension(with_pax, airports, apt_key, cfg, hot_keys(bookings, apt_key, cfg))
+    wide = left_join_dimension(with_pax, airports, apt_key, cfg, hot_keys(bookings, apt_key, cfg))
+    if unmatched is None:
+        return wide
+    return wide.observe(unmatched, *unmatched_metrics(keys)).drop(*(_mark(k) for k in keys))
+
+
+def _mark(key: str) -> str:
+    """Column of a dimension that is true in every row of it, so null where a left join found none."""
+    return f"__found_{key}"
+
+
+def unmatched_metrics(keys: Sequence[str]) -> list[Column]:
+    """Rows of the wide table without a key, and rows whose key no dimension row has, for each key."""
+    metrics = []
+    for key in keys:
+        missing = _col(key).isNull()
+        metrics.append(F.count(F.when(missing, 1)).alias(f"null:{key}"))
+        metrics.append(F.count(F.when(~missing & _col(_mark(key)).isNull(), 1)).alias(f"dangling:{key}"))
+    return metrics

@@ -17,9 +17,10 @@ import logging
 from pyspark.sql.types import StructType
 
 from tarmac.config import PipelineConfig, default_config
-from tarmac.plans import build_bronze, build_gold, build_silver
+from tarmac.plans import build_bronze, build_gold
 from tarmac.plans.dashboard import DEFAULT, Dashboard
 from tarmac.plans.gold import previews
+from tarmac.plans.silver import build_silver_audited
 from tarmac.schemas import SCHEMAS, SourceSpec
 from tarmac.session import build_session
 
@@ -38,6 +39,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--split", action="append", default=[], metavar="NAME", help="split this source's files (no line breaks in quotes)")
     ap.add_argument("--schema", action="append", default=[], metavar="NAME=DDL", help="types of this source's columns")
     ap.add_argument("--infer", action="append", default=[], metavar="NAME", help="infer this source's types from its values")
+    ap.add_argument("--infer-exact", action="append", default=[], metavar="NAME", help="infer types that write every value back as it was")
     ap.add_argument("--master")
     ap.add_argument("--select", action="append", metavar="AIRPORT", help="dashboard: airport name to show")
     ap.add_argument("--all", action="store_true", help="dashboard: every airport")
@@ -60,16 +62,17 @@ def main(argv=None) -> int:
         if not sources:
             raise SystemExit("bronze needs --source NAME=PATH for bookings, passengers and airports")
         log.info("bronze → %s", cfg.location("bronze"))
-        build_bronze(spark, cfg, sources).show(truncate=False)
+        show_whole(build_bronze(spark, cfg, sources))
     if args.layer in ("silver", "all"):
         log.info("silver → %s", cfg.location("silver"))
-        build_silver(spark, cfg).show(truncate=False)
+        for frame in build_silver_audited(spark, cfg):
+            show_whole(frame)
     if args.layer in ("gold", "all"):
         log.info("gold → %s", cfg.location("gold"))
-        build_gold(spark, cfg).show(truncate=False)
+        show_whole(build_gold(spark, cfg))
         for name, df in previews(spark, cfg).items():
             log.info("sample: %s", name)
-            df.show(truncate=False)
+            show_whole(df)
     if args.layer == "dashboard":
         show_dashboard(spark, cfg, None if args.all else (args.select or DEFAULT))
     spark.stop()
@@ -80,17 +83,29 @@ def source_specs(args: argparse.Namespace) -> dict[str, SourceSpec]:
     """The named sources with their paths, types and parse modes."""
     paths = dict(s.split("=", 1) for s in args.source)
     given = {name: StructType.fromDDL(ddl) for name, ddl in (s.split("=", 1) for s in args.schema)}
-    unknown = {*given, *args.split, *args.infer} - set(paths)
+    inferred = {*args.infer, *args.infer_exact}
+    unknown = {*given, *args.split, *inferred} - set(paths)
     if unknown:
         raise SystemExit(f"no --source for {sorted(unknown)}")
     return {
         name: SourceSpec(
-            name, path, None if name in args.infer else given.get(name, SCHEMAS.get(name)), name not in args.split
+            name,
+            path,
+            None if name in inferred else given.get(name, SCHEMAS.get(name)),
+            name not in args.split,
+            "exact" if name in args.infer_exact else "plain",
         )
         for name, path in paths.items()
     }
 
 
+def show_whole(df) -> None:
+    """Print every row of a listing (one row per table, or a few)."""
+    whole = df.cache()
+    whole.show(max(1, whole.count()), truncate=False)
+    whole.unpersist()
+
+
 def show_dashboard(spark, cfg: PipelineConfig, selection) -> None:
     """Print the data of both tabs (KPIs, series, tables) for a selection."""
     board = Dashboard(spark, cfg)
@@ -99,9 +114,7 @@ def show_dashboard(spark, cfg: PipelineConfig, selection) -> None:
             for name, df in frames.items():
                 log.info("%s / %s", tab, name)
                 order = [c for c in ("position", "rank") if c in df.columns]
-                whole = (df.orderBy(*order) if order else df).cache()
-                whole.show(max(1, whole.count()), truncate=False)
-                whole.unpersist()
+                show_whole(df.orderBy(*order) if order else df)
     finally:
         board.close()
 

@@ -35,19 +35,21 @@ def build_grain(obt: DataFrame, grain: str, cfg: PipelineConfig) -> dict[str, Wr
     """Aggregate one grain, stage its states, write its marts."""
     specs = [m for m in marts.MARTS if m.grain == grain]
     path = cfg.staging(f"{grain}_states-{uuid.uuid4().hex}")
-    states = stage(marts.grain_states(obt, grain, cfg, specs), path)
     written = {}
-    for spec in specs:
-        df = marts.finalize(states, spec)
-        if cfg.sort_output:
-            df = marts.sort_for_write(df, spec)
-        try:
-            written[spec.name] = write_table(df, cfg, "gold", spec.name, spec.comment)
-        except Exception:
-            log.exception("writing %s did not finish", cfg.qualify("gold", spec.name))
-            raise
-        log.info("wrote %s: %d rows", *written[spec.name])
-    remove(obt.sparkSession, path)
+    try:
+        states = stage(marts.grain_states(obt, grain, cfg, specs), path)
+        for spec in specs:
+            df = marts.finalize(states, spec)
+            if cfg.sort_output:
+                df = marts.sort_for_write(df, spec)
+            try:
+                written[spec.name] = write_table(df, cfg, "gold", spec.name, spec.comment)
+            except Exception:
+                log.exception("writing %s did not finish", cfg.qualify("gold", spec.name))
+                raise
+            log.info("wrote %s: %d rows", *written[spec.name])
+    finally:
+        remove(obt.sparkSession, path)
     return written
 
 

@@ -20,11 +20,14 @@ from tarmac.config import PipelineConfig, default_config
 from tarmac.operators import marts, series, topk, views
 from tarmac.operators.join import build_obt
 from tarmac.plans import build_bronze, build_gold, build_silver
+from tarmac.plans.bronze import ingest
 from tarmac.plans.dashboard import DEFAULT, Dashboard
 from tarmac.plans.gold import stage
+from tarmac.plans.silver import write_obt
 from tarmac.schemas import SCHEMAS, SourceSpec
 from tarmac.sources import csv as csv_source
 from tarmac.sources import fixtures
+from tarmac.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -203,6 +206,13 @@ def silver_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_silver(spark, cfg)
 
 
+def unmatched_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the written wide table without a key of a dimension, and with a key that it does not have."""
+    cfg = build_config(spark, sf_dir, "unmatched")
+    src = fixtures.sources(spark, sf_dir)
+    return write_obt(src["bookings"], src["passengers"], src["airports"], cfg)[1]
+
+
 def gold_build_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = build_config(spark, sf_dir, "gold_build_summary")
     build_bronze(spark, cfg, export_sources(spark, sf_dir, cfg))
@@ -227,6 +237,47 @@ def bronze_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_source.read_source(spark, SourceSpec("bookings", path, None))
 
 
+def seat_codes(bookings: DataFrame) -> DataFrame:
+    """Columns that look like numbers to a careless reader, and some that are."""
+    seat = F.concat((F.col("flight_id") % 40 + 1).cast("string"), F.element_at(F.array(*map(F.lit, "DFdf")), (F.col("flight_id") % 4 + 1).cast("int")))
+    return bookings.select(
+        "booking_id",
+        seat.alias("seat"),
+        F.concat(F.lit("0x1p"), F.col("flight_id") % 9).alias("tag"),
+        F.lpad(F.col("flight_id").cast("string"), 9, "0").alias("ticket"),
+        F.col("amount").cast("decimal(12,2)").cast("string").alias("price"),
+        F.col("booking_date").alias("day"),
+        (F.col("flight_id") % 2 == 0).cast("string").alias("paid"),
+    )
+
+
+def bronze_exact_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes such as 10D, 0x1p3 and 007 stay text; ids, prices, days and truth values get their types."""
+    cfg = build_config(spark, sf_dir, "bronze_exact_types")
+    path = f"{cfg.root}/csv/codes.csv"
+    csv_source.write_csv(seat_codes(fixtures.bookings(spark, sf_dir)), path)
+    frame = csv_source.read_source(spark, SourceSpec("codes", path, None, infer="exact"))
+    kinds = [F.lit(kind).alias(f"{c}_type") for c, kind in frame.dtypes]
+    return frame.select("*", *kinds).withColumn("price", F.col("price").cast("double"))
+
+
+def bronze_line_breaks_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same names, each file divided into some eight byte ranges that may begin inside a name."""
+    cfg = build_config(spark, sf_dir, "bronze_ranges")
+    people = fixtures.passengers(spark, sf_dir)
+    name = F.concat("name", F.lit('\nof "'), "nationality", F.lit('", '), "gender")
+    path = f"{cfg.root}/csv/people.csv"
+    csv_source.write_csv(fixtures.untidy(people.withColumn("name", name), "passengers"), path)
+    conf, key = spark.conf, "spark.sql.files.maxPartitionBytes"
+    before = conf.get(key)
+    conf.set(key, str(max(64, csv_source.largest_file(spark, path) // 8)))
+    try:
+        ingest(spark, cfg, SourceSpec("passengers", path, SCHEMAS["passengers"]))
+    finally:
+        conf.set(key, before)
+    return load_table(spark, cfg, "bronze", "passengers").select(people.columns)
+
+
 def gold_airport_revenue_string_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text ids, by a schema of the caller, through the CSV, the wide table and a mart."""
     cfg = build_config(spark, sf_dir, "string_ids")
@@ -276,9 +327,12 @@ QUERIES.update(
         "bronze_row_counts": bronze_row_counts,
         "silver_bookings_obt": obt,
         "silver_row_counts": silver_row_counts,
+        "unmatched_bookings": unmatched_bookings,
         "gold_build_summary": gold_build_summary,
         "bronze_line_breaks": bronze_line_breaks,
         "bronze_inferred_types": bronze_inferred_types,
+        "bronze_exact_types": bronze_exact_types,
+        "bronze_line_breaks_ranges": bronze_line_breaks_ranges,
         "gold_airport_revenue_string_ids": gold_airport_revenue_string_ids,
         "gold_subcent_revenue": gold_subcent_revenue,
         **{f"dashboard_{tab}_{frame}": _dashboard(tab, frame) for tab in ("revenue", "performance") for frame in ("kpis", "table")},

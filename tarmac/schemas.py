@@ -48,14 +48,17 @@ AIRPORTS = StructType(
 class SourceSpec:
     """One raw dataset: table name, where its CSV files live, its typed schema.
 
-    ``schema=None`` infers every column's type.  ``multi_line`` says whether a
-    quoted field may hold line breaks: such a file is parsed by one task.
-    Without it files are split, and a record that breaks across lines raises."""
+    ``schema=None`` infers every column's type from its values, as ``infer``
+    says: ``plain`` (bigint, double, text) or ``exact`` (also boolean, decimal
+    and date; see :mod:`tarmac.sources.types`).  ``multi_line`` says whether a
+    quoted field may hold line breaks.  Without it a record that breaks across
+    lines raises, and files are read once."""
 
     name: str
     path: str
     schema: StructType | None
     multi_line: bool = True
+    infer: str = "plain"
 
 
 SCHEMAS = {"bookings": BOOKINGS, "passengers": PASSENGERS, "airports": AIRPORTS}

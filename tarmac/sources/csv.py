@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DecimalType,
-    DoubleType,
+    FractionalType,
     IntegralType,
-    LongType,
     StringType,
-    StructField,
     StructType,
 )
 
 from tarmac.schemas import SourceSpec
+from tarmac.sources.ranges import largest_file, read_ranges, split_bytes
+from tarmac.sources.types import infer_schema, is_number
 
 # The strings pandas.read_csv treats as missing by default.
 NA_TOKENS = (
@@ -106,6 +106,9 @@ def _checked_cast(name: str, dtype: DataType) -> Column:
         whole = F.when(s.rlike("[eE]"), rounded == s.try_cast("decimal(38,18)")).otherwise(digits <= dtype.scale)
         value = F.when(whole, rounded)
         kind = f"a decimal with at most {dtype.scale} digits after the point that fits {dtype.simpleString()}"
+    elif isinstance(dtype, FractionalType):
+        value = F.when(is_number(s), s).try_cast(dtype)  # Java's parser would take suffixes and hexadecimal
+        kind = f"a number that fits {dtype.simpleString()}"
     else:
         value = s.try_cast(dtype)
         kind = dtype.simpleString()
@@ -140,9 +143,16 @@ def read_header(spark: SparkSession, path: str, multi_line: bool = True) -> list
 
 
 def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """All columns as text, named by the normalised header."""
+    """All columns as text, named by the normalised header.
+
+    With ``multi_line``, files that Spark would divide if they had no quoted line
+    breaks are read by ranges (:mod:`tarmac.sources.ranges`); smaller ones are a
+    task each anyway and go to Spark's own reader."""
     header = read_header(spark, path, multi_line)
     check_header(header)
+    names = [normalize_name(h) for h in header]
+    if multi_line and largest_file(spark, path) > split_bytes(spark):
+        return read_ranges(spark, path, [h.removeprefix("\ufeff") for h in header], CSV_OPTIONS).toDF(*names)
     raw = (
         spark.read.options(**CSV_OPTIONS)
         .option("header", True)
@@ -154,7 +164,7 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
         .option("mode", "FAILFAST")
         .csv(path)
     )
-    return raw.toDF(*[normalize_name(h) for h in header])
+    return raw.toDF(*names)
 
 
 def check_quotes(spark: SparkSession, path: str) -> None:
@@ -165,32 +175,12 @@ def check_quotes(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path}: a quoted field breaks across lines; read it with multi_line: {torn[0].value!r}")
 
 
-def infer_schema(df: DataFrame) -> StructType:
-    """Type of each text column from all its values: bigint, double or string (one aggregate; all-null is string)."""
-    kinds = ("bigint", "double")
-    fits = []
-    for c in df.columns:
-        s = F.col(f"`{c}`")
-        fits.append(F.count(s).alias(f"{c}:n"))
-        whole = s.rlike(r"^\s*[+-]?\d+\s*$")
-        for kind in kinds:
-            value = F.when(whole, s).try_cast("bigint") if kind == "bigint" else s.try_cast("double")
-            fits.append(F.count(value).alias(f"{c}:{kind}"))
-    seen = df.agg(*fits).first()
-    fields = []
-    for c in df.columns:
-        n = seen[f"{c}:n"]
-        kind = next((k for k in kinds if n and seen[f"{c}:{k}"] == n), "string")
-        fields.append(StructField(c, {"bigint": LongType(), "double": DoubleType()}.get(kind, StringType())))
-    return StructType(fields)
-
-
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """CSV files of one source → typed DataFrame (bronze contents)."""
     if not spec.multi_line:
         check_quotes(spark, spec.path)
     text = null_tokens(read_raw(spark, spec.path, spec.multi_line))
-    return cast_by_name(text, infer_schema(text) if spec.schema is None else spec.schema, spec.name)
+    return cast_by_name(text, infer_schema(text, spec.infer) if spec.schema is None else spec.schema, spec.name)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -173,3 +173,133 @@ def test_inferred_types(spark, scratch):
     df = csv_source.read_source(spark, SourceSpec("t", p, None))
     assert dict(df.dtypes) == {"i": "bigint", "f": "double", "t": "string", "n": "string", "big": "double"}
     assert sorted((r.i, r.f) for r in df.collect() if r.i is not None) == [(-2, 3.0), (1, 1.5)]
+
+
+CODES = {
+    "seat": ["10D", "11F", "12d", "1f"], "hex": ["0x1p3", "0x10", "0xA", "1"], "lead": ["007", "010", "7", "8"],
+    "nan": ["Infinity", "-Infinity", "+Infinity", "1"], "dot": [".", "-", "+", "e5"], "num": ["1", "2.5", "-.5", "1e3"],
+}
+
+
+def columns_csv(scratch, name, columns):
+    rows = [",".join(columns), *(",".join(r) for r in zip(*columns.values()))]
+    return write_text(f"{scratch}/{name}.csv", "\n".join(rows) + "\n")
+
+
+@pytest.mark.parametrize("mode", ["plain", "exact"])
+def test_codes_are_not_numbers(spark, scratch, mode):
+    p = columns_csv(scratch, f"codes-{mode}", CODES)
+    df = csv_source.read_source(spark, SourceSpec("t", p, None, infer=mode))
+    kinds = dict(df.dtypes)
+    assert {c for c, k in kinds.items() if k == "string"} >= {"seat", "hex", "lead", "nan", "dot"}
+    assert kinds["num"] == ("double" if mode == "plain" else "string")
+    got = df.collect()
+    for c in ("seat", "hex", "lead", "nan", "dot"):
+        assert sorted(r[c] for r in got) == sorted(CODES[c])
+
+
+@pytest.mark.parametrize("bad", ["10D", "1f", "0x1p3", "Infinity", ".", "1e"])
+def test_a_double_of_the_caller_takes_numbers_only(spark, scratch, bad):
+    from pyspark.sql.types import DoubleType
+
+    p = write_text(f"{scratch}/dbl{bad.replace('.', '_')}.csv", f"v\n1.5\n{bad}\n")
+    with pytest.raises(Exception, match="not a number"):
+        csv_source.read_source(spark, SourceSpec("t", p, StructType([StructField("v", DoubleType())]))).collect()
+
+
+EXACT = {
+    "i": (["1", "-2", "0", "9223372036854775807"], "bigint"),
+    "big": (["99999999999999999999", "1", "2", "3"], "decimal(20,0)"),
+    "money": (["5.00", "-0.5", "12", "3.125"], "decimal(5,3)"),
+    "sci": (["1.0E10", "2.5", "0.1", "-3.0"], "double"),
+    "loss": (["0.1234567890123456789E3", "1", "2", "3"], "string"),
+    "wide": (["1" * 30 + ".5", "0." + "3" * 20, "1", "2"], "string"),
+    "day": (["2024-02-29", "1999-12-31", "2024-01-01", "0001-01-01"], "date"),
+    "bad_day": (["2024-02-30", "1999-12-31", "2024-01-01", "2024-01-02"], "string"),
+    "ok": (["true", "False", "TRUE", "false"], "boolean"),
+    "plus": (["+5", "5", "6", "7"], "string"),
+    "neg0": (["-0", "1", "2", "3"], "string"),
+    "none": (["NA", "", "null", "None"], "string"),
+}
+
+
+def test_exact_types_write_every_value_back(spark, scratch):
+    p = columns_csv(scratch, "exact", {c: v for c, (v, _) in EXACT.items()})
+    df = csv_source.read_source(spark, SourceSpec("t", p, None, infer="exact"))
+    assert dict(df.dtypes) == {c: kind for c, (_, kind) in EXACT.items()}
+    rows = df.collect()
+    for c, (values, kind) in EXACT.items():
+        got = sorted(str(r[c]) for r in rows)
+        if kind.startswith("decimal"):
+            assert sorted(Decimal(v) for v in values) == sorted(r[c] for r in rows)
+        elif kind not in ("boolean", "double") and c != "none":
+            assert got == sorted(values)
+
+
+def test_inference_reads_the_source_once(spark, scratch):
+    from tarmac.sources.types import infer_schema
+
+    df = spark.createDataFrame([("1", "x")], "a string, b string")
+    assert [f.dataType.simpleString() for f in infer_schema(df, "exact")] == ["bigint", "string"]
+    with pytest.raises(ValueError, match="unknown inference"):
+        infer_schema(df, "guess")
+
+
+def random_csv(seed, n):
+    import random
+
+    rnd = random.Random(seed)
+    fields = ["a", "x y", 'say ""hi""', "l1\nl2", "\n", "", "é,ü", "cr\r\nlf", "tail\n\n", "1"]
+    lines = ["Name,Note,N"]
+    for i in range(n):
+        cells = [rnd.choice(fields) + ("z" * rnd.randrange(40) if rnd.random() < 0.2 else "") for _ in range(2)]
+        lines.append(",".join(f'"{c}"' if set(c) & set('",\n\r') or rnd.random() < 0.3 else c for c in cells) + f",{i}")
+    return "\n".join(lines) + ("\n" if seed % 2 else "")
+
+
+@pytest.fixture()
+def ranges_of(spark):
+    """Sets how many bytes a range has."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    yield lambda n: spark.conf.set(key, str(n))
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("size", [48, 100, 1000])
+def test_ranges_read_what_one_task_per_file_reads(spark, scratch, ranges_of, size):
+    folder = f"{scratch}/ranges-{size}"
+    for seed in range(3):
+        write_text(f"{folder}/part-{seed}.csv", random_csv(seed, 150))
+    whole = sorted(map(tuple, csv_source.read_raw(spark, folder).collect()), key=repr)
+    assert len(whole) == 450
+    ranges_of(size)
+    split = csv_source.read_raw(spark, folder)
+    assert sorted(map(tuple, split.collect()), key=repr) == whole
+    assert split.rdd.getNumPartitions() > 3 if size == 48 else True
+
+
+def test_ranges_check_every_header_and_open_quotes(spark, scratch, ranges_of):
+    write_text(f"{scratch}/heads/part-1.csv", "a,b\n" + "1,2\n" * 50)
+    write_text(f"{scratch}/heads/part-2.csv", "b,a\n" + "3,4\n" * 50)
+    p = write_text(f"{scratch}/open.csv", 'a,b\n1,"2\n' + "3,4\n" * 50)
+    ranges_of(40)
+    with pytest.raises(Exception, match="its header is"):
+        csv_source.read_raw(spark, f"{scratch}/heads").collect()
+    with pytest.raises(ValueError, match="left open"):
+        csv_source.read_raw(spark, p)
+
+
+def test_ranges_raise_on_a_torn_record(spark, scratch, ranges_of):
+    p = write_text(f"{scratch}/short.csv", "a,b\n" + "1,2\n" * 50 + "1,2,3\n")
+    ranges_of(40)
+    with pytest.raises(Exception):
+        csv_source.read_raw(spark, p).collect()
+
+
+def test_a_record_longer_than_many_ranges(spark, scratch, ranges_of):
+    long = "\n".join(f"line {i}" for i in range(300))
+    p = write_text(f"{scratch}/long.csv", f'a,b\n1,x\n2,"{long}"\n3,"{long} ""q"""\n4,y\n')
+    ranges_of(64)
+    rows = sorted(map(tuple, csv_source.read_raw(spark, p).collect()))
+    assert rows == [("1", "x"), ("2", long), ("3", f'{long} "q"'), ("4", "y")]

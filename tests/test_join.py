@@ -134,3 +134,36 @@ def test_every_hot_key_is_split(spark, cfg):
         got = left_join_dimension(fact, dim, "k", many if limit == 0 else many.with_(broadcast_max_bytes=0, broadcast_max_rows=limit))
         row = got.agg(F.count("*").alias("n"), F.count("v").alias("m"), F.sum("v").alias("s")).first()
         assert (row.n, row.m, row.s) == (60_000, 55_000, 5 * 3 * sum(range(11_000)))
+
+
+def test_unmatched_rows_are_counted_on_the_joined_rows(spark, cfg):
+    from tarmac.plans.silver import write_obt
+
+    bookings = spark.createDataFrame(
+        [(1, 10, 5, 100), (2, None, 5, 100), (3, 99, 5, None), (4, 10, 5, 101), (5, None, 5, None), (6, 11, 5, 100)],
+        "booking_id bigint, passenger_id bigint, flight_id bigint, airport_id bigint",
+    )
+    # Passenger 10 has two rows: its bookings are two rows of the wide table each.
+    passengers = spark.createDataFrame([(10, "a"), (10, "b"), (11, "c"), (None, "n")], "passenger_id bigint, name string")
+    airports = spark.createDataFrame([(100, None), (None, "x")], "airport_id bigint, airport_name string")
+    for small in (cfg, cfg.with_(broadcast_max_rows=0, hot_key_rows=2, salt_rows=1)):
+        written, unmatched = write_obt(bookings, passengers, airports, small)
+        assert written.rows == 8
+        assert sorted(map(tuple, unmatched.collect())) == [("airports", 2, 2), ("passengers", 2, 1)]
+        assert "__found" not in " ".join(spark.table(written.name).columns)
+    _, none = write_obt(bookings.limit(0), passengers, airports, cfg)
+    assert sorted(map(tuple, none.collect())) == [("airports", 0, 0), ("passengers", 0, 0)]
+
+
+def test_unmatched_counts_take_no_second_scan_or_join(spark, cfg):
+    from pyspark.sql import Observation
+
+    from tarmac import registry
+
+    src = registry.fixtures.sources(spark, "/root/testdata/sf0.001")
+    plain = build_obt(src["bookings"], src["passengers"], src["airports"], cfg)
+    audited = build_obt(src["bookings"], src["passengers"], src["airports"], cfg, unmatched=Observation())
+    count = lambda df, word: df._jdf.queryExecution().sparkPlan().toString().count(word)
+    for word in ("FileScan", "Join"):
+        assert count(audited, word) == count(plain, word) > 0
+    assert audited.columns == plain.columns

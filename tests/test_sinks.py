@@ -13,6 +13,7 @@ from conftest import ROOT, SF_SMALL
 from tarmac import registry
 from tarmac.operators import marts
 from tarmac.plans import build_bronze, build_gold, build_silver
+from tarmac.sources import tables
 from tarmac.sources.tables import Written, list_layer, load_table, row_counts, table_comment, verify, write_table
 
 
@@ -114,3 +115,94 @@ def test_staged_states_are_removed(spark, cfg):
     build_gold(spark, cfg)
     staging = cfg.staging("").removeprefix("file://")
     assert not os.path.isdir(staging) or os.listdir(staging) == []
+
+
+def failing(spark, n):
+    """A frame that raises when its last row is computed, with the others written by then or not."""
+    from pyspark.sql import functions as F
+
+    bad = F.when(F.col("id") == n - 1, F.raise_error(F.lit("half way"))).otherwise(F.col("id"))
+    return spark.range(0, n, 1, 4).select(bad.cast("bigint").alias("id"))
+
+
+def test_a_write_that_fails_half_way_leaves_the_table(spark, cfg):
+    write_table(spark.range(10), cfg, "gold", "t_swap", "first")
+    before = tables.versions(spark, cfg.location("gold", "t_swap"))
+    with pytest.raises(Exception, match="half way"):
+        write_table(failing(spark, 1000), cfg, "gold", "t_swap", "second")
+    assert load_table(spark, cfg, "gold", "t_swap").count() == 10 and spark.table(f"{cfg.gold}.t_swap").count() == 10
+    assert table_comment(spark, f"{cfg.gold}.t_swap") == "first"
+    assert tables.versions(spark, cfg.location("gold", "t_swap")) == before
+
+
+def test_a_first_write_that_fails_leaves_nothing(spark, cfg):
+    with pytest.raises(Exception, match="half way"):
+        write_table(failing(spark, 1000), cfg, "gold", "t_never")
+    assert tables.versions(spark, cfg.location("gold", "t_never")) == []
+    assert "t_never" not in list_layer(spark, cfg, "gold")
+
+
+def test_a_count_mismatch_leaves_the_table(spark, cfg, monkeypatch):
+    write_table(spark.range(10), cfg, "gold", "t_lost")
+    lost = spark.range(20).filter("id < 19")
+
+    class Reader:
+        """Reads back fewer rows than were written, as lost files would."""
+
+        def format(self, _):
+            return self
+
+        schema = format
+
+        def load(self, _):
+            return lost
+
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "read", property(lambda self: Reader()))
+        with pytest.raises(RuntimeError, match="20 rows written, 19 read back"):
+            write_table(spark.range(20), cfg, "gold", "t_lost")
+    assert load_table(spark, cfg, "gold", "t_lost").count() == 10
+
+
+def test_a_table_may_be_computed_from_itself(spark, cfg):
+    write_table(spark.range(3), cfg, "gold", "t_self")
+    for n in (6, 12, 24):
+        old = load_table(spark, cfg, "gold", "t_self")
+        write_table(old.unionByName(old), cfg, "gold", "t_self")
+        assert spark.table(f"{cfg.gold}.t_self").count() == n
+    assert len(tables.versions(spark, cfg.location("gold", "t_self"))) == cfg.keep_versions
+
+
+def test_a_reader_goes_by_the_mark_not_by_the_catalog(spark, cfg):
+    """As after a process that ended between the mark and the catalog's change, or before the mark."""
+    write_table(spark.range(3), cfg, "gold", "t_mark")
+    base = cfg.location("gold", "t_mark")
+    spark.range(5).write.parquet(f"{base}/v-0000000007-x")
+    assert load_table(spark, cfg, "gold", "t_mark").count() == 3
+    open(f"{base.removeprefix('file://')}/v-0000000007-x/{tables.VERIFIED}", "w").close()
+    assert load_table(spark, cfg, "gold", "t_mark").count() == 5 == spark.table(f"{cfg.gold}.t_mark").count()
+    write_table(spark.range(6), cfg, "gold", "t_mark")
+    assert tables.versions(spark, base)[-1].startswith("v-0000000008-")
+
+
+def test_a_managed_table_elsewhere_is_not_replaced(spark, cfg):
+    name = f"{cfg.gold}.t_owned"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {cfg.gold}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.range(7).write.saveAsTable(name)
+    try:
+        with pytest.raises(ValueError, match="managed table"):
+            write_table(spark.range(2), cfg, "gold", "t_owned")
+        assert spark.table(name).count() == 7
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_staging_goes_when_a_mart_fails(spark, cfg, monkeypatch):
+    from tarmac.plans import gold
+
+    monkeypatch.setattr(gold, "write_table", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("no space")))
+    with pytest.raises(RuntimeError, match="no space"):
+        gold.build_grain(registry.obt(spark, SF_SMALL, cfg), "airport", cfg)
+    staging = cfg.staging("").removeprefix("file://")
+    assert os.listdir(staging) == []
