@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from .storage import dealt_anew, remove, run_folder, write_table
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of ``edges`` (u, v: bigint): the smallest node reachable.
+def connected_components(edges: DataFrame, folder: str | None = None) -> DataFrame:
+    """(node, component) for every node of ``edges`` (u, v: bigint): the smallest node reachable.  The result reads a
+    table in ``folder``, a new one if none is given.
 
     Loops, repeated edges and edges with a null end are ignored; a node without
     a proper edge has no row.
@@ -25,7 +26,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     larger, smaller = F.greatest("u", "v"), F.least("u", "v")
     proper = edges.filter((F.col("u") != F.col("v")) & F.col("u").isNotNull() & F.col("v").isNotNull())
-    folder = run_folder(spark, "components")
+    folder = folder or run_folder(spark, "components")
     stars = write_table(proper.select(larger.alias("u"), smaller.alias("v")).distinct(), f"{folder}/0")
     rounds = 0
     while not _are_stars(stars):

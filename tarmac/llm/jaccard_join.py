@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from .batches import column, slices, utf8, values
 from .components import connected_components
-from .storage import materialize, release
+from .storage import Scratch, materialize, release
 from .words import LOWER, RunHashes, mix, word_hashes
 
 SHINGLE, PERCENT = 4, 85
@@ -137,24 +137,19 @@ class Signatures:
         return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
-def _outline(shingle: int, percent: int):
+def _outline(shingle: int):
+    """Per document: the size of its set and a digest of it."""
+
     def run(batches):
-        signatures = Signatures(percent)
         for batch in slices(batches):
-            sizes, digests, keys = [], [], []
+            sizes, digests = [], []
             for text in utf8(batch, "text"):
                 shingles = shingle_set(text, shingle)
                 sizes.append(len(shingles))
                 digests.append(xxhash.xxh3_128_digest(shingles.tobytes()))
-                keys.append(signatures.keys(shingles).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [
-                    column(batch, "doc_id"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(digests, pa.binary()),
-                    pa.array(keys, pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "n_shingles", "digest", "keys"],
+                [column(batch, "doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())],
+                names=["doc_id", "n_shingles", "digest"],
             )
 
     return run
@@ -194,20 +189,25 @@ def _ties_of(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _combine(batches):
+def _combine(shingle: int, percent: int):
     """Before the shuffle: keys that meet in this task are tied here, so a very common key sends one row per chunk."""
-    keys, docs, size = [], [], 0
-    for batch in slices(batches):
-        lists = column(batch, "keys")
-        flat = np.asarray(lists.flatten())
-        keys.append(flat)
-        docs.append(np.repeat(np.asarray(column(batch, "doc_id")), np.asarray(lists.value_lengths())))
-        size += len(flat)
-        if size >= _CHUNK_KEYS:
+
+    def run(batches):
+        signatures = Signatures(percent)
+        keys, docs, size = [], [], 0
+        for batch in slices(batches):
+            for doc_id, text in zip(values(batch, "doc_id"), utf8(batch, "text")):
+                own = signatures.keys(shingle_set(text, shingle)).view(np.int64)
+                keys.append(own)
+                docs.append(np.full(len(own), doc_id, dtype=np.int64))
+                size += len(own)
+            if size >= _CHUNK_KEYS:
+                yield _ties_of(np.concatenate(keys), np.concatenate(docs))
+                keys, docs, size = [], [], 0
+        if size:
             yield _ties_of(np.concatenate(keys), np.concatenate(docs))
-            keys, docs, size = [], [], 0
-    if size:
-        yield _ties_of(np.concatenate(keys), np.concatenate(docs))
+
+    return run
 
 
 def _meet(batches):
@@ -232,10 +232,9 @@ def _meet(batches):
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def ties(outline: DataFrame) -> DataFrame:
-    """(u, v) between documents that share a key, enough to connect all that do."""
-    sets = outline.filter(F.col("doc_id").isNotNull() & (F.size("keys") > 0))
-    rows = sets.select("doc_id", "keys").mapInArrow(_combine, "tie boolean, a bigint, b bigint")
+def ties(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(u, v) between documents (doc_id, text) that share a key, enough to connect all that do.  No key is stored."""
+    rows = texts.mapInArrow(_combine(shingle, percent), "tie boolean, a bigint, b bigint")
     spread = F.when(F.col("tie"), F.col("b")).otherwise(F.col("a"))
     met = rows.repartition(F.col("tie"), spread).sortWithinPartitions("tie", "a", "b")
     return met.mapInArrow(_meet, "u bigint, v bigint").distinct()
@@ -406,7 +405,9 @@ def _largest_star(settled: int):
     return run
 
 
-def _round(sets: DataFrame, counts: DataFrame, percent: int, part: int, settled: int) -> tuple[DataFrame, DataFrame]:
+def _round(
+    sets: DataFrame, counts: DataFrame, percent: int, part: int, settled: int, scratch: Scratch, step: int
+) -> tuple[DataFrame, DataFrame]:
     """Measure blocks that are too large for a task against pivots of their own: (measured sets with new states,
     links to pivots).  Open sets that settle become ``settled``."""
     by_hash = Window.partitionBy("block").orderBy("settled", F.xxhash64("doc_id"), "doc_id")
@@ -419,10 +420,10 @@ def _round(sets: DataFrame, counts: DataFrame, percent: int, part: int, settled:
     parts = counts.select("block", F.ceil(F.greatest(by_count, by_size)).cast("int").alias("parts"))
     left = sets.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
     right = pivots.join(parts, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    right = materialize(right, "pivots")
-    measured = materialize(
+    right = scratch.write(right, f"pivots-{step}")
+    measured = scratch.write(
         left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(_measure(percent), _MEASURED),
-        "measured",
+        f"measured-{step}",
     )
     stars = measured.groupBy("block", "mask").agg(F.count(F.lit(1)).alias("n"))
     # At most 2**(PIVOTS + 1) masks per block.
@@ -431,7 +432,8 @@ def _round(sets: DataFrame, counts: DataFrame, percent: int, part: int, settled:
     joins, state = F.col("mask").bitwiseAND(F.col("main")) != 0, F.col("state")
     now = F.when(joins & (state == OPEN), settled).when(joins & (state == GUEST), SETTLED).otherwise(state)
     links = measured.select(F.explode("linked").alias("u"), F.col("doc_id").alias("v")).filter("u <> v")
-    return materialize(measured.join(mains, "block").withColumn("state", now).drop("linked", "mask", "main"), "states"), links
+    states = scratch.write(measured.join(mains, "block").withColumn("state", now).drop("linked", "mask", "main"), f"states-{step}")
+    return states, scratch.write(links, f"near-{step}")
 
 
 def _cells(sets: DataFrame) -> DataFrame:
@@ -492,7 +494,7 @@ def _fits(max_block: int):
     return (_total("n") <= max_block) & (_total("bytes") <= MAX_BYTES)
 
 
-def _counts(sets: DataFrame) -> DataFrame:
+def _counts(sets: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     size = F.octet_length("shingles").cast("bigint")
     parts = []
     for kind, state in _KINDS.items():
@@ -501,13 +503,15 @@ def _counts(sets: DataFrame) -> DataFrame:
         parts.append(F.sum(F.when(is_kind, size).otherwise(0)).alias(f"bytes_{kind}"))
     counts = sets.groupBy("block").agg(*parts)
     unmet = (F.col("n_open") > 0) | (F.col("n_home") > 0) & (F.col("n_guest") > 0)
-    return materialize(counts.filter(unmet & (_total("n") > 1)), "sizes")
+    return scratch.write(counts.filter(unmet & (_total("n") > 1)), f"sizes-{name}")
 
 
 def verified_links(sets: DataFrame, percent: int = PERCENT, max_block: int = MAX_BLOCK) -> DataFrame:
-    """(u, v): links that connect what all links within blocks (``sets``: block, doc_id, state, shingles) connect."""
+    """(u, v): links that connect what all links within blocks (``sets``: block, doc_id, state, shingles) connect.  A
+    table on the shared folder; what leads to it is removed."""
+    scratch = Scratch(sets.sparkSession, "blocks")
     fits, chunk = _fits(max_block), max(1, max_block // 2)
-    counts = _counts(sets)
+    counts = _counts(sets, scratch, "first")
     tasks = [sets.join(counts.filter(fits).select("block"), "block", "left_semi")]
     links = []
     large = counts.filter(~fits)
@@ -515,9 +519,12 @@ def verified_links(sets: DataFrame, percent: int = PERCENT, max_block: int = MAX
         if not large.take(1):
             break
         # Guests arise with the first regions.
-        states, near = _round(sets.join(large.select("block"), "block", "left_semi"), large, percent, 4 * chunk, HOME if step else SETTLED)
+        states, near = _round(
+            sets.join(large.select("block"), "block", "left_semi"), large, percent, 4 * chunk, HOME if step else SETTLED, scratch, step
+        )
+        scratch.drop(f"pivots-{step}", f"measured-{step}")
         links.append(near)
-        now = _counts(states)
+        now = _counts(states, scratch, f"states-{step}")
         # Few enough open sets meet the rest chunk by chunk; more are divided first.
         unmet = F.greatest(F.col("n_open"), F.least("n_home", "n_guest"))
         few = now.filter(unmet <= CHUNKS * chunk) if step + 1 < ROUNDS else now
@@ -525,17 +532,19 @@ def verified_links(sets: DataFrame, percent: int = PERCENT, max_block: int = MAX
         many = now.join(few.select("block"), "block", "left_anti").select("block")
         if not many.take(1):
             break
-        sets = materialize(_cells(states.join(many, "block", "left_semi")), "cells")
-        counts = _counts(sets)
+        sets = scratch.write(_cells(states.join(many, "block", "left_semi")), f"cells-{step}")
+        counts = _counts(sets, scratch, f"cells-{step}")
         tasks.append(sets.join(counts.filter(fits).select("block"), "block", "left_semi"))
         large = counts.filter(~fits)
     rows = tasks[0]
     for more in tasks[1:]:
         rows = rows.unionByName(more)
     ordered = rows.repartition("block").sortWithinPartitions("block")
-    out = materialize(ordered.mapInArrow(_join_blocks(percent), "u bigint, v bigint"), "links")
+    out = ordered.mapInArrow(_join_blocks(percent), "u bigint, v bigint")
     for more in links:
         out = out.unionByName(more)
+    out = materialize(out, "links")
+    scratch.drop("")
     return out
 
 
@@ -544,40 +553,40 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text); its other columns are not read.
 
-    component_id is the smallest doc_id reachable by links, itself included (null for a null doc_id).
+    component_id is the smallest doc_id reachable by links, itself included (null for a null doc_id).  The result is a
+    table on the shared folder; every intermediate one is removed after its last reader.
     """
     spark = docs.sparkSession
+    scratch = Scratch(spark, "near-duplicates")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    outline = materialize(
-        texts.mapInArrow(
-            _outline(shingle, percent), "doc_id bigint, n_shingles bigint, digest binary, keys array<bigint>"
-        ),
-        "outline",
-    )
-    tied = materialize(ties(outline), "ties")
-    release(spark)
-    firsts = materialize(
+    outline = scratch.write(texts.mapInArrow(_outline(shingle), "doc_id bigint, n_shingles bigint, digest binary"), "outline")
+    firsts = scratch.write(
         outline.filter(F.col("n_shingles") > 0).groupBy("digest").agg(F.min("doc_id").alias("first")), "firsts"
     )
-    # One document of each set is compared: the smallest that has it.
-    blocks = materialize(
-        connected_components(tied)
-        .join(firsts.select(F.col("first").alias("node")), "node", "left_semi")
-        .select(F.col("node").alias("doc_id"), F.col("component").alias("block")),
-        "blocks",
-    )
+    # One document of each set is compared, the smallest that has it: copies send no keys and no text.
+    heads = firsts.select(F.col("first").alias("doc_id")).distinct()
+    one_each = texts.join(heads.hint("merge"), "doc_id", "left_semi")
+    tied = scratch.write(ties(one_each, shingle, percent), "ties")
     release(spark)
-    sets = materialize(
+    blocks = connected_components(tied, f"{scratch.folder}/tied").select(F.col("node").alias("doc_id"), F.col("component").alias("block"))
+    blocks = scratch.write(blocks, "blocks")
+    scratch.drop("ties", "tied")
+    sets = scratch.write(
         texts.join(blocks.hint("merge"), "doc_id").select("block", "doc_id", "text").mapInArrow(_shingles(shingle), _SET), "sets"
     )
-    release(spark)
-    found = connected_components(verified_links(sets, percent, max_block))
+    scratch.drop("blocks")
+    links = verified_links(sets, percent, max_block)
+    scratch.drop("sets")
+    found = connected_components(links, f"{scratch.folder}/linked")
     firsts = firsts.join(found, F.col("first") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "first").alias("component")
     )
-    joined = outline.select("doc_id", "n_shingles", "digest").join(firsts, "digest", "left")
+    joined = outline.join(firsts, "digest", "left")
     own = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("component"))
-    return joined.select("doc_id", "n_shingles", F.coalesce(own, F.col("doc_id")).alias("component_id"))
+    groups = joined.select("doc_id", "n_shingles", F.coalesce(own, F.col("doc_id")).alias("component_id"))
+    groups = materialize(groups, "groups")
+    scratch.drop("")
+    return groups
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import column, slices, utf8, values
-from .storage import dealt_anew, materialize, release
+from .storage import Scratch, dealt_anew, materialize
 from .words import RunHashes, word_hashes
 
 WINDOW = 50
@@ -153,12 +153,12 @@ def _keyed(docs: DataFrame, *more) -> DataFrame:
 ROW = ["doc_id", "text_id"]
 
 
-def duplicate_runs(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+def duplicate_runs(docs: DataFrame, window: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(whole, runs): the (doc_id, text_id) whose words all go with an earlier equal text; and for the other documents
-    rows (doc_id, text_id, first, last) of word positions at which duplicate runs start.
+    rows (doc_id, text_id, first, last) of word positions at which duplicate runs start.  Both read tables of ``scratch``.
     """
     texts = _keyed(docs)
-    outline = materialize(
+    outline = scratch.write(
         texts.mapInArrow(
             _outline(window), "doc_id bigint, text_id bigint, n_words bigint, digest binary, anchors array<bigint>"
         ),
@@ -166,7 +166,7 @@ def duplicate_runs(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, Da
     )
     firsts = dealt_anew(outline.groupBy("digest").agg(F.min("doc_id").alias("same_as")), "digest")
     equal = outline.select(*ROW, "digest").filter(F.col("n_words") >= window).join(firsts, "digest")
-    whole = materialize(equal.filter("doc_id > same_as").select(*ROW).distinct(), "whole")
+    whole = scratch.write(equal.filter("doc_id > same_as").select(*ROW).distinct(), "whole")
 
     anchors = (
         outline.filter(F.col("doc_id").isNotNull())
@@ -178,22 +178,22 @@ def duplicate_runs(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, Da
         anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("anchor")
     )
     wanted = anchors.join(dealt_anew(common, "anchor"), "anchor").groupBy(*ROW).agg(F.collect_set("anchor").alias("shared"))
-    wanted = materialize(wanted, "wanted")
-    release(docs.sparkSession)
-    blocks = materialize(texts.join(wanted.hint("merge"), ROW).mapInArrow(_cut(window), _BLOCKS), "blocks")
-    release(docs.sparkSession)
+    wanted = scratch.write(wanted, "wanted")
+    scratch.drop("outline")
+    blocks = scratch.write(texts.join(wanted.hint("merge"), ROW).mapInArrow(_cut(window), _BLOCKS), "blocks")
+    scratch.drop("wanted")
 
     # Step 1: whole blocks.  The index row of a block is its smallest document.
     blocks = blocks.withColumn("n", F.size("runs"))
     key = ["anchor", "block", "n"]
     index = dealt_anew(blocks.groupBy(*key).agg(F.min("doc_id").alias("source")), "block")
-    found = materialize(
+    found = scratch.write(
         blocks.join(index, key).select(
             *ROW, "anchor", "first", "n", F.when(F.col("doc_id") == F.col("source"), F.col("runs")).alias("runs")
         ),
         "found",
     )
-    release(docs.sparkSession)
+    scratch.drop("blocks")
     factors = found.filter(F.col("runs").isNull()).select(*ROW, "first", (F.col("first") + F.col("n") - 1).alias("last"))
 
     # Step 2: the first holders of a block are checked run by run.
@@ -247,7 +247,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Each row of ``docs`` as the struct ``row``, with ``n_words``, ``n_removed`` and ``kept``: the words that stay,
     joined by one space.
     """
-    whole, runs = duplicate_runs(docs, window)
+    scratch = Scratch(docs.sparkSession, "run-dedup")
+    whole, runs = duplicate_runs(docs, window, scratch)
     empty = F.expr("cast(array() as array<struct<first:bigint,last:bigint>>)")
     # Only documents that lose words have a row here, and one row each: those that go whole have no runs.
     spans = runs.groupBy(*ROW).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
@@ -257,7 +258,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         ),
         "losses",
     )
-    release(docs.sparkSession)
+    scratch.drop("")
     packed = _keyed(docs, F.struct("*").alias("row"))
     joined = packed.join(losses.hint("merge"), ROW, "left").select("row", "text", "whole", "spans")
     schema = joined.selectExpr("row", "0L as n_words", "0L as n_removed", "'' as kept").schema

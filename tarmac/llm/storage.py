@@ -60,7 +60,7 @@ class Scratch:
         return write_table(df, f"{self.folder}/{name}")
 
     def drop(self, *names: str) -> None:
-        """Remove tables that no later frame reads, and the shuffles that finished jobs have left."""
+        """Remove tables that no later frame reads ('' for all), and the shuffles that finished jobs have left."""
         for name in names:
-            remove(self.spark, f"{self.folder}/{name}")
+            remove(self.spark, f"{self.folder}/{name}".rstrip("/"))
         release(self.spark)
