@@ -14,7 +14,8 @@ and t = 1 - percent/100 is the join radius.
    both and not thin; e bounds the thin classes, of few shingles or none, that
    a set may have (a set with more uses its thin classes too).  Sets that share
    an equal class are tied, and components of the ties are
-   blocks; linked sets are always in one block.
+   blocks; linked sets are always in one block.  Blocks that are too large for
+   a task are divided exactly once more, by the shingles that are rare in them.
 3. *Regions.*  A block of more than ``max_block`` sets (or ``MAX_BYTES``) is measured against
    pivots of its own.  The largest component that the pivots' links make is
    settled: its sets are not compared with each other again.  The others stay
@@ -55,6 +56,7 @@ SHINGLE, PERCENT = 4, 85
 MAX_BLOCK, PIVOTS, CHUNKS, ROUNDS = 1024, 16, 16, 5
 MAX_BYTES = 64 << 20  # of sets that one task compares; one set that is larger is a chunk of its own at most
 _CHUNK_KEYS = 1 << 20
+COMMON, LEAST_COMMON = 1 << 17, 16  # shingles that come last when a block is divided: 1 MB; sets that hold a common one
 
 
 def shingle_set(text: bytes | None, shingle: int) -> np.ndarray:
@@ -189,16 +191,15 @@ def _ties_of(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _combine(shingle: int, percent: int):
-    """Before the shuffle: keys that meet in this task are tied here, so a very common key sends one row per chunk."""
+def _combine(keys_of):
+    """Before the shuffle: keys that meet in this task are tied here, so a very common key sends one row per chunk.
+    ``keys_of`` makes (doc_id, keys) of a batch's rows."""
 
     def run(batches):
-        signatures = Signatures(percent)
         keys, docs, size = [], [], 0
         for batch in slices(batches):
-            for doc_id, text in zip(values(batch, "doc_id"), utf8(batch, "text")):
-                own = signatures.keys(shingle_set(text, shingle)).view(np.int64)
-                keys.append(own)
+            for doc_id, own in keys_of(batch):
+                keys.append(own.view(np.int64))
                 docs.append(np.full(len(own), doc_id, dtype=np.int64))
                 size += len(own)
             if size >= _CHUNK_KEYS:
@@ -210,6 +211,16 @@ def _combine(shingle: int, percent: int):
     return run
 
 
+def _signature_keys(shingle: int, percent: int):
+    signatures = Signatures(percent)
+
+    def keys_of(batch):
+        for doc_id, text in zip(values(batch, "doc_id"), utf8(batch, "text")):
+            yield doc_id, signatures.keys(shingle_set(text, shingle))
+
+    return keys_of
+
+
 def _meet(batches):
     """After the shuffle, rows sorted by (tie, a, b): ties pass, and a key's documents are tied to its first."""
     key = head = None
@@ -232,9 +243,9 @@ def _meet(batches):
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def ties(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(u, v) between documents (doc_id, text) that share a key, enough to connect all that do.  No key is stored."""
-    rows = texts.mapInArrow(_combine(shingle, percent), "tie boolean, a bigint, b bigint")
+def ties(rows: DataFrame, keys_of) -> DataFrame:
+    """(u, v) between documents that share a key, enough to connect all that do.  No key is stored."""
+    rows = rows.mapInArrow(_combine(keys_of), "tie boolean, a bigint, b bigint")
     spread = F.when(F.col("tie"), F.col("b")).otherwise(F.col("a"))
     met = rows.repartition(F.col("tie"), spread).sortWithinPartitions("tie", "a", "b")
     return met.mapInArrow(_meet, "u bigint, v bigint").distinct()
@@ -506,6 +517,51 @@ def _counts(sets: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return scratch.write(counts.filter(unmet & (_total("n") > 1)), f"sizes-{name}")
 
 
+def _count_shingles(batches):
+    """Shingles of a batch of sets, and in how many of them."""
+    for batch in slices(batches):
+        packed = b"".join(values(batch, "shingles"))
+        names, times = np.unique(np.frombuffer(packed, np.int64), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(times, pa.int64())], names=["shingle", "n"])
+
+
+def _rare_keys(percent: int, common: np.ndarray, rank: np.ndarray):
+    """The shingles of a set that come first when ``common`` ones come last, by rank: so many that two linked sets
+    share one of them, whatever the order."""
+
+    def keys_of(batch):
+        for block, doc_id, own in zip(values(batch, "block"), values(batch, "doc_id"), _unpack(values(batch, "shingles"))):
+            n = len(own)
+            place = np.minimum(np.searchsorted(common, own), max(0, len(common) - 1))
+            last = np.where(common[place] == own, rank[place], 0) if len(common) else np.zeros(n, np.int64)
+            prefix = n - -(-percent * n // 100) + 1
+            first = own[np.lexsort((mix(own), last))[:prefix]]
+            yield doc_id, mix(first ^ mix(np.array([block], np.int64).view(np.uint64)))
+
+    return keys_of
+
+
+def split_by_rare(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Blocks divided exactly: sets stay together if they are connected by shingles that are rare in these blocks.
+
+    Linked sets of n shingles share at least ``percent`` hundredths of them, so in any one order of all shingles they
+    share one of the first n - ceil(percent n / 100) + 1 of either.  The order puts the ``COMMON`` most frequent
+    shingles last (a number of them that is fixed, and that decides only how small the parts get), the others by hash.
+    Sets that no rare shingle connects to another have no link and are dropped."""
+    counts = sets.mapInArrow(_count_shingles, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    top = counts.filter(F.col("n") >= LEAST_COMMON).orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
+    common = np.array([r.shingle for r in reversed(top)], dtype=np.int64).view(np.uint64)
+    order = np.argsort(common)
+    tied = scratch.write(ties(sets, _rare_keys(percent, common[order], np.arange(1, len(common) + 1)[order])), "rare-ties")
+    parts = connected_components(tied, f"{scratch.folder}/rare-tied")
+    parts = parts.select(F.col("node").alias("doc_id"), F.col("component").alias("block"))
+    divided = scratch.write(
+        sets.drop("block").join(parts.hint("merge"), "doc_id").select("block", "doc_id", "state", "shingles"), "rare-sets"
+    )
+    scratch.drop("rare-ties", "rare-tied")
+    return divided
+
+
 def verified_links(sets: DataFrame, percent: int = PERCENT, max_block: int = MAX_BLOCK) -> DataFrame:
     """(u, v): links that connect what all links within blocks (``sets``: block, doc_id, state, shingles) connect.  A
     table on the shared folder; what leads to it is removed."""
@@ -515,6 +571,11 @@ def verified_links(sets: DataFrame, percent: int = PERCENT, max_block: int = MAX
     tasks = [sets.join(counts.filter(fits).select("block"), "block", "left_semi")]
     links = []
     large = counts.filter(~fits)
+    if large.take(1):
+        sets = split_by_rare(sets.join(large.select("block"), "block", "left_semi"), percent, scratch)
+        counts = _counts(sets, scratch, "rare")
+        tasks.append(sets.join(counts.filter(fits).select("block"), "block", "left_semi"))
+        large = counts.filter(~fits)
     for step in range(ROUNDS):
         if not large.take(1):
             break
@@ -566,7 +627,7 @@ def near_duplicates(
     # One document of each set is compared, the smallest that has it: copies send no keys and no text.
     heads = firsts.select(F.col("first").alias("doc_id")).distinct()
     one_each = texts.join(heads.hint("merge"), "doc_id", "left_semi")
-    tied = scratch.write(ties(one_each, shingle, percent), "ties")
+    tied = scratch.write(ties(one_each, _signature_keys(shingle, percent)), "ties")
     release(spark)
     blocks = connected_components(tied, f"{scratch.folder}/tied").select(F.col("node").alias("doc_id"), F.col("component").alias("block"))
     blocks = scratch.write(blocks, "blocks")
