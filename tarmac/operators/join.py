@@ -34,7 +34,7 @@ from pyspark.sql.types import (
 )
 
 from tarmac.config import PipelineConfig
-from tarmac.session import checkpoint_dir
+from tarmac.sources.staging import process_staging
 
 _HOT = "__hot_key"
 _BUCKETS = "__buckets"
@@ -110,8 +110,7 @@ def salted_left_join(
     the raw bookings instead of an already joined frame: which keys are salted
     only spreads load, the join result is exact either way."""
     # Counted once; broadcast only behind the same size proof as a dimension.
-    checkpoint_dir(fact.sparkSession)
-    hot = (hot if hot is not None else hot_keys(fact, key, cfg)).checkpoint()
+    hot = process_staging(fact.sparkSession).write(hot if hot is not None else hot_keys(fact, key, cfg), "hot-keys")
     if fits_broadcast(hot, cfg):
         hot = F.broadcast(hot)
     hot_key = hot.select(_col(key).alias(_HOT), _BUCKETS)

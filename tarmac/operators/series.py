@@ -3,8 +3,9 @@
 The dashboard drew figures and HTML from sorted pandas frames.  The data
 behind each figure is produced here as a DataFrame: positions (sort order),
 values, axis bounds, stable category slots, shares of the maximum, labels.
-Positions come from :func:`tarmac.functions.ordinal.with_position` (numbered
-over all tasks); maxima and counts are scalar subqueries.
+Positions are numbered over all tasks, all orders of a tab in one pass
+(:func:`positions`), from which each series takes its rows; maxima and counts
+are scalar subqueries.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.ordinal import with_position
+from tarmac.functions.ordinal import Order, in_series, with_position, with_positions
 from tarmac.functions.ratios import capped_share
 from tarmac.functions.text import first_word
+from tarmac.sources.staging import Staging
 
 PALETTE_SIZE = 10
 AXIS_HEADROOM = 1.20
@@ -29,7 +31,18 @@ def _tie_cols() -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in TIE]
 
 
-def category_slots(*views: DataFrame, size: int = PALETTE_SIZE) -> DataFrame:
+# Bars are sorted ascending by their value, detail tables by revenue from the highest.
+RANK = "rank"
+RANGE = "avg_booking_value"
+
+
+def positions(selected: DataFrame, bars: Sequence[str], staging: Staging | None = None) -> DataFrame:
+    """The selected rows once per order: ascending by each of ``bars``, and by rank; numbered in one pass."""
+    orders = {c: Order(F.col(c)) for c in bars} | {RANK: Order(F.col("total_revenue"), descending=True)}
+    return with_positions(selected, orders, _tie_cols(), staging=staging)
+
+
+def category_slots(*views: DataFrame, size: int = PALETTE_SIZE, staging: Staging | None = None) -> DataFrame:
     """Stable slot ``0..size-1`` per airport name: names of all views, sorted,
     numbered from 0, modulo ``size`` (the same name gets the same slot on
     every tab)."""
@@ -38,7 +51,7 @@ def category_slots(*views: DataFrame, size: int = PALETTE_SIZE) -> DataFrame:
         part = v.select("airport_name").where(F.col("airport_name").isNotNull())
         names = part if names is None else names.union(part)
     names = names.distinct()
-    numbered = with_position(names, [F.col("airport_name").asc()], name="__n", start=0)
+    numbered = with_position(names, [F.col("airport_name").asc()], name="__n", start=0, staging=staging)
     return numbered.select("airport_name", (F.col("__n") % F.lit(size)).cast("int").alias("slot"))
 
 
@@ -47,23 +60,21 @@ def _with_slot(df: DataFrame, slots: DataFrame) -> DataFrame:
     return df.join(slots, "airport_name", "left").withColumn("slot", F.coalesce(F.col("slot"), F.lit(0)))
 
 
-def bar_series(selected: DataFrame, value: str, slots: DataFrame) -> DataFrame:
+def bar_series(selected: DataFrame, value: str, slots: DataFrame, numbered: DataFrame | None = None) -> DataFrame:
     """Horizontal bar data: rows sorted ascending by ``value`` (nulls last),
-    ``axis_max`` = 1.2 × the largest value, ``slot`` for the colour."""
-    axis_max = selected.agg(F.max(F.col(value).cast("double")) * F.lit(AXIS_HEADROOM)).scalar()
-    base = selected.select(*TIE, F.col(value).cast("double").alias("value"))
-    ordered = with_position(base, [F.col("value").asc_nulls_last(), *_tie_cols()])
-    return _with_slot(ordered, slots).select(
+    ``axis_max`` = 1.2 × the largest value, ``slot`` for the colour.
+
+    ``numbered`` (from :func:`positions`) may be shared by the series of a tab."""
+    ordered = in_series(numbered if numbered is not None else positions(selected, [value]), value)
+    axis_max = ordered.agg(F.max(F.col(value).cast("double")) * F.lit(AXIS_HEADROOM)).scalar()
+    return _with_slot(ordered.select("position", "airport_name", F.col(value).cast("double").alias("value")), slots).select(
         "position", "airport_name", "value", axis_max.alias("axis_max"), "slot"
     )
 
 
-def booking_range(selected: DataFrame) -> DataFrame:
+def booking_range(selected: DataFrame, numbered: DataFrame | None = None) -> DataFrame:
     """Grouped min / avg / max bars per airport, airports sorted by the average."""
-    ordered = with_position(
-        selected.select(*TIE, "min_booking_value", "avg_booking_value", "max_booking_value"),
-        [F.col("avg_booking_value").asc_nulls_last(), *_tie_cols()],
-    )
+    ordered = in_series(numbered if numbered is not None else positions(selected, [RANGE]), RANGE)
     long = ordered.unpivot(
         ["position", "airport_name"],
         ["min_booking_value", "avg_booking_value", "max_booking_value"],
@@ -116,15 +127,16 @@ def _shares(selected: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
     return {c: capped_share(F.col(c), maxima.select(c).scalar()) for c in columns}
 
 
-def _ranked(selected: DataFrame) -> DataFrame:
+def _ranked(selected: DataFrame, numbered: DataFrame | None) -> DataFrame:
     """Rank 1 = highest revenue (nulls last), ties by name, city, country."""
-    return with_position(selected, [F.col("total_revenue").desc_nulls_last(), *_tie_cols()], name="rank")
+    return in_series(numbered if numbered is not None else positions(selected, []), RANK).withColumnRenamed("position", "rank")
 
 
-def revenue_table(selected: DataFrame) -> DataFrame:
+def revenue_table(selected: DataFrame, numbered: DataFrame | None = None) -> DataFrame:
     """Revenue detail rows with each measure's share of the column maximum."""
-    share = _shares(selected, ["total_bookings", "total_revenue", "avg_revenue_per_booking"])
-    return _ranked(selected).select(
+    ranked = _ranked(selected, numbered)
+    share = _shares(ranked, ["total_bookings", "total_revenue", "avg_revenue_per_booking"])
+    return ranked.select(
         "rank",
         "airport_name",
         "city",
@@ -138,11 +150,12 @@ def revenue_table(selected: DataFrame) -> DataFrame:
     )
 
 
-def performance_table(selected: DataFrame) -> DataFrame:
+def performance_table(selected: DataFrame, numbered: DataFrame | None = None) -> DataFrame:
     """Performance detail rows; the maximum booking value has no share bar."""
     cols = ["total_flights", "unique_passengers", "pax_per_flight", "avg_booking_value", "revenue_per_pax"]
-    share = _shares(selected, cols)
-    return _ranked(selected).select(
+    ranked = _ranked(selected, numbered)
+    share = _shares(ranked, cols)
+    return ranked.select(
         "rank",
         "airport_name",
         "city",

@@ -9,7 +9,6 @@ shared checkpoint folder and return what the job reports.
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +21,11 @@ from tarmac.operators.join import build_obt
 from tarmac.plans import build_bronze, build_gold, build_silver
 from tarmac.plans.bronze import ingest
 from tarmac.plans.dashboard import DEFAULT, Dashboard
-from tarmac.plans.gold import stage
 from tarmac.plans.silver import write_obt
 from tarmac.schemas import SCHEMAS, SourceSpec
 from tarmac.sources import csv as csv_source
 from tarmac.sources import fixtures
+from tarmac.sources.staging import process_staging
 from tarmac.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,8 +109,7 @@ def airport_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     a query derives from the views (selection, slots, maxima, positions) reads
     the bookings once."""
     cfg = config(spark)
-    states = marts.grain_states(obt(spark, sf_dir, cfg), "airport", cfg)
-    states = stage(states, cfg.staging(f"airport_states-{uuid.uuid4().hex}"))
+    states = process_staging(spark).write(marts.grain_states(obt(spark, sf_dir, cfg), "airport", cfg), "airport-states")
     rev = marts.finalize(states, marts.MART_BY_NAME["gold_airport_revenue_summary"])
     perf = marts.finalize(states, marts.MART_BY_NAME["gold_airport_performance"])
     return views.revenue_view(rev), views.performance_view(perf)

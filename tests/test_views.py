@@ -118,3 +118,46 @@ def test_positions_equal_row_number(spark, values, partitions):
     order = [F.col("v").asc_nulls_last(), F.col("s").desc(), F.col("i").asc()]
     want = {r.i: r.p for r in df.select("i", F.row_number().over(Window.orderBy(*order)).alias("p")).collect()}
     assert {r.i: r.position for r in with_position(df, order, partitions=partitions).collect()} == want
+
+
+def test_all_orders_of_a_frame_are_numbered_in_one_pass(spark):
+    from tarmac.functions.ordinal import Order, in_series, with_positions
+
+    rnd = random.Random(9)
+    data = [(rnd.choice([None, 0.0, -0.0, 1.5, 2.5]), rnd.choice([None, 1, 2, 2**40]), rnd.choice("abc"), i) for i in range(400)]
+    df = spark.createDataFrame(data, "v double, w long, s string, i int")
+    ties = [F.col("s").asc_nulls_first(), F.col("i").asc()]
+    got = with_positions(df, {"up": Order(F.col("v")), "down": Order(F.col("w"), descending=True)}, ties).cache()
+    assert got.count() == 800
+    for name, first in (("up", F.col("v").asc_nulls_last()), ("down", F.col("w").desc_nulls_last())):
+        want = {r.i: r.p for r in df.select("i", F.row_number().over(Window.orderBy(first, *ties)).alias("p")).collect()}
+        assert {r.i: r.position for r in in_series(got, name).collect()} == want
+    assert in_series(with_positions(df.limit(0), {"up": Order(F.col("v"))}, ties), "up").collect() == []
+
+
+def test_a_tab_is_numbered_once_and_leaves_nothing(spark, cfg, monkeypatch):
+    import os
+
+    from tarmac import registry
+    from tarmac.functions import ordinal
+    from tarmac.plans import build_gold
+    from tarmac.plans.dashboard import Dashboard
+    from tarmac.plans.silver import write_obt
+
+    src = registry.fixtures.sources(spark, "/root/testdata/sf0.001")
+    write_obt(src["bookings"], src["passengers"], src["airports"], cfg)
+    build_gold(spark, cfg)
+    passes = []
+    real = ordinal._numbered
+    monkeypatch.setattr(ordinal, "_numbered", lambda *a: passes.append(1) or real(*a))
+    board = Dashboard(spark, cfg)
+    assert len(passes) == 1  # the slots
+    for tab in (board.revenue_tab, board.performance_tab, board.revenue_tab):
+        before = len(passes)
+        frames = tab(None)
+        assert all(df.count() > 0 for df in frames.values())
+        assert len(passes) == before + 1
+    folders = [s.folder.removeprefix("file://") for s in (board.staging, *board.tabs.values())]
+    assert all(os.path.isdir(f) for f in folders) and len(folders) == 3
+    board.close()
+    assert not any(os.path.exists(f) for f in folders)
