@@ -6,11 +6,16 @@ Left joins never drop a booking.  Each dimension is joined by one of these plans
   (``cfg.broadcast_max_rows`` rows and ``cfg.broadcast_max_bytes`` bytes of
   values): the fact side is not shuffled at all, so hot keys cost nothing;
 * **salted shuffle join** otherwise: the hot keys, null included (at least
-  ``cfg.hot_key_rows`` fact rows), are all spread over
+  ``cfg.hot_key_rows`` fact rows), are spread over
   ``ceil(rows / cfg.salt_rows)`` sub-keys each; dimension
   rows of hot keys are copied once per sub-key.  Every other key
   joins as a plain equi-join, and AQE skew splitting still applies on top
   (``cfg.skew_salting=False`` leaves only the plain shuffle join and AQE).
+
+The wide table finds the hot keys of all its joins in one pass: each task keeps
+a frequent-items sketch of every key column, the sketches are merged, and at most
+``SKETCH_KEYS`` keys a column come out.  Counts are estimates, and a key that the
+sketch misses is joined unsalted: that costs time, never rows.
 """
 
 from __future__ import annotations
@@ -31,11 +36,15 @@ from pyspark.sql.types import (
     IntegerType,
     ShortType,
     StringType,
+    StructField,
+    StructType,
 )
 
 from tarmac.config import PipelineConfig
 from tarmac.sources.staging import process_staging
 
+SKETCH_KEYS, SKETCH_ITEMS = 4096, 1 << 16  # hot keys that a sketch gives, and keys that it follows
+
 _HOT = "__hot_key"
 _BUCKETS = "__buckets"
 _SALT = "__salt"
@@ -99,20 +108,41 @@ def hot_keys(fact: DataFrame, key: str, cfg: PipelineConfig) -> DataFrame:
     )
 
 
+def sketch_hot_keys(fact: DataFrame, keys: Sequence[str], cfg: PipelineConfig) -> dict[str, DataFrame]:
+    """As :func:`hot_keys` for several keys, from one scan of their columns and without a shuffle of their values: at
+    most ``SKETCH_KEYS`` keys each, by estimated counts."""
+    sketches = [F.expr(f"approx_top_k(`{k}`, {SKETCH_KEYS}, {max(SKETCH_ITEMS, SKETCH_KEYS)})").alias(k) for k in keys]
+    found = fact.agg(*sketches).first()
+    out = {}
+    for key in keys:
+        rows = [(x["item"], -(-x["count"] // cfg.salt_rows)) for x in found[key] if x["count"] >= cfg.hot_key_rows]
+        schema = StructType([StructField(key, fact.schema[key].dataType), StructField(_BUCKETS, IntegerType())])
+        out[key] = fact.sparkSession.createDataFrame(rows, schema)
+    return out
+
+
 def salted_left_join(
-    fact: DataFrame, dim: DataFrame, key: str, cfg: PipelineConfig, hot: DataFrame | None = None
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    cfg: PipelineConfig,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left equi-join on ``key`` that survives a key holding a third of the rows.
 
     A hot key with ``r`` rows is split into ``ceil(r / cfg.salt_rows)``
     sub-keys, so the spread grows with the data.  ``hot`` (from
-    :func:`hot_keys`) may be computed on a cheaper frame than ``fact`` — e.g.
-    the raw bookings instead of an already joined frame: which keys are salted
-    only spreads load, the join result is exact either way."""
-    # Counted once; broadcast only behind the same size proof as a dimension.
-    hot = process_staging(fact.sparkSession).write(hot if hot is not None else hot_keys(fact, key, cfg), "hot-keys")
-    if fits_broadcast(hot, cfg):
+    :func:`sketch_hot_keys`: bounded, so broadcast) may be computed on a cheaper
+    frame than ``fact`` — e.g. the raw bookings instead of an already joined
+    frame: which keys are salted only spreads load, the join result is exact
+    either way.  Without it the keys of ``fact`` are counted exactly."""
+    if hot is not None:
         hot = F.broadcast(hot)
+    else:
+        # Counted once; broadcast only behind the same size proof as a dimension.
+        hot = process_staging(fact.sparkSession).write(hot_keys(fact, key, cfg), "hot-keys")
+        if fits_broadcast(hot, cfg):
+            hot = F.broadcast(hot)
     hot_key = hot.select(_col(key).alias(_HOT), _BUCKETS)
     # Spread by row content and input partition: deterministic on task retry,
     # and exact copies of one row still land in different sub-keys when they
@@ -134,11 +164,16 @@ def salted_left_join(
 
 
 def left_join_dimension(
-    fact: DataFrame, dim: DataFrame, key: str, cfg: PipelineConfig, hot: DataFrame | None = None
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    cfg: PipelineConfig,
+    hot: DataFrame | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
-    """``fact LEFT JOIN dim USING (key)`` with the plan chosen by dimension size."""
+    """``fact LEFT JOIN dim USING (key)`` with the plan chosen by dimension size (``small``, if proven before)."""
     check_no_clash(fact, dim, key)
-    if fits_broadcast(dim, cfg):
+    if fits_broadcast(dim, cfg) if small is None else small:
         joined = fact.join(F.broadcast(dim), key, "left")
     elif cfg.skew_salting:
         joined = salted_left_join(fact, dim, key, cfg, hot)
@@ -166,12 +201,15 @@ def build_obt(
     check_no_clash(bookings, passengers, pax_key)
     check_no_clash(bookings.drop(pax_key), airports, apt_key)
     check_no_clash(passengers.drop(pax_key), airports.drop(apt_key), apt_key)
-    # Hot keys of both joins come from the booking key columns alone (one
-    # column each), never from the already joined frame.
+    small = {pax_key: fits_broadcast(passengers, cfg), apt_key: fits_broadcast(airports, cfg)}
+    large = [k for k in keys if not small[k]] if cfg.skew_salting else []
+    # Hot keys of both joins come from the booking key columns alone, in one
+    # scan, never from the already joined frame.
+    hot = sketch_hot_keys(bookings, large, cfg) if large else {}
     if unmatched is not None:
         passengers, airports = passengers.withColumn(_mark(pax_key), F.lit(True)), airports.withColumn(_mark(apt_key), F.lit(True))
-    with_pax = left_join_dimension(bookings, passengers, pax_key, cfg, hot_keys(bookings, pax_key, cfg))
-    wide = left_join_dimension(with_pax, airports, apt_key, cfg, hot_keys(bookings, apt_key, cfg))
+    with_pax = left_join_dimension(bookings, passengers, pax_key, cfg, hot.get(pax_key), small[pax_key])
+    wide = left_join_dimension(with_pax, airports, apt_key, cfg, hot.get(apt_key), small[apt_key])
     if unmatched is None:
         return wide
     return wide.observe(unmatched, *unmatched_metrics(keys)).drop(*(_mark(k) for k in keys))

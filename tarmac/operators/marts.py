@@ -54,6 +54,8 @@ class MartSpec:
     comment: str
     # True when the keys are coarser than the grain: re-aggregate its states
     rollup: bool = False
+    # columns that readers look single values up by: their files carry Bloom filters
+    lookup: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -108,6 +110,7 @@ MARTS: tuple[MartSpec, ...] = (
         (bookings(), revenue(), average("avg_revenue_per_booking")),
         (("total_revenue", True),),
         COMMENTS["gold_airport_revenue_summary"],
+        lookup=("airport_name",),
     ),
     MartSpec(
         "gold_top_airports",
@@ -140,6 +143,7 @@ MARTS: tuple[MartSpec, ...] = (
         ),
         (),
         COMMENTS["gold_airport_performance"],
+        lookup=("airport_name",),
     ),
     MartSpec(
         "gold_passenger_booking_summary",

@@ -43,7 +43,7 @@ def build_grain(obt: DataFrame, grain: str, cfg: PipelineConfig) -> dict[str, Wr
             if cfg.sort_output:
                 df = marts.sort_for_write(df, spec)
             try:
-                written[spec.name] = write_table(df, cfg, "gold", spec.name, spec.comment)
+                written[spec.name] = write_table(df, cfg, "gold", spec.name, spec.comment, spec.lookup)
             except Exception:
                 log.exception("writing %s did not finish", cfg.qualify("gold", spec.name))
                 raise

@@ -13,6 +13,7 @@ A process that ends between these steps loses nothing: readers go by the mark.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -87,9 +88,14 @@ def write_table(
     layer: str,
     name: str,
     comment: str | None = None,
+    lookup: Sequence[str] = (),
 ) -> Written:
     """Full overwrite of ``layer.name``; the schema may change between runs.
 
+    Files carry Bloom filters of the ``lookup`` columns (Parquet), so that a read
+    for a few of their values skips row groups without them, in whatever order
+    the rows lie.
+
     The rows are counted on their way out and again in the written files; a
     difference raises and leaves the table as it was.  ``df`` may read the
     table that it replaces.  Returns the qualified table name and that count."""
@@ -106,7 +112,8 @@ def write_table(
         last = max((int(v.split("-")[1]) for v in versions(spark, base)), default=0)
         path = f"{base}/v-{last + 1:010d}-{uuid.uuid4().hex[:8]}"
         try:
-            df.write.format(cfg.format).mode("error").save(path)
+            blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in lookup}
+            df.write.format(cfg.format).mode("error").options(**blooms).save(path)
             found = spark.read.format(cfg.format).schema(df.schema).load(path).count()
             if found != seen.get["rows"]:
                 raise RuntimeError(f"{full}: {seen.get['rows']} rows written, {found} read back")

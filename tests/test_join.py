@@ -167,3 +167,43 @@ def test_unmatched_counts_take_no_second_scan_or_join(spark, cfg):
     for word in ("FileScan", "Join"):
         assert count(audited, word) == count(plain, word) > 0
     assert audited.columns == plain.columns
+
+
+def test_sketched_hot_keys_equal_counted_ones_where_all_are_followed(spark, cfg):
+    from tarmac.operators.join import hot_keys, sketch_hot_keys
+
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id")).alias("a"),
+        F.concat(F.lit("k"), F.col("id") % 50).alias("b"),
+    )
+    config = cfg.with_(hot_key_rows=300, salt_rows=150)
+    found = sketch_hot_keys(df, ["a", "b"], config)
+    for key in ("a", "b"):
+        assert sorted(map(tuple, found[key].collect()), key=repr) == sorted(map(tuple, hot_keys(df, key, config).collect()), key=repr)
+        assert found[key].schema[key].dataType == df.schema[key].dataType
+    assert sketch_hot_keys(df.limit(0), ["a"], config)["a"].collect() == []
+
+
+def test_a_hot_key_that_the_sketch_misses_costs_no_row(spark, cfg, monkeypatch):
+    from tarmac.operators import join
+
+    rows = [B(i, i % 3 or None, i % 2, "1.00") for i in range(3000)]
+    b, p, a = frames(spark, rows, [(1, "x", "F", "NL"), (2, "y", "M", "BE"), (2, "z", "M", "BE")], [(0, "A", "c", "k")])
+    want = sorted(map(tuple, build_obt(b, p, a, cfg).collect()), key=repr)
+    large = cfg.with_(broadcast_max_rows=0, hot_key_rows=10, salt_rows=100)
+    for k, items in ((4096, 1 << 16), (1, 1)):
+        monkeypatch.setattr(join, "SKETCH_KEYS", k)
+        monkeypatch.setattr(join, "SKETCH_ITEMS", items)
+        assert sorted(map(tuple, build_obt(b, p, a, large).collect()), key=repr) == want
+
+
+def test_both_keys_are_sketched_in_one_scan(spark, cfg, monkeypatch):
+    from tarmac.operators import join
+
+    seen = []
+    real = join.sketch_hot_keys
+    monkeypatch.setattr(join, "sketch_hot_keys", lambda fact, keys, cfg: seen.append(list(keys)) or real(fact, keys, cfg))
+    b, p, a = frames(spark, [B(1, 1, 1)], [(1, "x", "F", "NL")], [(1, "A", "c", "k")])
+    build_obt(b, p, a, cfg.with_(broadcast_max_rows=0))
+    build_obt(b, p, a, cfg)
+    assert seen == [["passenger_id", "airport_id"]]
