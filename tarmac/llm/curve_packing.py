@@ -14,6 +14,8 @@ one.  An empty table gives no pieces.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -66,15 +68,22 @@ def _projection() -> np.ndarray:
 _MATRIX = _projection()
 
 
-def _features(ids: np.ndarray) -> np.ndarray:
-    """Signed, log-damped token counts hashed to ``FEATURES`` places, at unit length."""
-    counts = np.bincount(ids)
-    seen = np.flatnonzero(counts)
-    h = mix(seen.astype(np.uint64) + np.uint64(1))
-    sign = np.where(h & np.uint64(1), 1.0, -1.0)
-    place = (h >> np.uint64(8)).astype(np.int64) % FEATURES
-    vector = np.bincount(place, weights=sign * np.log1p(counts[seen]), minlength=FEATURES)
-    return vector / (np.linalg.norm(vector) or 1.0)
+@lru_cache(maxsize=2)
+def _hashed_ids(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, sign) that each id below ``size`` is hashed to."""
+    h = mix(np.arange(1, size + 1, dtype=np.uint64))
+    return (h >> np.uint64(8)).astype(np.int64) % FEATURES, np.where(h & np.uint64(1), 1.0, -1.0)
+
+
+def _features(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """One row per document of ``sizes`` ids, laid end to end: signed token counts hashed to ``FEATURES`` places, the sums
+    log-damped, at unit length.  The whole batch is counted at once."""
+    place, sign = _hashed_ids(max(1 << 16, int(ids.max(initial=0)) + 1))
+    owner = np.repeat(np.arange(len(sizes)) * FEATURES, sizes)
+    sums = np.bincount(owner + place[ids], weights=sign[ids], minlength=len(sizes) * FEATURES).reshape(-1, FEATURES)
+    vectors = np.sign(sums) * np.log1p(np.abs(sums))
+    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
+    return vectors / np.where(norms > 0, norms, 1.0)
 
 
 def curve_positions(vectors: np.ndarray) -> np.ndarray:
@@ -89,12 +98,13 @@ def _encode(path: str, end_id: int):
         end = enc.pack(end_id)
         for batch in slices(batches):
             packed = [enc.encode(t or "") + end for t in values(batch, "text")]
-            vectors = np.stack([_features(np.frombuffer(p, enc.dtype)) for p in packed]) if packed else np.zeros((0, FEATURES))
+            sizes = np.array([len(p) // enc.dtype.itemsize for p in packed], dtype=np.int64)
+            vectors = _features(np.frombuffer(b"".join(packed), enc.dtype), sizes)
             yield pa.RecordBatch.from_arrays(
                 [
                     column(batch, "doc_id"),
                     pa.array(packed, pa.binary()),
-                    pa.array([len(p) // enc.dtype.itemsize for p in packed], pa.int64()),
+                    pa.array(sizes, pa.int64()),
                     pa.array(curve_positions(vectors), pa.int64()),
                 ],
                 names=["doc_id", "ids", "doc_tokens", "curve"],
@@ -169,7 +179,9 @@ def pack_documents(
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One number per part reaches the driver.
     bases = {r.part: r.base or 0 for r in sums.select("part", F.sum("n").over(before).alias("base")).collect()}
-    ordered = placed.repartition(tasks, "part").sortWithinPartitions("part", "place", "doc_id", "doc_tokens", "ids")
+    # Neighbouring parts share a task, as many in each.
+    task = (F.col("part") * F.lit(tasks) / F.lit(len(bounds) + 1)).cast("int")
+    ordered = placed.repartitionById(tasks, task).sortWithinPartitions("part", "place", "doc_id", "doc_tokens", "ids")
     return ordered.select("part", "doc_id", "curve", "ids").mapInArrow(_pieces(bases, length, width), PIECES)
 
 
