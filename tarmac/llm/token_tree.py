@@ -216,8 +216,8 @@ def _apply(path: str):
                     texts.append(text), trees.append(tree), stats.append((0, before, before, leaves.shape[1], 0))
                     continue
                 state = PieceTree(enc, text or "", leaves)
-                for e in edits:
-                    state.edit(e["start"], e["end"], e["replacement"] or "")
+                for start, end, new in _absolute(edits):
+                    state.edit(start, end, new)
                 after = state.text
                 texts.append(after), trees.append(state.leaves().astype("<u4").tobytes())
                 stats.append((len(edits), before, state.tokens, leaves.shape[1], state.encoded))
@@ -236,8 +236,8 @@ def _apply(path: str):
 
 
 def apply_edits(trees: DataFrame, edits: Column, tokenizer: str | None = None) -> DataFrame:
-    """Apply each row's ``edits`` (array<struct<start, end, replacement>>, may use the row's columns) to its text and
-    tree.  Returns row, text and tree after the edits, ``n_edits``, ``tokens_before``, ``tokens_after``, ``n_pieces``
+    """Apply each row's ``edits`` (array<struct<start, end, replacement>>, or <skip, length, replacement> as
+    ``redactions`` gives them; may use the row's columns) to its text and tree.  Returns row, text and tree after the edits, ``n_edits``, ``tokens_before``, ``tokens_after``, ``n_pieces``
     (before) and ``n_encoded``: pieces that were encoded for the edits.
     """
     ready = trees.select("row", "text", "tree", edits.alias("edits"))
@@ -247,18 +247,32 @@ def apply_edits(trees: DataFrame, edits: Column, tokenizer: str | None = None) -
 
 
 def redactions(text: Column, pattern: str, replacement: str) -> Column:
-    """Edits that replace every match of ``pattern``, last match first, so that offsets hold."""
+    """Edits that replace every match of ``pattern``: for each, the characters kept since the match before (``skip``),
+    and the match's (``length``).  The pattern runs once over the text; the rest is linear in the matches."""
     mark = "\x00"
-    # The text between matches gives the offsets; a match is what lies between two such stretches.
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    rest = F.split(F.regexp_replace(F.regexp_replace(text, mark, " "), pattern, mark), mark)
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<struct<start:int,end:int,replacement:string>>)").alias("edits"))
-
-    def step(state, pair):
-        begin = state.at + F.length(pair["rest"])
-        end = begin + F.length(pair["found"])
-        edit = F.struct(begin.alias("start"), end.alias("end"), F.lit(replacement).alias("replacement"))
-        return F.struct(end.alias("at"), F.concat(F.array(edit), state.edits).alias("edits"))
-
-    pairs = F.arrays_zip(F.slice(rest, F.lit(1), F.size(found)).alias("rest"), found.alias("found"))
-    return F.when(text.isNotNull(), F.aggregate(pairs, start, step, lambda s: s.edits))
+    marked = F.regexp_replace(F.translate(text, mark, " "), f"({pattern})", f"{mark}$1{mark}")
+    none = F.expr("cast(array() as array<struct<skip:int,length:int,replacement:string>>)")
+
+    def edits_of(parts):  # kept, match, kept, match, ..., kept
+        def edit(i):
+            skip, length = F.length(parts[2 * i]), F.length(parts[2 * i + 1])
+            return F.struct(skip.alias("skip"), length.alias("length"), F.lit(replacement).alias("replacement"))
+
+        matches = F.floor(F.size(parts) / 2).cast("int")
+        return F.when(matches > 0, F.transform(F.sequence(F.lit(0), matches - 1), edit)).otherwise(none)
+
+    # The parts are one element of an array, so that they are bound once and not computed for every edit.
+    bound = F.transform(F.array(F.split(marked, mark)), edits_of)
+    return F.when(text.isNotNull(), bound[0])
+
+
+def _absolute(edits: list[dict]) -> list[tuple[int, int, str]]:
+    """(start, end, replacement), each in the text that the earlier ones left."""
+    if not edits or "start" in edits[0]:
+        return [(e["start"], e["end"], e["replacement"] or "") for e in edits or ()]
+    out, at = [], 0
+    for e in edits:
+        start = at + e["skip"]
+        at = start + e["length"]
+        out.append((start, at, e["replacement"] or ""))
+    return out[::-1]  # from the last, so that offsets hold
