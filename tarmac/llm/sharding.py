@@ -6,8 +6,7 @@ and only the necessary fraction moves (Lamping and Veach, "A Fast, Minimal
 Memory, Consistent Hash Algorithm").
 
 The key is an integer column as it is, any other column's 64-bit xxHash.  A
-null key counts as key 0.  Rows with equal keys share a shard; a key's rows are
-spread over no more tasks than the sort by (shard, key) gives them.
+null key counts as key 0.  Rows with equal keys share a shard, not a task.
 """
 
 from __future__ import annotations
@@ -53,19 +52,44 @@ def shard_of(key, shards: int, key_type: str = "bigint"):
     return _hashed(shards)(F.coalesce(stable, F.lit(0).cast("bigint")))
 
 
+def _aside(df: DataFrame, name: str) -> DataFrame:
+    """A column that has the name of a new one is kept, with underscores behind its name."""
+    taken = {c.lower() for c in df.columns}
+    if name.lower() not in taken:
+        return df
+    other = name
+    while other.lower() in taken:
+        other += "_"
+    return df.withColumnRenamed(name, other)
+
+
 def assign_shards(df: DataFrame, key: str, shards: int, name: str = "shard") -> DataFrame:
-    """Append the shard of each row.  An empty frame stays empty; other columns are untouched."""
-    return df.withColumn(name, shard_of(F.col(key), shards, dict(df.dtypes)[key]))
+    """Append the shard of each row.  An empty frame stays empty; other columns are untouched, but for one that is
+    called ``name``, which gets underscores behind its name."""
+    kind = dict(df.dtypes)[key]
+    aside = _aside(df, name)
+    now = aside.columns[df.columns.index(key)]  # the key itself may have had that name
+    return aside.withColumn(name, shard_of(F.col(f"`{now}`"), shards, kind))
 
 
 def number_in_shards(df: DataFrame, key: str, shard: str = "shard", name: str = "slot") -> DataFrame:
     """Append each row's place in its shard, from 0 without gaps, in key order; repeated keys take adjacent places.
 
-    The frame is sorted over all tasks by (shard, key), so a large shard is
-    spread, and only the counts per task and shard meet (see ``offsets``).
-    """
-    weighted = df.withColumn("__one", F.lit(1).cast("bigint"))
-    return running_total(weighted, [F.col(key)], "__one", name, group=shard, label="shards").drop("__one")
+    The frame is sorted over all tasks by (shard, key, a hash of the row), so
+    neither a large shard nor a key that very many rows share (null, say) stays
+    with one task, and only the counts per task and shard meet (see ``offsets``).
+    A column that is called ``name`` gets underscores behind its name."""
+    aside = _aside(df, name)
+    columns = [F.col(f"`{c}`") for c in aside.columns]
+    keyed = aside.select(
+        F.struct(*columns).alias("row"),
+        F.col(f"`{aside.columns[df.columns.index(key)]}`").alias("key"),
+        F.col(f"`{aside.columns[df.columns.index(shard)]}`").alias("shard"),
+        F.xxhash64(*(F.col(f"`{c}`") for c, kind in aside.dtypes if "map<" not in kind)).alias("tie"),
+        F.lit(1).cast("bigint").alias("one"),
+    )
+    numbered = running_total(keyed, [F.col("key"), F.col("tie")], "one", "slot", group="shard", label="shards")
+    return numbered.select(*(F.col(f"row.`{c}`").alias(c) for c in aside.columns), F.col("slot").alias(name))
 
 
 def write_shards(df: DataFrame, path: str, shard: str = "shard") -> None:

@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 from llm_data import awkward, docs, empty, prose
+from pyspark.sql import functions as F
 
 from tarmac.llm import bpe, curve_packing, records, sharding, storage, token_tree
 
@@ -201,3 +202,96 @@ def test_slots_are_gapless(spark):
     by_text = sharding.assign_shards(frame, "text", 4).collect()
     assert len({r.shard for r in by_text if r.doc_id in (5, 6)}) == 1
     assert sharding.number_in_shards(sharding.assign_shards(empty(spark), "doc_id", 4), "doc_id").count() == 0
+
+
+def test_shards_keep_columns_with_the_names_of_new_ones(spark):
+    rows = [(i % 5 if i % 7 else None, f"s{i}", i, i, i) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, shard string, slot bigint, __one bigint, __part bigint")
+    out = sharding.number_in_shards(sharding.assign_shards(df, "doc_id", 4), "doc_id")
+    assert out.columns == ["doc_id", "shard_", "slot_", "__one", "__part", "shard", "slot"]
+    got = out.collect()
+    assert sorted((r.shard_, r.slot_, r["__one"], r["__part"]) for r in got) == sorted((s, a, b, c) for _, s, a, b, c in rows)
+    for shard in range(4):
+        mine = sorted((r.slot, r.doc_id is not None, r.doc_id or 0) for r in got if r.shard == shard)
+        assert [m[0] for m in mine] == list(range(len(mine))) and [m[1:] for m in mine] == sorted(m[1:] for m in mine)
+
+
+def test_a_null_key_spreads_over_tasks(spark, monkeypatch):
+    from tarmac.llm import offsets
+
+    df = spark.range(8000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), F.col("id").alias("v"))
+    seen, real = [], offsets.materialize
+    monkeypatch.setattr(offsets, "materialize", lambda frame, label: seen.append(real(frame, label)) or seen[-1])
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # so few rows would be one task
+    try:
+        sharding.number_in_shards(sharding.assign_shards(df, "doc_id", 4), "doc_id")
+    finally:
+        spark.conf.unset(key)
+    held = seen[0].filter("key is null").groupBy("__part").count().collect()
+    assert len(held) > 1 and max(r["count"] for r in held) < 3000
+
+
+def test_registered_token_queries_against_the_library(spark):
+    """op3, op4 and op7 as registered, row by row."""
+    from tarmac.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    source = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    ids = {i: library(t) for i, t in source.items()}
+    start = 0
+    found = {r.doc_id: r for r in QUERIES["op4_token_records"](spark, sf).collect()}
+    for i in sorted(source):
+        packed = np.array([*ids[i], 0], "<u4").tobytes()
+        r = found[i]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids[i]) + 1, zlib.crc32(packed))
+        start += r.n_tokens
+    pieces = {}
+    for r in QUERIES["op7_hilbert_packing"](spark, sf).collect():
+        pieces.setdefault(r.doc_id, []).append(r)
+    lengths = {}
+    for i, rows in pieces.items():
+        rows.sort(key=lambda r: r.start)
+        whole, at = [*ids[i], 1], 0
+        for r in rows:
+            part = np.array(whole[at : at + r.length], "<u4").tobytes()
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(whole), zlib.crc32(part))
+            lengths.setdefault(r.sequence_id, []).append((r.offset, r.length))
+            at += r.length
+        assert at == len(whole)
+    assert set(pieces) == set(source)
+    for spans in lengths.values():
+        spans.sort()
+        assert [o for o, _ in spans] == [sum(n for _, n in spans[:k]) for k in range(len(spans))] and sum(n for _, n in spans) <= 2048
+    slots = {}
+    for r in QUERIES["op3_jump_shards"](spark, sf).collect():
+        data = source[r.doc_id].encode()
+        assert (r.size, r.text_crc32, r.law) == (len(data) + 1, zlib.crc32(data), "key")
+        assert r.shard == jump(r.doc_id, 16) and r.grown_shard == jump(r.doc_id, 17) and r.grown_shard in (r.shard, 16)
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and sum(map(len, slots.values())) == len(source)
+
+
+def jump(key, shards):
+    """The published algorithm, one key at a time."""
+    state, bucket, at = key % 2**64, -1, 0
+    while at < shards:
+        bucket = at
+        state = (state * 2862933555777941757 + 1) % 2**64
+        at = int((bucket + 1) * (float(1 << 31) / float((state >> 33) + 1)))
+    return bucket
+
+
+def test_redactions_are_linear_in_the_matches_and_whole(spark):
+    import re
+
+    pattern = r"[a-z]+@[a-z]+(?:\.[a-z]+)+|\d{5,}"
+    texts = ["mail a@b.cd now", "12345", "", None, "x" * 50, "a@b.c 123456 \x00 z@y.x", "no 1234 match", "é 99999 ü@x.y q@w.er", "12345 q " * 20_000]
+    frame = docs(spark, list(enumerate(texts)))
+    trees = token_tree.build_trees(frame)
+    out = token_tree.apply_edits(trees, token_tree.redactions(F.col("text"), pattern, "[x]"))
+    for r in out.collect():
+        text = texts[r.row.doc_id]
+        assert r.text == (None if text is None else re.sub(pattern, "[x]", text))
+        assert r.n_edits == len(re.findall(pattern, text or ""))
+        assert r.tokens_after == len(library(r.text or ""))
