@@ -56,7 +56,8 @@ SHINGLE, PERCENT = 4, 85
 MAX_BLOCK, PIVOTS, CHUNKS, ROUNDS = 1024, 16, 16, 5
 MAX_BYTES = 64 << 20  # of sets that one task compares; one set that is larger is a chunk of its own at most
 _CHUNK_KEYS = 1 << 20
-COMMON, LEAST_COMMON = 1 << 17, 16  # shingles that come last when a block is divided: 1 MB; sets that hold a common one
+# When a block is divided: shingles that come last in the order (1 MB), sets that make one common, rare ones to share.
+COMMON, LEAST_COMMON, SHARED = 1 << 17, 16, 8
 
 
 def shingle_set(text: bytes | None, shingle: int) -> np.ndarray:
@@ -526,39 +527,131 @@ def _count_shingles(batches):
 
 
 def _rare_keys(percent: int, common: np.ndarray, rank: np.ndarray):
-    """The shingles of a set that come first when ``common`` ones come last, by rank: so many that two linked sets
-    share one of them, whatever the order."""
+    """(documents, keys, needs) of a batch: the shingles of each set that come first when ``common`` ones come last, by
+    rank, and how many of them a linked set shares at least."""
 
     def keys_of(batch):
+        docs, keys, needs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for block, doc_id, own in zip(values(batch, "block"), values(batch, "doc_id"), _unpack(values(batch, "shingles"))):
             n = len(own)
+            overlap = -(-percent * n // 100)
+            need = min(SHARED, overlap)
             place = np.minimum(np.searchsorted(common, own), max(0, len(common) - 1))
             last = np.where(common[place] == own, rank[place], 0) if len(common) else np.zeros(n, np.int64)
-            prefix = n - -(-percent * n // 100) + 1
-            first = own[np.lexsort((mix(own), last))[:prefix]]
-            yield doc_id, mix(first ^ mix(np.array([block], np.int64).view(np.uint64)))
+            first = own[np.lexsort((mix(own), last))[: n - overlap + need]]
+            keys.append(mix(first ^ mix(np.array([block], np.int64).view(np.uint64))))
+            docs.append(np.full(len(first), doc_id, dtype=np.int64))
+            needs.append(np.full(len(first), need, dtype=np.int64))
+        return np.concatenate(docs), np.concatenate(keys).view(np.int64), np.concatenate(needs)
 
     return keys_of
 
 
-def split_by_rare(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Blocks divided exactly: sets stay together if they are connected by shingles that are rare in these blocks.
+_RARE = pa.schema([("key", pa.int64()), ("u", pa.int64()), ("v", pa.int64()), ("need", pa.int64())])
+
+
+def _rows(key, u, v, need) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (key, u, v, need)], schema=_RARE)
+
+
+def _send_rare(keys_of):
+    """Before the shuffle, rows (key, document, null, need).  A key that many documents of a chunk share sends its first
+    document only, with need 0, and ties the others to it (key null)."""
+
+    def close(docs, keys, needs):
+        order = np.lexsort((docs, keys))
+        docs, keys, needs = docs[order], keys[order], needs[order]
+        starts, run = _runs(keys, docs)
+        many = np.diff(np.r_[starts, len(keys)])[run] >= LEAST_COMMON if len(keys) else np.zeros(0, bool)
+        head = np.zeros(len(keys), bool)
+        head[starts] = True
+        sent = ~many | head
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys[sent]), pa.array(docs[sent]), pa.nulls(int(sent.sum()), pa.int64()), pa.array(np.where(many, 0, needs)[sent])],
+            schema=_RARE,
+        )
+        u, v = _distinct_pairs(docs[starts][run][~sent], docs[~sent]) if len(keys) else (docs, docs)
+        if len(u):
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(u), pa.int64()), pa.array(u), pa.array(v), pa.array(np.zeros(len(u), np.int64))], schema=_RARE
+            )
+
+    def run(batches):
+        held, size = [], 0
+        for batch in slices(batches):
+            held.append(keys_of(batch))
+            size += len(held[-1][0])
+            if size >= _CHUNK_KEYS:
+                yield from close(*(np.concatenate(c) for c in zip(*held)))
+                held, size = [], 0
+        if held:
+            yield from close(*(np.concatenate(c) for c in zip(*held)))
+
+    return run
 
-    Linked sets of n shingles share at least ``percent`` hundredths of them, so in any one order of all shingles they
-    share one of the first n - ceil(percent n / 100) + 1 of either.  The order puts the ``COMMON`` most frequent
-    shingles last (a number of them that is fixed, and that decides only how small the parts get), the others by hash.
-    Sets that no rare shingle connects to another have no link and are dropped."""
+
+def _meet_rare(batches):
+    """After the shuffle, rows sorted by key: pairs of the documents of a key, with what they need to share, if fewer than
+    ``LEAST_COMMON`` share it; else each is tied to the first, needing nothing."""
+
+    def close(key, docs, needs):
+        starts, run = _runs(key, docs)
+        sizes = np.diff(np.r_[starts, len(key)])
+        many = ((sizes >= LEAST_COMMON) | (np.minimum.reduceat(needs, starts) == 0))[run] if len(key) else np.zeros(0, bool)
+        heads = docs[starts][run] if len(key) else docs
+        tied = many & (docs != heads)
+        u, v, need = [heads[tied]], [docs[tied]], [np.zeros(int(tied.sum()), np.int64)]
+        for step in range(1, min(LEAST_COMMON, len(key))):
+            same = np.flatnonzero((key[step:] == key[:-step]) & ~many[step:])
+            if not len(same):
+                break
+            a, b = docs[same], docs[same + step]
+            other = a != b
+            u.append(np.minimum(a, b)[other])
+            v.append(np.maximum(a, b)[other])
+            need.append(np.minimum(needs[same], needs[same + step])[other])
+        return _rows(np.zeros(sum(map(len, u)), np.int64), np.concatenate(u), np.concatenate(v), np.concatenate(need))
+
+    held = [np.zeros(0, np.int64)] * 3
+    for batch in batches:
+        key, docs, needs = (np.concatenate([h, np.asarray(batch.column(i))]) for h, i in zip(held, (0, 1, 3)))
+        if not len(key):
+            continue
+        whole = np.searchsorted(key, key[-1]) if key[0] != key[-1] else 0
+        yield close(key[:whole], docs[:whole], needs[:whole])
+        held = [key[whole:], docs[whole:], needs[whole:]]
+        if len(held[0]) > _CHUNK_KEYS:  # a key of very many documents: its first stands for those seen
+            yield close(*held)
+            held = [held[0][:1], held[1][:1], np.zeros(1, np.int64)]
+    yield close(*held)
+
+
+def split_by_rare(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Blocks divided exactly: sets stay together if pairs that share enough rare shingles connect them.
+
+    Linked sets of n shingles share at least o = ceil(percent n / 100) of them, so in any one order of all shingles
+    they share k of the first n - o + k of either (a prefix filter; k = ``SHARED``, or o if that is less).  The order
+    puts the ``COMMON`` most frequent shingles of these blocks last, the others by hash.  A shingle that fewer than
+    ``LEAST_COMMON`` sets send gives their pairs, which are counted; one that more send ties them all, whatever else
+    they share.  Both numbers decide only how small the parts get.  Sets that nothing connects have no link and are
+    dropped."""
     counts = sets.mapInArrow(_count_shingles, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
     top = counts.filter(F.col("n") >= LEAST_COMMON).orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
     common = np.array([r.shingle for r in reversed(top)], dtype=np.int64).view(np.uint64)
     order = np.argsort(common)
-    tied = scratch.write(ties(sets, _rare_keys(percent, common[order], np.arange(1, len(common) + 1)[order])), "rare-ties")
+    keys_of = _rare_keys(percent, common[order], np.arange(1, len(common) + 1)[order])
+    schema = "key bigint, u bigint, v bigint, need bigint"
+    sent = scratch.write(sets.mapInArrow(_send_rare(keys_of), schema), "rare-keys")
+    met = sent.filter("key is not null").repartition("key").sortWithinPartitions("key").mapInArrow(_meet_rare, schema)
+    pairs = met.unionByName(sent.filter("key is null")).groupBy("u", "v")
+    pairs = pairs.agg(F.count(F.lit(1)).alias("shared"), F.min("need").alias("need")).filter("shared >= need")
+    tied = scratch.write(pairs.select("u", "v"), "rare-ties")
     parts = connected_components(tied, f"{scratch.folder}/rare-tied")
     parts = parts.select(F.col("node").alias("doc_id"), F.col("component").alias("block"))
     divided = scratch.write(
         sets.drop("block").join(parts.hint("merge"), "doc_id").select("block", "doc_id", "state", "shingles"), "rare-sets"
     )
-    scratch.drop("rare-ties", "rare-tied")
+    scratch.drop("rare-keys", "rare-ties", "rare-tied")
     return divided
 
 

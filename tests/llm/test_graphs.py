@@ -146,3 +146,39 @@ def test_escape_is_reversible():
         text = "".join(rng.choice("<|\\\nax") for _ in range(rng.randint(0, 12)))
         assert chat_tree.unescape(chat_tree.escape(text)) == text and "<|" not in chat_tree.escape(text)
         assert chat_tree.unescape_role(chat_tree.escape_role(text)) == text and "\n" not in chat_tree.escape_role(text)
+
+
+def test_division_by_rare_shingles_keeps_every_link(spark):
+    """Random families of near copies with a passage that all share: linked sets stay in one part, and parts are small."""
+    import random
+
+    import numpy as np
+
+    from tarmac.llm import jaccard_join, storage
+
+    rnd = random.Random(12)
+    names = np.random.default_rng(1).integers(1, 2**62, 4000).astype(np.uint64)
+    passage = set(rnd.sample(range(200), 40))
+    sets, family = [], {}
+    for f in range(60):
+        base = set(rnd.sample(range(200, 4000), rnd.choice([4, 20, 60, 150]))) | (passage if f % 2 else set())
+        for _ in range(rnd.choice([1, 2, 5, 30])):
+            own = set(base)
+            for _ in range(rnd.randrange(0, max(1, len(base) // 8))):
+                own.discard(rnd.choice(sorted(own)))
+                own.add(rnd.randrange(200, 4000))
+            family[len(sets)] = f
+            sets.append(own)
+    for percent in (80, 85, 50):
+        frame = spark.createDataFrame(
+            [(7, i, 0, np.sort(names[sorted(s)]).tobytes()) for i, s in enumerate(sets)],
+            "block bigint, doc_id bigint, state int, shingles binary",
+        ).repartition(3)
+        scratch = storage.Scratch(spark, "test")
+        part = {r.doc_id: r.block for r in jaccard_join.split_by_rare(frame, percent, scratch).select("doc_id", "block").collect()}
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if a != sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                    assert part[i] == part[j] is not None
+        if percent > 50:
+            assert len(set(part.values())) > 15
