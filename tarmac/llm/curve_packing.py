@@ -162,7 +162,7 @@ def pack_documents(
         source.mapInArrow(_encode(path, end_id), "doc_id bigint, ids binary, doc_tokens bigint, curve bigint"), "encoded"
     )
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = parts or 4 * tasks
+    parts = parts or 16 * tasks
     tie = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - TIE_BITS)
     placed = encoded.withColumn("place", F.shiftleft("curve", TIE_BITS).bitwiseOR(tie))
 
@@ -178,10 +178,19 @@ def pack_documents(
     sums = placed.groupBy("part").agg(F.sum("doc_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One number per part reaches the driver.
-    bases = {r.part: r.base or 0 for r in sums.select("part", F.sum("n").over(before).alias("base")).collect()}
-    # Neighbouring parts share a task, as many in each.
-    task = (F.col("part") * F.lit(tasks) / F.lit(len(bounds) + 1)).cast("int")
-    ordered = placed.repartitionById(tasks, task).sortWithinPartitions("part", "place", "doc_id", "doc_tokens", "ids")
+    found = sums.select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")).collect()
+    bases = {r.part: r.base for r in found}
+    # Neighbouring parts share a task, about as many ids in each: long documents may lie close together.
+    total = max(1, sum(r.n for r in found))
+    tasks_of = np.zeros(len(bounds) + 1, dtype=np.int32)
+    for r in found:
+        tasks_of[r.part] = r.base * tasks // total
+
+    @F.pandas_udf("int")
+    def task_of(part: pd.Series) -> pd.Series:
+        return pd.Series(tasks_of[part.to_numpy(np.int64)])
+
+    ordered = placed.repartitionById(tasks, task_of("part")).sortWithinPartitions("part", "place", "doc_id", "doc_tokens", "ids")
     return ordered.select("part", "doc_id", "curve", "ids").mapInArrow(_pieces(bases, length, width), PIECES)
 
 
