@@ -550,10 +550,6 @@ def _rare_keys(percent: int, common: np.ndarray, rank: np.ndarray):
 _RARE = pa.schema([("key", pa.int64()), ("u", pa.int64()), ("v", pa.int64()), ("need", pa.int64())])
 
 
-def _rows(key, u, v, need) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (key, u, v, need)], schema=_RARE)
-
-
 def _send_rare(keys_of):
     """Before the shuffle, rows (key, document, null, need).  A key that many documents of a chunk share sends its first
     document only, with need 0, and ties the others to it (key null)."""
@@ -590,11 +586,26 @@ def _send_rare(keys_of):
     return run
 
 
+_PAIRS = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("shared", pa.int64()), ("need", pa.int64())])
+
+
+def _add_pairs(parts: list[tuple]) -> tuple:
+    """Pairs (u, v, shared, need) of several lists as one row each: what they share is added, the least need holds."""
+    u, v, shared, need = (np.concatenate(c) for c in zip(*parts))
+    if not len(u):
+        return u, v, shared, need
+    order = np.lexsort((v, u))
+    u, v, shared, need = u[order], v[order], shared[order], need[order]
+    starts = np.flatnonzero(np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])])
+    return u[starts], v[starts], np.add.reduceat(shared, starts), np.minimum.reduceat(need, starts)
+
+
 def _meet_rare(batches):
     """After the shuffle, rows sorted by key: pairs of the documents of a key, with what they need to share, if fewer than
-    ``LEAST_COMMON`` share it; else each is tied to the first, needing nothing."""
+    ``LEAST_COMMON`` share it; else each is tied to the first, needing nothing.  Pairs that meet under several keys of
+    this task are added up here, at most ``_CHUNK_KEYS`` at a time."""
 
-    def close(key, docs, needs):
+    def pairs(key, docs, needs):
         starts, run = _runs(key, docs)
         sizes = np.diff(np.r_[starts, len(key)])
         many = ((sizes >= LEAST_COMMON) | (np.minimum.reduceat(needs, starts) == 0))[run] if len(key) else np.zeros(0, bool)
@@ -610,20 +621,32 @@ def _meet_rare(batches):
             u.append(np.minimum(a, b)[other])
             v.append(np.maximum(a, b)[other])
             need.append(np.minimum(needs[same], needs[same + step])[other])
-        return _rows(np.zeros(sum(map(len, u)), np.int64), np.concatenate(u), np.concatenate(v), np.concatenate(need))
+        u = np.concatenate(u)
+        return u, np.concatenate(v), np.ones(len(u), np.int64), np.concatenate(need)
+
+    def rows(columns):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_PAIRS)
 
-    held = [np.zeros(0, np.int64)] * 3
+    held, found, size = [np.zeros(0, np.int64)] * 3, [], 0
     for batch in batches:
         key, docs, needs = (np.concatenate([h, np.asarray(batch.column(i))]) for h, i in zip(held, (0, 1, 3)))
         if not len(key):
             continue
         whole = np.searchsorted(key, key[-1]) if key[0] != key[-1] else 0
-        yield close(key[:whole], docs[:whole], needs[:whole])
+        new = [pairs(key[:whole], docs[:whole], needs[:whole])]
         held = [key[whole:], docs[whole:], needs[whole:]]
         if len(held[0]) > _CHUNK_KEYS:  # a key of very many documents: its first stands for those seen
-            yield close(*held)
+            new.append(pairs(*held))
             held = [held[0][:1], held[1][:1], np.zeros(1, np.int64)]
-    yield close(*held)
+        found += new
+        size += sum(len(n[0]) for n in new)
+        if size >= _CHUNK_KEYS:
+            found = [_add_pairs(found)]
+            size = len(found[0][0])
+            if size >= _CHUNK_KEYS // 2:
+                yield rows(found[0])
+                found, size = [], 0
+    yield rows(_add_pairs([*found, pairs(*held)]))
 
 
 def split_by_rare(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -642,9 +665,11 @@ def split_by_rare(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     keys_of = _rare_keys(percent, common[order], np.arange(1, len(common) + 1)[order])
     schema = "key bigint, u bigint, v bigint, need bigint"
     sent = scratch.write(sets.mapInArrow(_send_rare(keys_of), schema), "rare-keys")
-    met = sent.filter("key is not null").repartition("key").sortWithinPartitions("key").mapInArrow(_meet_rare, schema)
-    pairs = met.unionByName(sent.filter("key is null")).groupBy("u", "v")
-    pairs = pairs.agg(F.count(F.lit(1)).alias("shared"), F.min("need").alias("need")).filter("shared >= need")
+    met = sent.filter("key is not null").repartition("key").sortWithinPartitions("key")
+    met = met.mapInArrow(_meet_rare, "u bigint, v bigint, shared bigint, need bigint")
+    tied_early = sent.filter("key is null").select("u", "v", F.lit(1).cast("bigint").alias("shared"), "need")
+    pairs = met.unionByName(tied_early).groupBy("u", "v")
+    pairs = pairs.agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).filter("shared >= need")
     tied = scratch.write(pairs.select("u", "v"), "rare-ties")
     parts = connected_components(tied, f"{scratch.folder}/rare-tied")
     parts = parts.select(F.col("node").alias("doc_id"), F.col("component").alias("block"))

@@ -1,14 +1,16 @@
 """Components, vectors and the conversation tree."""
 
+import collections
 import hashlib
 import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import components
 
-from tarmac.llm import chat_tree, rabitq, storage
+from tarmac.llm import chat_tree, jaccard_join, rabitq, storage
 from tarmac.llm.components import connected_components
 
 
@@ -148,6 +150,42 @@ def test_escape_is_reversible():
         assert chat_tree.unescape_role(chat_tree.escape_role(text)) == text and "\n" not in chat_tree.escape_role(text)
 
 
+@pytest.mark.parametrize("chunk", [1 << 20, 40, 4])
+def test_pairs_under_rare_keys_are_added_up(monkeypatch, chunk):
+    """In chunks of any size: every pair under a rare key counts once for the key, and all documents of a common key hang
+    together."""
+    monkeypatch.setattr(jaccard_join, "_CHUNK_KEYS", chunk)
+    rnd = random.Random(8)
+    rare = [(k, d, rnd.randint(1, 8)) for k in range(60) for d in rnd.sample(range(20), rnd.choice([1, 2, 3, 3]))]
+    common = [(100, d, 5) for d in range(200, 260)] + [(101, 300, 0), (101, 301, 4)]
+    rows = np.array(sorted(rare + common), np.int64)
+    batches = [
+        pa.RecordBatch.from_arrays(
+            [pa.array(part[:, 0]), pa.array(part[:, 1]), pa.nulls(len(part), pa.int64()), pa.array(part[:, 2])],
+            names=["key", "u", "v", "need"],
+        )
+        for part in np.array_split(rows, 9)
+    ]
+    got, least = collections.Counter(), {}
+    for batch in jaccard_join._meet_rare(iter(batches)):
+        for row in batch.to_pylist():
+            pair = row["u"], row["v"]
+            got[pair] += row["shared"]
+            least[pair] = min(least.get(pair, 99), row["need"])
+    want, need = collections.Counter(), {}
+    for k, d, n in rare:
+        for j, e, m in rare:
+            if j == k and d < e:
+                want[d, e] += 1
+                need[d, e] = min(need.get((d, e), 99), n, m)
+    few = {p: n for p, n in got.items() if p[0] < 200}
+    if chunk > 4:  # smaller than a key's documents: a key held over is tied to its first early
+        assert few == want and {p: least[p] for p in few} == need
+    tied = [p for p in got if p[0] >= 200]
+    assert all(least[p] == 0 for p in tied)
+    assert set(components({*range(200, 260), 300, 301}, tied).values()) == {200, 300}
+
+
 def test_division_by_rare_shingles_keeps_every_link(spark):
     """Random families of near copies with a passage that all share: linked sets stay in one part, and parts are small."""
     import random
