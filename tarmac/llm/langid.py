@@ -39,6 +39,7 @@ CLUSTERS, SAMPLE, ROUNDS, SLACK = 3, 1000, 10, 0.5
 ODD, FOLDS, SUPPORT = 0.01, 5, 200
 UNKNOWN = "und"
 BUCKETS = 64
+STEPS = 16  # of the scale of hashes that sampled rows are counted by, per power of two
 
 _FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
@@ -142,6 +143,23 @@ def _frequencies(batches):
     )
 
 
+def step_of(pick):
+    """Column: a coarse scale of 64-bit hashes, ascending with them; a step holds about a twentieth as many hashes as all
+    steps below it together."""
+    return F.floor(STEPS * F.log2(pick.cast("double") + F.lit(2.0**63) + F.lit(1.0))).cast("int")
+
+
+def pick_limits(rows: DataFrame, sample: int) -> DataFrame:
+    """(lang, last): the step up to which a language has ``sample`` rows, its last step if it has fewer.
+
+    Rows are counted by language and step in their own tasks (64 x ``STEPS`` + 1 steps at most), so that no task reads a
+    language's rows; the rows up to ``last`` are about a twentieth more than ``sample``."""
+    counts = rows.groupBy("lang", step_of(F.col("pick")).alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("step").rowsBetween(Window.unboundedPreceding, -1))
+    needed = counts.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < sample)
+    return needed.groupBy("lang").agg(F.max("step").alias("last"))
+
+
 def train(
     docs: DataFrame,
     clusters: int = CLUSTERS,
@@ -163,10 +181,8 @@ def train(
         seen[gram] = n
     idf = np.log((1 + total) / (1 + seen)) + 0.05
 
-    first = Window.partitionBy("lang").orderBy("pick")
-    ranked = rows.select("lang", "pick").withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= sample)
-    limits = ranked.groupBy("lang").agg(F.max("pick").alias("last"))
-    chosen = rows.join(F.broadcast(limits), "lang").filter(F.col("pick") <= F.col("last"))  # one row per language is sent
+    limits = F.broadcast(pick_limits(rows, sample))  # one row per language
+    chosen = rows.join(limits, "lang").filter(step_of(F.col("pick")) <= F.col("last"))
     # Repeated doc_ids tie: the bound holds all the same.
     chosen = chosen.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("pick", "text")))
     chosen = chosen.filter(F.col("rank") <= sample).select("lang", "text")

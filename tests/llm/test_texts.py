@@ -1,5 +1,6 @@
 """Substring dedup, benchmark search, near duplicates and language ID."""
 
+import random
 import zlib
 
 import numpy as np
@@ -201,6 +202,21 @@ def test_language_of_held_out_texts(spark):
     assert langid.drop_unknown(strange, model).columns == strange.columns
 
 
+def test_sampled_rows_are_those_of_the_smallest_hashes(spark):
+    """For hashes at both ends of the range, ties, and a language of fewer rows than are sampled."""
+    rnd = random.Random(9)
+    rows = [("aa", rnd.randrange(-(2**63), 2**63)) for _ in range(3000)] + [("bb", rnd.randrange(-(2**63), 2**63)) for _ in range(30)]
+    rows += [("cc", -(2**63) + i) for i in range(300)] + [("cc", 2**63 - 1)] * 5 + [("dd", 77)] * 900
+    frame = spark.createDataFrame(rows, "lang string, pick bigint").repartition(5)
+    limits = langid.pick_limits(frame, 100)
+    kept = frame.join(limits, "lang").filter(langid.step_of(frame["pick"]) <= limits["last"]).select("lang", "pick").collect()
+    for lang, most in (("aa", 125), ("bb", 30), ("cc", 305), ("dd", 900)):
+        own = sorted(p for g, p in rows if g == lang)
+        got = sorted(r.pick for r in kept if r.lang == lang)
+        assert got[:100] == own[:100] and got == own[: len(got)] and len(got) <= most
+    assert langid.pick_limits(frame.limit(0), 100).count() == 0
+
+
 def test_odd_training_rows_do_not_let_other_languages_in(spark):
     given = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     model = langid.train(given.filter(~langid.held_out()))
