@@ -38,6 +38,7 @@ SIZE = 1 << GRAM_BITS
 CLUSTERS, SAMPLE, ROUNDS, SLACK = 3, 1000, 10, 0.5
 ODD, FOLDS, SUPPORT = 0.01, 5, 200
 UNKNOWN = "und"
+_GRAMS_AT_ONCE = 1 << 18  # a long text is counted piece by piece
 BUCKETS = 64
 STEPS = 16  # of the scale of hashes that sampled rows are counted by, per power of two
 
@@ -49,9 +50,12 @@ _BLANK = ((0x20 << 16 | 0x20 << 8 | 0x20) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - GR
 
 def gram_counts(text: bytes) -> np.ndarray:
     """Counts of hashed grams of a whole text; the gram of blanks counts nothing."""
-    a = np.frombuffer(b" " + text.translate(_FOLD) + b" ", dtype=np.uint8).astype(np.uint32)
-    grams = ((a[:-2] << np.uint32(16)) | (a[1:-1] << np.uint32(8)) | a[2:]) * np.uint32(0x9E3779B1)
-    counts = np.bincount(grams >> np.uint32(32 - GRAM_BITS), minlength=SIZE)
+    folded = np.frombuffer(b" " + text.translate(_FOLD) + b" ", dtype=np.uint8)
+    counts = np.zeros(SIZE, dtype=np.int64)
+    for at in range(0, len(folded) - 2, _GRAMS_AT_ONCE):
+        a = folded[at : at + _GRAMS_AT_ONCE + 2].astype(np.uint32)
+        grams = ((a[:-2] << np.uint32(16)) | (a[1:-1] << np.uint32(8)) | a[2:]) * np.uint32(0x9E3779B1)
+        counts += np.bincount(grams >> np.uint32(32 - GRAM_BITS), minlength=SIZE)
     counts[_BLANK] = 0
     return counts
 
@@ -189,12 +193,15 @@ def train(
 
     def fit(key, table):
         texts = table.column("text").cast(pa.binary()).to_pylist()
-        grams = np.stack([gram_counts(t) for t in texts])
-        x = weigh(grams, idf)
+        # One row at a time: the sample is held once, as 32-bit numbers.
+        x, lengths = np.empty((len(texts), SIZE), np.float32), np.empty(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            grams = gram_counts(text)
+            x[i], lengths[i] = weigh(grams[None], idf)[0], length_bucket(grams)
         centres = cluster(x, clusters, rounds)
         # Copies of a text are in one fold.
         cosines = held_aside(x, np.array([zlib.crc32(t) % FOLDS for t in texts]), clusters, rounds)
-        floors = slack * floors_of(np.array([length_bucket(g) for g in grams]), cosines, odd)
+        floors = slack * floors_of(lengths, cosines, odd)
         return pa.table(
             {
                 "lang": pa.array([key[0].as_py()], pa.string()),

@@ -202,6 +202,14 @@ def test_language_of_held_out_texts(spark):
     assert langid.drop_unknown(strange, model).columns == strange.columns
 
 
+def test_grams_of_a_long_text_are_all_counted(monkeypatch):
+    text = "".join(random.Random(4).choices("abc déZ.9", k=5000)).encode()
+    whole = langid.gram_counts(text)
+    for size in (1, 7, 1000, 5000):
+        monkeypatch.setattr(langid, "_GRAMS_AT_ONCE", size)
+        assert (langid.gram_counts(text) == whole).all() and langid.gram_counts(b"").sum() == 0
+
+
 def test_sampled_rows_are_those_of_the_smallest_hashes(spark):
     """For hashes at both ends of the range, ties, and a language of fewer rows than are sampled."""
     rnd = random.Random(9)
