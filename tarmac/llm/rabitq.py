@@ -1,6 +1,6 @@
 """Near-duplicate vectors by randomly rotated binary codes with correction factors (after RaBitQ).
 
-Vectors of equal label and length link when their cosine is at least
+Vectors of equal label (of any type but a map) and length link when their cosine is at least
 ``threshold``.
 
 *Codes.*  A unit vector x is rotated at random and kept as its signs, the unit
@@ -148,7 +148,7 @@ def links_in(u, codes, factors, buckets_, table, chunk, threshold):
             yield rows[k], np.flatnonzero(linked[k])
 
 
-_PREPARED = "vec_id bigint, label bigint, dim int, digest binary, raw binary"
+_PREPARED = "vec_id bigint, label string, dim int, digest binary, raw binary"
 
 
 def _prepare(batches):
@@ -244,12 +244,22 @@ def _compare(threshold: float):
     return run
 
 
+def _label(vectors: DataFrame):
+    """Labels of any type as text that is equal for equal labels only (0.0 and -0.0 are equal)."""
+    label, kind = F.col("label"), vectors.select("label").schema[0].dataType.typeName()
+    if kind == "binary":
+        return F.base64(label)
+    if kind in ("array", "struct"):
+        return F.when(label.isNotNull(), F.to_json(F.struct(label.alias("label")), {"ignoreNullFields": "false"}))
+    return (label + F.lit(0.0) if kind in ("float", "double") else label).cast("string")
+
+
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id) for every row of ``vectors`` (vec_id, embedding, label)."""
     source = vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
         F.col("embedding").cast("array<double>").alias("embedding"),
-        F.col("label").cast("bigint").alias("label"),
+        _label(vectors).alias("label"),
     )
     prepared = materialize(source.mapInArrow(_prepare, _PREPARED), "vectors")
     key = ["label", "dim", "digest"]
@@ -261,7 +271,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     distinct = materialize(distinct, "distinct")
     largest = distinct.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
     bits, tables = plan(largest, threshold)
-    schema = "label bigint, dim int, digest binary, rep bigint, copies bigint, raw binary, code binary, factor double, buckets array<int>"
+    schema = "label string, dim int, digest binary, rep bigint, copies bigint, raw binary, code binary, factor double, buckets array<int>"
     coded = materialize(distinct.mapInArrow(_code(bits, tables), schema), "codes")
 
     # Buckets above CHUNK, and per vector the number of chunks of each such bucket that it is in.

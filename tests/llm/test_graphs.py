@@ -63,6 +63,23 @@ def test_vectors_link_exactly(spark, monkeypatch, chunk):
     assert rabitq.near_vectors(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "kind, labels",
+    [
+        ("double", [1.2, 1.7, 0.0, -0.0]),
+        ("string", ["a", "A", "1", "1"]),
+        ("binary", [b"\xff", b"\xfe", b"", b""]),
+        ("array<string>", [["a, b"], ["a", "b"], [None], [None]]),
+        ("bigint", [2**53, 2**53 + 1, 5, 5]),
+    ],
+)
+def test_labels_of_any_type_are_compared_as_they_are(spark, kind, labels):
+    rows = [(i, [1.0, 2.0, 3.0], g) for i, g in enumerate([*labels, None, None])]
+    frame = spark.createDataFrame(rows, f"vec_id bigint, embedding array<double>, label {kind}")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in rabitq.near_vectors(frame).collect()}
+    assert got == {0: (0, 0), 1: (0, 1), 2: (1, 2), 3: (1, 2), 4: (0, 4), 5: (0, 5)}
+
+
 def test_estimates_are_unbiased_and_bounded():
     rnd = np.random.default_rng(7)
     x = rabitq.unit(rnd.standard_normal((400, 64)))
