@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .batches import slices, utf8, values
+from .batches import column, slices, utf8, values
 
 GRAM_BITS = 13
 SIZE = 1 << GRAM_BITS
@@ -226,10 +226,18 @@ _PREDICTED = ["row", "lang_pred", "score", "rejected"]
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """Each row of ``docs`` as the struct ``row``, with ``lang_pred``, ``score`` (cosine, 0 to 1) and ``rejected``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    packed = docs.select(F.struct("*").alias("row"))
+    # A text that is a string is read out of its row: it is sent to the worker once.
+    text = docs.select("text").schema[0]
+    names = docs.columns
+    at = names.index("text") if "text" in names else [n.lower() for n in names].index("text")
+    if text.dataType.simpleString() != "string":
+        packed, at = packed.withColumn("text", F.col("row.text").cast("string")), None
 
     def run(batches):
         for batch in slices(batches):
-            langs, scores, rejected = shared.value.predict(utf8(batch, "text"))
+            texts = utf8(batch, "text") if at is None else column(batch, "row").field(at).cast(pa.binary()).to_pylist()
+            langs, scores, rejected = shared.value.predict(texts)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(batch.schema.names.index("row")),
@@ -240,7 +248,6 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 names=_PREDICTED,
             )
 
-    packed = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
     out = packed.selectExpr("row", "'' as lang_pred", "0D as score", "false as rejected").schema
     return packed.mapInArrow(run, out)
 

@@ -200,6 +200,11 @@ def test_language_of_held_out_texts(spark):
     assert got[4][1] and got[5] == ("aa", False)
     assert [r.doc_id for r in langid.drop_unknown(strange, model).collect()] == [5]
     assert langid.drop_unknown(strange, model).columns == strange.columns
+    # The text as another column than the last or first, in another case, or as bytes; more rows than a slice.
+    many = spark.range(600).selectExpr("id as doc_id", "'Ka lo' as a", "if(id = 599, null, 'Ka lo') as Text", "7 as row")
+    for frame in (many, many.selectExpr("doc_id", "cast(Text as binary) as text", "a")):
+        got = langid.identify(frame.coalesce(1), model).select("row.doc_id", "lang_pred").collect()
+        assert [r.lang_pred for r in sorted(got, key=lambda r: r.doc_id)] == ["aa"] * 599 + ["und"]
 
 
 def test_grams_of_a_long_text_are_all_counted(monkeypatch):
