@@ -43,6 +43,17 @@ def split_bytes(spark: SparkSession) -> int:
     return spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
 
 
+def _fixed_splits(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings that divides every file above ``maxPartitionBytes`` at its multiples: with
+    one partition asked for, the size of a split is not lowered to a core's share of the bytes read."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    return own
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text(path)
     return lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
@@ -159,4 +170,5 @@ def read_ranges(spark: SparkSession, path: str, header: list[str], options: dict
     names = [f"c{i}" for i in range(len(header))]
     schema = ", ".join(f"{c} string" for c in names)
     parsed = F.from_csv("text", schema, {**options, "mode": "FAILFAST", "multiLine": "true"})
-    return records(spark, path, header).select(parsed.alias("r")).select(*(F.col(f"r.{c}") for c in names))
+    found = records(_fixed_splits(spark), path, header).select(parsed.alias("r")).select(*(F.col(f"r.{c}") for c in names))
+    return DataFrame(found._jdf, spark)  # tables are written and looked up in the caller's session

@@ -303,3 +303,21 @@ def test_a_record_longer_than_many_ranges(spark, scratch, ranges_of):
     ranges_of(64)
     rows = sorted(map(tuple, csv_source.read_raw(spark, p).collect()))
     assert rows == [("1", "x"), ("2", long), ("3", f'{long} "q"'), ("4", "y")]
+
+
+def test_ranges_stay_the_same_when_a_read_selects_fewer_files(spark, scratch, ranges_of):
+    """Only one file has records that cross ranges; a core's share of the bytes is smaller without the other file."""
+    rows = "".join(f'{i},"x\n{i}"\n' for i in range(400))
+    write_text(f"{scratch}/some/part-1.csv", "a,b\n")
+    write_text(f"{scratch}/some/part-2.csv", "a,b\n" + rows)
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "400")
+    ranges_of(3000)
+    try:
+        split = csv_source.read_raw(spark, f"{scratch}/some")
+        ranges_of(500)  # a frame keeps the ranges that its quotes were counted in
+        found = sorted(map(tuple, split.collect()))
+    finally:
+        spark.conf.set(key, before)
+    assert found == sorted((str(i), f"x\n{i}") for i in range(400))
