@@ -108,14 +108,19 @@ def hot_keys(fact: DataFrame, key: str, cfg: PipelineConfig) -> DataFrame:
     )
 
 
+def sketch_counts(fact: DataFrame, keys: Sequence[str]) -> dict[str, list[tuple]]:
+    """``(value, estimated rows)`` of at most ``SKETCH_KEYS`` frequent values of each column, from one scan."""
+    sketches = [F.expr(f"approx_top_k(`{k}`, {SKETCH_KEYS}, {max(SKETCH_ITEMS, SKETCH_KEYS)})").alias(k) for k in keys]
+    found = fact.agg(*sketches).first()
+    return {k: [(x["item"], x["count"]) for x in found[k] or []] for k in keys}
+
+
 def sketch_hot_keys(fact: DataFrame, keys: Sequence[str], cfg: PipelineConfig) -> dict[str, DataFrame]:
     """As :func:`hot_keys` for several keys, from one scan of their columns and without a shuffle of their values: at
     most ``SKETCH_KEYS`` keys each, by estimated counts."""
-    sketches = [F.expr(f"approx_top_k(`{k}`, {SKETCH_KEYS}, {max(SKETCH_ITEMS, SKETCH_KEYS)})").alias(k) for k in keys]
-    found = fact.agg(*sketches).first()
     out = {}
-    for key in keys:
-        rows = [(x["item"], -(-x["count"] // cfg.salt_rows)) for x in found[key] if x["count"] >= cfg.hot_key_rows]
+    for key, found in sketch_counts(fact, keys).items():
+        rows = [(item, -(-count // cfg.salt_rows)) for item, count in found if count >= cfg.hot_key_rows]
         schema = StructType([StructField(key, fact.schema[key].dataType), StructField(_BUCKETS, IntegerType())])
         out[key] = fact.sparkSession.createDataFrame(rows, schema)
     return out

@@ -137,8 +137,9 @@ def untidy(df: DataFrame, name: str) -> DataFrame:
     return df.select(*cols)
 
 
-# Column used to spread each exported source over several CSV files.
-EXPORT_SPREAD = {"bookings": "flight_id", "passengers": "passenger_id", "airports": "airport_id"}
+# Column used to spread each exported dimension over several CSV files.  Bookings are written by the tasks that make
+# them: a shuffle would only scatter the rows of an order, which later aggregations then find apart.
+EXPORT_SPREAD = {"passengers": "passenger_id", "airports": "airport_id"}
 
 
 def export_csv(spark: SparkSession, sf_dir: str, root: str, names=None) -> dict[str, str]:
@@ -152,7 +153,7 @@ def export_csv(spark: SparkSession, sf_dir: str, root: str, names=None) -> dict[
     paths = {}
     for name in names or src:
         path = f"{root.rstrip('/')}/{name}.csv"
-        spread = src[name].repartition(files, EXPORT_SPREAD[name])
+        spread = src[name].repartition(files, EXPORT_SPREAD[name]) if name in EXPORT_SPREAD else src[name]
         write_csv(untidy(spread, name), path)
         paths[name] = path
     return paths

@@ -76,3 +76,58 @@ def test_invariants_across_marts(spark, cfg):
     for name in ("gold_gender_booking_summary", "gold_nationality_revenue", "gold_peak_travel_days"):
         other = built[name].agg(F.sum("total_revenue")).collect()[0][0]
         assert abs(other - rev) < 0.01
+
+
+def odd_wide(spark):
+    """Ids with several names, without an id, hot or not; values that come twice or are null."""
+    import random
+
+    rnd = random.Random(3)
+    rows = []
+    for i in range(600):
+        pid = None if i % 11 == 0 else 1 if i % 3 == 0 else rnd.randrange(2, 9)
+        aid = None if i % 13 == 0 else 100 if i % 2 == 0 else rnd.randrange(101, 105)
+        day = None if i % 17 == 0 else f"2024-0{rnd.randrange(1, 4)}-{rnd.choice(['01', '15', '29'])}"
+        flight = None if i % 5 == 0 else rnd.randrange(20)
+        amount = None if i % 7 == 0 else Decimal(rnd.randrange(10000)) / 100
+        name = None if pid is None else f"N{pid}-{i % 2}"
+        rows.append((aid, pid, None if i % 19 == 0 else i, flight, amount, day, name, "F", rnd.choice([None, "NL"]), f"A{aid}", "c", None))
+    columns = "airport_id long, passenger_id long, booking_id long, flight_id long, amount decimal(18,6), booking_date string, "
+    return spark.createDataFrame(rows, columns + "name string, gender string, nationality string, airport_name string, city string, country string")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("hot_key_rows", [50, 2_000_000])
+@pytest.mark.parametrize("grain", ["airport", "passenger"])
+def test_one_shuffle_by_id_counts_what_count_distinct_counts(spark, cfg, grain, hot_key_rows):
+    obt = odd_wide(spark).cache()
+    states = marts.grain_states(obt, grain, cfg.with_(hot_key_rows=hot_key_rows), stored=True)
+    names = [c for c in states.columns if c.startswith("__")]
+    direct = obt.groupBy(*marts.GRAINS[grain].keys).agg(*map(marts._state_agg, names))
+    assert sorted(map(repr, states.select(direct.columns).collect())) == sorted(map(repr, direct.collect()))
+    # Rows are copied per counted column only where they are hot or have no id.
+    plan = plan_of(states)
+    assert plan.count("Expand") == 1 and plan.count("REPARTITION_BY_COL") == 1
+
+
+def test_months_and_days_count_distinct_values_from_months(spark, cfg):
+    obt = odd_wide(spark).cache()
+    states = marts.grain_states(obt, "calendar", cfg)
+    g = marts.GRAINS["calendar"]
+    names = [c for c in states.columns if c.startswith("__") and c != marts.SET_ID]
+    sets = [["year_month"], list(g.keys[1:])]
+    dated = marts.with_booking_dates(obt, "fail")
+    direct = dated.groupingSets(sets, *g.keys).agg(F.grouping_id().alias(marts.SET_ID), *map(marts._state_agg, names))
+    assert sorted(map(repr, states.select(direct.columns).collect())) == sorted(map(repr, direct.collect()))
+    assert "Expand" not in plan_of(states)
+
+
+def test_bookings_are_exported_without_a_shuffle(spark, cfg):
+    from tarmac.sources import fixtures
+
+    path = fixtures.export_csv(spark, SF_SMALL, cfg.root, ["bookings"])["bookings"]
+    made = fixtures.bookings(spark, SF_SMALL)
+    assert len(spark.read.text(path).inputFiles()) <= made.rdd.getNumPartitions()
