@@ -174,8 +174,7 @@ def pack_documents(
     def part_of(place: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(bounds, place.to_numpy(np.int64), side="right").astype(np.int32))
 
-    placed = placed.withColumn("part", part_of("place"))
-    sums = placed.groupBy("part").agg(F.sum("doc_tokens").alias("n"))
+    sums = placed.groupBy(part_of("place").alias("part")).agg(F.sum("doc_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One number per part reaches the driver.
     found = sums.select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")).collect()
@@ -186,11 +185,13 @@ def pack_documents(
     for r in found:
         tasks_of[r.part] = r.base * tasks // total
 
+    # From the place itself, not from the part: each task then needs one Python worker for both.
     @F.pandas_udf("int")
-    def task_of(part: pd.Series) -> pd.Series:
-        return pd.Series(tasks_of[part.to_numpy(np.int64)])
+    def task_of(place: pd.Series) -> pd.Series:
+        return pd.Series(tasks_of[np.searchsorted(bounds, place.to_numpy(np.int64), side="right")])
 
-    ordered = placed.repartitionById(tasks, task_of("part")).sortWithinPartitions("part", "place", "doc_id", "doc_tokens", "ids")
+    dealt = placed.select("*", part_of("place").alias("part"), task_of("place").alias("task"))
+    ordered = dealt.repartitionById(tasks, "task").sortWithinPartitions("part", "place", "doc_id", "doc_tokens", "ids")
     return ordered.select("part", "doc_id", "curve", "ids").mapInArrow(_pieces(bases, length, width), PIECES)
 
 

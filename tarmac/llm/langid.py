@@ -75,6 +75,15 @@ def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return (x / np.where(norms > 0, norms, 1)).astype(np.float32)
 
 
+def weighed(texts: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unit tf-idf rows, length buckets) of texts, one at a time: the rows are held once, as 32-bit numbers."""
+    x, lengths = np.empty((len(texts), SIZE), np.float32), np.empty(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        counts = gram_counts(text)
+        x[i], lengths[i] = weigh(counts[None], idf)[0], length_bucket(counts)
+    return x, lengths
+
+
 def cluster(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
     """Spherical k-means; starts at the mean's nearest row, then always at the row farthest from the chosen."""
     best = x @ x.mean(axis=0)
@@ -125,12 +134,12 @@ class Model:
         out, score, rejected = [UNKNOWN] * n, [0.0] * n, [True] * n
         known = [i for i, t in enumerate(texts) if t and len(self.langs) and has_letter(t)]
         if known:
-            counts = np.stack([gram_counts(texts[i]) for i in known])
-            cosines = weigh(counts, self.idf) @ self.centres.T
+            x, lengths = weighed([texts[i] for i in known], self.idf)
+            cosines = x @ self.centres.T
             best = np.argmax(cosines, axis=1)
-            for i, row, c, near in zip(known, counts, best, cosines[np.arange(len(best)), best]):
+            for i, length, c, near in zip(known, lengths, best, cosines[np.arange(len(best)), best]):
                 out[i], score[i] = self.langs[c], float(min(1.0, max(0.0, near)))
-                rejected[i] = bool(near < self.floors[c, length_bucket(row)])
+                rejected[i] = bool(near < self.floors[c, length])
         return out, score, rejected
 
 
@@ -193,11 +202,7 @@ def train(
 
     def fit(key, table):
         texts = table.column("text").cast(pa.binary()).to_pylist()
-        # One row at a time: the sample is held once, as 32-bit numbers.
-        x, lengths = np.empty((len(texts), SIZE), np.float32), np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            grams = gram_counts(text)
-            x[i], lengths[i] = weigh(grams[None], idf)[0], length_bucket(grams)
+        x, lengths = weighed(texts, idf)
         centres = cluster(x, clusters, rounds)
         # Copies of a text are in one fold.
         cosines = held_aside(x, np.array([zlib.crc32(t) % FOLDS for t in texts]), clusters, rounds)

@@ -1,6 +1,7 @@
 """Substring dedup, benchmark search, near duplicates and language ID."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -215,6 +216,20 @@ def test_grams_of_a_long_text_are_all_counted(monkeypatch):
         assert (langid.gram_counts(text) == whole).all() and langid.gram_counts(b"").sum() == 0
 
 
+def test_prediction_holds_a_batch_once():
+    """256 texts are 8 MB of 32-bit rows; their counts as whole numbers and doubles would be over 60 MB."""
+    n = 256
+    centres = np.zeros((1, langid.SIZE), np.float32)
+    model = langid.Model(np.ones(langid.SIZE), centres, ["en"], np.zeros((1, langid.BUCKETS)))
+    texts = [" ".join(prose(i, 40)).encode() for i in range(n)]
+    model.predict(texts[:1])
+    tracemalloc.start()
+    model.predict(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * 4 * langid.SIZE * n
+
+
 def test_sampled_rows_are_those_of_the_smallest_hashes(spark):
     """For hashes at both ends of the range, ties, and a language of fewer rows than are sampled."""
     rnd = random.Random(9)

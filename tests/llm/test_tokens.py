@@ -121,6 +121,13 @@ def test_damage_is_found():
         list(records.frames(whole[:-3]))
 
 
+def test_packing_deals_rows_with_one_python_worker_a_task(spark):
+    """A second Python step in a task takes a second worker, which stays in the executor's memory."""
+    pieces = curve_packing.pack_documents(awkward(spark)[1], length=64)
+    plan = pieces._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_hilbert_curve_visits_neighbours():
     bits, dims = 3, 3
     grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), -1).reshape(-1, dims)
