@@ -112,9 +112,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary file."""
-    return Encoder(path)
+def encoder(path: str, max_pieces: int = MAX_PIECES) -> Encoder:
+    """One encoder per worker process, vocabulary file and number of pieces remembered."""
+    return Encoder(path, max_pieces)
 
 
 @lru_cache(maxsize=4)

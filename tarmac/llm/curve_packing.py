@@ -22,14 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .batches import column, slices, utf8, values
-from .bpe import default_path, encoder
+from .batches import column, sized, slices, values
+from .bpe import MAX_PIECES, default_path, encoder
 from .storage import materialize
 from .words import mix
 
 LENGTH = 2048
 DIMS, BITS, FEATURES = 4, 10, 256
 TIE_BITS = 63 - DIMS * BITS
+ROWS, BYTES = 2048, 1 << 22  # rows, and bytes of their ids, that are cut at a time
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -92,9 +93,9 @@ def curve_positions(vectors: np.ndarray) -> np.ndarray:
     return hilbert_keys(np.minimum((cells * (1 << BITS)).astype(np.int64), (1 << BITS) - 1), BITS)
 
 
-def _encode(path: str, end_id: int):
+def _encode(path: str, end_id: int, max_pieces: int):
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, max_pieces)
         end = enc.pack(end_id)
         for batch in slices(batches):
             packed = [enc.encode(t or "") + end for t in values(batch, "text")]
@@ -125,41 +126,54 @@ def _pieces(bases: dict[int, int], length: int, width: int):
 
     def run(batches):
         part, at = None, 0
-        for batch in slices(batches):
-            rows = []
-            for now, doc_id, curve, packed in zip(
-                values(batch, "part"), values(batch, "doc_id"), values(batch, "curve"), values(batch, "ids")
-            ):
-                if now != part:
-                    part, at = now, bases[now]
-                ids = np.frombuffer(packed, dtype).astype("<u4")
-                start = 0
-                while start < len(ids):
-                    size = min(len(ids) - start, length - at % length)
-                    piece = ids[start : start + size].tobytes()
-                    rows.append((doc_id, start, size, piece, len(ids), curve, at // length, at % length))
-                    start, at = start + size, at + size
-            kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 4
-            cols = zip(*rows) if rows else [[]] * 8
+        for batch in sized(slices(batches, ROWS), "ids", BYTES):
+            parts, packed = np.asarray(column(batch, "part")), values(batch, "ids")
+            sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // width
+            # Place of each row's first id in the stream; a part begins at its base.
+            first = np.flatnonzero(np.r_[parts[0] != part, parts[1:] != parts[:-1]])
+            begin = np.cumsum(sizes) - sizes
+            shift = np.r_[at, np.array([bases[p] for p in parts[first].tolist()], dtype=np.int64) - begin[first]]
+            begin += shift[np.searchsorted(first, np.arange(len(parts)), side="right")]
+            end = begin + sizes
+            part, at = parts[-1], int(end[-1])
+
+            n = np.where(sizes > 0, (end - 1) // length - begin // length + 1, 0)
+            row = np.repeat(np.arange(len(n)), n)
+            sequence = begin[row] // length + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            start, stop = np.maximum(begin[row], sequence * length), np.minimum(end[row], (sequence + 1) * length)
+            # The pieces lie end to end as the rows do.
+            edges = np.r_[0, 4 * np.cumsum(stop - start)].astype(np.int32)
+            ids = np.frombuffer(b"".join(packed), dtype).astype("<u4")
+            binary = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges), pa.py_buffer(ids)])
+            doc_id, curve = (column(batch, c).take(pa.array(row)) for c in ("doc_id", "curve"))
+            longs = (pa.array(c, pa.int64()) for c in (start - begin[row], stop - start, sizes[row], sequence, start % length))
+            start, size, doc_tokens, sequence, offset = longs
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, kinds)], names=[x.split()[0] for x in PIECES.split(", ")]
+                [doc_id, start, size, binary, doc_tokens, curve, sequence, offset],
+                names=[x.split()[0] for x in PIECES.split(", ")],
             )
 
     return run
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, length: int = LENGTH, parts: int | None = None
+    docs: DataFrame,
+    tokenizer: str | None = None,
+    end_id: int = 1,
+    length: int = LENGTH,
+    parts: int | None = None,
+    max_pieces: int = MAX_PIECES,
 ) -> DataFrame:
     """One row per piece: ``ids`` (32-bit little-endian) of a document from its id ``start`` on, lying at ``offset``
-    of sequence ``sequence_id``.  Columns of ``docs`` besides doc_id and text are not read.
+    of sequence ``sequence_id``.  Columns of ``docs`` besides doc_id and text are not read.  A worker remembers up to
+    twice ``max_pieces`` pieces of text; with fewer it takes less memory, and encodes rare ones again.
     """
     spark = docs.sparkSession
     path = tokenizer or default_path()
     width = encoder(path).dtype.itemsize
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     encoded = materialize(
-        source.mapInArrow(_encode(path, end_id), "doc_id bigint, ids binary, doc_tokens bigint, curve bigint"), "encoded"
+        source.mapInArrow(_encode(path, end_id, max_pieces), "doc_id bigint, ids binary, doc_tokens bigint, curve bigint"), "encoded"
     )
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = parts or 16 * tasks

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import awkward, docs, empty, prose
 from pyspark.sql import functions as F
@@ -168,6 +169,38 @@ def test_packing_covers_every_id_once(spark, parts):
     assert not one and texts.issubset(set(packed))
 
 
+def test_pieces_are_cut_many_rows_at_once():
+    rnd, length = random.Random(5), 7
+    parts = sorted(rnd.randint(0, 3) for _ in range(300))
+    ids = [np.arange(k, k + rnd.choice([0, 1, 6, 7, 8, 40]), dtype="<u2") for k in range(300)]
+    bases, at, want = {}, 10, []
+    for i, (part, row) in enumerate(zip(parts, ids)):
+        bases.setdefault(part, at)
+        for start in sorted({0, *range(-at % length, len(row), length)} if len(row) else ()):
+            here = at + start
+            size = min(length - here % length, len(row) - start)
+            piece = row[start : start + size].astype("<u4").tobytes()
+            want.append((i or None, start, size, piece, len(row), -i, here // length, here % length))
+        at += len(row)
+    rows = pa.record_batch(
+        {
+            "part": pa.array(parts, pa.int32()),
+            "doc_id": pa.array([i or None for i in range(300)], pa.int64()),
+            "curve": pa.array([-i for i in range(300)], pa.int64()),
+            "ids": pa.array([row.tobytes() for row in ids], pa.binary()),
+        }
+    )
+    cut = curve_packing._pieces(bases, length, 2)
+    for batches in ([rows], [rows.slice(0, 100), rows.slice(100, 1), rows.slice(101)]):
+        out = list(cut(iter(batches)))
+        assert len(out) == len(batches)
+        assert [tuple(r.values()) for b in out for r in b.to_pylist()] == want
+
+
+def test_an_encoder_remembers_as_many_pieces_as_asked():
+    assert bpe.encoder(PATH, 30).pieces.limit == 30 and bpe.encoder(PATH).pieces.limit == bpe.MAX_PIECES
+
+
 def test_sequences_are_padded(spark):
     _, frame = awkward(spark)
     pieces = curve_packing.pack_documents(frame, length=128)
