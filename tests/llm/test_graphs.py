@@ -11,7 +11,7 @@ import pytest
 from llm_data import components
 
 from tarmac.llm import chat_tree, jaccard_join, rabitq, storage
-from tarmac.llm.components import connected_components
+from tarmac.llm.components import LEAST_TASKS, connected_components
 
 
 def test_components_of_random_graphs(spark):
@@ -25,6 +25,21 @@ def test_components_of_random_graphs(spark):
     assert connected_components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
+def test_few_edges_take_few_tasks_a_round(spark):
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)], "u bigint, v bigint")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = connected_components(chain)
+        assert len(found.inputFiles()) <= LEAST_TASKS
+        assert {(r.node, r.component) for r in found.collect()} == {(i, 0) for i in range(201)}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _brute(rows, threshold):
     usable = {}
     for i, (vec_id, x, label) in enumerate(rows):
