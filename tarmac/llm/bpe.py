@@ -58,7 +58,10 @@ class _PieceIds(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            spelled = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+            if piece.isascii():
+                spelled = piece.translate(self.letters)
+            else:
+                spelled = piece.encode("utf-8").decode("latin-1").translate(self.letters)
             ids = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
         if len(self) >= self.limit:
             self.old = dict(self)
@@ -83,7 +86,7 @@ class Encoder:
 
     def covers(self, text: str) -> bool:
         """Whether the cut into pieces holds for the text."""
-        return not (_BEYOND.search(text) or any(s in text for s in self.special))
+        return not (not text.isascii() and _BEYOND.search(text) or any(s in text for s in self.special))
 
     def cut(self, text: str) -> list[str]:
         return _PIECES.findall(text)

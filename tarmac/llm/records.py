@@ -35,6 +35,7 @@ from .bpe import default_path, encoder
 
 BLOCK_BYTES = 1 << 20
 BLOCKS_PER_FILE = 32
+PIECES = 400_000  # that a worker remembers twice over
 _LENGTHS, _CRC, _HEAD = struct.Struct("<II"), struct.Struct("<I"), struct.Struct("<qB")
 
 INDEX = T.StructType(
@@ -86,7 +87,7 @@ def frames(data: bytes, start: int = 0, end: int | None = None):
 
 def _blocks(path: str, end_id: int):
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, PIECES)
         width, end = enc.dtype.itemsize, enc.pack(end_id)
         held, size = [], 0
         for batch in slices(batches):

@@ -35,6 +35,16 @@ def test_encoder_and_decoder_round_trip():
         assert ids == library(text) and dec.decode(ids) == text
 
 
+def test_records_remember_more_pieces_than_the_default(monkeypatch):
+    asked = []
+    monkeypatch.setattr(records, "encoder", lambda *args: asked.append(args) or bpe.Encoder(*args))
+    batch = pa.record_batch({"doc_id": pa.array([1, None]), "text": pa.array(["a \n b é", None])})
+    blocks = [b for out in records._blocks(PATH, 0)(iter([batch])) for b in out.column(0).to_pylist()]
+    found = [(doc_id, ids.tolist()) for _, _, doc_id, ids in records.frames(b"".join(b + b"\n" for b in blocks))]
+    assert found == [(1, [*library("a \n b é"), 0]), (None, [0])]
+    assert asked == [(PATH, records.PIECES)] and records.PIECES > bpe.MAX_PIECES
+
+
 def test_piece_tree_counts_after_every_edit():
     enc, rnd = bpe.encoder(PATH), random.Random(2)
     for k in range(400):
