@@ -507,7 +507,8 @@ def _fits(max_block: int):
 
 
 def _counts(sets: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    size = F.octet_length("shingles").cast("bigint")
+    """Sets and bytes of each block by state; ``sets`` has the sets or, in their place, their ``size``."""
+    size = F.col("size") if "size" in sets.columns else F.octet_length("shingles").cast("bigint")
     parts = []
     for kind, state in _KINDS.items():
         is_kind = F.col("state") == state
@@ -518,17 +519,76 @@ def _counts(sets: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return scratch.write(counts.filter(unmet & (_total("n") > 1)), f"sizes-{name}")
 
 
-def _count_shingles(batches):
-    """Shingles of a batch of sets, and in how many of them."""
+def _packed(numbers: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """32-bit numbers as binary values, cut at ``ends``."""
+    buffers = [None, pa.py_buffer(np.r_[0, 4 * ends].astype(np.int32)), pa.py_buffer(numbers.astype(np.uint32))]
+    return pa.Array.from_buffers(pa.binary(), len(ends), buffers)
+
+
+def _count_shingles(bits: int):
+    """Before the shuffle: in how many sets of a chunk each shingle is.  A shingle goes by its first ``bits`` + 32 bits,
+    its name: a row for each value of the first ``bits`` has the other 32 of the names of one set, then those of more
+    sets and of how many.  So most shingles take four bytes."""
+
+    def close(held):
+        names, times = np.unique(np.concatenate(held) >> np.uint64(32 - bits), return_counts=True)
+        parts, one = np.unique(names >> np.uint64(32)), times == 1
+        once, more = (np.searchsorted(names[kind] >> np.uint64(32), parts, side="right") for kind in (one, ~one))
+        columns = [pa.array(parts, pa.int32()), _packed(names[one], once), _packed(names[~one], more), _packed(times[~one], more)]
+        return pa.RecordBatch.from_arrays(columns, names=["part", "once", "more", "times"])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in slices(batches):
+            for own in _unpack(values(batch, "shingles")):
+                held.append(own)
+                size += len(own)
+                if size >= _CHUNK_KEYS:
+                    yield close(held)
+                    held, size = [], 0
+        if size:
+            yield close(held)
+
+    return run
+
+
+def _add_counts(batches):
+    """After the shuffle, rows sorted by part: (name, n) of the names that are in ``LEAST_COMMON`` sets or more."""
+    part, held = None, []
+
+    def close():
+        once, more, times = (np.frombuffer(b"".join(c), np.uint32) for c in zip(*held))
+        names, times = np.r_[once, more], np.r_[np.ones(len(once), np.int64), times.astype(np.int64)]
+        order = np.argsort(names, kind="stable")
+        names, times = names[order], times[order]
+        starts = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
+        n = np.add.reduceat(times, starts)
+        enough = n >= LEAST_COMMON
+        full = names[starts][enough].astype(np.int64) + (part << 32)
+        return pa.RecordBatch.from_arrays([pa.array(full), pa.array(n[enough])], names=["name", "n"])
+
     for batch in slices(batches):
-        packed = b"".join(values(batch, "shingles"))
-        names, times = np.unique(np.frombuffer(packed, np.int64), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(times, pa.int64())], names=["shingle", "n"])
+        for now, *row in zip(*(values(batch, c) for c in ("part", "once", "more", "times"))):
+            if now != part and held:
+                yield close()
+                held = []
+            part = now
+            held.append(row)
+    if held:
+        yield close()
+
 
+def _common_names(sets: DataFrame, bits: int) -> np.ndarray:
+    """Names of the ``COMMON`` shingles that most of the sets have, the least frequent first."""
+    sent = sets.mapInArrow(_count_shingles(bits), "part int, once binary, more binary, times binary")
+    counts = sent.repartition("part").sortWithinPartitions("part").mapInArrow(_add_counts, "name bigint, n bigint")
+    top = counts.orderBy(F.desc("n"), "name").limit(COMMON).collect()
+    return np.array([r.name for r in reversed(top)], dtype=np.uint64)
 
-def _rare_keys(percent: int, common: np.ndarray, rank: np.ndarray):
-    """(documents, keys, needs) of a batch: the shingles of each set that come first when ``common`` ones come last, by
-    rank, and how many of them a linked set shares at least."""
+
+def _rare_keys(percent: int, common: np.ndarray, rank: np.ndarray, bits: int):
+    """(documents, keys, needs) of a batch: the shingles of each set that come first when those of ``common`` names come
+    last, by rank, and how many of them a linked set shares at least."""
 
     def keys_of(batch):
         docs, keys, needs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -536,8 +596,9 @@ def _rare_keys(percent: int, common: np.ndarray, rank: np.ndarray):
             n = len(own)
             overlap = -(-percent * n // 100)
             need = min(SHARED, overlap)
-            place = np.minimum(np.searchsorted(common, own), max(0, len(common) - 1))
-            last = np.where(common[place] == own, rank[place], 0) if len(common) else np.zeros(n, np.int64)
+            names = own >> np.uint64(32 - bits)
+            place = np.minimum(np.searchsorted(common, names), max(0, len(common) - 1))
+            last = np.where(common[place] == names, rank[place], 0) if len(common) else np.zeros(n, np.int64)
             first = own[np.lexsort((mix(own), last))[: n - overlap + need]]
             keys.append(mix(first ^ mix(np.array([block], np.int64).view(np.uint64))))
             docs.append(np.full(len(first), doc_id, dtype=np.int64))
@@ -649,7 +710,7 @@ def _meet_rare(batches):
     yield rows(_add_pairs([*found, pairs(*held)]))
 
 
-def split_by_rare(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def split_by_rare(sets: DataFrame, percent: int, scratch: Scratch, sets_of=None, n_shingles: int = 0) -> DataFrame:
     """Blocks divided exactly: sets stay together if pairs that share enough rare shingles connect them.
 
     Linked sets of n shingles share at least o = ceil(percent n / 100) of them, so in any one order of all shingles
@@ -657,14 +718,19 @@ def split_by_rare(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     puts the ``COMMON`` most frequent shingles of these blocks last, the others by hash.  A shingle that fewer than
     ``LEAST_COMMON`` sets send gives their pairs, which are counted; one that more send ties them all, whatever else
     they share.  Both numbers decide only how small the parts get.  Sets that nothing connects have no link and are
-    dropped."""
-    counts = sets.mapInArrow(_count_shingles, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-    top = counts.filter(F.col("n") >= LEAST_COMMON).orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
-    common = np.array([r.shingle for r in reversed(top)], dtype=np.int64).view(np.uint64)
+    dropped.
+
+    With ``sets_of``, which makes the sets of (doc_id, block) anew, ``sets`` is the scratch table "large": it is removed
+    as soon as its keys are sent.  ``n_shingles``, of all sets, decides in how many parts they are counted."""
+    bits = min(16, max(8, (n_shingles >> 21).bit_length()))
+    common = _common_names(sets, bits)
+    release(sets.sparkSession)
     order = np.argsort(common)
-    keys_of = _rare_keys(percent, common[order], np.arange(1, len(common) + 1)[order])
+    keys_of = _rare_keys(percent, common[order], np.arange(1, len(common) + 1)[order], bits)
     schema = "key bigint, u bigint, v bigint, need bigint"
     sent = scratch.write(sets.mapInArrow(_send_rare(keys_of), schema), "rare-keys")
+    if sets_of is not None:
+        scratch.drop("large")
     met = sent.filter("key is not null").repartition("key").sortWithinPartitions("key")
     met = met.mapInArrow(_meet_rare, "u bigint, v bigint, shared bigint, need bigint")
     tied_early = sent.filter("key is null").select("u", "v", F.lit(1).cast("bigint").alias("shared"), "need")
@@ -673,24 +739,37 @@ def split_by_rare(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     tied = scratch.write(pairs.select("u", "v"), "rare-ties")
     parts = connected_components(tied, f"{scratch.folder}/rare-tied")
     parts = parts.select(F.col("node").alias("doc_id"), F.col("component").alias("block"))
-    divided = scratch.write(
-        sets.drop("block").join(parts.hint("merge"), "doc_id").select("block", "doc_id", "state", "shingles"), "rare-sets"
-    )
-    scratch.drop("rare-keys", "rare-ties", "rare-tied")
+    scratch.drop("rare-keys", "rare-ties")
+    divided = sets.drop("block").join(parts.hint("merge"), "doc_id") if sets_of is None else sets_of(parts)
+    divided = scratch.write(divided.select("block", "doc_id", "state", "shingles"), "rare-sets")
+    scratch.drop("rare-tied")
     return divided
 
 
 def verified_links(sets: DataFrame, percent: int = PERCENT, max_block: int = MAX_BLOCK) -> DataFrame:
     """(u, v): links that connect what all links within blocks (``sets``: block, doc_id, state, shingles) connect.  A
     table on the shared folder; what leads to it is removed."""
-    scratch = Scratch(sets.sparkSession, "blocks")
+    return _links_in(sets, lambda found: sets.join(found.select("block"), "block", "left_semi"), None, percent, max_block)
+
+
+def _links_in(sizes: DataFrame, in_blocks, sets_of, percent: int, max_block: int) -> DataFrame:
+    """As ``verified_links``, with ``in_blocks`` (blocks → their sets) in place of sets; ``sizes`` has the sets or their
+    block, state and size.  With ``sets_of`` (documents and blocks → sets) no table has all sets: those of blocks that fit
+    a task are made on their way to it, those of larger blocks are a table until their keys are sent, and the ones that
+    these connect are made anew."""
+    scratch = Scratch(sizes.sparkSession, "blocks")
     fits, chunk = _fits(max_block), max(1, max_block // 2)
-    counts = _counts(sets, scratch, "first")
-    tasks = [sets.join(counts.filter(fits).select("block"), "block", "left_semi")]
+    counts = _counts(sizes, scratch, "first")
+    tasks = [in_blocks(counts.filter(fits))]
     links = []
     large = counts.filter(~fits)
     if large.take(1):
-        sets = split_by_rare(sets.join(large.select("block"), "block", "left_semi"), percent, scratch)
+        n_shingles = large.agg(F.sum(_total("bytes"))).first()[0] // 8
+        sets = in_blocks(large)
+        if sets_of is not None:
+            sets = scratch.write(sets, "large")
+            release(sizes.sparkSession)
+        sets = split_by_rare(sets, percent, scratch, sets_of, n_shingles)
         counts = _counts(sets, scratch, "rare")
         tasks.append(sets.join(counts.filter(fits).select("block"), "block", "left_semi"))
         large = counts.filter(~fits)
@@ -750,12 +829,18 @@ def near_duplicates(
     blocks = connected_components(tied, f"{scratch.folder}/tied").select(F.col("node").alias("doc_id"), F.col("component").alias("block"))
     blocks = scratch.write(blocks, "blocks")
     scratch.drop("ties", "tied")
-    sets = scratch.write(
-        texts.join(blocks.hint("merge"), "doc_id").select("block", "doc_id", "text").mapInArrow(_shingles(shingle), _SET), "sets"
-    )
+
+    def sets_of(placed):
+        rows = texts.join(placed.hint("merge"), "doc_id").select("block", "doc_id", "text")
+        return rows.mapInArrow(_shingles(shingle), _SET)
+
+    def in_blocks(found):
+        return sets_of(blocks.join(found.select("block"), "block", "left_semi"))
+
+    sizes = outline.join(blocks.hint("merge"), "doc_id")
+    sizes = sizes.select("block", F.lit(OPEN).alias("state"), (8 * F.col("n_shingles")).alias("size"))
+    links = _links_in(sizes, in_blocks, sets_of, percent, max_block)
     scratch.drop("blocks")
-    links = verified_links(sets, percent, max_block)
-    scratch.drop("sets")
     found = connected_components(links, f"{scratch.folder}/linked")
     firsts = firsts.join(found, F.col("first") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "first").alias("component")

@@ -218,6 +218,25 @@ def test_pairs_under_rare_keys_are_added_up(monkeypatch, chunk):
     assert set(components({*range(200, 260), 300, 301}, tied).values()) == {200, 300}
 
 
+@pytest.mark.parametrize("bits, chunk", [(8, 1 << 20), (8, 3000), (16, 500)])
+def test_shingles_are_counted_in_about_four_bytes_each(monkeypatch, bits, chunk):
+    """All shingles of many sets are found with the number of their sets, the first ``bits`` + 32 bits telling them apart."""
+    monkeypatch.setattr(jaccard_join, "_CHUNK_KEYS", chunk)
+    rng = np.random.default_rng(2)
+    often = rng.integers(0, 1 << 64, 30, np.uint64)
+    sets = [np.unique(np.r_[rng.integers(0, 1 << 64, 100, np.uint64), often[: i % 31]]) for i in range(300)]
+    batches = [pa.RecordBatch.from_pydict({"shingles": [s.tobytes() for s in part]}) for part in (sets[:170], sets[170:], [])]
+    sent = list(jaccard_join._count_shingles(bits)(iter(batches)))
+    packed = sum(len(v) for batch in sent for c in ("once", "more", "times") for v in batch.column(c).to_pylist())
+    assert packed <= 4.5 * sum(map(len, sets))
+    rows = sorted((r for batch in sent for r in batch.to_pylist()), key=lambda r: r["part"])
+    rows = [pa.RecordBatch.from_pylist(part, sent[0].schema) for part in (rows[:100], rows[100:])]
+    got = [(r["name"], r["n"]) for batch in jaccard_join._add_counts(iter(rows)) for r in batch.to_pylist()]
+    want = collections.Counter(int(x) >> (32 - bits) for own in sets for x in own)
+    assert len(want) > 30_000 and sorted(got) == sorted((x, n) for x, n in want.items() if n >= jaccard_join.LEAST_COMMON)
+    assert list(jaccard_join._add_counts(iter([]))) == []
+
+
 def test_division_by_rare_shingles_keeps_every_link(spark):
     """Random families of near copies with a passage that all share: linked sets stay in one part, and parts are small."""
     import random

@@ -3,13 +3,18 @@
 import random
 import tracemalloc
 import zlib
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from llm_data import DOCS, awkward, components, docs, empty, fold, jaccard_components, prose, window_law
 from pyspark.sql import functions as F
 
 from tarmac.llm import jaccard_join, langid, lz_dedup, queries, wumanber
+from tarmac.llm.components import connected_components
+from tarmac.session import checkpoint_dir
 
 
 def test_lempel_ziv_follows_the_window_law(spark):
@@ -114,6 +119,37 @@ def test_jaccard_join_is_exact(spark, monkeypatch, max_block, max_bytes):
     assert all(r.component_id is None for r in nulls) and len(nulls) == 2
 
 
+def test_sets_of_large_blocks_are_on_disk_only_until_their_keys_are_sent(spark, monkeypatch):
+    """No set is stored before blocks are known to be too large for a task, and none while parts of these are sought; of
+    their sets, only those that rare shingles connect are made again."""
+    rows = [(i, "a line that all of these texts have in front " + " ".join(prose(60 + i, 30))) for i in range(20)]
+    rows += [(100 + i, rows[i][1] + " tail") for i in range(4)] + [(200, " ".join(prose(90, 40))), (201, " ".join(prose(90, 41)))]
+    root = Path(unquote(urlparse(checkpoint_dir(spark)).path), "tarmac-llm")
+    old, seen = {*root.rglob("*.parquet")}, {}
+
+    def tables():
+        files = [f for f in {*root.rglob("*.parquet")} - old if "shingles" in pq.read_schema(f).names]
+        return {f.parent.name: sum(pq.read_metadata(g).num_rows for g in files if g.parent == f.parent) for f in files}
+
+    def components_of(edges, folder=None):
+        seen["parts" if folder.endswith("rare-tied") else "rest"] = tables()
+        return connected_components(edges, folder)
+
+    def counts(sets, scratch, name):
+        seen[name] = tables()
+        return count(sets, scratch, name)
+
+    # One block of the texts that share a line, as on large inputs.
+    count, low = jaccard_join._counts, F.when(F.col("doc_id") < 200, 0).otherwise(200).cast("bigint")
+    monkeypatch.setattr(jaccard_join, "connected_components", components_of)
+    monkeypatch.setattr(jaccard_join, "_counts", counts)
+    monkeypatch.setattr(jaccard_join, "ties", lambda rows, keys_of: rows.select(low.alias("u"), F.col("doc_id").alias("v")))
+    got = jaccard_join.near_duplicates(docs(spark, rows), 4, 80, 6).collect()
+    assert sorted(tuple(r) for r in got) == jaccard_components(rows, 4, 80)
+    assert seen["first"] == seen["parts"] == seen["rest"] == {}
+    assert seen["rare"] == {"rare-sets": 8}
+
+
 def _family(rnd, first):
     """(doc_id, set) of near copies that chain, branch and lie beside each other at about the join radius."""
     stems = [{rnd.getrandbits(62) for _ in range(rnd.choice((12, 20, 30)))} for _ in range(rnd.randint(1, 3))]
